@@ -285,3 +285,69 @@ def kpi_numbers(features: DataFrame, rejects: DataFrame, predictions: DataFrame,
                F.lit(100.0) * F.col("prev_rejected") / (F.col("prev_kept") + F.col("prev_rejected"))).alias("prev_drop_rate"),
         F.when(F.col("has_previous"), rate("prev_flagged", "prev_scored")).alias("prev_flag_rate"))
     return out
+
+
+# ---------- keyed series (many series in one job) ----------
+
+def keyed_spine(keys_df: DataFrame, keys: list, first_bucket: Column, opts: WindowOptions) -> DataFrame:
+    """Every (key, slot) of the window, generated from the distinct keys (no join)."""
+    n, b = opts.n_buckets, opts.bucket_seconds
+    return keys_df.select(*keys, F.posexplode(F.sequence(first_bucket, first_bucket + F.lit(n - 1)))
+                          .alias("slot", "bucket")) \
+        .select(*keys, F.col("slot").cast("long").alias("slot"), "bucket",
+                F.timestamp_seconds(F.col("bucket") * F.lit(b)).alias("bucket_start"))
+
+
+def volume_over_time_by(features: DataFrame, opts: WindowOptions, keys: list,
+                        ts: str = "timestamp") -> DataFrame:
+    """AGG-14 per key, on the shared data-anchored window; empty buckets are 0."""
+    b = opts.bucket_seconds
+    end_s = end_epoch(features, opts, ts)
+    first_bucket = F.floor(end_s / F.lit(b)).cast("long") - F.lit(opts.n_buckets)
+    t = epoch(ts)
+    rows = features.where(in_window(t, end_s - F.lit(opts.window_seconds), end_s))
+    per = rows.groupBy(*keys, bucket_of(t, b).alias("bucket")).agg(F.count(F.lit(1)).cast("long").alias("orders"))
+    sp = keyed_spine(features.select(*keys).distinct(), keys, first_bucket, opts)
+    return sp.join(per, [*keys, "bucket"], "left").select(
+        *keys, "slot", "bucket_start", F.coalesce("orders", F.lit(0)).cast("long").alias("orders"))
+
+
+def late_flag_rate_over_time_by(predictions: DataFrame, features: DataFrame, opts: WindowOptions,
+                                keys: list, ts: str = "timestamp") -> DataFrame:
+    """AGG-15 per key (keys are feature columns); buckets without predictions are NULL."""
+    b = opts.bucket_seconds
+    end_s = end_epoch(features, opts, ts)
+    first_bucket = F.floor(end_s / F.lit(b)).cast("long") - F.lit(opts.n_buckets)
+    lookup = features.groupBy("batch", "order_id").agg(
+        F.min_by(F.struct(F.col(ts).alias(ts), *[F.col(k) for k in keys]), F.col("pos")).alias("_f")) \
+        .select("batch", "order_id", "_f.*")
+    j = predictions.join(lookup, ["batch", "order_id"], "inner")
+    t = epoch(ts)
+    per = (j.where(in_window(t, end_s - F.lit(opts.window_seconds), end_s))
+           .groupBy(*keys, bucket_of(t, b).alias("bucket"))
+           .agg(F.count(F.lit(1)).cast("long").alias("scored"), F.sum("predicted_late").cast("long").alias("flagged")))
+    sp = keyed_spine(features.select(*keys).distinct(), keys, first_bucket, opts)
+    return sp.join(per, [*keys, "bucket"], "left").select(
+        *keys, "slot", "bucket_start", F.coalesce("scored", F.lit(0)).cast("long").alias("scored"),
+        (F.lit(100.0) * F.col("flagged") / F.col("scored")).alias("flagged_late_pct"))
+
+
+def kpi_deltas(numbers: DataFrame) -> DataFrame:
+    """FND-05: KPI values, deltas (only with a fully covered previous window) and display text."""
+    from ..functions.scalars import pct_text, pp_text, signed_thousands, thousands
+    hp = F.col("has_previous")
+    out = numbers.select(
+        "orders", "drop_rate", "flag_rate", "has_previous",
+        F.when(hp, F.col("orders") - F.col("prev_orders")).alias("orders_delta"),
+        (F.bround(F.col("drop_rate") - F.col("prev_drop_rate"), 1) + F.lit(0.0)).alias("drop_delta_pp"),
+        (F.bround(F.col("flag_rate") - F.col("prev_flag_rate"), 0) + F.lit(0.0)).alias("flag_delta_pp"))
+    return out.select(
+        "*", thousands(F.col("orders")).alias("orders_text"),
+        F.when(hp, signed_thousands(F.col("orders_delta"))).alias("orders_delta_text"),
+        pct_text(F.col("drop_rate"), 1).alias("drop_rate_text"),
+        F.when(F.col("flag_rate").isNull(), F.lit("—"))
+         .otherwise(F.format_string("%.0f%%", F.bround(F.col("flag_rate"), 0))).alias("flag_rate_text"),
+        F.when(F.col("drop_delta_pp").isNotNull(),
+               F.format_string("%+.1f pp", F.col("drop_delta_pp"))).alias("drop_delta_text"),
+        F.when(F.col("flag_delta_pp").isNotNull(),
+               F.format_string("%+.0f pp", F.col("flag_delta_pp"))).alias("flag_delta_text"))

@@ -406,3 +406,222 @@ def q_top_failure(spark, sf_dir):
     st = ctx.stage()
     fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window)
     return fc.where(F.col("rnk") == 1).select("label", "rows_dropped", F.round("share", 6).alias("share"))
+
+
+# ================================================================ KPIs and findings
+from ..operators import findings  # noqa: E402
+
+_KPI_CTE = _SPINE_SQL + """,
+b2 AS (SELECT end_s, end_s - 604800 AS start_s, end_s - 1209600 AS prev_s,
+              oldest_s < end_s - 1209600 + 3600 AS has_previous FROM bnd),
+kf AS (SELECT count(*) FILTER (WHERE floor(epoch(ts)) >= start_s AND floor(epoch(ts)) < end_s) AS orders,
+              count(*) FILTER (WHERE floor(epoch(ts)) >= prev_s AND floor(epoch(ts)) < start_s) AS prev_orders,
+              count(*) FILTER (WHERE epoch(batch_time) >= start_s AND epoch(batch_time) < end_s) AS kept,
+              count(*) FILTER (WHERE epoch(batch_time) >= prev_s AND epoch(batch_time) < start_s) AS prev_kept
+       FROM feat, b2),
+kr AS (SELECT count(*) FILTER (WHERE epoch(batch_time) >= start_s AND epoch(batch_time) < end_s) AS rejected,
+              count(*) FILTER (WHERE epoch(batch_time) >= prev_s AND epoch(batch_time) < start_s) AS prev_rejected
+       FROM rej, b2),
+lk AS (SELECT batch, order_id, arg_min(ts, pos) AS ts FROM feat GROUP BY batch, order_id),
+kp AS (SELECT count(*) FILTER (WHERE floor(epoch(lk.ts)) >= start_s AND floor(epoch(lk.ts)) < end_s) AS scored,
+              sum(predicted_late) FILTER (WHERE floor(epoch(lk.ts)) >= start_s AND floor(epoch(lk.ts)) < end_s) AS flagged,
+              count(*) FILTER (WHERE floor(epoch(lk.ts)) >= prev_s AND floor(epoch(lk.ts)) < start_s) AS prev_scored,
+              sum(predicted_late) FILTER (WHERE floor(epoch(lk.ts)) >= prev_s AND floor(epoch(lk.ts)) < start_s) AS prev_flagged
+       FROM pred p JOIN lk USING (batch, order_id), b2),
+kn AS (SELECT CAST(orders AS BIGINT) AS orders, has_previous,
+         CASE WHEN kept + rejected > 0 THEN 100.0::DOUBLE * rejected / (kept + rejected) END AS drop_rate,
+         CASE WHEN scored > 0 THEN 100.0::DOUBLE * flagged / scored END AS flag_rate,
+         CASE WHEN has_previous THEN prev_orders END AS prev_orders,
+         CASE WHEN has_previous AND prev_kept + prev_rejected > 0
+              THEN 100.0::DOUBLE * prev_rejected / (prev_kept + prev_rejected) END AS prev_drop_rate,
+         CASE WHEN has_previous AND prev_scored > 0 THEN 100.0::DOUBLE * prev_flagged / prev_scored END AS prev_flag_rate
+       FROM kf, kr, kp, b2)"""
+
+
+@register("kpi_deltas", cte(_KPI_CTE, """
+SELECT orders, round(drop_rate, 6) AS drop_rate, round(flag_rate, 6) AS flag_rate, has_previous,
+  CAST(CASE WHEN has_previous THEN orders - prev_orders END AS BIGINT) AS orders_delta,
+  round_even(drop_rate - prev_drop_rate, 1) + 0.0 AS drop_delta_pp,
+  round_even(flag_rate - prev_flag_rate, 0) + 0.0 AS flag_delta_pp
+FROM kn"""))
+def q_kpi_deltas(spark, sf_dir):
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    k = metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window))
+    return k.select("orders", F.round("drop_rate", 6).alias("drop_rate"), F.round("flag_rate", 6).alias("flag_rate"),
+                    "has_previous", F.col("orders_delta").cast("long").alias("orders_delta"),
+                    "drop_delta_pp", "flag_delta_pp")
+
+
+@register("kpi_view")
+def q_kpi_view(spark, sf_dir):
+    """FND-05 with the display strings (STR-05/06); numbers are checked by ``kpi_deltas``."""
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    return metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window))
+
+
+_VOL_SERIES_SQL = _SPINE_SQL + """,
+c AS (SELECT floor(epoch(ts))::BIGINT // 3600 AS bucket, count(*) AS n FROM feat GROUP BY 1),
+vs AS (SELECT s.slot, coalesce(c.n, 0) AS v FROM spine s LEFT JOIN c USING (bucket)),
+vf AS (SELECT min(slot) FILTER (WHERE v > 0 AND slot < 167) AS f FROM vs),
+va AS (SELECT sum(v) AS total, max(slot) FILTER (WHERE v > 0) AS last_nz,
+  count(*) FILTER (WHERE slot > f AND slot < 167) AS hb, sum(v) FILTER (WHERE slot > f AND slot < 167) AS hs,
+  count(*) FILTER (WHERE slot > f AND slot < 167 AND slot >= 157) AS rb,
+  sum(v) FILTER (WHERE slot > f AND slot < 167 AND slot >= 157) AS rs FROM vs, vf)"""
+
+
+@register("volume_finding", cte(_VOL_SERIES_SQL, """
+SELECT CASE WHEN coalesce(total, 0) = 0 THEN 'none'
+            WHEN greatest(0.0, (167 - last_nz) * 60.0) >= 2 THEN 'stalled'
+            WHEN hb = 0 OR hs = 0 THEN 'just_started'
+            WHEN abs((1.0::DOUBLE * rs / rb) / (1.0::DOUBLE * hs / hb) - 1.0) <= 0.15 + 1e-9 THEN 'steady'
+            WHEN (1.0::DOUBLE * rs / rb) / (1.0::DOUBLE * hs / hb) - 1.0 > 0 THEN 'rose' ELSE 'fell' END AS status,
+  CAST(total AS BIGINT) AS total, CAST((167 - last_nz) * 60 AS BIGINT) AS trailing_empty_minutes,
+  CAST(hb AS BIGINT) AS history_buckets, CAST(rb AS BIGINT) AS recent_buckets,
+  round(1.0::DOUBLE * hs / hb, 6) AS baseline_mean, round(1.0::DOUBLE * rs / rb, 6) AS recent_mean,
+  round((1.0::DOUBLE * rs / rb) / (1.0::DOUBLE * hs / hb) - 1.0, 6) AS change
+FROM va"""))
+def q_volume_finding(spark, sf_dir):
+    ctx = FeedContext(spark, sf_dir)
+    series = metrics.volume_over_time(ctx.stage()["features"], ctx.window)
+    fnd = findings.volume_finding(series, ctx.window.n_buckets, ctx.window.bucket_minutes)
+    return fnd.select("status", "total", "trailing_empty_minutes", "history_buckets", "recent_buckets",
+                      *[F.round(c, 6).alias(c) for c in ("baseline_mean", "recent_mean", "change")])
+
+
+_FLAG_SERIES_SQL = _SPINE_SQL + """,
+lk AS (SELECT batch, order_id, arg_min(ts, pos) AS ts FROM feat GROUP BY batch, order_id),
+r AS (SELECT floor(epoch(lk.ts))::BIGINT // 3600 AS bucket, count(*) AS scored, sum(predicted_late) AS flagged
+      FROM pred p JOIN lk USING (batch, order_id) GROUP BY 1),
+fs AS (SELECT s.slot, 100.0::DOUBLE * r.flagged / r.scored AS v FROM spine s LEFT JOIN r USING (bucket))"""
+
+
+@register("flag_finding", cte(_FLAG_SERIES_SQL + """,
+fa AS (SELECT count(v) AS n, avg(v) FILTER (WHERE slot >= 158) AS now, count(v) FILTER (WHERE slot >= 158) AS rn,
+              avg(v) FILTER (WHERE slot < 158) AS before, count(v) FILTER (WHERE slot < 158) AS en FROM fs)""", """
+SELECT CASE WHEN n = 0 THEN 'none' WHEN rn = 0 OR en = 0 THEN 'steady'
+            WHEN abs(now - before) >= 5 - 1e-9 THEN CASE WHEN now > before THEN 'more' ELSE 'fewer' END
+            ELSE 'steady' END AS status,
+  round(now, 6) AS recent_rate, round(before, 6) AS earlier_rate,
+  CAST(rn AS BIGINT) AS recent_buckets, CAST(en AS BIGINT) AS earlier_buckets
+FROM fa"""))
+def q_flag_finding(spark, sf_dir):
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window)
+    fnd = findings.flag_finding(series, ctx.window.n_buckets)
+    return fnd.select("status", F.round("recent_rate", 6).alias("recent_rate"),
+                      F.round("earlier_rate", 6).alias("earlier_rate"), "recent_buckets", "earlier_buckets")
+
+
+@register("failures_finding", cte(_SPINE_SQL + """,
+fc AS (SELECT """ + _LABEL_SQL + """ AS label, CAST(count(*) AS BIGINT) AS rows_dropped FROM rej, bnd
+       WHERE epoch(batch_time) >= end_s - 604800 AND epoch(batch_time) < end_s GROUP BY 1)""", """
+SELECT arg_min(label, (-rows_dropped, label)) AS top_label, max(rows_dropped) AS top_rows,
+       CAST(sum(rows_dropped) AS BIGINT) AS rows_dropped_total,
+       round(max(rows_dropped) / sum(rows_dropped), 6) AS top_share FROM fc"""))
+def q_failures_finding(spark, sf_dir):
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window)
+    f = findings.failures_finding(fc, ctx.window.window_minutes)
+    return f.select("top_label", "top_rows", "rows_dropped_total", F.round("top_share", 6).alias("top_share"))
+
+
+# the wall clock of the clock check is a parameter (pure and testable); the catalogue pins it
+CLOCK_NOW = "2024-01-30 23:50:00"
+
+
+@register("clock_finding", cte("", """
+SELECT """ + _iso_sql("max(ts)") + """ AS newest,
+  CASE WHEN max(ts) IS NULL THEN NULL
+       WHEN (epoch_us(max(ts)) - epoch_us(TIMESTAMP '""" + CLOCK_NOW + """')) / 60000000.0 > 5 THEN 'clock_ahead'
+       ELSE 'ok' END AS status,
+  round(greatest(0.0, (epoch_us(TIMESTAMP '""" + CLOCK_NOW + """') - epoch_us(max(ts))) / 60000000.0), 6) AS idle_minutes
+FROM feat"""))
+def q_clock_finding(spark, sf_dir):
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    now = F.to_timestamp(F.lit(CLOCK_NOW))
+    newest = f.agg(F.max("timestamp").alias("newest"))
+    return newest.select(format_iso(F.col("newest")).alias("newest"),
+                         findings.clock_finding(F.col("newest"), now).alias("status"),
+                         F.round(findings.idle_minutes(F.col("newest"), now), 6).alias("idle_minutes"))
+
+
+@register("gap_segments", cte(_FLAG_SERIES_SQL, """
+SELECT slot, CAST(seg AS BIGINT) AS segment, round(v, 6) AS flagged_late_pct FROM (
+  SELECT slot, v, sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END) OVER (ORDER BY slot ROWS UNBOUNDED PRECEDING) AS seg
+  FROM fs) WHERE v IS NOT NULL"""))
+def q_gap_segments(spark, sf_dir):
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window)
+    g = findings.gap_segments(series)
+    return g.select("slot", "segment", F.round("flagged_late_pct", 6).alias("flagged_late_pct"))
+
+
+@register("chart_domain", cte(_FLAG_SERIES_SQL + """,
+fc AS (SELECT """ + _LABEL_SQL + """ AS label, count(*) AS rows_dropped FROM rej, bnd
+       WHERE epoch(batch_time) >= end_s - 604800 AND epoch(batch_time) < end_s GROUP BY 1)""", """
+SELECT strftime(make_timestamp((end_s - 604800) * 1000000), '%Y-%m-%d %H:%M:%S') AS domain_start,
+       strftime(make_timestamp(end_s * 1000000), '%Y-%m-%d %H:%M:%S') AS domain_end,
+       (SELECT CAST(floor(max(rows_dropped) * 1.15) + 1 AS BIGINT) FROM fc) AS x_max,
+       (SELECT round(avg(v), 6) FROM fs) AS average_pct
+FROM bnd"""))
+def q_chart_domain(spark, sf_dir):
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window)
+    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window)
+    dom = series.agg(F.min("bucket_start").alias("s"), F.max("bucket_start").alias("e"),
+                     F.round(F.avg("flagged_late_pct"), 6).alias("average_pct"))   # AGG-25
+    return dom.select(format_iso(F.col("s")).alias("domain_start"),
+                      format_iso(F.col("e") + F.expr(f"INTERVAL {ctx.window.bucket_seconds} SECONDS")).alias("domain_end"),
+                      findings.bar_domain(fc).select("x_max").scalar().alias("x_max"), "average_pct")
+
+
+@register("volume_finding_by_peak", cte(_SPINE_SQL + """,
+ks AS (SELECT DISTINCT is_peak FROM feat),
+c AS (SELECT is_peak, floor(epoch(ts))::BIGINT // 3600 AS bucket, count(*) AS n FROM feat GROUP BY 1, 2),
+vs AS (SELECT ks.is_peak, s.slot, coalesce(c.n, 0) AS v FROM ks CROSS JOIN spine s
+       LEFT JOIN c ON c.is_peak = ks.is_peak AND c.bucket = s.bucket),
+vf AS (SELECT is_peak, min(slot) FILTER (WHERE v > 0 AND slot < 167) AS f FROM vs GROUP BY 1),
+va AS (SELECT is_peak, sum(v) AS total, max(slot) FILTER (WHERE v > 0) AS last_nz,
+  count(*) FILTER (WHERE slot > f AND slot < 167) AS hb, sum(v) FILTER (WHERE slot > f AND slot < 167) AS hs,
+  count(*) FILTER (WHERE slot > f AND slot < 167 AND slot >= 157) AS rb,
+  sum(v) FILTER (WHERE slot > f AND slot < 167 AND slot >= 157) AS rs FROM vs JOIN vf USING (is_peak) GROUP BY 1)""", """
+SELECT is_peak, CASE WHEN coalesce(total, 0) = 0 THEN 'none'
+            WHEN greatest(0.0, (167 - last_nz) * 60.0) >= 2 THEN 'stalled'
+            WHEN hb = 0 OR hs = 0 THEN 'just_started'
+            WHEN abs((1.0::DOUBLE * rs / rb) / (1.0::DOUBLE * hs / hb) - 1.0) <= 0.15 + 1e-9 THEN 'steady'
+            WHEN (1.0::DOUBLE * rs / rb) / (1.0::DOUBLE * hs / hb) - 1.0 > 0 THEN 'rose' ELSE 'fell' END AS status,
+  CAST(total AS BIGINT) AS total, CAST((167 - last_nz) * 60 AS BIGINT) AS trailing_empty_minutes
+FROM va"""))
+def q_volume_finding_by_peak(spark, sf_dir):
+    ctx = FeedContext(spark, sf_dir)
+    series = metrics.volume_over_time_by(ctx.stage()["features"], ctx.window, ["is_peak"])
+    fnd = findings.volume_finding(series, ctx.window.n_buckets, ctx.window.bucket_minutes, keys=["is_peak"])
+    return fnd.select("is_peak", "status", "total", "trailing_empty_minutes")
+
+
+@register("flag_finding_by_peak", cte(_SPINE_SQL + """,
+ks AS (SELECT DISTINCT is_peak FROM feat),
+lk AS (SELECT batch, order_id, arg_min(ts, pos) AS ts, arg_min(is_peak, pos) AS is_peak FROM feat GROUP BY batch, order_id),
+r AS (SELECT lk.is_peak, floor(epoch(lk.ts))::BIGINT // 3600 AS bucket, count(*) AS scored, sum(predicted_late) AS flagged
+      FROM pred p JOIN lk USING (batch, order_id) GROUP BY 1, 2),
+fs AS (SELECT ks.is_peak, s.slot, 100.0::DOUBLE * r.flagged / r.scored AS v FROM ks CROSS JOIN spine s
+       LEFT JOIN r ON r.is_peak = ks.is_peak AND r.bucket = s.bucket),
+fa AS (SELECT is_peak, count(v) AS n, avg(v) FILTER (WHERE slot >= 158) AS now, count(v) FILTER (WHERE slot >= 158) AS rn,
+              avg(v) FILTER (WHERE slot < 158) AS before, count(v) FILTER (WHERE slot < 158) AS en FROM fs GROUP BY 1)""", """
+SELECT is_peak, CASE WHEN n = 0 THEN 'none' WHEN rn = 0 OR en = 0 THEN 'steady'
+            WHEN abs(now - before) >= 5 - 1e-9 THEN CASE WHEN now > before THEN 'more' ELSE 'fewer' END
+            ELSE 'steady' END AS status,
+  CAST(rn AS BIGINT) AS recent_buckets, CAST(en AS BIGINT) AS earlier_buckets
+FROM fa"""))
+def q_flag_finding_by_peak(spark, sf_dir):
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    series = metrics.late_flag_rate_over_time_by(st["predictions"], st["features"], ctx.window, ["is_peak"])
+    fnd = findings.flag_finding(series, ctx.window.n_buckets, keys=["is_peak"])
+    return fnd.select("is_peak", "status", "recent_buckets", "earlier_buckets")
