@@ -625,3 +625,166 @@ def q_flag_finding_by_peak(spark, sf_dir):
     series = metrics.late_flag_rate_over_time_by(st["predictions"], st["features"], ctx.window, ["is_peak"])
     fnd = findings.flag_finding(series, ctx.window.n_buckets, keys=["is_peak"])
     return fnd.select("is_peak", "status", "recent_buckets", "earlier_buckets")
+
+
+# ================================================================ training, registry, ledger
+from ..operators import registry, training  # noqa: E402
+from ..operators.ordering import global_position  # noqa: E402
+from ..options import TrainOptions  # noqa: E402
+
+_SPLIT_CTE = """
+sz AS (SELECT count(*) AS n, count(*) - greatest(1, round_even(0.2 * count(*), 0)) AS n_train FROM feat),
+sp AS (SELECT f.*, row_number() OVER (ORDER BY batch, pos) - 1 AS position FROM feat f)"""
+
+
+@register("holdout_split", cte(_SPLIT_CTE, """
+SELECT batch, pos, CASE WHEN position < (SELECT n_train FROM sz) THEN 'train' ELSE 'test' END AS split FROM sp"""))
+def q_holdout_split(spark, sf_dir):
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    return training.holdout_split(f).select("batch", "pos", "split")
+
+
+_GOLDEN_P_SQL = "1.0 / (1.0 + exp(-(-7.0 + 0.6 * distance_km + 0.25 * prep_minutes)))"
+
+
+@register("holdout_metrics_fixed", cte(_SPLIT_CTE + """,
+te AS (SELECT was_late AS y, """ + _GOLDEN_P_SQL + """ AS p FROM sp WHERE position >= (SELECT n_train FROM sz)),
+c AS (SELECT count(*) AS n, sum(y) AS pos, sum(CASE WHEN p > 0.5 AND y = 1 THEN 1 ELSE 0 END) AS tp,
+             sum(CASE WHEN p > 0.5 AND y = 0 THEN 1 ELSE 0 END) AS fp,
+             sum(CASE WHEN p <= 0.5 AND y = 1 THEN 1 ELSE 0 END) AS fn,
+             sum(CASE WHEN (p > 0.5) = (y = 1) THEN 1 ELSE 0 END) AS correct FROM te),
+h AS (SELECT p AS s, sum(y) AS ps, sum(1 - y) AS qs FROM te GROUP BY p),
+hr AS (SELECT ps, qs, coalesce(sum(qs) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS qb FROM h),
+a AS (SELECT CASE WHEN sum(ps) > 0 AND sum(qs) > 0
+                  THEN CAST(sum(ps * (2 * qb + qs)) AS DOUBLE) / (2.0 * sum(ps) * sum(qs)) END AS auc FROM hr)""", """
+SELECT CAST(n AS BIGINT) AS n_test, round_even(CAST(pos AS DOUBLE) / n, 3) AS late_rate_test,
+  round_even(greatest(CAST(pos AS DOUBLE) / n, 1.0 - CAST(pos AS DOUBLE) / n), 3) AS baseline_accuracy,
+  round_even(CAST(correct AS DOUBLE) / n, 3) AS accuracy,
+  round_even(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0), 3) AS precision,
+  round_even(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0), 3) AS recall,
+  round_even(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0), 3) AS f1,
+  round_even(auc, 3) AS roc_auc
+FROM c, a"""))
+def q_holdout_metrics_fixed(spark, sf_dir):
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    split = training.holdout_split(f)
+    test = split.where(F.col("split") == "test").withColumn(
+        "probability", scoring.logistic(scoring.GOLDEN_COEFFICIENTS, scoring.GOLDEN_INTERCEPT))
+    m = training.classification_metrics(test)
+    return m.select("n_test", *[F.bround(c, 3).alias(c) for c in m.columns if c != "n_test"])
+
+
+@register("fit_logistic")
+def q_fit_logistic(spark, sf_dir):
+    """ML-02/03/05/07: fit on the oldest 80 %, evaluate on the newest 20 %, one registry row."""
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    opts = TrainOptions()
+    split = training.holdout_split(f, opts).persist()
+    try:
+        fit = training.fit_logistic(split.where(F.col("split") == "train"), opts)
+        test = split.where(F.col("split") == "test").withColumn(
+            "probability", scoring.logistic(fit.coefficients, fit.intercept))
+        m = training.classification_metrics(test).toPandas().iloc[0].to_dict()
+        ready = training.readiness(split, opts).first().asDict()
+    finally:
+        split.unpersist()
+    row = {"version": 1, "rows_total": int(ready["rows_total"]), "n_train": int(fit.n_train),
+           "n_test": int(m["n_test"]), "status": ready["status"],
+           "coef_distance_km": fit.coefficients["distance_km"], "coef_prep_minutes": fit.coefficients["prep_minutes"],
+           "intercept": fit.intercept, **{k: (None if m[k] is None else round(float(m[k]), 3))
+                                          for k in ("late_rate_test", "baseline_accuracy", "accuracy",
+                                                    "precision", "recall", "f1", "roc_auc")}}
+    schema = ("version long, rows_total long, n_train long, n_test long, status string, coef_distance_km double, "
+              "coef_prep_minutes double, intercept double, late_rate_test double, baseline_accuracy double, "
+              "accuracy double, precision double, recall double, f1 double, roc_auc double")
+    return spark.createDataFrame([row], schema)
+
+
+@register("model_registry_history", cte("""
+pd AS (SELECT floor(epoch(batch_time) / 86400)::BIGINT AS period, count(*) AS rows, max(ts) AS newest FROM feat GROUP BY 1),
+rg AS (SELECT row_number() OVER (ORDER BY period) AS version, period,
+              sum(rows) OVER (ORDER BY period ROWS UNBOUNDED PRECEDING) AS rows_total,
+              max(newest) OVER (ORDER BY period ROWS UNBOUNDED PRECEDING) AS data_through FROM pd)""", """
+SELECT CAST(version AS BIGINT) AS version, 'model_v' || lpad(CAST(version AS VARCHAR), 4, '0') AS checkpoint_id,
+  strftime(make_timestamp((period + 1) * 86400 * 1000000), '%Y-%m-%d %H:%M:%S') AS trained_at,
+  """ + _iso_sql("data_through") + """ AS data_through, CAST(rows_total AS BIGINT) AS rows_total,
+  CAST(rows_total - coalesce(lag(rows_total) OVER (ORDER BY version), 0) AS BIGINT) AS rows_new,
+  rows_total - coalesce(lag(rows_total) OVER (ORDER BY version), 0) >= 400 AS retrain_due
+FROM rg"""))
+def q_registry_history(spark, sf_dir):
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    r = registry.schedule_registry(f)
+    return r.select("version", "checkpoint_id", format_iso(F.col("trained_at")).alias("trained_at"),
+                    format_iso(F.col("data_through")).alias("data_through"), "rows_total", "rows_new", "retrain_due")
+
+
+@register("newest_model", cte("""
+pd AS (SELECT DISTINCT floor(epoch(batch_time) / 86400)::BIGINT AS period FROM feat)""", """
+SELECT CAST(count(*) AS BIGINT) AS version, 'model_v' || lpad(CAST(count(*) AS VARCHAR), 4, '0') AS checkpoint_id FROM pd"""))
+def q_newest_model(spark, sf_dir):
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    return registry.newest(registry.schedule_registry(f))
+
+
+@register("next_version", cte("""
+pd AS (SELECT DISTINCT floor(epoch(batch_time) / 86400)::BIGINT AS period FROM feat)""", """
+SELECT CAST(count(*) + 1 AS BIGINT) AS next_version FROM pd"""))
+def q_next_version(spark, sf_dir):
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    return registry.next_version(registry.schedule_registry(f))
+
+
+@register("rows_available", cte(BATCH_STATS_CTE, """
+SELECT CAST(sum(kept) AS BIGINT) AS rows_available, CAST(count(*) AS BIGINT) AS batches FROM bs"""))
+def q_rows_available(spark, sf_dir):
+    st = FeedContext(spark, sf_dir).stage()["batch_stats"]
+    return st.agg(F.sum("kept").cast("long").alias("rows_available"), F.count(F.lit(1)).cast("long").alias("batches"))
+
+
+@register("data_through", cte("", """
+SELECT """ + _iso_sql("max(ts)") + """ AS newest, """ + _iso_sql("min(ts)") + """ AS oldest FROM feat"""))
+def q_data_through(spark, sf_dir):
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    return f.agg(format_iso(F.max("timestamp")).alias("newest"), format_iso(F.min("timestamp")).alias("oldest"))
+
+
+# the first run's ledger: batches processed before this stamp (a job parameter)
+LEDGER_CUTOFF = "20240115T000000Z"
+
+
+@register("pending_batches", cte(BATCH_STATS_CTE, """
+SELECT DISTINCT r.batch FROM raw r
+WHERE NOT EXISTS (SELECT 1 FROM bs WHERE bs.batch = r.batch AND bs.batch < '""" + LEDGER_CUTOFF + """')"""))
+def q_pending_batches(spark, sf_dir):
+    from ..operators import ledger
+    ctx = FeedContext(spark, sf_dir)
+    done = ctx.stage()["batch_stats"].where(F.col("batch") < LEDGER_CUTOFF)
+    return ledger.pending(ctx.raw().select("batch"), done)
+
+
+# second model of the hot-swap query: (distance, prep, intercept)
+SECOND_MODEL = ({"distance_km": 0.55, "prep_minutes": 0.3}, -7.2)
+SWAP_AT = "2024-01-16 00:00:00"
+
+
+@register("scores_two_versions", cte("""
+sc AS (SELECT CASE WHEN batch_time < TIMESTAMP '""" + SWAP_AT + """' THEN 'model_v0001' ELSE 'model_v0002' END AS checkpoint_id,
+  round(CASE WHEN batch_time < TIMESTAMP '""" + SWAP_AT + """'
+             THEN 1.0 / (1.0 + exp(-(-7.0 + 0.6 * distance_km + 0.25 * prep_minutes)))
+             ELSE 1.0 / (1.0 + exp(-(-7.2 + 0.55 * distance_km + 0.3 * prep_minutes))) END, 3) AS p FROM feat)""", """
+SELECT checkpoint_id, CAST(regexp_extract(checkpoint_id, '^model_v(\\d+)$', 1) AS BIGINT) AS version,
+  CAST(count(*) AS BIGINT) AS rows, CAST(sum(CASE WHEN p >= 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS flagged,
+  max(checkpoint_id) OVER () AS current_checkpoint
+FROM sc GROUP BY checkpoint_id"""))
+def q_scores_two_versions(spark, sf_dir):
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    coefs, icpt = SECOND_MODEL
+    models = spark.createDataFrame(
+        [(1, scoring.GOLDEN_INTERCEPT, scoring.GOLDEN_COEFFICIENTS), (2, icpt, coefs)],
+        "version long, intercept double, coefficients map<string,double>")
+    version = F.when(F.col("batch_time") < F.to_timestamp(F.lit(SWAP_AT)), F.lit(1)).otherwise(F.lit(2)).cast("long")
+    preds = scoring.score_by_version(f, models, version)
+    per = metrics.rows_per_checkpoint(preds.withColumn("_f", F.col("predicted_late"))) \
+        .join(preds.groupBy("checkpoint_id").agg(F.sum("predicted_late").cast("long").alias("flagged")), "checkpoint_id")
+    current = metrics.score_summary(preds).select("current_checkpoint").scalar()
+    return per.select("checkpoint_id", "version", "rows", "flagged", current.alias("current_checkpoint"))
