@@ -79,13 +79,16 @@ def cascade(rules: list[QualityRule], options: QualityOptions) -> Column:
     return expr
 
 
-def parse_raw(raw: DataFrame) -> DataFrame:
+def parse_raw(raw: DataFrame, skip_blank: bool = True) -> DataFrame:
     """``raw_line`` -> the six raw fields (untrimmed) + field-count flag.  Blank lines are skipped.
 
     Short and long records both set the corrupt column, the first six values stay
-    readable; a quoted comma is one field.
+    readable; a quoted comma is one field.  ``skip_blank=False`` is for generated
+    feeds that never contain blank lines (the filter would otherwise be pushed
+    into the generator and compute every line twice).
     """
-    parsed = raw.filter(F.col("raw_line") != "").withColumn(
+    src = raw.filter(F.col("raw_line") != "") if skip_blank else raw
+    parsed = src.withColumn(
         "_rec", F.from_csv("raw_line", RAW_SCHEMA_DDL,
                            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
     cols = [c for c in raw.columns if c != "_rec"]
@@ -124,11 +127,11 @@ def first_occurrence(trimmed: DataFrame) -> DataFrame:
 
 
 def annotate(raw: DataFrame, options: QualityOptions | None = None,
-             rules: list[QualityRule] | None = None) -> DataFrame:
+             rules: list[QualityRule] | None = None, skip_blank: bool = True) -> DataFrame:
     """Every raw row with its ``reason`` (NULL = kept). Keeps raw, trimmed and lineage columns."""
     options = options or QualityOptions()
     rules = rules or default_rules()
-    rows = first_occurrence(with_trimmed(parse_raw(raw)))
+    rows = first_occurrence(with_trimmed(parse_raw(raw, skip_blank)))
     return rows.withColumn("reason", cascade(rules, options))
 
 

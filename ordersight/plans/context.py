@@ -13,7 +13,7 @@ from ..operators.scoring import GOLDEN_COEFFICIENTS, GOLDEN_INTERCEPT, score_fix
 from ..options import FEED_WINDOW, QualityOptions, WindowOptions
 from ..session import checkpoint_dir, ensure_utc
 from ..sources.feed import feed_fields, order_feed
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 
 @dataclass
@@ -27,7 +27,7 @@ class FeedContext:
         ensure_utc(self.spark)
 
     def events(self) -> DataFrame:
-        return table(self.spark, self.sf_dir, "events")
+        return spread(table(self.spark, self.sf_dir, "events"))
 
     def fields(self) -> DataFrame:
         return feed_fields(self.events())
@@ -36,7 +36,7 @@ class FeedContext:
         return order_feed(self.events())
 
     def annotated(self) -> DataFrame:
-        return quality.annotate(self.raw(), self.quality)
+        return quality.annotate(self.raw(), self.quality, skip_blank=False)
 
     def features(self) -> DataFrame:
         return quality.features(self.annotated(), self.quality)
@@ -55,40 +55,49 @@ class FeedContext:
         return f"{checkpoint_dir(self.spark).rstrip('/')}/ordersight-stage/{app}/{key}"
 
     def stage(self) -> dict[str, DataFrame]:
-        """Write features, rejects, predictions and batch stats once per session and read them back.
+        """Write the stage tables once per session and read them back.
 
-        This is the production layout (the cleaning job writes its tables, the metric
-        jobs read them): metric queries scan two or three stored columns instead of
+        This is the production layout (the cleaning job writes its table, the metric
+        jobs read it): metric queries scan two or three stored columns instead of
         re-running the cleaning pipeline, and lineage is cut in the shared folder, so
-        a lost executor recomputes from the table, not from raw text.  Tables are
-        partitioned by batch date so window filters prune whole days.
+        a lost executor recomputes from the table, not from raw text.
+
+        The cleaning pass runs once: every row is written to one ``annotated`` table,
+        range-clustered on (outcome, batch, pos) -- each file covers one outcome and a
+        contiguous span of batches, so Parquet min/max statistics let features/rejects
+        reads and time-window filters skip whole files, without a directory per day
+        (no small-file explosion), and a hot batch still splits across files by pos.
+        Predictions (the scoring job) and batch stats (the ledger) are derived from
+        that table, not from the raw feed.
         """
         root = self.stage_dir()
-        names = ("features", "rejects", "predictions", "batch_stats")
         if root not in _WRITTEN:
-            annotated = self.annotated().persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                feats = quality.features(annotated, self.quality)
-                outputs = {
-                    "rejects": quality.rejects(annotated),
-                    "features": feats,
-                    "predictions": score_fixed(feats, GOLDEN_COEFFICIENTS, GOLDEN_INTERCEPT,
-                                               "model_v0001", keep=("batch", "batch_time", "pos")),
-                    "batch_stats": quality.batch_stats(annotated),
-                }
-                for name in names:   # rejects first, features after: commit order of the stage
-                    df = outputs[name]
-                    writer = df.write.mode("overwrite")
-                    if "batch_time" in df.columns:
-                        df = df.withColumn("batch_date", F.to_date("batch_time"))
-                        writer = df.write.mode("overwrite").partitionBy("batch_date")
-                    writer.parquet(f"{root}/{name}")
-            finally:
-                annotated.unpersist()
+            a = self.annotated()
+            typed = a.select(
+                "*", F.when(F.col("reason").isNull(), F.lit("kept")).otherwise(F.lit("rejected")).alias("outcome"),
+                F.to_date("batch_time").alias("batch_date"))
+            out = typed.select(
+                "outcome", "batch_date", "batch", "batch_time", "pos", "reason", "raw_line",
+                *[F.col(c) for c in ("order_id", "timestamp", "distance_km", "prep_minutes", "order_value", "was_late")],
+                F.col("t_order_id"), F.col("t_timestamp"), F.col("t_was_late"), "_ts", "_d", "_p", "_v")
+            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            (out.repartitionByRange(parts, "outcome", "batch", "pos")
+             .sortWithinPartitions("outcome", "batch", "pos")
+             .write.mode("overwrite").parquet(f"{root}/annotated"))
+            stored = self.spark.read.parquet(f"{root}/annotated")
+            feats = quality.features(stored.where(F.col("outcome") == "kept"), self.quality)
+            preds = score_fixed(feats, GOLDEN_COEFFICIENTS, GOLDEN_INTERCEPT, "model_v0001",
+                                keep=("batch", "batch_time", "pos"))
+            preds.write.mode("overwrite").parquet(f"{root}/predictions")
+            quality.batch_stats(stored.select("batch", "reason")).write.mode("overwrite").parquet(f"{root}/batch_stats")
             _WRITTEN.add(root)
-        read = self.spark.read
-        return {n: read.parquet(f"{root}/{n}").drop("batch_date") if n != "batch_stats"
-                else read.parquet(f"{root}/{n}") for n in names}
+        stored = self.spark.read.parquet(f"{root}/annotated")
+        return {
+            "features": quality.features(stored.where(F.col("outcome") == "kept"), self.quality),
+            "rejects": quality.rejects(stored.where(F.col("outcome") == "rejected")),
+            "predictions": self.spark.read.parquet(f"{root}/predictions"),
+            "batch_stats": self.spark.read.parquet(f"{root}/batch_stats"),
+        }
 
 
 _WRITTEN: set[str] = set()

@@ -28,13 +28,17 @@ def feed_fields(events: DataFrame) -> DataFrame:
     """One row per event with the six raw text fields, the field count and the true label."""
     e = F.col("event_id")
     ts = F.col("ts")                      # TIMESTAMP_NTZ: formatting is clock independent
-    hour_start = F.date_trunc("hour", ts)
-    k = F.get_json_object("props", "$.k").cast("long")
-    d10 = F.lit(5) + (e * 7919) % 146
-    prep = F.lit(5) + k % 26
-    cents = F.floor(F.col("value") * 100 + F.lit(0.5)).cast("long")
-    noise = (e * 104729) % 17 - 8
-    peak = F.hour(ts).isin(*PEAK_HOURS)
+    # the numbers the text fields are built from, computed once per row (JSON read once)
+    base = events.select(
+        e.alias("event_id"), ts.alias("ts"),
+        F.get_json_object("props", "$.k").cast("long").alias("_k"),
+        F.date_trunc("hour", ts).alias("_hour_start"),
+        F.hour(ts).isin(*PEAK_HOURS).alias("_peak"),
+        F.floor(F.col("value") * 100 + F.lit(0.5)).cast("long").alias("_cents"))
+    base = base.select("*", (F.lit(5) + (e * 7919) % 146).alias("_d10"), (F.lit(5) + F.col("_k") % 26).alias("_prep"),
+                       ((e * 104729) % 17 - 8).alias("_noise"))
+    d10, prep, noise, cents = F.col("_d10"), F.col("_prep"), F.col("_noise"), F.col("_cents")
+    hour_start, peak = F.col("_hour_start"), F.col("_peak")
     late = ((F.lit(10) * prep + F.lit(3) * d10 + F.lit(10) * noise
              + F.when(peak, F.lit(PEAK_DELAY)).otherwise(F.lit(0))) > LATE_THRESHOLD).cast("int")
 
@@ -61,7 +65,7 @@ def feed_fields(events: DataFrame) -> DataFrame:
     label_text = F.when(_m(e, 47, 11), F.lit("yes")).otherwise(late.cast("string"))
     n_fields = F.when(_m(e, 61, 12), F.lit(7)).when(_m(e, 67, 13), F.lit(5)).otherwise(F.lit(6))
 
-    return events.select(
+    return base.select(
         F.concat(F.date_format(hour_start, "yyyyMMdd'T'HHmmss'Z'"), F.lit(FEED_BATCH_SEQ)).alias("batch"),
         hour_start.cast("timestamp").alias("batch_time"),
         e.alias("pos"),

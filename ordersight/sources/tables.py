@@ -9,3 +9,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give row-heavy work enough tasks when the input has too few splits.
+
+    A single-row-group file is one split, so all per-row parsing would run in one
+    task.  Only then (fewer scan partitions than the cluster's cores) is the input
+    round-robin repartitioned; a normal many-file input is left alone, so there is
+    no extra shuffle at scale.  Deciding needs only the file listing, not a job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
