@@ -788,3 +788,78 @@ def q_scores_two_versions(spark, sf_dir):
         .join(preds.groupBy("checkpoint_id").agg(F.sum("predicted_late").cast("long").alias("flagged")), "checkpoint_id")
     current = metrics.score_summary(preds).select("current_checkpoint").scalar()
     return per.select("checkpoint_id", "version", "rows", "flagged", current.alias("current_checkpoint"))
+
+
+# ================================================================ streaming
+from ..streaming import jobs  # noqa: E402
+from ..sources.feed import order_feed  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+
+
+def _events_stream(spark, sf_dir):
+    schema = table(spark, sf_dir, "events").schema
+    # the stream source is the table's folder, restricted to the events file(s)
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .parquet(sf_dir.rstrip('/')))
+
+
+def _stream_root(ctx: FeedContext, name: str) -> str:
+    import uuid
+    return f"{ctx.stage_dir()}/streams/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def _run_clean_stream(spark, sf_dir) -> str:
+    ctx = FeedContext(spark, sf_dir)
+    root = _stream_root(ctx, "clean")
+    from ..sources.tables import spread as _spread
+    q = jobs.clean_stream(_events_stream(spark, sf_dir), lambda b: order_feed(_spread(b)), root, f"{root}/_checkpoint",
+                          ctx.quality, skip_blank=False)
+    q.awaitTermination()
+    return root
+
+
+@register("stream_clean", ORACLE["features"])
+def q_stream_clean(spark, sf_dir):
+    """ST-01/05/06/14: the cleaning job as an availableNow stream over the events table."""
+    root = _run_clean_stream(spark, sf_dir)
+    f = jobs.stream_outputs(spark, root)["features"]
+    return f.select("order_id", format_iso(F.col("timestamp")).alias("timestamp"), "hour", "is_peak",
+                    "distance_km", "prep_minutes", "order_value", "was_late", "batch",
+                    format_iso(F.col("batch_time")).alias("batch_time"), "pos")
+
+
+@register("stream_score", ORACLE["predictions_fixed"])
+def q_stream_score(spark, sf_dir):
+    """ST-03: features stream scored with the model chosen per micro-batch."""
+    root = _run_clean_stream(spark, sf_dir)
+    ann_path = f"{root}/annotated"
+    schema = spark.read.parquet(ann_path).schema
+    feats_stream = spark.readStream.schema(schema).parquet(ann_path)
+    from ..operators import quality as _q
+    kept = _q.features(feats_stream)
+
+    def newest_model():
+        return scoring.GOLDEN_COEFFICIENTS, scoring.GOLDEN_INTERCEPT, "model_v0001"
+
+    q = jobs.score_stream(kept, newest_model, root, f"{root}/_score_checkpoint")
+    q.awaitTermination()
+    p = spark.read.parquet(f"{root}/predictions")
+    return p.select("order_id", "late_probability", "predicted_late", "checkpoint_id", "batch", "pos")
+
+
+@register("stream_volume", ORACLE["volume_over_time"])
+def q_stream_volume(spark, sf_dir):
+    """ST-04/09/11: per-bucket partial counts maintained by a stream, window queried from them."""
+    ctx = FeedContext(spark, sf_dir)
+    root = _run_clean_stream(spark, sf_dir)
+    ann_path = f"{root}/annotated"
+    schema = spark.read.parquet(ann_path).schema
+    from ..operators import quality as _q
+    kept = _q.features(spark.readStream.schema(schema).parquet(ann_path))
+    q = jobs.volume_stream(kept, ctx.window, root, f"{root}/_volume_checkpoint")
+    q.awaitTermination()
+    per_bucket = jobs.merged_bucket_counts(spark, root)
+    sp = metrics.bucket_spine(per_bucket, ctx.window, weight="orders")
+    return sp.join(per_bucket, "bucket", "left").select(
+        "slot", format_iso(F.col("bucket_start")).alias("bucket_start"),
+        F.coalesce("orders", F.lit(0)).cast("long").alias("orders"))
