@@ -77,8 +77,7 @@ def read_sidecars(spark: SparkSession, models_dir: str) -> DataFrame:
     row, so listing and content are left-joined).  Readable = valid JSON object with
     an integer-castable ``rows_total``.
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "model_v*.json")
-               .load(models_dir).select(F.col("path"), F.col("length"))
+    listing = (list_files(spark, models_dir, "model_v*.json")
                .withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
                .withColumn("version", F.regexp_extract("file", SIDECAR_NAME_RE, 1).try_cast("long"))
                .where(F.col("version").isNotNull()))
@@ -98,6 +97,22 @@ def read_sidecars(spark: SparkSession, models_dir: str) -> DataFrame:
         F.get_json_object("value", "$.intercept").try_cast("double").alias("intercept"))
 
 
+def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """File listing (path, length) of a folder, zero-byte files included.
+
+    Spark's file readers skip empty files, so "published but empty" could not be
+    seen from data rows.  The listing is metadata of the models folder (one entry
+    per version), taken through the Hadoop FileSystem API.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")
+    fs = pattern.getFileSystem(conf)
+    statuses = fs.globStatus(pattern) or []
+    rows = [(str(st.getPath().toString()), int(st.getLen())) for st in statuses if st.isFile()]
+    return spark.createDataFrame(rows, "path string, length long")
+
+
 def list_artifacts(spark: SparkSession, models_dir: str) -> DataFrame:
     """Model artifact directories ``model_v<N>`` (Spark ML model folders) with their version."""
     meta = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")

@@ -81,8 +81,13 @@ def file_quarantine(spark: SparkSession, path: str, expected: str = HEADER) -> D
     Reads the bytes (``binaryFile``) because the text source hides exactly these
     problems: it strips a UTF-8 BOM and replaces invalid bytes.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", RAW_GLOB).load(path)
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    from ..operators.registry import list_files
+    listing = list_files(spark, path, RAW_GLOB).withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
+    content = (spark.read.format("binaryFile").option("pathGlobFilter", RAW_GLOB).load(path)
+               .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "content"))
+    # zero-byte files yield no binaryFile row: the listing keeps them visible
+    files = listing.select("file", "length").join(content, "file", "left")
+    name = F.col("file")
     text = F.col("content").cast("string")
     first_line = F.regexp_replace(F.substring_index(text, "\n", 1), "\r$", "")
     reason = (F.when(batch_key_of(name) == "", F.lit("bad file name"))
