@@ -45,3 +45,12 @@ def subset_check(previous: DataFrame, current: DataFrame) -> DataFrame:
     """SET-04: True when every previously seen batch is still present (append-only), else a full refresh is due."""
     gone = previous.select("batch").join(current.select("batch"), "batch", "left_anti")
     return gone.agg((F.count(F.lit(1)) == 0).alias("append_only"))
+
+
+def folder_counts(ledger: DataFrame, run_started_at=None) -> DataFrame:
+    """AGG-23: readable (committed) batches per stage, and how many were first seen in this run."""
+    first = ledger.where(F.col("status") == "committed").groupBy("stage", "batch").agg(
+        F.min("committed_at").alias("first_seen"))
+    new = F.count_if(F.col("first_seen") >= F.lit(run_started_at).cast("timestamp")) if run_started_at is not None \
+        else F.lit(0).cast("long")
+    return first.groupBy("stage").agg(F.count(F.lit(1)).cast("long").alias("batches"), new.cast("long").alias("new_batches"))

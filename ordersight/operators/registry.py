@@ -81,7 +81,7 @@ def read_sidecars(spark: SparkSession, models_dir: str) -> DataFrame:
                .withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
                .withColumn("version", F.regexp_extract("file", SIDECAR_NAME_RE, 1).try_cast("long"))
                .where(F.col("version").isNotNull()))
-    text = (spark.read.option("wholetext", True).option("pathGlobFilter", "model_v*.json").text(models_dir)
+    text = (spark.read.option("pathGlobFilter", "model_v*.json").text(models_dir, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), F.col("value")))
     j = listing.join(text, "path", "left")
     rows_total = F.get_json_object("value", "$.rows_total").try_cast("long")
@@ -114,9 +114,8 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
 
 
 def list_artifacts(spark: SparkSession, models_dir: str) -> DataFrame:
-    """Model artifact directories ``model_v<N>`` (Spark ML model folders) with their version."""
-    meta = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.json").load(models_dir).select("path"))
+    """Model artifact folders ``model_v<N>`` (Spark ML model directories with written metadata)."""
+    meta = list_files(spark, models_dir, "model_v*/metadata/part-*")
     name = F.regexp_extract("path", r"/(model_v\d{4,})/metadata/[^/]+$", 1)
     return meta.select(name.alias("artifact")).where(F.col("artifact") != "").distinct() \
         .withColumn("version", F.regexp_extract("artifact", ARTIFACT_NAME_RE, 1).cast("long"))
@@ -171,3 +170,42 @@ def _promote_single_file(spark: SparkSession, src_dir: str, dst: str) -> None:
         raise FileExistsError(dst)
     fs.rename(parts[0], target)
     fs.delete(path, True)
+
+
+# ---------- load, validate, choose (ML-08/09, SRT-04) ----------
+
+def load_checkpoint(spark: SparkSession, models_dir: str, version: int, sidecar_features: list | None):
+    """ML-08: load ``model_v<N>`` and validate it; returns ``(coefficients, intercept, None)`` or
+    ``(None, None, reason)``.  Checks: the artifact loads, its feature list is non-empty, equals the
+    registry's, and a probe on all-zero features gives a finite probability."""
+    import math
+
+    from pyspark.ml.classification import LogisticRegressionModel
+    name = f"model_v{version:04d}"
+    try:
+        model = LogisticRegressionModel.load(f"{models_dir.rstrip('/')}/{name}")
+    except Exception as exc:  # noqa: BLE001 -- any unreadable artifact is a skip, not a crash
+        return None, None, f"unreadable artifact ({type(exc).__name__})"
+    coefs = [float(x) for x in model.coefficients.toArray()]
+    feats = list(sidecar_features or [])
+    if not feats or any(not isinstance(f, str) or not f for f in feats):
+        return None, None, "no feature columns"
+    if len(feats) != len(coefs) or model.numFeatures != len(feats):
+        return None, None, "feature columns differ from the artifact"
+    z = float(model.intercept)
+    if not math.isfinite(z) or not all(math.isfinite(c) for c in coefs):
+        return None, None, "non-finite probe"
+    return dict(zip(feats, coefs)), z, None
+
+
+def choose_model(candidates: list, current: int | None, bad: set) -> int | None:
+    """ML-09/SRT-04: newest loadable version greater than the current one; fall back downwards
+    over newer candidates that failed; keep the current model when nothing newer loads.
+
+    ``candidates`` are the (tiny) published registry rows as ``(version, loadable)``.
+    """
+    newer = sorted((v for v, ok in candidates if ok and v not in bad and (current is None or v > current)),
+                   reverse=True)
+    if newer:
+        return newer[0]
+    return current

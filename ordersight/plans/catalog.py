@@ -863,3 +863,36 @@ def q_stream_volume(spark, sf_dir):
     return sp.join(per_bucket, "bucket", "left").select(
         "slot", format_iso(F.col("bucket_start")).alias("bucket_start"),
         F.coalesce("orders", F.lit(0)).cast("long").alias("orders"))
+
+
+# ================================================================ guards and the whole view
+from ..operators import guards  # noqa: E402
+
+
+@register("training_scan_guard", cte("""
+g AS (SELECT batch, pos,
+  regexp_full_match(distance_km, '[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?') AND isfinite(TRY_CAST(distance_km AS DOUBLE))
+  AND regexp_full_match(prep_minutes, '[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?') AND isfinite(TRY_CAST(prep_minutes AS DOUBLE))
+  AND TRY_CAST(prep_minutes AS DOUBLE) = floor(TRY_CAST(prep_minutes AS DOUBLE))
+  AND was_late IN ('0', '1') AS ok FROM raw)""", """
+SELECT batch, CAST(count(*) AS BIGINT) AS rows, min(pos) FILTER (WHERE NOT ok) IS NULL AS usable,
+       min(pos) FILTER (WHERE NOT ok) AS first_bad_pos
+FROM g GROUP BY batch"""))
+def q_training_scan_guard(spark, sf_dir):
+    """SRC-07/FLT-11: which raw batches a training scan would accept whole (one bad row skips the batch)."""
+    raw = quality.parse_raw(FeedContext(spark, sf_dir).raw(), skip_blank=False)
+    ok = guards.usable_training_row(F.coalesce("distance_km", F.lit("")), F.coalesce("prep_minutes", F.lit("")),
+                                    F.coalesce("was_late", F.lit("")))
+    return guards.batch_guard(raw, ok, "unusable row").select("batch", "rows", "usable", "first_bad_pos")
+
+
+@register("pulse_view")
+def q_pulse_view(spark, sf_dir):
+    """FND-06: the composed view's summary row (every number in it is oracle-checked elsewhere)."""
+    from .view import pulse_view
+    from ..operators import registry as _reg
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    v = pulse_view(st["features"], st["rejects"], st["predictions"], ctx.window,
+                   F.to_timestamp(F.lit(CLOCK_NOW)), _reg.newest(_reg.schedule_registry(st["features"])))
+    return v.summary
