@@ -101,8 +101,9 @@ SELECT s.slot, strftime(s.bucket_start, '%Y-%m-%d %H:%M:%S') AS bucket_start,
        CAST(coalesce(c.n, 0) AS BIGINT) AS orders
 FROM s LEFT JOIN c USING (slot)"""))
 def q_volume(spark, sf_dir):
+    """AGG-14 over the stored feature table written by the cleaning stage."""
     ctx = FeedContext(spark, sf_dir)
-    v = metrics.volume_over_time(ctx.features(), ctx.window)
+    v = metrics.volume_over_time(ctx.stage()["features"], ctx.window)
     return v.select("slot", format_iso(F.col("bucket_start")).alias("bucket_start"), "orders")
 
 
