@@ -115,14 +115,18 @@ def first_occurrence(trimmed: DataFrame) -> DataFrame:
     """Adds ``_dup``: a non-blank trimmed id seen earlier in the same batch (WIN-01).
 
     The first occurrence claims the id even when it is rejected for another reason.
-    Blank ids claim nothing; their join key is NULL so they never meet the claims.
+    Blank ids claim nothing: each gets a key of its own (NUL + position, which no
+    trimmed id can equal), so blanks are neither duplicates nor one hot key.  The
+    key is non-nullable on purpose: a nullable join key makes Catalyst infer an
+    ``isnotnull`` filter that it pushes into the scan, parsing every line twice.
     """
-    key = F.when(F.col("t_order_id") != "", F.col("t_order_id"))
-    claims = (trimmed.where(F.col("t_order_id") != "")
-              .groupBy("batch", F.col("t_order_id").alias("_claim_id"))
+    t = F.col("t_order_id")
+    key = F.coalesce(F.when(t != "", t).otherwise(F.concat(F.lit("\u0000"), F.col("pos").cast("string"))),
+                     F.lit("\u0000"))
+    claims = (trimmed.groupBy("batch", key.alias("_claim_id"))
               .agg(F.min("pos").alias("_first_pos")))
     joined = trimmed.withColumn("_claim_id", key).join(claims, ["batch", "_claim_id"], "left")
-    return joined.withColumn("_dup", F.coalesce(F.col("pos") > F.col("_first_pos"), F.lit(False))) \
+    return joined.withColumn("_dup", F.coalesce((t != "") & (F.col("pos") > F.col("_first_pos")), F.lit(False))) \
                  .drop("_claim_id", "_first_pos")
 
 
