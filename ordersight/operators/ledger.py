@@ -6,7 +6,7 @@ tables alone cannot tell "done" from "not yet").
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import REJECT_REASONS
@@ -22,10 +22,18 @@ def pending(batches: DataFrame, ledger: DataFrame, stage: str | None = None) ->
 
 
 def ledger_rows(stats: DataFrame, stage: str, committed_at=None) -> DataFrame:
-    """SNK-05: ledger rows from per-batch stats (``batch_stats``), reasons as a map."""
+    """SNK-05: ledger rows from per-batch stats (``batch_stats``), reasons as a map.
+
+    ``committed_at`` is a Column, a literal timestamp, or None for the commit clock.
+    """
     reasons = F.map_from_arrays(F.array(*[F.lit(r) for r in REJECT_REASONS]),
                                 F.array(*[F.col(r) for r in REJECT_REASONS]))
-    ts = F.current_timestamp() if committed_at is None else F.lit(committed_at).cast("timestamp")
+    if committed_at is None:
+        ts = F.current_timestamp()
+    elif isinstance(committed_at, Column):
+        ts = committed_at
+    else:
+        ts = F.lit(committed_at).cast("timestamp")
     return stats.select("batch", F.lit(stage).alias("stage"), "rows_in", "kept", "rejected",
                         F.map_filter(reasons, lambda k, v: v > 0).alias("reasons"),
                         F.lit("committed").alias("status"), F.lit(None).cast("string").alias("skip_reason"),

@@ -897,3 +897,54 @@ def q_pulse_view(spark, sf_dir):
     v = pulse_view(st["features"], st["rejects"], st["predictions"], ctx.window,
                    F.to_timestamp(F.lit(CLOCK_NOW)), _reg.newest(_reg.schedule_registry(st["features"])))
     return v.summary
+
+
+# ================================================================ ledger and export text
+from ..operators import ledger as _ledger  # noqa: E402
+
+RUN_STARTED = "2024-01-23 00:00:00"   # the run boundary for "new batches" (a job parameter)
+
+
+@register("batch_ledger", cte(BATCH_STATS_CTE + """,
+bt AS (SELECT DISTINCT batch, batch_time FROM raw)""", """
+SELECT bs.batch, 'clean' AS stage, rows_in, kept, rejected, 'committed' AS status,
+  """ + _REASON_TEXT_SQL + """ AS reasons_text,
+  strftime(bt.batch_time + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS committed_at
+FROM bs JOIN bt USING (batch)"""))
+def q_batch_ledger(spark, sf_dir):
+    """SNK-05: one committed ledger row per batch (the batch closes one hour after its stamp)."""
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    stats = st["batch_stats"]
+    closes = ctx.raw().select("batch", "batch_time").distinct()
+    led = _ledger.ledger_rows(stats.join(closes, "batch"), "clean",
+                              committed_at=F.col("batch_time") + F.expr("INTERVAL 1 HOUR"))
+    text = F.array_join(F.transform(
+        F.filter(F.array(*[F.struct(F.lit(r).alias("k"), F.col("reasons")[r].alias("v")) for r in REJECT_REASONS]),
+                 lambda x: x["v"].isNotNull()),
+        lambda x: F.concat(x["k"], F.lit(" "), x["v"].cast("string"))), ", ")
+    return led.select("batch", "stage", "rows_in", "kept", "rejected", "status", text.alias("reasons_text"),
+                      format_iso(F.col("committed_at")).alias("committed_at"))
+
+
+@register("ledger_counts", cte("""
+bt AS (SELECT DISTINCT batch, batch_time FROM raw)""", """
+SELECT 'clean' AS stage, CAST(count(*) AS BIGINT) AS batches,
+  CAST(count(*) FILTER (WHERE batch_time + INTERVAL 1 HOUR >= TIMESTAMP '""" + RUN_STARTED + """') AS BIGINT) AS new_batches
+FROM bt"""))
+def q_ledger_counts(spark, sf_dir):
+    """AGG-23: committed batches per stage and how many were first seen in this run."""
+    ctx = FeedContext(spark, sf_dir)
+    stats = ctx.stage()["batch_stats"].join(ctx.raw().select("batch", "batch_time").distinct(), "batch")
+    led = _ledger.ledger_rows(stats, "clean", committed_at=F.col("batch_time") + F.expr("INTERVAL 1 HOUR"))
+    return _ledger.folder_counts(led, RUN_STARTED)
+
+
+@register("features_export_text", cte("", """
+SELECT order_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, CAST(hour AS VARCHAR) AS hour,
+  CAST(is_peak AS VARCHAR) AS is_peak, printf('%.1f', distance_km) AS distance_km,
+  CAST(prep_minutes AS VARCHAR) AS prep_minutes, printf('%.2f', order_value) AS order_value,
+  CAST(was_late AS VARCHAR) AS was_late, batch, pos FROM feat"""))
+def q_features_export_text(spark, sf_dir):
+    """PRJ-02/SNK-02: the canonical text rendering of feature rows (what the CSV export writes)."""
+    return quality.features_for_export(FeedContext(spark, sf_dir).stage()["features"])
