@@ -42,7 +42,7 @@ def global_position(df: DataFrame, order_cols: list[str], num_partitions: int |
 
 
 def order_cutoff(df: DataFrame, k: Column, major: str = "batch", minor: str = "pos",
-                 shift: int = 20) -> tuple[Column, Column]:
+                 shift: int = 20, major_prefix: int = 8) -> tuple[Column, Column]:
     """Scalar columns ``(major, minor)`` of the k-th row (1-based) in ``(major, minor)`` order.
 
     (``minor`` must be unique within a major key.)  Steps, each an aggregate:
@@ -53,8 +53,9 @@ def order_cutoff(df: DataFrame, k: Column, major: str = "batch", minor: str = "p
     key never lands in one task as a whole.  NULLs when ``k`` < 1 or beyond the end.
     """
     per = df.groupBy(major).agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.orderBy(major).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = per.select(major, "_c", F.sum("_c").over(upto).alias("_cum"))
+    # one row per major key; the running total is itself two-level (by key prefix)
+    cum = running_sum(per, major, ["_c"], F.substring(F.col(major).cast("string"), 1, major_prefix)) \
+        .withColumnRenamed("_c_cum", "_cum")
     hit = cum.where((F.col("_cum") >= k) & (k >= 1)).agg(
         F.min_by(F.struct(F.col(major).alias("m"), (k - (F.col("_cum") - F.col("_c"))).alias("r")),
                  F.col(major)).alias("h"))
@@ -78,3 +79,24 @@ def at_or_before(major_col: Column, minor_col: Column, cut_major: Column, cut_mi
     """True for rows whose ``(major, minor)`` key is <= the cutoff key (False when there is no cutoff)."""
     return F.coalesce((major_col < cut_major) | ((major_col == cut_major) & (minor_col <= cut_minor)),
                       F.lit(False))
+
+
+def running_sum(df: DataFrame, order_col: str, value_cols: list[str], coarse: Column,
+                inclusive: bool = True, suffix: str = "_cum") -> DataFrame:
+    """Running sums of ``value_cols`` in ``order_col`` order, without a single-partition window.
+
+    Two levels: a window partitioned by ``coarse`` (e.g. the day of a batch) sums
+    inside each coarse group in parallel, and the coarse groups' totals -- one row
+    per group -- give the offsets through a tiny ordered window, broadcast back.
+    ``order_col`` must be ordered consistently with ``coarse``.
+    """
+    d = df.withColumn("_coarse", coarse)
+    frame = (Window.partitionBy("_coarse").orderBy(order_col)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
+    inner = d.select("*", *[F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"_in_{c}") for c in value_cols])
+    totals = d.groupBy("_coarse").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
+    before = Window.orderBy("_coarse").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_coarse", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
+                                         for c in value_cols])
+    out = inner.join(F.broadcast(offsets), "_coarse")
+    return out.select(*df.columns, *[(F.col(f"_o_{c}") + F.col(f"_in_{c}")).alias(c + suffix) for c in value_cols])

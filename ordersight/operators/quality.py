@@ -176,17 +176,16 @@ def batch_stats(annotated: DataFrame) -> DataFrame:
 
 
 def running_totals(stats: DataFrame) -> DataFrame:
-    """Cumulative kept/rejected in batch order (WIN-11).
+    """Cumulative kept/rejected and file count in batch order (WIN-11).
 
-    The input has one row per batch (already aggregated), so an unpartitioned
-    window here orders batches, not rows.
+    Batch keys start with their day (``yyyyMMdd``), so the running sums are two-level
+    (``ordering.running_sum``): parallel per day, offsets from one row per day.
     """
-    from pyspark.sql import Window
-    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return stats.select("batch", "kept", "rejected",
-                        F.sum("kept").over(w).alias("total_kept"),
-                        F.sum("rejected").over(w).alias("total_rejected"),
-                        F.count(F.lit(1)).over(w).alias("files"))
+    from .ordering import running_sum
+    s = stats.select("batch", "kept", "rejected", F.lit(1).cast("long").alias("files"))
+    r = running_sum(s, "batch", ["kept", "rejected", "files"], F.substring("batch", 1, 8))
+    return r.select("batch", "kept", "rejected", F.col("kept_cum").alias("total_kept"),
+                    F.col("rejected_cum").alias("total_rejected"), F.col("files_cum").alias("files"))
 
 
 def run_totals(stats: DataFrame) -> DataFrame:
