@@ -80,8 +80,9 @@ class FeedContext:
                 "outcome", "batch_date", "batch", "batch_time", "pos", "reason", "raw_line",
                 *[F.col(c) for c in ("order_id", "timestamp", "distance_km", "prep_minutes", "order_value", "was_late")],
                 F.col("t_order_id"), F.col("t_timestamp"), F.col("t_was_late"), "_ts", "_d", "_p", "_v")
-            parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            (out.repartitionByRange(parts, "outcome", "batch", "pos")
+            # no fixed count: AQE coalesces the range partitions to its advisory size,
+            # so file count follows data volume (few files here, many at scale)
+            (out.repartitionByRange("outcome", "batch", "pos")
              .sortWithinPartitions("outcome", "batch", "pos")
              .write.mode("overwrite").parquet(f"{root}/annotated"))
             stored = self.spark.read.parquet(f"{root}/annotated")

@@ -18,8 +18,7 @@ def export_csv(df: DataFrame, path: str, order: tuple = ("batch", "pos"), mode:
     Range partitioning on the order keys keeps each batch's rows contiguous and in
     order while a large batch still spreads over several tasks.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
      .write.mode(mode).option("header", True).option("lineSep", "\r\n").option("quoteAll", False)
      .option("emptyValue", "").option("nullValue", "").partitionBy("batch").csv(path))
 
