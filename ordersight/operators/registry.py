@@ -81,8 +81,11 @@ def read_sidecars(spark: SparkSession, models_dir: str) -> DataFrame:
                .withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
                .withColumn("version", F.regexp_extract("file", SIDECAR_NAME_RE, 1).try_cast("long"))
                .where(F.col("version").isNotNull()))
-    text = (spark.read.option("pathGlobFilter", "model_v*.json").text(models_dir, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("path"), F.col("value")))
+    if listing.isEmpty():
+        text = spark.createDataFrame([], "path string, value string")
+    else:
+        text = (spark.read.option("pathGlobFilter", "model_v*.json").text(models_dir, wholetext=True)
+                .select(F.col("_metadata.file_path").alias("path"), F.col("value")))
     j = listing.join(text, "path", "left")
     rows_total = F.get_json_object("value", "$.rows_total").try_cast("long")
     is_object = F.ltrim(F.coalesce(F.col("value"), F.lit(""))).startswith("{")
@@ -108,7 +111,7 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     pattern = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")
     fs = pattern.getFileSystem(conf)
-    statuses = fs.globStatus(pattern) or []
+    statuses = fs.globStatus(pattern) or []      # None when the folder does not exist yet
     rows = [(str(st.getPath().toString()), int(st.getLen())) for st in statuses if st.isFile()]
     return spark.createDataFrame(rows, "path string, length long")
 
@@ -209,3 +212,14 @@ def choose_model(candidates: list, current: int | None, bad: set) -> int | None:
     if newer:
         return newer[0]
     return current
+
+
+def records_frame(spark: SparkSession, records: list) -> DataFrame:
+    """Registry rows as a typed table: ``feature_columns`` ARRAY<STRING>, ``coefficients`` MAP (MAP-01)."""
+    schema = ("version long, model_file string, model_type string, trained_at string, data_through string, "
+              "rows_total long, rows_new long, n_train long, n_test long, train_every_n_events long, "
+              "feature_columns array<string>, label_column string, late_rate_test double, baseline_accuracy double, "
+              "accuracy double, precision double, recall double, f1 double, roc_auc double, "
+              "coefficients map<string,double>, intercept double")
+    rows = [tuple(r.get(k) for k in SIDECAR_KEYS) for r in records]
+    return spark.createDataFrame(rows, schema)

@@ -104,6 +104,7 @@ class FitResult:
     intercept: float
     n_train: int
     iterations: int
+    model: object = None          # the Spark ML LogisticRegressionModel (the publishable artifact)
 
 
 def fit_logistic(train: DataFrame, opts: TrainOptions | None = None) -> FitResult:
@@ -143,4 +144,40 @@ def fit_logistic(train: DataFrame, opts: TrainOptions | None = None) -> FitResul
     if not all(math.isfinite(x) for x in coefs + [float(model.intercept)]):   # ML-05
         raise ValueError("non-finite coefficients")
     return FitResult(dict(zip(cols, coefs)), float(model.intercept), n_train,
-                     int(model.summary.totalIterations) if model.hasSummary else -1)
+                     int(model.summary.totalIterations) if model.hasSummary else -1, model)
+
+
+def registry_record(fit: FitResult, metrics: dict, rows_total: int, rows_new: int, n_test: int,
+                    data_through: str | None, trained_at: str, opts: TrainOptions | None = None) -> dict:
+    """ML-07: the registry/sidecar record of a fitted model, metrics rounded to 3 dp."""
+    opts = opts or TrainOptions()
+
+    def r3(v):
+        return None if v is None else round(float(v), 3)
+    return {
+        "model_type": "logistic_regression", "trained_at": trained_at, "data_through": data_through,
+        "rows_total": int(rows_total), "rows_new": int(rows_new), "n_train": int(fit.n_train), "n_test": int(n_test),
+        "train_every_n_events": int(opts.retrain_every), "feature_columns": list(opts.features),
+        "label_column": opts.label,
+        **{k: r3(metrics.get(k)) for k in ("late_rate_test", "baseline_accuracy", "accuracy", "precision",
+                                            "recall", "f1", "roc_auc")},
+        "coefficients": {k: float(v) for k, v in fit.coefficients.items()}, "intercept": float(fit.intercept),
+    }
+
+
+def train_once(features: DataFrame, opts: TrainOptions | None = None):
+    """ML-02..05: holdout, guards, fit, evaluation.  Returns ``(status, fit, metrics, sizes)``."""
+    from .scoring import logistic
+    opts = opts or TrainOptions()
+    split = holdout_split(features, opts).persist()
+    try:
+        ready = readiness(split, opts).first().asDict()
+        if ready["status"] != "ready":
+            return ready["status"], None, None, ready
+        fit = fit_logistic(split.where(F.col("split") == "train"), opts)
+        test = split.where(F.col("split") == "test").withColumn("probability", logistic(fit.coefficients, fit.intercept))
+        m = classification_metrics(test, opts.label).first().asDict()
+        ready["data_through"] = features.agg(F.max("timestamp")).first()[0]
+        return "ready", fit, m, ready
+    finally:
+        split.unpersist()

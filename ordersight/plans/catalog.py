@@ -677,28 +677,15 @@ def q_holdout_metrics_fixed(spark, sf_dir):
 
 @register("fit_logistic")
 def q_fit_logistic(spark, sf_dir):
-    """ML-02/03/05/07: fit on the oldest 80 %, evaluate on the newest 20 %, one registry row."""
+    """ML-02/03/05/07, MAP-01: fit on the oldest 80 %, evaluate on the newest 20 %; one typed registry row."""
     f = FeedContext(spark, sf_dir).stage()["features"]
     opts = TrainOptions()
-    split = training.holdout_split(f, opts).persist()
-    try:
-        fit = training.fit_logistic(split.where(F.col("split") == "train"), opts)
-        test = split.where(F.col("split") == "test").withColumn(
-            "probability", scoring.logistic(fit.coefficients, fit.intercept))
-        m = training.classification_metrics(test).toPandas().iloc[0].to_dict()
-        ready = training.readiness(split, opts).first().asDict()
-    finally:
-        split.unpersist()
-    row = {"version": 1, "rows_total": int(ready["rows_total"]), "n_train": int(fit.n_train),
-           "n_test": int(m["n_test"]), "status": ready["status"],
-           "coef_distance_km": fit.coefficients["distance_km"], "coef_prep_minutes": fit.coefficients["prep_minutes"],
-           "intercept": fit.intercept, **{k: (None if m[k] is None else round(float(m[k]), 3))
-                                          for k in ("late_rate_test", "baseline_accuracy", "accuracy",
-                                                    "precision", "recall", "f1", "roc_auc")}}
-    schema = ("version long, rows_total long, n_train long, n_test long, status string, coef_distance_km double, "
-              "coef_prep_minutes double, intercept double, late_rate_test double, baseline_accuracy double, "
-              "accuracy double, precision double, recall double, f1 double, roc_auc double")
-    return spark.createDataFrame([row], schema)
+    status, fit, m, sizes = training.train_once(f, opts)
+    if status != "ready":
+        raise ValueError(f"not ready: {status}")
+    rec = training.registry_record(fit, m, sizes["rows_total"], sizes["rows_total"], sizes["n_test"],
+                                   str(sizes["data_through"]), "2024-01-31T00:00:00Z", opts)
+    return registry.records_frame(spark, [{**rec, "version": 1, "model_file": "model_v0001"}])
 
 
 @register("model_registry_history", cte("""
@@ -948,3 +935,24 @@ SELECT order_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, CAST(hour AS V
 def q_features_export_text(spark, sf_dir):
     """PRJ-02/SNK-02: the canonical text rendering of feature rows (what the CSV export writes)."""
     return quality.features_for_export(FeedContext(spark, sf_dir).stage()["features"])
+
+
+# the golden model's data_through: batches stamped after it are unseen by the model
+GOLDEN_DATA_THROUGH = "2024-01-16 00:00:00"
+
+
+@register("post_hoc_accuracy", cte("", """
+SELECT p.checkpoint_id, f.batch_time > TIMESTAMP '""" + GOLDEN_DATA_THROUGH + """' AS unseen,
+  CAST(count(*) AS BIGINT) AS scored, CAST(sum(CASE WHEN p.predicted_late = f.was_late THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+  round(CAST(sum(CASE WHEN p.predicted_late = f.was_late THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 6) AS accuracy
+FROM pred p JOIN feat f ON p.batch = f.batch AND p.order_id = f.order_id GROUP BY 1, 2"""))
+def q_post_hoc_accuracy(spark, sf_dir):
+    """JN-08: predictions joined to the actual labels; only batches after the model's data_through are unseen."""
+    st = FeedContext(spark, sf_dir).stage()
+    actual = st["features"].select("batch", "order_id", "was_late", F.col("batch_time").alias("_bt"))
+    j = st["predictions"].join(actual, ["batch", "order_id"])
+    unseen = F.col("_bt") > F.to_timestamp(F.lit(GOLDEN_DATA_THROUGH))
+    ok = (F.col("predicted_late") == F.col("was_late")).cast("long")
+    return j.groupBy("checkpoint_id", unseen.alias("unseen")).agg(
+        F.count(F.lit(1)).cast("long").alias("scored"), F.sum(ok).cast("long").alias("correct")) \
+        .withColumn("accuracy", F.round(F.col("correct") / F.col("scored"), 6))

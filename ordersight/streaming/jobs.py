@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import quality, scoring
-from ..operators.ledger import ledger_rows
+from ..operators.ledger import ledger_rows, quarantine_rows
 from ..operators.metrics import bucket_of, epoch
 from ..options import QualityOptions, WindowOptions
 
@@ -37,20 +37,36 @@ def clean_stream(stream: DataFrame, to_raw: Callable[[DataFrame], DataFrame], ou
     """ST-01: every micro-batch of raw input -> annotated rows (features + rejects) + ledger.
 
     ``to_raw`` turns the micro-batch into raw lines (``batch, batch_time, pos,
-    raw_line``); duplicates are judged per batch inside the micro-batch (ST-14),
-    which is exact because a batch file never spans micro-batches.
+    raw_line``), or into ``(raw lines, file status)`` where the status has a
+    ``skip_reason`` per file; skipped files get one ``skipped`` ledger row (ST-08)
+    and are never retried, because the checkpoint has consumed them.  Duplicates
+    are judged per batch inside the micro-batch (ST-14), which is exact because a
+    batch file never spans micro-batches.
     """
     options = options or QualityOptions()
 
     def process(batch_df: DataFrame, epoch_id: int) -> None:
-        ann = quality.annotate(to_raw(batch_df), options, skip_blank=skip_blank)
+        got = to_raw(batch_df)
+        raw, status = got if isinstance(got, tuple) else (got, None)
+        ann = quality.annotate(raw, options, skip_blank=skip_blank)
         out = ann.select("batch", "batch_time", "pos", "raw_line", "reason", "order_id", "timestamp",
                          "distance_km", "prep_minutes", "order_value", "was_late", "t_order_id",
                          "t_timestamp", "t_was_late", "_ts", "_d", "_p", "_v")
         _write_epoch(out, f"{out_root}/annotated", epoch_id)            # rejects + features
         stats = quality.batch_stats(batch_df.sparkSession.read.parquet(f"{out_root}/annotated")
                                     .where(F.col("epoch") == epoch_id).select("batch", "reason"))
-        _write_epoch(ledger_rows(stats, "clean"), f"{out_root}/ledger", epoch_id)   # commit marker last
+        if status is not None:
+            # every readable file is committed, zero-row ones included (SNK-05)
+            done = status.where(F.col("skip_reason").isNull()).select("batch").distinct()
+            stats = done.join(stats, "batch", "left").select(
+                "batch", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+                           for c in stats.columns if c not in ("batch", "reasons_text")])
+        rows = ledger_rows(stats, "clean")
+        if status is not None:
+            skipped = status.where(F.col("skip_reason").isNotNull()).select(
+                "batch", F.col("skip_reason").alias("reason"))
+            rows = rows.unionByName(quarantine_rows(skipped, "clean"))
+        _write_epoch(rows, f"{out_root}/ledger", epoch_id)   # commit marker last
 
     return _start(stream, process, checkpoint, trigger)
 
@@ -60,6 +76,7 @@ def stream_outputs(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
     ann = spark.read.parquet(f"{out_root}/annotated")
     led = spark.read.parquet(f"{out_root}/ledger")
     committed = ann.join(led.select("epoch").distinct(), "epoch", "left_semi")
+    # a zero-row or skipped batch has ledger rows but no data rows: the ledger is the record
     return {"features": quality.features(committed), "rejects": quality.rejects(committed), "ledger": led}
 
 
@@ -101,3 +118,45 @@ def merged_bucket_counts(spark: SparkSession, out_root: str) -> DataFrame:
     """The additive merge of all committed partial counts: one row per bucket."""
     return spark.read.parquet(f"{out_root}/bucket_counts").groupBy("bucket").agg(
         F.sum("orders").cast("long").alias("orders"))
+
+
+def retrain_stream(ledger_stream: DataFrame, ledger_path: str, features_reader: Callable[[], DataFrame],
+                   models_dir: str, checkpoint: str, opts=None, trigger: dict | None = None) -> StreamingQuery:
+    """ST-02/ML-01: on every new ledger epoch, retrain when ``rows_available - rows_total(latest) >= N``.
+
+    Rows available come from the ledger table (a sum, no data scan); the latest
+    published version from the sidecars.  A fit is attempted only when that
+    trigger fires; guard failures are a status, never an exception, so the loop
+    survives.  Publishing is artifact first, sidecar last (the publish marker).
+    """
+    from datetime import datetime, timezone
+
+    from ..operators import registry, training
+    from ..options import TrainOptions
+    opts = opts or TrainOptions()
+    spark = ledger_stream.sparkSession
+
+    def latest():
+        """(rows_total of the newest readable version, highest version number seen anywhere)."""
+        side = registry.read_sidecars(spark, models_dir)
+        arts = registry.list_artifacts(spark, models_dir)
+        r = side.where("readable").agg(F.max_by("rows_total", "version").alias("rt")).first()
+        top = registry.next_version(side, arts).first().next_version - 1
+        return int(r.rt or 0), int(top)
+
+    def process(batch_df: DataFrame, epoch_id: int) -> None:
+        available = spark.read.parquet(ledger_path).where(F.col("status") == "committed") \
+            .agg(F.sum("kept")).first()[0] or 0
+        rows_total, top_version = latest()
+        if available - rows_total < opts.retrain_every:
+            return
+        status, fit, metrics, sizes = training.train_once(features_reader(), opts)
+        if status != "ready":
+            return
+        version = top_version + 1                      # ML-06: never reuse a number
+        rec = training.registry_record(
+            fit, metrics, sizes["rows_total"], sizes["rows_total"] - rows_total, sizes["n_test"],
+            str(sizes.get("data_through")), datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"), opts)
+        registry.publish(spark, models_dir, version, fit.model, rec)
+
+    return _start(ledger_stream, process, checkpoint, trigger)

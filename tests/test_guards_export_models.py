@@ -63,3 +63,17 @@ def test_publish_load_choose(spark, tmp_dir):
     assert registry.choose_model([(1, True), (2, True)], None, set()) == 2
     assert registry.choose_model([(1, True), (2, True), (3, True)], 1, {3}) == 2
     assert registry.choose_model([(1, True), (2, False)], 1, set()) == 1
+
+
+def test_subset_check_and_sidecar_json(spark):
+    from ordersight.operators import ledger
+    prev = spark.createDataFrame([("a",), ("b",)], "batch string")
+    assert ledger.subset_check(prev, spark.createDataFrame([("a",), ("b",), ("c",)], "batch string")).first().append_only
+    assert not ledger.subset_check(prev, spark.createDataFrame([("a",)], "batch string")).first().append_only
+    import json
+    rec = {"version": 1, "rows_total": 5, "coefficients": {"distance_km": 0.5}, "feature_columns": ["distance_km"]}
+    df = registry.records_frame(spark, [rec])
+    js = registry.sidecar_json(df).first().sidecar
+    keys = list(json.loads(js).keys())
+    assert keys == [k for k in registry.SIDECAR_KEYS if k in keys]          # pinned order
+    assert json.loads(js)["coefficients"] == {"distance_km": 0.5}

@@ -58,7 +58,7 @@ def test_exact_reader_keeps_multiline_record(spark, tmp_dir):
 
 
 def to_raw(batch_df):
-    return raw_files.split_header(raw_files.with_lineage(batch_df))[0]
+    return raw_files.split_header(raw_files.with_lineage(batch_df))
 
 
 def test_clean_stream_restart_is_noop_and_picks_up_new_files(spark, tmp_path):
@@ -66,7 +66,8 @@ def test_clean_stream_restart_is_noop_and_picks_up_new_files(spark, tmp_path):
     raw.mkdir()
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     batch_file(str(raw), "20240501T120000Z_0001", ["A,2024-05-01T12:00:01Z,3,15,10,1", "A,2024-05-01T12:00:02Z,3,15,10,1"])
-    batch_file(str(raw), "20240501T120100Z_0002", [])                    # zero-row batch still committed
+    batch_file(str(raw), "20240501T120100Z_0002", [])                    # header only: no rows
+    batch_file(str(raw), "20240501T120150Z_0004", ["D,2024-05-01T12:01:51Z,3,15,10,1"], header="x,y")
     jobs.clean_stream(raw_files.raw_text_stream(spark, str(raw)), to_raw, out, ck).awaitTermination()
     o = jobs.stream_outputs(spark, out)
     assert o["features"].count() == 1 and o["rejects"].count() == 1
@@ -76,4 +77,46 @@ def test_clean_stream_restart_is_noop_and_picks_up_new_files(spark, tmp_path):
     jobs.clean_stream(raw_files.raw_text_stream(spark, str(raw)), to_raw, out, ck).awaitTermination()
     o = jobs.stream_outputs(spark, out)
     assert sorted(r.order_id for r in o["features"].collect()) == ["A", "C"]
-    assert {r.batch for r in o["ledger"].collect()} == {"20240501T120000Z_0001", "20240501T120200Z_0003"}
+    led = {r.batch: (r.status, r.skip_reason) for r in o["ledger"].collect()}
+    assert led == {"20240501T120000Z_0001": ("committed", None), "20240501T120200Z_0003": ("committed", None),
+                   "20240501T120100Z_0002": ("committed", None),
+                   "20240501T120150Z_0004": ("skipped", "unexpected header")}
+
+
+def test_retrain_stream_publishes_on_trigger_only(spark, tmp_path):
+    import random
+    from ordersight.operators import registry
+    from ordersight.options import TrainOptions
+    rng = random.Random(5)
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    out, models = str(tmp_path / "out"), str(tmp_path / "models")
+    def add_batch(i, n=40):
+        lines = []
+        for j in range(n):
+            d, p = round(rng.uniform(0.5, 12), 1), rng.randint(5, 30)
+            late = int(p + 3 * d + rng.gauss(0, 4) > 30)
+            lines.append(f"O{i}-{j},2024-05-01T{10 + i:02d}:{j:02d}:00Z,{d},{p},20.00,{late}")
+        batch_file(str(raw), f"20240501T{10 + i:02d}0000Z_0001", lines)
+    opts = TrainOptions(retrain_every=100)
+
+    def run_all():
+        jobs.clean_stream(raw_files.raw_text_stream(spark, str(raw)), to_raw, out, str(tmp_path / "ck")).awaitTermination()
+        led = spark.read.parquet(f"{out}/ledger")
+        feats = lambda: jobs.stream_outputs(spark, out)["features"]
+        jobs.retrain_stream(spark.readStream.schema(led.schema).parquet(f"{out}/ledger"), f"{out}/ledger", feats,
+                            models, str(tmp_path / "ck_train"), opts).awaitTermination()
+        return {r.version: r.rows_total for r in registry.read_sidecars(spark, models).where("readable").collect()}
+
+    add_batch(0)
+    add_batch(1)
+    assert run_all() == {}                          # 80 rows: below the trigger
+    add_batch(2)
+    assert run_all() == {1: 120}                    # 120 >= 100: version 1
+    add_batch(3)
+    assert run_all() == {1: 120}                    # 40 new rows: no retrain
+    add_batch(4)
+    add_batch(5)
+    assert run_all() == {1: 120, 2: 240}
+    coefs, _, why = registry.load_checkpoint(spark, models, 2, ["distance_km", "prep_minutes"])
+    assert why is None and coefs["distance_km"] > 0 and coefs["prep_minutes"] > 0
