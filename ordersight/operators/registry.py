@@ -223,3 +223,42 @@ def records_frame(spark: SparkSession, records: list) -> DataFrame:
               "coefficients map<string,double>, intercept double")
     rows = [tuple(r.get(k) for k in SIDECAR_KEYS) for r in records]
     return spark.createDataFrame(rows, schema)
+
+
+class ModelChooser:
+    """ML-09: per micro-batch, the newest loadable published model (hot swap at batch boundaries).
+
+    Keeps the current version and the versions that failed to load, so a damaged
+    newest version is skipped (and remembered) and the scorer falls back to the
+    next one down; if the registry loses every version (reset), state is cleared.
+    """
+
+    def __init__(self, spark: SparkSession, models_dir: str):
+        self.spark, self.models_dir = spark, models_dir
+        self.current: int | None = None
+        self.bad: set = set()
+        self.loaded: tuple | None = None
+
+    def __call__(self) -> tuple[dict, float, str] | None:
+        side = read_sidecars(self.spark, self.models_dir)
+        arts = list_artifacts(self.spark, self.models_dir)
+        pub = published(side, arts).select("version", "loadable", "feature_columns").collect()   # tiny
+        if not pub:                                   # ST-15 reset: nothing published any more
+            self.current, self.bad, self.loaded = None, set(), None
+            return None
+        features = {r.version: r.feature_columns for r in pub}
+        candidates = [(r.version, r.loadable) for r in pub]
+        while True:
+            choice = choose_model(candidates, self.current, self.bad)
+            if choice is None:
+                return None
+            if choice == self.current and self.loaded is not None:
+                return self.loaded
+            coefs, icpt, why = load_checkpoint(self.spark, self.models_dir, choice, features.get(choice))
+            if why is None:
+                self.current = choice
+                self.loaded = (coefs, icpt, f"model_v{choice:04d}")
+                return self.loaded
+            self.bad.add(choice)                      # reported once, never retried
+            if choice == self.current:
+                self.current, self.loaded = None, None

@@ -89,7 +89,11 @@ def score_stream(stream: DataFrame, choose_model: Callable[[], tuple[dict, float
     batch is always scored by exactly one model.
     """
     def process(batch_df: DataFrame, epoch_id: int) -> None:
-        coefs, intercept, ckpt = choose_model()
+        chosen = choose_model()
+        if chosen is None:       # no model yet: park the rows; score_pending picks them up later
+            _write_epoch(batch_df, f"{out_root}/unscored", epoch_id)
+            return
+        coefs, intercept, ckpt = chosen
         preds = scoring.score_fixed(batch_df, coefs, intercept, ckpt, keep=("batch", "batch_time", "pos"))
         _write_epoch(preds, f"{out_root}/predictions", epoch_id)
         stats = scoring.scored_per_batch(batch_df.sparkSession.read.parquet(f"{out_root}/predictions")
@@ -160,3 +164,23 @@ def retrain_stream(ledger_stream: DataFrame, ledger_path: str, features_reader:
         registry.publish(spark, models_dir, version, fit.model, rec)
 
     return _start(ledger_stream, process, checkpoint, trigger)
+
+
+def score_pending(spark: SparkSession, out_root: str, choose_model) -> int:
+    """JN-02/ML-11: score parked rows whose batch has no predictions yet (anti-join), then report how many."""
+    import os
+    path = f"{out_root}/unscored"
+    if not os.path.isdir(path.replace("file:", "")):
+        return 0
+    chosen = choose_model()
+    if chosen is None:
+        return 0
+    parked = spark.read.parquet(path).drop("epoch")
+    done_path = f"{out_root}/predictions"
+    if os.path.isdir(done_path.replace("file:", "")):
+        parked = parked.join(spark.read.parquet(done_path).select("batch").distinct(), "batch", "left_anti")
+    coefs, intercept, ckpt = chosen
+    preds = scoring.score_fixed(parked, coefs, intercept, ckpt, keep=("batch", "batch_time", "pos"))
+    preds = preds.withColumn("epoch", F.lit(-1).cast("long"))
+    preds.write.mode("append").partitionBy("epoch").parquet(done_path)
+    return spark.read.parquet(done_path).where("epoch = -1").count()

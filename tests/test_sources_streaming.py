@@ -120,3 +120,44 @@ def test_retrain_stream_publishes_on_trigger_only(spark, tmp_path):
     assert run_all() == {1: 120, 2: 240}
     coefs, _, why = registry.load_checkpoint(spark, models, 2, ["distance_km", "prep_minutes"])
     assert why is None and coefs["distance_km"] > 0 and coefs["prep_minutes"] > 0
+
+
+def test_score_stream_hot_swap_never_rescores(spark, tmp_path):
+    """ST-03/ML-09/ML-11: each batch is scored once, by the model that was newest at its boundary."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from ordersight.operators import registry
+    models, feats_dir, out = str(tmp_path / "models"), str(tmp_path / "feats"), str(tmp_path / "out")
+    rows = [(float(d), float(p), float(int(p + 3 * d > 30))) for d in range(1, 12) for p in range(5, 31, 3)]
+    train = VectorAssembler(inputCols=["distance_km", "prep_minutes"], outputCol="features").transform(
+        spark.createDataFrame(rows, "distance_km double, prep_minutes double, label double"))
+    m1 = LogisticRegression(regParam=0.1, maxIter=20).fit(train)
+    m2 = LogisticRegression(regParam=0.001, maxIter=50).fit(train)
+    side = {"rows_total": 10, "feature_columns": ["distance_km", "prep_minutes"]}
+    schema = "order_id string, distance_km double, prep_minutes int, batch string, batch_time timestamp, pos long"
+
+    def add(batch):
+        spark.createDataFrame([(f"{batch}-{i}", 3.0 + i, 10 + i, batch, None, i) for i in range(3)], schema) \
+            .write.mode("append").parquet(feats_dir)
+
+    chooser = registry.ModelChooser(spark, models)
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(feats_dir)
+        jobs.score_stream(stream, chooser, out, str(tmp_path / "ck")).awaitTermination()
+        if not os.path.isdir(f"{out}/predictions"):
+            return {}
+        return {r.batch: r.checkpoint_id for r in spark.read.parquet(f"{out}/predictions").collect()}
+
+    add("b0")
+    assert run() == {}                                                   # no model yet: parked
+    assert spark.read.parquet(f"{out}/unscored").count() == 3
+    registry.publish(spark, models, 1, m1, side)
+    assert jobs.score_pending(spark, out, chooser) == 3                  # parked batch scored once
+    add("b1")
+    assert run() == {"b0": "model_v0001", "b1": "model_v0001"}
+    registry.publish(spark, models, 2, m2, side)
+    add("b2")
+    got = run()
+    assert got == {"b0": "model_v0001", "b1": "model_v0001", "b2": "model_v0002"}   # never re-scored
+    assert spark.read.parquet(f"{out}/predictions").count() == 9
