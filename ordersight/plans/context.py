@@ -63,10 +63,11 @@ class FeedContext:
         a lost executor recomputes from the table, not from raw text.
 
         The cleaning pass runs once: every row is written to one ``annotated`` table,
-        range-clustered on (outcome, batch, pos) -- each file covers one outcome and a
-        contiguous span of batches, so Parquet min/max statistics let features/rejects
-        reads and time-window filters skip whole files, without a directory per day
-        (no small-file explosion), and a hot batch still splits across files by pos.
+        each task's rows sorted by (outcome, batch, pos).  Row groups then hold one
+        outcome and a narrow span of batches, so Parquet min/max statistics let the
+        features/rejects reads and time-window filters skip row groups -- with no
+        directory per day (no small-file explosion) and no extra shuffle or range
+        sampling pass over the raw data (the cleaning pipeline is evaluated once).
         Predictions (the scoring job) and batch stats (the ledger) are derived from
         that table, not from the raw feed.
         """
@@ -80,10 +81,7 @@ class FeedContext:
                 "outcome", "batch_date", "batch", "batch_time", "pos", "reason", "raw_line",
                 *[F.col(c) for c in ("order_id", "timestamp", "distance_km", "prep_minutes", "order_value", "was_late")],
                 F.col("t_order_id"), F.col("t_timestamp"), F.col("t_was_late"), "_ts", "_d", "_p", "_v")
-            # no fixed count: AQE coalesces the range partitions to its advisory size,
-            # so file count follows data volume (few files here, many at scale)
-            (out.repartitionByRange("outcome", "batch", "pos")
-             .sortWithinPartitions("outcome", "batch", "pos")
+            (out.sortWithinPartitions("outcome", "batch", "pos")
              .write.mode("overwrite").parquet(f"{root}/annotated"))
             stored = self.spark.read.parquet(f"{root}/annotated")
             feats = quality.features(stored.where(F.col("outcome") == "kept"), self.quality)
