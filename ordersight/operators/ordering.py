@@ -59,8 +59,8 @@ def order_cutoff(df: DataFrame, k: Column, major: str = "batch", minor: str = "p
     hit = cum.where((F.col("_cum") >= k) & (k >= 1)).agg(
         F.min_by(F.struct(F.col(major).alias("m"), (k - (F.col("_cum") - F.col("_c"))).alias("r")),
                  F.col(major)).alias("h"))
-    cut_major = hit.select("h.m").scalar()
-    rank_in = hit.select("h.r").scalar()
+    h = hit.select("h").scalar()              # one subquery for both fields
+    cut_major, rank_in = h.getField("m"), h.getField("r")
     inside = df.where(F.col(major) == cut_major).select(F.col(minor))
     coarse = inside.groupBy(F.shiftright(F.col(minor), shift).alias("_b")).agg(F.count(F.lit(1)).alias("_c"))
     upto_b = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -68,7 +68,8 @@ def order_cutoff(df: DataFrame, k: Column, major: str = "batch", minor: str = "p
     hit_b = cb.where(F.col("_cum") >= rank_in).agg(
         F.min_by(F.struct(F.col("_b").alias("b"), (rank_in - (F.col("_cum") - F.col("_c"))).alias("r")),
                  F.col("_b")).alias("h"))
-    bucket, rank_b = hit_b.select("h.b").scalar(), hit_b.select("h.r").scalar()
+    hb = hit_b.select("h").scalar()
+    bucket, rank_b = hb.getField("b"), hb.getField("r")
     fine = inside.where(F.shiftright(F.col(minor), shift) == bucket) \
         .select(minor, F.row_number().over(Window.orderBy(minor)).alias("_rn"))
     cut_minor = fine.where(F.col("_rn") == rank_b).select(minor).scalar()
