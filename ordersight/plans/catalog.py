@@ -956,3 +956,64 @@ def q_post_hoc_accuracy(spark, sf_dir):
     return j.groupBy("checkpoint_id", unseen.alias("unseen")).agg(
         F.count(F.lit(1)).cast("long").alias("scored"), F.sum(ok).cast("long").alias("correct")) \
         .withColumn("accuracy", F.round(F.col("correct") / F.col("scored"), 6))
+
+
+def _with_event_type(spark, sf_dir, feats):
+    """Enrich feature rows with the originating event's type (pos is the event id): a big-to-big
+    equi-join left to AQE (sort-merge at scale, skew-split if one id is hot)."""
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("pos"), "event_type")
+    return feats.join(ev, "pos", "inner")
+
+
+@register("volume_finding_by_event_type", cte(_SPINE_SQL + """,
+fe AS (SELECT f.*, e.event_type FROM feat f JOIN events e ON f.pos = e.event_id),
+ks AS (SELECT DISTINCT event_type FROM fe),
+c AS (SELECT event_type, floor(epoch(ts))::BIGINT // 3600 AS bucket, count(*) AS n FROM fe GROUP BY 1, 2),
+vs AS (SELECT ks.event_type, s.slot, coalesce(c.n, 0) AS v FROM ks CROSS JOIN spine s
+       LEFT JOIN c ON c.event_type = ks.event_type AND c.bucket = s.bucket),
+vf AS (SELECT event_type, min(slot) FILTER (WHERE v > 0 AND slot < 167) AS f FROM vs GROUP BY 1),
+va AS (SELECT event_type, sum(v) AS total, max(slot) FILTER (WHERE v > 0) AS last_nz,
+  count(*) FILTER (WHERE slot > f AND slot < 167) AS hb, sum(v) FILTER (WHERE slot > f AND slot < 167) AS hs,
+  count(*) FILTER (WHERE slot > f AND slot < 167 AND slot >= 157) AS rb,
+  sum(v) FILTER (WHERE slot > f AND slot < 167 AND slot >= 157) AS rs FROM vs JOIN vf USING (event_type) GROUP BY 1)""", """
+SELECT event_type, CASE WHEN coalesce(total, 0) = 0 THEN 'none'
+            WHEN greatest(0.0, (167 - last_nz) * 60.0) >= 2 THEN 'stalled'
+            WHEN hb = 0 OR hs = 0 THEN 'just_started'
+            WHEN abs((1.0::DOUBLE * rs / rb) / (1.0::DOUBLE * hs / hb) - 1.0) <= 0.15 + 1e-9 THEN 'steady'
+            WHEN (1.0::DOUBLE * rs / rb) / (1.0::DOUBLE * hs / hb) - 1.0 > 0 THEN 'rose' ELSE 'fell' END AS status,
+  CAST(total AS BIGINT) AS total, CAST((167 - last_nz) * 60 AS BIGINT) AS trailing_empty_minutes,
+  round((1.0::DOUBLE * rs / rb) / (1.0::DOUBLE * hs / hb) - 1.0, 6) AS change
+FROM va"""))
+def q_volume_finding_by_event_type(spark, sf_dir):
+    """FND-01 for many series at once: one volume trend per event type (shared anchored window)."""
+    ctx = FeedContext(spark, sf_dir)
+    f = _with_event_type(spark, sf_dir, ctx.stage()["features"])
+    series = metrics.volume_over_time_by(f, ctx.window, ["event_type"])
+    fnd = findings.volume_finding(series, ctx.window.n_buckets, ctx.window.bucket_minutes, keys=["event_type"])
+    return fnd.select("event_type", "status", "total", "trailing_empty_minutes", F.round("change", 6).alias("change"))
+
+
+@register("flag_finding_by_event_type", cte(_SPINE_SQL + """,
+fe AS (SELECT f.*, e.event_type FROM feat f JOIN events e ON f.pos = e.event_id),
+ks AS (SELECT DISTINCT event_type FROM fe),
+lk AS (SELECT batch, order_id, arg_min(ts, pos) AS ts, arg_min(event_type, pos) AS event_type FROM fe GROUP BY batch, order_id),
+r AS (SELECT lk.event_type, floor(epoch(lk.ts))::BIGINT // 3600 AS bucket, count(*) AS scored, sum(predicted_late) AS flagged
+      FROM pred p JOIN lk USING (batch, order_id) GROUP BY 1, 2),
+fs AS (SELECT ks.event_type, s.slot, 100.0::DOUBLE * r.flagged / r.scored AS v FROM ks CROSS JOIN spine s
+       LEFT JOIN r ON r.event_type = ks.event_type AND r.bucket = s.bucket),
+fa AS (SELECT event_type, count(v) AS n, count(v) FILTER (WHERE slot >= 158) AS rn,
+              count(v) FILTER (WHERE slot < 158) AS en,
+              avg(v) FILTER (WHERE slot >= 158) AS now, avg(v) FILTER (WHERE slot < 158) AS before FROM fs GROUP BY 1)""", """
+SELECT event_type, CASE WHEN n = 0 THEN 'none' WHEN rn = 0 OR en = 0 THEN 'steady'
+            WHEN abs(now - before) >= 5 - 1e-9 THEN CASE WHEN now > before THEN 'more' ELSE 'fewer' END
+            ELSE 'steady' END AS status,
+  CAST(rn AS BIGINT) AS recent_buckets, CAST(en AS BIGINT) AS earlier_buckets
+FROM fa"""))
+def q_flag_finding_by_event_type(spark, sf_dir):
+    """FND-02 per event type: flag-rate trend of each segment's predictions."""
+    ctx = FeedContext(spark, sf_dir)
+    st = ctx.stage()
+    f = _with_event_type(spark, sf_dir, st["features"])
+    series = metrics.late_flag_rate_over_time_by(st["predictions"], f, ctx.window, ["event_type"])
+    fnd = findings.flag_finding(series, ctx.window.n_buckets, keys=["event_type"])
+    return fnd.select("event_type", "status", "recent_buckets", "earlier_buckets")
