@@ -15,8 +15,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import (finite_number, format_iso, iso_hour, or_empty, strict_iso_timestamp,
-                                 strip, whole_number)
+from ..functions.scalars import finite_number, iso_hour, or_empty, strict_iso_timestamp, strip, whole_number
 from ..options import RAW_COLUMNS, REJECT_REASONS, QualityOptions
 
 CORRUPT = "_corrupt"
@@ -240,4 +239,4 @@ def features_for_export(feats: DataFrame) -> DataFrame:
 
 __all__ = ["QualityRule", "default_rules", "cascade", "parse_raw", "with_trimmed", "first_occurrence",
            "annotate", "features", "rejects", "batch_stats", "running_totals", "run_totals",
-           "defect_audit", "messy_per_batch", "features_for_export", "format_iso"]
+           "defect_audit", "messy_per_batch", "features_for_export"]

@@ -81,8 +81,6 @@ def score_with_pandas(features: DataFrame, model, feature_cols: list[str], check
     shipped = spark.sparkContext.broadcast(model)
     keep = [c for c in keep if c in features.columns]
     cols = ["order_id", *feature_cols, *keep]
-    schema = ("order_id string, late_probability double, predicted_late int, checkpoint_id string"
-              + "".join(f", {c} {dict(features.dtypes)[c]}" for c in keep))
 
     def run(batches):
         import pandas as pd

@@ -23,6 +23,26 @@ LOCAL_DEFAULTS = {
 }
 
 
+# Settings this engine is designed around on a large cluster (the submitter applies them; nothing
+# here overrides a cluster's configuration).  AQE sizes shuffle partitions from the advisory size,
+# splits skewed join partitions, and converts joins to broadcast only when a side's runtime size is
+# under the threshold; scan splits are sized so a task's input fits comfortably in executor memory.
+CLUSTER_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.shuffle.partitions": "8000",          # upper bound; AQE coalesces
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ordersight", extra: dict | None = None) -> SparkSession:
     """A local[N] session for tests and the bench (never used on a cluster)."""

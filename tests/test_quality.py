@@ -111,3 +111,23 @@ def test_blank_lines_skipped_and_split_adds_up(spark):
     s = quality.batch_stats(a).collect()[0]
     assert (s.rows_in, s.kept, s.rejected, s.bad_label) == (2, 1, 1, 1)
     assert s.reasons_text == "bad_label 1"
+
+
+def test_hot_id_and_many_blanks_against_python(spark):
+    """A third of one batch shares an id, another third is blank: first-occurrence semantics still hold."""
+    import random
+    rng = random.Random(9)
+    lines, expect, seen = [], [], set()
+    for i in range(1500):
+        r = rng.random()
+        oid = "HOT" if r < 0.33 else ("" if r < 0.66 else f"ID{rng.randint(0, 300)}")
+        lines.append(f"{oid},2024-05-01T12:30:00Z,3.2,15,25.50,1")
+        if oid and oid in seen:
+            expect.append("duplicate_id")
+        elif not oid:
+            expect.append("blank")
+        else:
+            expect.append(None)
+        if oid:
+            seen.add(oid)
+    assert reasons(spark, lines) == expect
