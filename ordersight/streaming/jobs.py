@@ -184,3 +184,31 @@ def score_pending(spark: SparkSession, out_root: str, choose_model) -> int:
     preds = preds.withColumn("epoch", F.lit(-1).cast("long"))
     preds.write.mode("append").partitionBy("epoch").parquet(done_path)
     return spark.read.parquet(done_path).where("epoch = -1").count()
+
+
+def watermarked_volume_stream(stream: DataFrame, opts: WindowOptions, out_root: str, checkpoint: str,
+                              watermark: str, trigger: dict | None = None, ts: str = "timestamp") -> StreamingQuery:
+    """ST-10/11 opt-in: Spark's stateful tumbling-window count with a watermark (update mode).
+
+    State stays bounded by the watermark, at the price the reference never pays:
+    rows later than the watermark are dropped.  Each epoch emits the updated
+    *cumulative* count of the windows it touched; ``watermarked_counts`` keeps the
+    newest value per window.
+    """
+    counts = (stream.withWatermark(ts, watermark)
+              .groupBy(F.window(ts, f"{opts.bucket_minutes} minutes").alias("w"))
+              .agg(F.count(F.lit(1)).cast("long").alias("orders"))
+              .select(bucket_of(epoch(F.col("w.start")), opts.bucket_seconds).alias("bucket"), "orders"))
+
+    def process(batch_df: DataFrame, epoch_id: int) -> None:
+        _write_epoch(batch_df, f"{out_root}/window_counts", epoch_id)
+
+    w = (counts.writeStream.outputMode("update").foreachBatch(process)
+         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})))
+    return w.start()
+
+
+def watermarked_counts(spark: SparkSession, out_root: str) -> DataFrame:
+    """Newest emitted count per window (updates are cumulative, so the latest epoch wins)."""
+    return spark.read.parquet(f"{out_root}/window_counts").groupBy("bucket").agg(
+        F.max_by("orders", "epoch").alias("orders"))

@@ -118,3 +118,23 @@ def test_clock_and_gap_segments(spark):
     assert got == ["clock_ahead", "ok"]                # strictly more than 5 minutes ahead
     g = findings.gap_segments(series(spark, [1.0, None, 2.0, 3.0, None, None, 4.0], "pct"), "pct").orderBy("slot").collect()
     assert [r.segment for r in g] == [0, 1, 1, 3]
+
+
+@pytest.mark.parametrize("minutes,has_prev", [(61, False), (90, False), (119, False), (120, True), (121, True)])
+def test_deltas_only_with_fully_covered_previous_window(spark, minutes, has_prev):
+    """A perfectly steady feed (one order per minute, starting mid-minute): the previous window counts
+    only when the data reaches back into its first bucket."""
+    from datetime import timedelta
+    t0 = t("2024-05-01 10:00:30")
+    rows = [(f"o{i}", t0 + timedelta(minutes=i), "b", t0.replace(second=0) + timedelta(minutes=i), i)
+            for i in range(minutes)]
+    f = feats(spark, rows)
+    rej = spark.createDataFrame([], "reason string, batch string, batch_time timestamp")
+    p = spark.createDataFrame([(f"o{i}", 0.7, 1, "model_v0001", "b") for i in range(minutes)],
+                              "order_id string, late_probability double, predicted_late int, checkpoint_id string, batch string")
+    k = metrics.kpi_deltas(metrics.kpi_numbers(f, rej, p, W)).first()
+    assert k.has_previous == has_prev and k.orders == 60
+    if has_prev:
+        assert k.orders_delta == 0 and k.orders_delta_text == "+0" and k.flag_delta_pp == 0.0
+    else:
+        assert k.orders_delta is None and k.drop_delta_pp is None
