@@ -334,7 +334,7 @@ def late_flag_rate_over_time_by(predictions: DataFrame, features: DataFrame, opt
 
 def kpi_deltas(numbers: DataFrame) -> DataFrame:
     """FND-05: KPI values, deltas (only with a fully covered previous window) and display text."""
-    from ..functions.scalars import pct_text, pp_text, signed_thousands, thousands
+    from ..functions.scalars import pct_text, signed_thousands, thousands
     hp = F.col("has_previous")
     out = numbers.select(
         "orders", "drop_rate", "flag_rate", "has_previous",

@@ -630,7 +630,6 @@ def q_flag_finding_by_peak(spark, sf_dir):
 
 # ================================================================ training, registry, ledger
 from ..operators import registry, training  # noqa: E402
-from ..operators.ordering import global_position  # noqa: E402
 from ..options import TrainOptions  # noqa: E402
 
 _SPLIT_CTE = """

@@ -1,6 +1,5 @@
 """Scoring contract, threshold edges, hot swap and the sidecar registry."""
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F

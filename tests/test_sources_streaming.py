@@ -1,7 +1,6 @@
 """Raw batch files (header, quarantine, exact multi-line reader) and streaming restart/no-op."""
 import os
 
-from pyspark.sql import functions as F
 
 from ordersight.operators import quality
 from ordersight.sources import raw_files
@@ -165,7 +164,6 @@ def test_score_stream_hot_swap_never_rescores(spark, tmp_path):
 
 def test_watermarked_volume_matches_additive_when_nothing_is_late(spark, tmp_path):
     from datetime import datetime, timedelta
-    from ordersight.operators import metrics
     from ordersight.options import WindowOptions
     W = WindowOptions(60, 1)
     src = str(tmp_path / "feats")
