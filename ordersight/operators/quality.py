@@ -95,6 +95,13 @@ def parse_raw(raw: DataFrame, skip_blank: bool = True) -> DataFrame:
                          F.col(f"_rec.{CORRUPT}").isNotNull().alias("_wrong_count"))
 
 
+def first_csv_field(line: Column) -> Column:
+    """The first CSV field of a line, equal to ``from_csv``'s first value."""
+    return F.when(line.startswith('"'),
+                  F.from_csv(line, RAW_SCHEMA_DDL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+                  .getField("order_id")).otherwise(F.substring_index(line, ",", 1))
+
+
 def with_trimmed(parsed: DataFrame) -> DataFrame:
     """Trimmed copies ``t_*`` plus each value parsed once (``_ts``, ``_d``, ``_p``, ``_v``).
 
@@ -120,11 +127,18 @@ def first_occurrence(trimmed: DataFrame) -> DataFrame:
     ``isnotnull`` filter that it pushes into the scan, parsing every line twice.
     """
     t = F.col("t_order_id")
-    key = F.coalesce(F.when(t != "", t).otherwise(F.concat(F.lit("\u0000"), F.col("pos").cast("string"))),
-                     F.lit("\u0000"))
-    claims = (trimmed.groupBy("batch", key.alias("_claim_id"))
+
+    def claim_key(tid: Column) -> Column:
+        return F.coalesce(F.when(tid != "", tid).otherwise(F.concat(F.lit("\u0000"), F.col("pos").cast("string"))),
+                          F.lit("\u0000"))
+
+    # the claims side needs only the first field: for an unquoted first field that is the
+    # text before the first comma (CSV quoting starts only at a field's first character),
+    # so only lines starting with a quote pay for a full parse on this side
+    first = strip(first_csv_field(F.col("raw_line"))) if "raw_line" in trimmed.columns else t
+    claims = (trimmed.groupBy("batch", claim_key(first).alias("_claim_id"))
               .agg(F.min("pos").alias("_first_pos")))
-    joined = trimmed.withColumn("_claim_id", key).join(claims, ["batch", "_claim_id"], "left")
+    joined = trimmed.withColumn("_claim_id", claim_key(t)).join(claims, ["batch", "_claim_id"], "left")
     return joined.withColumn("_dup", F.coalesce((t != "") & (F.col("pos") > F.col("_first_pos")), F.lit(False))) \
                  .drop("_claim_id", "_first_pos")
 

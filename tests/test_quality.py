@@ -131,3 +131,17 @@ def test_hot_id_and_many_blanks_against_python(spark):
         if oid:
             seen.add(oid)
     assert reasons(spark, lines) == expect
+
+
+def test_quoted_and_odd_first_fields_claim_like_the_parser(spark):
+    lines = ['"ORD,1",2024-05-01T12:30:00Z,3.2,15,25.50,1',
+             '"ORD,1",2024-05-01T12:30:00Z,3.2,15,25.50,1',          # same quoted id: duplicate
+             'ORD,2024-05-01T12:30:00Z,3.2,15,25.50,1',              # "ORD" differs from "ORD,1"
+             ' "Q" ,2024-05-01T12:30:00Z,3.2,15,25.50,1',            # not a quoted field (space first)
+             ' "Q" ,2024-05-01T12:30:00Z,3.2,15,25.50,1',
+             '"A""B",2024-05-01T12:30:00Z,3.2,15,25.50,1',           # escaped quote inside
+             '"A""B",2024-05-01T12:30:00Z,3.2,15,25.50,1',
+             'solo',
+             'solo']
+    assert reasons(spark, lines) == [None, "duplicate_id", None, None, "duplicate_id", None, "duplicate_id",
+                                     "wrong_field_count", "duplicate_id"]
