@@ -50,21 +50,29 @@ def readiness(split: DataFrame, opts: TrainOptions | None = None) -> DataFrame:
 def classification_metrics(scored: DataFrame, label: str = "was_late", prob: str = "probability") -> DataFrame:
     """AGG-06..11 on a scored test split; the class decision is ``p > 0.5`` on the *unrounded* p.
 
-    ROC-AUC is the tie-aware rank statistic, computed exactly in integers from a
-    histogram of distinct scores (NULL with one class).  Every other metric is a
-    ratio of integer counts (zero-division gives 0, as the reference's scorer).
+    Everything comes from one histogram of distinct scores (positives and negatives
+    per score), so the test rows are scanned once: the confusion counts are sums
+    over score ranges, and ROC-AUC is the exact tie-aware rank statistic
+    ``sum_s pos_s * (2 * neg_below_s + neg_s) / (2 P N)`` in integers (NULL with one
+    class).  Ratios of integer counts; zero-division gives 0 like the reference's scorer.
+    The histogram is bounded by the model's distinct scores (for the validated
+    features: distance at 0.1 km in (0, 50], whole prep minutes in (0, 120] -- at
+    most ~60k rows whatever the data size), so its ordered running sum is small.
     """
     y = F.col(label).cast("long")
-    pred = (F.col(prob) > F.lit(0.5)).cast("long")
-    counts = scored.agg(
-        F.count(F.lit(1)).cast("long").alias("n_test"),
-        F.sum(y).cast("long").alias("pos"),
-        F.sum(pred * y).cast("long").alias("tp"),
-        F.sum(pred * (1 - y)).cast("long").alias("fp"),
-        F.sum((1 - pred) * y).cast("long").alias("fn"),
-        F.sum(F.when(pred == y, 1).otherwise(0)).cast("long").alias("correct"))
-    auc = roc_auc(scored, label, prob)
-    c = counts.select("*", auc.alias("roc_auc"))
+    hist = scored.groupBy(F.col(prob).alias("s")).agg(F.sum(y).alias("p"), F.sum(1 - y).alias("q"))
+    below = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = hist.withColumn("q_below", F.coalesce(F.sum("q").over(below), F.lit(0)))
+    flagged = F.col("s") > F.lit(0.5)
+    c = ranked.agg(
+        F.sum(F.col("p") + F.col("q")).cast("long").alias("n_test"),
+        F.sum("p").cast("long").alias("pos"),
+        F.sum("q").cast("long").alias("neg"),
+        F.coalesce(F.sum(F.when(flagged, F.col("p"))), F.lit(0)).cast("long").alias("tp"),
+        F.coalesce(F.sum(F.when(flagged, F.col("q"))), F.lit(0)).cast("long").alias("fp"),
+        F.coalesce(F.sum(F.when(~flagged, F.col("p"))), F.lit(0)).cast("long").alias("fn"),
+        F.coalesce(F.sum(F.when(~flagged, F.col("q"))), F.lit(0)).cast("long").alias("tn"),
+        F.sum(F.col("p") * (F.lit(2) * F.col("q_below") + F.col("q"))).cast("double").alias("auc_num"))
     rate = F.col("pos") / F.col("n_test")
 
     def safe(num, den):
@@ -73,29 +81,17 @@ def classification_metrics(scored: DataFrame, label: str = "was_late", prob: str
     return c.select(
         "n_test", rate.alias("late_rate_test"),
         F.greatest(rate, F.lit(1.0) - rate).alias("baseline_accuracy"),
-        (F.col("correct") / F.col("n_test")).alias("accuracy"),
+        ((F.col("tp") + F.col("tn")) / F.col("n_test")).alias("accuracy"),
         safe(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         safe(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
         safe(F.lit(2) * F.col("tp"), F.lit(2) * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"),
-        "roc_auc")
+        F.when((F.col("pos") > 0) & (F.col("neg") > 0),
+               F.col("auc_num") / (F.lit(2.0) * F.col("pos") * F.col("neg"))).alias("roc_auc"))
 
 
 def roc_auc(scored: DataFrame, label: str = "was_late", prob: str = "probability") -> Column:
-    """Scalar subquery: exact ROC-AUC, ``sum_s pos_s * (2 * neg_below_s + neg_s) / (2 P N)``.
-
-    The histogram has one row per distinct score; for a model over the validated
-    features (distance at 0.1 km in (0, 50], whole prep minutes in (0, 120]) that
-    is at most ~60k rows whatever the data size, so the ordered cumulative sum over
-    it is small.
-    """
-    y = F.col(label).cast("long")
-    hist = scored.groupBy(F.col(prob).alias("s")).agg(F.sum(y).alias("p"), F.sum(1 - y).alias("q"))
-    below = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = hist.withColumn("q_below", F.coalesce(F.sum("q").over(below), F.lit(0)))
-    agg = ranked.agg(F.sum(F.col("p") * (F.lit(2) * F.col("q_below") + F.col("q"))).cast("double").alias("num"),
-                     F.sum("p").alias("P"), F.sum("q").alias("N"))
-    return agg.select(F.when((F.col("P") > 0) & (F.col("N") > 0),
-                             F.col("num") / (F.lit(2.0) * F.col("P") * F.col("N")))).scalar()
+    """Scalar subquery: exact ROC-AUC (see ``classification_metrics``)."""
+    return classification_metrics(scored, label, prob).select("roc_auc").scalar()
 
 
 @dataclass
