@@ -350,4 +350,7 @@ def kpi_deltas(numbers: DataFrame) -> DataFrame:
         F.when(F.col("drop_delta_pp").isNotNull(),
                F.format_string("%+.1f pp", F.col("drop_delta_pp"))).alias("drop_delta_text"),
         F.when(F.col("flag_delta_pp").isNotNull(),
-               F.format_string("%+.0f pp", F.col("flag_delta_pp"))).alias("flag_delta_text"))
+               F.format_string("%+.0f pp", F.col("flag_delta_pp"))).alias("flag_delta_text"),
+        # delta polarity: more orders is good, more drops is bad, the flag rate is neutral
+        F.lit("normal").alias("orders_polarity"), F.lit("inverse").alias("drop_polarity"),
+        F.lit("off").alias("flag_polarity"))

@@ -116,6 +116,11 @@ def list_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     return spark.createDataFrame(rows, "path string, length long")
 
 
+def unreadable_sidecars(spark: SparkSession, models_dir: str) -> DataFrame:
+    """SRC-15: sidecars that do not parse (truncated, not an object, bad ``rows_total``, empty)."""
+    return read_sidecars(spark, models_dir).where(~F.col("readable")).select("version", "file", "length")
+
+
 def list_artifacts(spark: SparkSession, models_dir: str) -> DataFrame:
     """Model artifact folders ``model_v<N>`` (Spark ML model directories with written metadata)."""
     meta = list_files(spark, models_dir, "model_v*/metadata/part-*")

@@ -50,6 +50,7 @@ def pulse_view(features: DataFrame, rejects: DataFrame, predictions: DataFrame,
     summary = bounds.select(
         model.alias("newest_model"), scored_by.alias("scored_by"),
         format_iso(F.col("newest")).alias("data_through"),
+        F.concat(F.date_format("newest", "HH:mm"), F.lit("Z")).alias("data_through_hhmm"),
         F.lit(f"last {opts.window_minutes} min").alias("window"),
         findings.clock_finding(F.col("newest"), now).alias("clock"),
         vf.select("status").scalar().alias("volume_status"),

@@ -55,6 +55,18 @@ def read_rejects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return df.select("reason", "batch", batch_time_of(F.col("batch")).alias("batch_time")), guard
 
 
+def read_for_scoring(spark: SparkSession, path: str, feature_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """SRC-08/ML-12: ``order_id`` + the columns the model lists; one non-numeric value skips the batch."""
+    df = _read(spark, path, ["order_id", *feature_cols, "pos"])
+    ok = F.lit(True)
+    for c in feature_cols:
+        ok = ok & finite_number(F.col(c)).isNotNull()
+    guard = batch_guard(df, ok, "non-numeric feature", order="_row")
+    rows = keep_usable(df, guard).select("order_id", *[finite_number(F.col(c)).alias(c) for c in feature_cols],
+                                         "batch", F.col("pos").cast("long").alias("pos"))
+    return rows, guard
+
+
 READERS: dict[str, Callable[[SparkSession, str], tuple[DataFrame, DataFrame]]] = {
     "features": read_features,
     "predictions": read_predictions,

@@ -115,3 +115,17 @@ def test_export_roundtrip_and_pulse_readers(spark, tmp_dir):
     bad = {r.batch: r.skip_reason for r in gp.where("NOT usable").collect()}
     assert list(bad) == ["20240501T120100Z_0001"] and bad["20240501T120100Z_0001"].startswith("non-numeric prediction")
     assert back_p.select("batch").distinct().count() == 2
+
+
+def test_scoring_scan_skips_batch_with_non_numeric_feature(spark, tmp_dir):
+    from ordersight.sources import exported
+    import os
+    for b, rows in {"k1": ["a,3.0,15,1", "b,4.5,20,2"], "k2": ["c,abc,15,1", "d,4.5,20,2"]}.items():
+        os.makedirs(f"{tmp_dir}/batch={b}")
+        with open(f"{tmp_dir}/batch={b}/part-0.csv", "w") as fh:
+            fh.write("order_id,distance_km,prep_minutes,pos\n" + "\n".join(rows) + "\n")
+    rows, guard = exported.read_for_scoring(spark, tmp_dir, ["distance_km", "prep_minutes"])
+    assert sorted(r.order_id for r in rows.collect()) == ["a", "b"]
+    assert {r.batch: r.usable for r in guard.collect()} == {"k1": True, "k2": False}
+    with pytest.raises(ValueError):
+        exported.read_for_scoring(spark, tmp_dir, ["weather"])
