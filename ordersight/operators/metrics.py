@@ -172,13 +172,24 @@ def late_flag_rate_over_time(predictions: DataFrame, features: DataFrame, opts:
 
 # ---------- score summary ----------
 
-def score_summary(predictions: DataFrame) -> DataFrame:
+def score_summary(predictions: DataFrame, exact: bool = True) -> DataFrame:
     """AGG-16/17/19: n, flag rate %, mean probability, p10/p50/p90 (linear), current checkpoint.
 
     Percentiles are exact: probabilities are stored at 3 dp, so a histogram of at most
     1001 distinct values carries them, whatever the row count (pre-aggregated map-side).
     The mean is an exact integer sum of milli-probabilities.  Empty input gives n = 0 and NULLs.
     """
+    if not exact:
+        # for probabilities not on the 3-dp contract: the histogram would grow with the data,
+        # so quantiles come from Spark's bounded-memory sketch instead
+        return predictions.agg(
+            F.count(F.lit(1)).cast("long").alias("n"),
+            (F.lit(100.0) * F.sum("predicted_late") / F.count(F.lit(1))).alias("flag_rate"),
+            F.avg("late_probability").alias("mean_probability"),
+            F.percentile_approx("late_probability", [0.1, 0.5, 0.9], 10000).alias("q"),
+            F.max_by("checkpoint_id", checkpoint_version(F.col("checkpoint_id"))).alias("current_checkpoint")) \
+            .select("n", "flag_rate", "mean_probability", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p50"),
+                    F.col("q")[2].alias("p90"), "current_checkpoint")
     hist = predictions.groupBy(F.col("late_probability").alias("p")).agg(
         F.count(F.lit(1)).alias("c"), F.sum("predicted_late").alias("f"))
     stats = hist.agg(

@@ -212,3 +212,12 @@ def watermarked_counts(spark: SparkSession, out_root: str) -> DataFrame:
     """Newest emitted count per window (updates are cumulative, so the latest epoch wins)."""
     return spark.read.parquet(f"{out_root}/window_counts").groupBy("bucket").agg(
         F.max_by("orders", "epoch").alias("orders"))
+
+
+def stop_summary(spark: SparkSession, out_root: str) -> DataFrame:
+    """ST-13: files, kept and rejected over everything the cleaning job committed (from its ledger)."""
+    led = spark.read.parquet(f"{out_root}/ledger")
+    done = led.where(F.col("status") == "committed")
+    return done.agg(F.count(F.lit(1)).cast("long").alias("files"), F.sum("kept").cast("long").alias("kept"),
+                    F.sum("rejected").cast("long").alias("rejected"),
+                    led.where(F.col("status") == "skipped").agg(F.count(F.lit(1))).scalar().cast("long").alias("skipped"))

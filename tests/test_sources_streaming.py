@@ -80,6 +80,8 @@ def test_clean_stream_restart_is_noop_and_picks_up_new_files(spark, tmp_path):
     assert led == {"20240501T120000Z_0001": ("committed", None), "20240501T120200Z_0003": ("committed", None),
                    "20240501T120100Z_0002": ("committed", None),
                    "20240501T120150Z_0004": ("skipped", "unexpected header")}
+    summary = jobs.stop_summary(spark, out).first()
+    assert (summary.files, summary.kept, summary.rejected, summary.skipped) == (3, 2, 1, 1)
 
 
 def test_retrain_stream_publishes_on_trigger_only(spark, tmp_path):
@@ -178,3 +180,23 @@ def test_watermarked_volume_matches_additive_when_nothing_is_late(spark, tmp_pat
     a = {r.bucket: r.orders for r in jobs.watermarked_counts(spark, out).collect()}
     b = {r.bucket: r.orders for r in jobs.merged_bucket_counts(spark, out).collect()}
     assert a == b and sum(a.values()) == 200
+
+
+def test_replayed_epoch_overwrites_itself_and_summary(spark, tmp_path):
+    out = str(tmp_path / "t")
+    df = spark.createDataFrame([(i,) for i in range(5)], "x long")
+    jobs._write_epoch(df, out, 3)
+    jobs._write_epoch(df, out, 3)            # a replay of the same micro-batch
+    jobs._write_epoch(df, out, 4)
+    assert spark.read.parquet(out).count() == 10
+
+
+def test_approximate_summary_close_to_exact(spark):
+    from ordersight.operators import metrics
+    import random
+    rng = random.Random(1)
+    p = spark.createDataFrame([(f"o{i}", round(rng.random(), 3), 0, "model_v0001") for i in range(3000)],
+                              "order_id string, late_probability double, predicted_late int, checkpoint_id string")
+    a = metrics.score_summary(p).first()
+    b = metrics.score_summary(p, exact=False).first()
+    assert a.n == b.n and abs(a.p50 - b.p50) < 0.01 and abs(a.p90 - b.p90) < 0.01
