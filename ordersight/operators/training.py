@@ -121,8 +121,9 @@ def fit_logistic(train: DataFrame, opts: TrainOptions | None = None) -> FitResul
     compact = train.groupBy(*[F.col(c).cast("double").alias(c) for c in cols],
                             F.col(opts.label).cast("double").alias("label")) \
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    # bounded by the feature domain, so few partitions keep each solver pass cheap
-    compact = compact.coalesce(max(1, min(4, train.sparkSession.sparkContext.defaultParallelism))).persist()
+    # AQE sizes the aggregate's partitions: a few when the feature domain is small,
+    # as many as needed when it is not (no fixed count that a large domain would overflow)
+    compact = compact.persist()
     n_train = int(compact.agg(F.sum("weight")).first()[0] or 0)
     if n_train == 0:
         compact.unpersist()

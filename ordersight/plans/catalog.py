@@ -687,6 +687,20 @@ def q_fit_logistic(spark, sf_dir):
     return registry.records_frame(spark, [{**rec, "version": 1, "model_file": "model_v0001"}])
 
 
+@register("fit_and_score")
+def q_fit_and_score(spark, sf_dir):
+    """ML-02/03/08/10, UDF-02: fit on the holdout's train part, then score every kept order with it.
+
+    The fitted model is a few coefficients, so scoring stays a codegen'd column
+    expression built from the model's own feature list.
+    """
+    f = FeedContext(spark, sf_dir).stage()["features"]
+    status, fit, _, _ = training.train_once(f, TrainOptions())
+    if status != "ready":
+        raise ValueError(f"not ready: {status}")
+    return scoring.score_fixed(f, fit.coefficients, fit.intercept, "model_v0001")
+
+
 @register("model_registry_history", cte("""
 pd AS (SELECT floor(epoch(batch_time) / 86400)::BIGINT AS period, count(*) AS rows, max(ts) AS newest FROM feat GROUP BY 1),
 rg AS (SELECT row_number() OVER (ORDER BY period) AS version, period,

@@ -46,3 +46,12 @@ def test_every_query_runs_and_entry(spark):
     assert se.entry(spark).count() >= 0
     for name in sorted(set(se.queries()) - set(se.oracle_sql())):
         assert se.queries()[name](spark, SF).count() >= 1, name
+
+
+def test_fit_and_score_scores_every_kept_order_once(spark):
+    feats = se.queries()["features"](spark, SF)
+    scored = se.queries()["fit_and_score"](spark, SF)
+    assert scored.count() == feats.count()
+    assert scored.join(feats.select("order_id", "batch", "pos"), ["order_id", "batch", "pos"], "left_anti").count() == 0
+    bad = scored.where("late_probability < 0 OR late_probability > 1 OR predicted_late NOT IN (0, 1)").count()
+    assert bad == 0
