@@ -4,15 +4,13 @@ Fast path (splittable): ``text`` source + metadata columns; every line keeps
 its verbatim text as ``raw_line`` and gets its file position from the block it
 was read from and its index in the task (``pos``), so no per-file sort is
 needed.  Files with a quoted field spanning lines need the exact reader
-(``read_exact``), which parses whole files with the Python ``csv`` module
-inside ``mapInPandas`` (one task per file: a batch file is the unit).
+(``read_exact``): it finds each line's CSV quote state with regexes and running
+sums over the split blocks of a file, then groups lines into records.  It is
+still splittable and JVM-side, so a file of any size is spread over many tasks.
 """
 from __future__ import annotations
 
-import csv
-import io
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import batch_key_of, batch_time_of
@@ -100,52 +98,112 @@ def file_quarantine(spark: SparkSession, path: str, expected: str = HEADER) -> D
     return files.select(name.alias("file"), batch_key_of(name).alias("batch"), reason.alias("reason"))
 
 
-def needs_exact_reader(path_df: DataFrame) -> DataFrame:
-    """Files with a line holding an odd number of quotes: a quoted field spans lines."""
-    text = F.col("content").cast("string")
-    lines = F.split(text, "\n")
-    odd = F.exists(lines, lambda ln: (F.length(ln) - F.length(F.regexp_replace(ln, '"', ""))) % 2 == 1)
-    return path_df.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), odd.alias("multiline"))
-
-
-_EXACT_SCHEMA = "file string, batch string, pos long, raw_line string"
-
-
-def _exact_records(batches):
-    import pandas as pd
-    for pdf in batches:
-        out = {"file": [], "batch": [], "pos": [], "raw_line": []}
-        for path, content in zip(pdf["path"], pdf["content"]):
-            name = path.rsplit("/", 1)[-1]
-            key = name[len("orders_"):-len(".csv")] if name.startswith("orders_") and name.endswith(".csv") else ""
-            text = bytes(content).decode("utf-8")
-            consumed: list[str] = []
-            fh = io.StringIO(text, newline="")
-
-            def lines():
-                for line in fh:
-                    consumed.append(line)
-                    yield line
-            reader = csv.reader(lines())
-            next(reader, None)                       # header (checked by file_quarantine)
-            pos = 0
-            while True:
-                consumed.clear()
-                fields = next(reader, None)
-                if fields is None:
-                    break
-                if not fields:                       # blank line
-                    continue
-                pos += 1
-                out["file"].append(name)
-                out["batch"].append(key)
-                out["pos"].append(pos)
-                out["raw_line"].append("".join(consumed).rstrip("\r\n"))
-        yield pd.DataFrame(out)
-
-
-def read_exact(spark: SparkSession, path: str) -> DataFrame:
-    """A.2 exact reader: records with embedded newlines keep their verbatim text; blank lines skipped."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", RAW_GLOB).load(path).select("path", "content")
-    recs = files.mapInPandas(_exact_records, _EXACT_SCHEMA)
-    return recs.withColumn("batch_time", batch_time_of(F.col("batch")))
+# Quote state of CSV lines (the ``csv`` module's reading of ``"``; strict=False, doubled quotes).
+# A quote opens a quoted field only at the start of a field; inside one, ``""`` is a
+# literal quote and a lone ``"`` closes it; after that, text up to the next comma is plain.
+_QUOTED = '"(?:[^"]|"")*+"[^,]*'
+_FIELD = f'(?:{_QUOTED}|[^",][^,]*|)'
+_OPEN = '"(?:[^"]|"")*+'
+# ends inside a quoted field when read from a record start / when read from inside a quoted field
+_ENDS_OPEN_FROM_START = f"^(?:{_FIELD},)*{_OPEN}$"
+_ENDS_OPEN_FROM_INSIDE = f'^(?:[^"]|"")*+(?:"[^,]*,(?:{_FIELD},)*{_OPEN})?$'
+
+
+def _text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines split on ``\\n`` only, so a ``\\r`` before it stays on the line (exact rejoining)."""
+    lines = spark.read.option("pathGlobFilter", RAW_GLOB).option("lineSep", "\n").text(path)
+    name = F.col("_metadata.file_name")
+    key = batch_key_of(name)
+    return lines.select(name.alias("file"), key.alias("batch"), batch_time_of(key).alias("batch_time"),
+                        F.col("_metadata.file_block_start").alias("block"),
+                        file_position(F.col("_metadata.file_block_start")).alias("pos"),
+                        F.col("value").alias("line"))
+
+
+def _parity(c: Column) -> Column:
+    return F.pmod(c, F.lit(2)).cast("int")
+
+
+def record_keys(lines: DataFrame) -> DataFrame:
+    """Adds ``rec``: the ``pos`` of the first line of the CSV record each line belongs to.
+
+    Each line maps the quote state at its start (0 = at a record start, 1 = inside a
+    quoted field) to the state at its end; a line without ``"`` keeps it, others are
+    classified by two regexes.  A map on two states is the identity, a swap or a
+    constant, so the state before a line is the value of the last constant line
+    before it, flipped once per swap line in between.  That is a running sum and a
+    running "last" -- computed per (file, split block) in parallel, then carried
+    across a file's blocks through one row per block.  No file is read by one task,
+    and no Python runs.
+    """
+    has_q = F.instr("line", '"') > 0
+    e0 = has_q & F.col("line").rlike(_ENDS_OPEN_FROM_START)
+    e1 = ~has_q | F.col("line").rlike(_ENDS_OPEN_FROM_INSIDE)
+    m = lines.select("*", e0.cast("int").alias("_e0"), e1.cast("int").alias("_e1"))
+    m = m.select("*", ((F.col("_e0") == 1) & (F.col("_e1") == 0)).cast("int").alias("_swap"),
+                 (F.col("_e0") == F.col("_e1")).alias("_const"))
+    w = Window.partitionBy("file", "block").orderBy("pos")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    m = m.withColumn("_sw", F.sum("_swap").over(upto))                  # swaps up to and incl. the line
+    last_const = F.last(F.when(F.col("_const"), F.struct(F.col("_e0").alias("v"), F.col("_sw").alias("sw"))),
+                        ignorenulls=True)
+    m = m.select("*", last_const.over(before).alias("_lc"), (F.col("_sw") - F.col("_swap")).alias("_swb"))
+    # state at the line's start, for block entry state 0 and 1
+    from_const = F.col("_lc.v").bitwiseXOR(_parity(F.col("_swb") - F.col("_lc.sw")))
+    for h in (0, 1):
+        m = m.withColumn(f"_s{h}", F.when(F.col("_lc").isNotNull(), from_const)
+                         .otherwise(F.lit(h).bitwiseXOR(_parity(F.col("_swb")))))
+    m = m.select("*", *[F.max(F.when(F.col(f"_s{h}") == 0, F.col("pos"))).over(upto).alias(f"_rk{h}")
+                        for h in (0, 1)])
+    # one row per (file, block): the block's own map and its last record start per entry state
+    blk = m.groupBy("file", "block").agg(
+        _parity(F.sum("_swap")).alias("_p"),
+        F.max_by(F.struct(F.col("_e0").alias("v"), F.col("_sw").alias("sw")),
+                 F.when(F.col("_const"), F.col("pos"))).alias("_blc"),
+        F.max("_sw").alias("_tsw"), F.max("_rk0").alias("_ls0"), F.max("_rk1").alias("_ls1"))
+    # the block's map: constant (value after its last constant line and the swaps after it) or a swap parity
+    blk = blk.select("file", "block", "_ls0", "_ls1", F.col("_blc").isNotNull().alias("_bconst"),
+                     F.col("_blc.v").bitwiseXOR(_parity(F.col("_tsw") - F.col("_blc.sw"))).alias("_bv"),
+                     F.when(F.col("_blc").isNull(), F.col("_p")).otherwise(F.lit(0)).alias("_q"))
+    wb = Window.partitionBy("file").orderBy("block")
+    bbefore = wb.rowsBetween(Window.unboundedPreceding, -1)
+    bupto = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    blk = blk.withColumn("_qc", F.sum("_q").over(bupto))
+    blast = F.last(F.when(F.col("_bconst"), F.struct(F.col("_bv").alias("v"), F.col("_qc").alias("qc"))),
+                   ignorenulls=True).over(bbefore)
+    qb = F.col("_qc") - F.col("_q")
+    blk = blk.select("*", blast.alias("_bl"))
+    blk = blk.withColumn("_in", F.when(F.col("_bl").isNotNull(),
+                                       F.col("_bl.v").bitwiseXOR(_parity(qb - F.col("_bl.qc"))))
+                         .otherwise(_parity(qb)))
+    blk = blk.withColumn("_ls", F.when(F.col("_in") == 0, F.col("_ls0")).otherwise(F.col("_ls1")))
+    blk = blk.select("file", "block", "_in", F.max("_ls").over(bbefore).alias("_carry"))
+    # one row per split block of the input: bounded by input size / split size, left to AQE to place
+    j = m.join(blk, ["file", "block"])
+    rec = F.coalesce(F.when(F.col("_in") == 0, F.col("_rk0")).otherwise(F.col("_rk1")), F.col("_carry"))
+    return j.select(*lines.columns, rec.alias("rec"))
+
+
+def needs_exact_reader(spark: SparkSession, path: str) -> DataFrame:
+    """Per file: does any CSV record span lines (a quoted field holding a newline)?"""
+    k = record_keys(_text_lines(spark, path))
+    return k.groupBy("file").agg(F.max((F.col("rec") != F.col("pos")).cast("int")).cast("boolean").alias("multiline"))
+
+
+def read_exact(spark: SparkSession, path: str, expected: str = HEADER) -> DataFrame:
+    """A.2 exact reader: records with embedded newlines keep their verbatim text; blank lines skipped.
+
+    Lines are grouped into records by ``record_keys`` (splittable: a file of any
+    size is spread over the tasks of its split blocks); a record's lines are
+    re-joined with the ``\\n`` they were split on, so its text is the file's bytes.
+    The first record of a file is its header (checked like ``split_header``).
+    """
+    k = record_keys(_text_lines(spark, path))
+    lines = F.array_sort(F.collect_list(F.struct("pos", "line")))
+    recs = k.groupBy("file", "batch", "batch_time", F.col("rec").alias("pos")).agg(
+        F.regexp_replace(F.array_join(F.transform(lines, lambda x: x["line"]), "\n"), "[\r\n]+$", "")
+        .alias("raw_line"), F.count(F.lit(1)).alias("_n"))
+    recs = recs.where((F.col("_n") > 1) | (F.col("raw_line") != ""))     # a blank line is no record
+    data, _ = split_header(recs.drop("_n"), expected)
+    return data.select("file", "batch", "pos", "raw_line", "batch_time")

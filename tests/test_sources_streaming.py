@@ -48,8 +48,7 @@ def test_file_quarantine(spark, tmp_dir):
 def test_exact_reader_keeps_multiline_record(spark, tmp_dir):
     batch_file(tmp_dir, "20240501T120000Z_0001", ['A,2024-05-01T12:00:01Z,3,15,"10\nmore",1', "",
                                                    "B,2024-05-01T12:00:02Z,3,15,10,1"])
-    files = spark.read.format("binaryFile").load(tmp_dir)
-    assert raw_files.needs_exact_reader(files).first().multiline
+    assert raw_files.needs_exact_reader(spark, tmp_dir).first().multiline
     recs = raw_files.read_exact(spark, tmp_dir).orderBy("pos").collect()
     assert [r.raw_line for r in recs] == ['A,2024-05-01T12:00:01Z,3,15,"10\nmore",1', "B,2024-05-01T12:00:02Z,3,15,10,1"]
     ann = quality.annotate(raw_files.read_exact(spark, tmp_dir)).orderBy("pos").collect()
@@ -200,3 +199,71 @@ def test_approximate_summary_close_to_exact(spark):
     a = metrics.score_summary(p).first()
     b = metrics.score_summary(p, exact=False).first()
     assert a.n == b.n and abs(a.p50 - b.p50) < 0.01 and abs(a.p90 - b.p90) < 0.01
+
+
+def _csv_records(data: bytes):
+    """Brute force: the csv module's records of a file with their verbatim text (header dropped)."""
+    import csv
+    import io
+    fh = io.StringIO(data.decode("utf-8"), newline="")
+    consumed = []
+
+    def lines():
+        for line in fh:
+            consumed.append(line)
+            yield line
+    reader = csv.reader(lines())
+    out = []
+    while True:
+        consumed.clear()
+        fields = next(reader, None)
+        if fields is None:
+            break
+        if fields:
+            out.append("".join(consumed).rstrip("\r\n"))
+    return out[1:]
+
+
+def _random_field(rnd):
+    kind = rnd.random()
+    if kind < 0.45:
+        return rnd.choice(["A1", "12.5", "2024-05-01T12:00:01Z", "", "x y", "n/a"])
+    if kind < 0.55:
+        return rnd.choice(['12"5', 'a"b"', 'z""'])                       # a quote inside a plain field is literal
+    body = "".join(rnd.choice(["ab", ",", "\n", "\r\n", '""', " ", "\n\n", "q"]) for _ in range(rnd.randint(0, 4)))
+    tail = rnd.choice(["", "", "x", 'y"'])                              # text after the closing quote
+    return f'"{body}"{tail}'
+
+
+def _random_file(rnd, n):
+    nl = rnd.choice(["\n", "\r\n"])
+    rows = [HEADER]
+    for _ in range(n):
+        rows.append("" if rnd.random() < 0.05 else ",".join(_random_field(rnd) for _ in range(rnd.randint(1, 7))))
+    return (nl.join(rows) + nl).encode()
+
+
+def test_exact_reader_matches_csv_module_across_split_blocks(spark, tmp_dir):
+    import random
+    rnd = random.Random(11)
+    files = {f"orders_20240501T1200{i:02d}Z_000{i}.csv": _random_file(rnd, n)
+             for i, n in enumerate([3, 40, 200, 150000])}                  # the last one spans several splits
+    for name, data in files.items():
+        write_bytes(os.path.join(tmp_dir, name), data)
+    assert max(len(d) for d in files.values()) > 3 * (1 << 20)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 20))
+    try:
+        assert raw_files._text_lines(spark, tmp_dir).select("file", "block").distinct().count() > len(files)
+        got = {}
+        for r in raw_files.read_exact(spark, tmp_dir).orderBy("file", "pos").collect():
+            got.setdefault(r.file, []).append(r.raw_line)
+        multi = {r.file: r.multiline for r in raw_files.needs_exact_reader(spark, tmp_dir).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for name, data in files.items():
+        want = _csv_records(data)
+        assert got.get(name, []) == want, name
+        assert multi[name] == any("\n" in w for w in want), name
