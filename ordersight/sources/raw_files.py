@@ -76,25 +76,31 @@ def raw_text_stream(spark: SparkSession, path: str, max_files: int | None = None
 def file_quarantine(spark: SparkSession, path: str, expected: str = HEADER) -> DataFrame:
     """SRC-03: files that cannot be used at all, with the reason (never an error).
 
-    Reads the bytes (``binaryFile``) because the text source hides exactly these
-    problems: it strips a UTF-8 BOM and replaces invalid bytes.
+    One partial aggregate per file over its split lines, so no file is read by one
+    task: the text source keeps invalid bytes and NULs as they are, and its first
+    line (by ``pos``) is the header.  It drops a leading UTF-8 BOM, whose 3 bytes
+    then show up as missing from the file length: length - line bytes - line
+    count (one ``\\n`` each) is 0, or -1 without a final newline, when there is no BOM.
     """
     from ..operators.registry import list_files
-    listing = list_files(spark, path, RAW_GLOB).withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
-    content = (spark.read.format("binaryFile").option("pathGlobFilter", RAW_GLOB).load(path)
-               .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "content"))
-    # zero-byte files yield no binaryFile row: the listing keeps them visible
-    files = listing.select("file", "length").join(content, "file", "left")
+    listing = list_files(spark, path, RAW_GLOB).select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
+    per = _text_lines(spark, path).groupBy("file").agg(
+        F.min_by("line", "pos").alias("_first"), F.sum(F.octet_length("line")).alias("_bytes"),
+        F.count(F.lit(1)).alias("_lines"), F.bool_and(F.is_valid_utf8("line")).alias("_utf8"),
+        F.bool_or(F.instr("line", "\u0000") > 0).alias("_nul"))
+    # zero-byte files yield no lines: the listing keeps them visible
+    files = listing.join(per, "file", "left")
     name = F.col("file")
-    text = F.col("content").cast("string")
-    first_line = F.regexp_replace(F.substring_index(text, "\n", 1), "\r$", "")
+    missing = F.col("length") - F.coalesce(F.col("_bytes"), F.lit(0)) - F.coalesce(F.col("_lines"), F.lit(0))
+    first_line = F.regexp_replace(F.col("_first"), "\r$", "")
     reason = (F.when(batch_key_of(name) == "", F.lit("bad file name"))
               .when(batch_time_of(batch_key_of(name)).isNull(), F.lit("impossible batch stamp"))
               .when(F.col("length") == 0, F.lit("empty file"))
-              .when(F.hex(F.substring("content", 1, 3)) == "EFBBBF", F.lit("unexpected header"))
-              .when(~F.is_valid_utf8(text), F.lit("not UTF-8 text"))
-              .when(F.instr(text, "\u0000") > 0, F.lit("malformed CSV (NUL byte)"))
-              .when(first_line != F.lit(expected), F.lit("unexpected header")))
+              .when(missing >= 2, F.lit("unexpected header"))
+              .when(~F.col("_utf8"), F.lit("not UTF-8 text"))
+              .when(F.col("_nul"), F.lit("malformed CSV (NUL byte)"))
+              .when(~F.coalesce(first_line == F.lit(expected), F.lit(False)), F.lit("unexpected header")))
     return files.select(name.alias("file"), batch_key_of(name).alias("batch"), reason.alias("reason"))
 
 

@@ -267,3 +267,12 @@ def test_exact_reader_matches_csv_module_across_split_blocks(spark, tmp_dir):
         want = _csv_records(data)
         assert got.get(name, []) == want, name
         assert multi[name] == any("\n" in w for w in want), name
+
+
+def test_file_quarantine_bom_without_final_newline_and_clean_crlf(spark, tmp_dir):
+    body = HEADER + "\r\nA,2024-05-01T12:00:01Z,3,15,10,1"               # CRLF, no final newline
+    write_bytes(f"{tmp_dir}/orders_20240501T120000Z_0001.csv", body.encode())
+    write_bytes(f"{tmp_dir}/orders_20240501T120000Z_0002.csv", b"\xef\xbb\xbf" + body.encode())
+    write_bytes(f"{tmp_dir}/orders_20240501T120000Z_0003.csv", (HEADER + "\n").encode())   # header only
+    got = {r.file[-8:-4]: r.reason for r in raw_files.file_quarantine(spark, tmp_dir).collect()}
+    assert got == {"0001": None, "0002": "unexpected header", "0003": None}
