@@ -118,9 +118,8 @@ _ENDS_OPEN_FROM_INSIDE = f'^(?:[^"]|"")*+(?:"[^,]*,(?:{_FIELD},)*{_OPEN})?$'
 def _text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines split on ``\\n`` only, so a ``\\r`` before it stays on the line (exact rejoining)."""
     lines = spark.read.option("pathGlobFilter", RAW_GLOB).option("lineSep", "\n").text(path)
-    name = F.col("_metadata.file_name")
-    key = batch_key_of(name)
-    return lines.select(name.alias("file"), key.alias("batch"), batch_time_of(key).alias("batch_time"),
+    # only what both branches of ``record_keys`` need, so their shuffles are one reused exchange
+    return lines.select(F.col("_metadata.file_name").alias("file"),
                         F.col("_metadata.file_block_start").alias("block"),
                         file_position(F.col("_metadata.file_block_start")).alias("pos"),
                         F.col("value").alias("line"))
@@ -131,7 +130,8 @@ def _parity(c: Column) -> Column:
 
 
 def record_keys(lines: DataFrame) -> DataFrame:
-    """Adds ``rec``: the ``pos`` of the first line of the CSV record each line belongs to.
+    """Adds ``rec``: the ``pos`` of the first line of the CSV record each line belongs to,
+    and ``first_line``: the file's first line (``pos``, ``line``, ``open`` = it ends inside quotes).
 
     Each line maps the quote state at its start (0 = at a record start, 1 = inside a
     quoted field) to the state at its end; a line without ``"`` keeps it, others are
@@ -167,9 +167,10 @@ def record_keys(lines: DataFrame) -> DataFrame:
         _parity(F.sum("_swap")).alias("_p"),
         F.max_by(F.struct(F.col("_e0").alias("v"), F.col("_sw").alias("sw")),
                  F.when(F.col("_const"), F.col("pos"))).alias("_blc"),
-        F.max("_sw").alias("_tsw"), F.max("_rk0").alias("_ls0"), F.max("_rk1").alias("_ls1"))
+        F.max("_sw").alias("_tsw"), F.max("_rk0").alias("_ls0"), F.max("_rk1").alias("_ls1"),
+        F.min_by(F.struct("pos", "line", F.col("_e0").alias("open")), F.col("pos")).alias("_fl"))
     # the block's map: constant (value after its last constant line and the swaps after it) or a swap parity
-    blk = blk.select("file", "block", "_ls0", "_ls1", F.col("_blc").isNotNull().alias("_bconst"),
+    blk = blk.select("file", "block", "_ls0", "_ls1", "_fl", F.col("_blc").isNotNull().alias("_bconst"),
                      F.col("_blc.v").bitwiseXOR(_parity(F.col("_tsw") - F.col("_blc.sw"))).alias("_bv"),
                      F.when(F.col("_blc").isNull(), F.col("_p")).otherwise(F.lit(0)).alias("_q"))
     wb = Window.partitionBy("file").orderBy("block")
@@ -184,11 +185,12 @@ def record_keys(lines: DataFrame) -> DataFrame:
                                        F.col("_bl.v").bitwiseXOR(_parity(qb - F.col("_bl.qc"))))
                          .otherwise(_parity(qb)))
     blk = blk.withColumn("_ls", F.when(F.col("_in") == 0, F.col("_ls0")).otherwise(F.col("_ls1")))
-    blk = blk.select("file", "block", "_in", F.max("_ls").over(bbefore).alias("_carry"))
+    blk = blk.select("file", "block", "_in", F.max("_ls").over(bbefore).alias("_carry"),
+                     F.first("_fl").over(bupto).alias("first_line"))
     # one row per split block of the input: bounded by input size / split size, left to AQE to place
     j = m.join(blk, ["file", "block"])
     rec = F.coalesce(F.when(F.col("_in") == 0, F.col("_rk0")).otherwise(F.col("_rk1")), F.col("_carry"))
-    return j.select(*lines.columns, rec.alias("rec"))
+    return j.select(*lines.columns, rec.alias("rec"), "first_line")
 
 
 def needs_exact_reader(spark: SparkSession, path: str) -> DataFrame:
@@ -203,13 +205,20 @@ def read_exact(spark: SparkSession, path: str, expected: str = HEADER) -> DataFr
     Lines are grouped into records by ``record_keys`` (splittable: a file of any
     size is spread over the tasks of its split blocks); a record's lines are
     re-joined with the ``\\n`` they were split on, so its text is the file's bytes.
-    The first record of a file is its header (checked like ``split_header``).
+    The file's first line is its header, checked as in ``split_header`` (a header
+    record spanning lines never matches); it comes with every line from the
+    per-block table, so the lines are scanned once.
     """
     k = record_keys(_text_lines(spark, path))
+    hdr = F.col("first_line")
+    key = batch_key_of(F.col("file"))
+    good_file = ((key != "") & batch_time_of(key).isNotNull() & (hdr["open"] == 0)
+                 & (F.regexp_replace(hdr["line"], "\r$", "") == F.lit(expected)))
+    body = k.where(good_file & (F.col("rec") != hdr["pos"]))
     lines = F.array_sort(F.collect_list(F.struct("pos", "line")))
-    recs = k.groupBy("file", "batch", "batch_time", F.col("rec").alias("pos")).agg(
+    recs = body.groupBy("file", "rec").agg(
         F.regexp_replace(F.array_join(F.transform(lines, lambda x: x["line"]), "\n"), "[\r\n]+$", "")
         .alias("raw_line"), F.count(F.lit(1)).alias("_n"))
     recs = recs.where((F.col("_n") > 1) | (F.col("raw_line") != ""))     # a blank line is no record
-    data, _ = split_header(recs.drop("_n"), expected)
-    return data.select("file", "batch", "pos", "raw_line", "batch_time")
+    return recs.select("file", key.alias("batch"), F.col("rec").alias("pos"), "raw_line",
+                       batch_time_of(key).alias("batch_time"))

@@ -276,3 +276,12 @@ def test_file_quarantine_bom_without_final_newline_and_clean_crlf(spark, tmp_dir
     write_bytes(f"{tmp_dir}/orders_20240501T120000Z_0003.csv", (HEADER + "\n").encode())   # header only
     got = {r.file[-8:-4]: r.reason for r in raw_files.file_quarantine(spark, tmp_dir).collect()}
     assert got == {"0001": None, "0002": "unexpected header", "0003": None}
+
+
+def test_exact_reader_header_is_the_first_line(spark, tmp_dir):
+    batch_file(tmp_dir, "20240501T120000Z_0001", ["A,2024-05-01T12:00:01Z,3,15,10,1"], header="")   # blank first line
+    batch_file(tmp_dir, "20240501T120000Z_0002", ["B,2024-05-01T12:00:01Z,3,15,10,1"],
+               header='"order_id\nx",timestamp')                                              # header spans lines
+    batch_file(tmp_dir, "20240501T120000Z_0003", ["C,2024-05-01T12:00:01Z,3,15,10,1"], newline="\r\n")
+    got = [(r.file[-8:-4], r.raw_line) for r in raw_files.read_exact(spark, tmp_dir).collect()]
+    assert got == [("0003", "C,2024-05-01T12:00:01Z,3,15,10,1")]
