@@ -36,7 +36,10 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.shuffle.partitions": "8000",          # upper bound; AQE coalesces
+    # Upper bound, sized for the largest shuffle: the cleaning job's row-level join at ~100 TB of
+    # input gives ~1 GB per partition before AQE.  AQE coalesces small shuffles toward the 256m
+    # advisory size but never splits a non-skewed partition, so a low bound would spill.
+    "spark.sql.shuffle.partitions": "100000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
