@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..options import TrainOptions
-from .ordering import at_or_before, order_cutoff
+from .ordering import order_cutoff
 
 
 def split_sizes(n: Column, opts: TrainOptions) -> tuple[Column, Column]:
@@ -16,23 +16,60 @@ def split_sizes(n: Column, opts: TrainOptions) -> tuple[Column, Column]:
     return n - n_test, n_test
 
 
-def holdout_split(features: DataFrame, opts: TrainOptions | None = None,
-                  order_cols: tuple = ("batch", "pos")) -> DataFrame:
-    """WIN-03: oldest rows train, newest ``test_fraction`` test, in file-name then file order.
+def holdout_cutoff(features: DataFrame, opts: TrainOptions | None = None,
+                   order_cols: tuple = ("batch", "pos")) -> tuple:
+    """The ``(major, minor)`` key of the last train row, evaluated once.
 
-    The split is a filter with two scalar thresholds: the (batch, pos) key of the
-    ``n_train``-th row, found by ``order_cutoff`` with small aggregates only, so the
-    rows are never sorted or shuffled for it.
+    ``order_cutoff`` finds it with small aggregates only (the rows are never sorted
+    or shuffled for it); the two scalars then come back to the driver, so the split
+    is a literal range filter that Parquet row-group statistics can prune, and
+    callers can reuse it instead of re-running the nested subqueries.
+    ``(None, None)`` when there is no train row.
     """
     opts = opts or TrainOptions()
     major, minor = order_cols
     n = features.agg(F.count(F.lit(1)).cast("long")).scalar()
     n_train, _ = split_sizes(n, opts)
     cut_major, cut_minor = order_cutoff(features, n_train, major, minor)
-    train = at_or_before(F.col(major), F.col(minor), cut_major, cut_minor)
+    row = features.sparkSession.range(1).select(cut_major.alias("m"), cut_minor.alias("p")).first()
+    return row["m"], row["p"]
+
+
+def holdout_split(features: DataFrame, opts: TrainOptions | None = None,
+                  order_cols: tuple = ("batch", "pos"), cutoff: tuple | None = None) -> DataFrame:
+    """WIN-03: oldest rows train, newest ``test_fraction`` test, in file-name then file order.
+
+    The split is a filter on the ``holdout_cutoff`` key (given, or found here).
+    """
+    major, minor = order_cols
+    cut_major, cut_minor = cutoff if cutoff is not None else holdout_cutoff(features, opts, order_cols)
+    if cut_major is None:
+        train = F.lit(False)
+    else:
+        # a plain range predicate on literals (no coalesce), so it reaches the Parquet scan;
+        # a NULL comparison falls to 'test' exactly as at_or_before's False would
+        train = (F.col(major) < F.lit(cut_major)) | ((F.col(major) == F.lit(cut_major))
+                                                     & (F.col(minor) <= F.lit(cut_minor)))
     return features.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("test")))
 
 
+def split_side(cutoff: tuple, side: str, order_cols: tuple = ("batch", "pos")) -> Column:
+    """Row filter of one holdout side as a plain range predicate on the cutoff literals.
+
+    Unlike a filter on the ``split`` column, it reaches the Parquet scan, so the
+    test side of a table sorted by ``(batch, pos)`` within its files reads only the
+    row groups of the newest batches.  The keys are never NULL in the stage table.
+    """
+    major, minor = order_cols
+    cut_major, cut_minor = cutoff
+    if cut_major is None:
+        return F.lit(side == "test")
+    m, p = F.lit(cut_major), F.lit(cut_minor)
+    if side == "train":
+        return (F.col(major) < m) | ((F.col(major) == m) & (F.col(minor) <= p))
+    return (F.col(major) > m) | ((F.col(major) == m) & (F.col(minor) > p))
+
+
 def readiness(split: DataFrame, opts: TrainOptions | None = None) -> DataFrame:
     """ML-02/AGG-05: enough rows and both labels in the *train* split (a status row, not an exception)."""
     opts = opts or TrainOptions()
@@ -162,19 +199,20 @@ def registry_record(fit: FitResult, metrics: dict, rows_total: int, rows_new: in
     }
 
 
-def train_once(features: DataFrame, opts: TrainOptions | None = None):
-    """ML-02..05: holdout, guards, fit, evaluation.  Returns ``(status, fit, metrics, sizes)``."""
+def train_once(features: DataFrame, opts: TrainOptions | None = None, cutoff: tuple | None = None):
+    """ML-02..05: holdout, guards, fit, evaluation.  Returns ``(status, fit, metrics, sizes)``.
+
+    Nothing data-sized is cached: the guards are one aggregate pass, and the fit and
+    the evaluation each read only their side of the split (pushed-down range filters).
+    """
     from .scoring import logistic
     opts = opts or TrainOptions()
-    split = holdout_split(features, opts).persist()
-    try:
-        ready = readiness(split, opts).first().asDict()
-        if ready["status"] != "ready":
-            return ready["status"], None, None, ready
-        fit = fit_logistic(split.where(F.col("split") == "train"), opts)
-        test = split.where(F.col("split") == "test").withColumn("probability", logistic(fit.coefficients, fit.intercept))
-        m = classification_metrics(test, opts.label).first().asDict()
-        ready["data_through"] = features.agg(F.max("timestamp")).first()[0]
-        return "ready", fit, m, ready
-    finally:
-        split.unpersist()
+    cut = cutoff if cutoff is not None else holdout_cutoff(features, opts)
+    ready = readiness(holdout_split(features, opts, cutoff=cut), opts).first().asDict()
+    if ready["status"] != "ready":
+        return ready["status"], None, None, ready
+    fit = fit_logistic(features.where(split_side(cut, "train")), opts)
+    test = features.where(split_side(cut, "test")).withColumn("probability", logistic(fit.coefficients, fit.intercept))
+    m = classification_metrics(test, opts.label).first().asDict()
+    ready["data_through"] = features.agg(F.max("timestamp")).first()[0]
+    return "ready", fit, m, ready

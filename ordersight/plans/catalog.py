@@ -640,8 +640,21 @@ sp AS (SELECT f.*, row_number() OVER (ORDER BY batch, pos) - 1 AS position FROM
 @register("holdout_split", cte(_SPLIT_CTE, """
 SELECT batch, pos, CASE WHEN position < (SELECT n_train FROM sz) THEN 'train' ELSE 'test' END AS split FROM sp"""))
 def q_holdout_split(spark, sf_dir):
-    f = FeedContext(spark, sf_dir).stage()["features"]
-    return training.holdout_split(f).select("batch", "pos", "split")
+    f, cut = _holdout(spark, sf_dir)
+    return training.holdout_split(f, cutoff=cut).select("batch", "pos", "split")
+
+
+_CUTOFFS: dict[str, tuple] = {}
+
+
+def _holdout(spark, sf_dir):
+    """Stage features and their holdout cutoff, found once per stage table (two scalars)."""
+    ctx = FeedContext(spark, sf_dir)
+    f = ctx.stage()["features"]
+    root = ctx.stage_dir()
+    if root not in _CUTOFFS:
+        _CUTOFFS[root] = training.holdout_cutoff(f)
+    return f, _CUTOFFS[root]
 
 
 _GOLDEN_P_SQL = "1.0 / (1.0 + exp(-(-7.0 + 0.6 * distance_km + 0.25 * prep_minutes)))"
@@ -666,9 +679,8 @@ SELECT CAST(n AS BIGINT) AS n_test, round_even(CAST(pos AS DOUBLE) / n, 3) AS la
   round_even(auc, 3) AS roc_auc
 FROM c, a"""))
 def q_holdout_metrics_fixed(spark, sf_dir):
-    f = FeedContext(spark, sf_dir).stage()["features"]
-    split = training.holdout_split(f)
-    test = split.where(F.col("split") == "test").withColumn(
+    f, cut = _holdout(spark, sf_dir)
+    test = f.where(training.split_side(cut, "test")).withColumn(
         "probability", scoring.logistic(scoring.GOLDEN_COEFFICIENTS, scoring.GOLDEN_INTERCEPT))
     m = training.classification_metrics(test)
     return m.select("n_test", *[F.bround(c, 3).alias(c) for c in m.columns if c != "n_test"])
@@ -677,9 +689,9 @@ def q_holdout_metrics_fixed(spark, sf_dir):
 @register("fit_logistic")
 def q_fit_logistic(spark, sf_dir):
     """ML-02/03/05/07, MAP-01: fit on the oldest 80 %, evaluate on the newest 20 %; one typed registry row."""
-    f = FeedContext(spark, sf_dir).stage()["features"]
+    f, cut = _holdout(spark, sf_dir)
     opts = TrainOptions()
-    status, fit, m, sizes = training.train_once(f, opts)
+    status, fit, m, sizes = training.train_once(f, opts, cutoff=cut)
     if status != "ready":
         raise ValueError(f"not ready: {status}")
     rec = training.registry_record(fit, m, sizes["rows_total"], sizes["rows_total"], sizes["n_test"],
@@ -694,8 +706,8 @@ def q_fit_and_score(spark, sf_dir):
     The fitted model is a few coefficients, so scoring stays a codegen'd column
     expression built from the model's own feature list.
     """
-    f = FeedContext(spark, sf_dir).stage()["features"]
-    status, fit, _, _ = training.train_once(f, TrainOptions())
+    f, cut = _holdout(spark, sf_dir)
+    status, fit, _, _ = training.train_once(f, TrainOptions(), cutoff=cut)
     if status != "ready":
         raise ValueError(f"not ready: {status}")
     return scoring.score_fixed(f, fit.coefficients, fit.intercept, "model_v0001")
