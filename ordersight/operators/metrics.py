@@ -56,10 +56,21 @@ def _bounds(features: DataFrame, opts: WindowOptions, end: Column | None, ts: st
 
 
 def in_window(ts_epoch: Column, start_s: Column, end_s: Column) -> Column:
-    """Half-open ``[start, end)`` (FLT-10)."""
+    """Half-open ``[start, end)`` (FLT-10) on epoch seconds."""
     return (ts_epoch >= start_s) & (ts_epoch < end_s)
 
 
+def within(ts: str | Column, start_s: Column, end_s: Column) -> Column:
+    """Half-open ``[start, end)`` (FLT-10) on a timestamp column, for whole-second bounds.
+
+    The same test as ``in_window(epoch(ts), ...)``, but the column itself is compared, so
+    with literal bounds (an explicit ``end``) the filter reaches the Parquet scan and
+    only the window's row groups are read.
+    """
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return (c >= F.timestamp_seconds(start_s)) & (c < F.timestamp_seconds(end_s))
+
+
 def slot_index(ts_epoch: Column, start_s: Column, bucket_seconds: int) -> Column:
     """DT-05: ``(ts - start) // bucket``."""
     return F.floor((ts_epoch - start_s) / F.lit(bucket_seconds)).cast("long")
@@ -85,7 +96,7 @@ def sample_volume(features: DataFrame, opts: WindowOptions, end: Column | None =
     start_s, end_s = _bounds(features, opts, end, ts)
     if previous:
         start_s, end_s = start_s - F.lit(opts.window_seconds), start_s
-    return features.where(in_window(epoch(ts), start_s, end_s)).agg(
+    return features.where(within(ts, start_s, end_s)).agg(
         F.count(F.lit(1)).cast("long").alias("orders"))
 
 
@@ -101,7 +112,7 @@ def volume_over_time(features: DataFrame, opts: WindowOptions, end: Column | Non
     b = opts.bucket_seconds
     t = epoch(ts)
     rows = features if end is None else features.where(
-        in_window(t, end - F.lit(opts.window_seconds), end))
+        within(ts, end - F.lit(opts.window_seconds), end))
     per_bucket = rows.groupBy(bucket_of(t, b).alias("bucket")).agg(
         F.count(F.lit(1)).cast("long").alias("orders"))
     sp = bucket_spine(per_bucket, opts, end, weight="orders")
@@ -160,7 +171,7 @@ def late_flag_rate_over_time(predictions: DataFrame, features: DataFrame, opts:
     start_s, end_s = _bounds(features, opts, end, ts)
     joined = join_predictions(predictions, features, ts)
     t = epoch(ts)
-    rates = (joined.where(in_window(t, start_s, end_s))
+    rates = (joined.where(within(ts, start_s, end_s))
              .groupBy(slot_index(t, start_s, opts.bucket_seconds).alias("slot"))
              .agg(F.count(F.lit(1)).cast("long").alias("scored"),
                   F.sum("predicted_late").cast("long").alias("flagged")))
@@ -221,9 +232,9 @@ def drop_rate(features: DataFrame, rejects: DataFrame, opts: WindowOptions,
     start_s, end_s = _bounds(features, opts, end, ts)
     if previous:
         start_s, end_s = start_s - F.lit(opts.window_seconds), start_s
-    kept = features.where(in_window(epoch("batch_time"), start_s, end_s)).agg(
+    kept = features.where(within("batch_time", start_s, end_s)).agg(
         F.count(F.lit(1)).cast("long").alias("kept"))
-    rej = rejects.where(in_window(epoch("batch_time"), start_s, end_s)).agg(
+    rej = rejects.where(within("batch_time", start_s, end_s)).agg(
         F.count(F.lit(1)).cast("long").alias("rejected"))
     return kept.select(
         "kept", rej.scalar().alias("rejected")).select(
@@ -244,7 +255,7 @@ def failure_counts(rejects: DataFrame, features: DataFrame, opts: WindowOptions,
                    end: Column | None = None, ts: str = "timestamp") -> DataFrame:
     """AGG-21 + SRT-03: rows dropped per labelled reason in the window, ranked (count desc, label asc)."""
     start_s, end_s = _bounds(features, opts, end, ts)
-    counts = (rejects.where(in_window(epoch("batch_time"), start_s, end_s))
+    counts = (rejects.where(within("batch_time", start_s, end_s))
               .groupBy(reason_label(F.col("reason")).alias("label"))
               .agg(F.count(F.lit(1)).cast("long").alias("rows_dropped")))
     # one row per distinct label: a tiny, bounded window
@@ -256,19 +267,18 @@ def failure_counts(rejects: DataFrame, features: DataFrame, opts: WindowOptions,
 # ---------- KPIs ----------
 
 def kpi_numbers(features: DataFrame, rejects: DataFrame, predictions: DataFrame,
-                opts: WindowOptions, ts: str = "timestamp") -> DataFrame:
+                opts: WindowOptions, ts: str = "timestamp", end: Column | None = None) -> DataFrame:
     """AGG-24/FND-05: current and previous window numbers in one conditional-aggregation pass each.
 
     Deltas are only given when the previous window is fully covered by data.
     """
     b, w = opts.bucket_seconds, opts.window_seconds
-    end_s = end_epoch(features, opts, ts)
+    end_s = end_epoch(features, opts, ts) if end is None else end
     start_s = end_s - F.lit(w)
     prev_s = start_s - F.lit(w)
     t = epoch(ts)
-    bt = epoch("batch_time")
-    cur, prev = in_window(t, start_s, end_s), in_window(t, prev_s, start_s)
-    bcur, bprev = in_window(bt, start_s, end_s), in_window(bt, prev_s, start_s)
+    cur, prev = within(ts, start_s, end_s), within(ts, prev_s, start_s)
+    bcur, bprev = within("batch_time", start_s, end_s), within("batch_time", prev_s, start_s)
     f = features.agg(
         F.count_if(cur).cast("long").alias("orders"),
         F.count_if(prev).cast("long").alias("prev_orders"),
@@ -278,10 +288,10 @@ def kpi_numbers(features: DataFrame, rejects: DataFrame, predictions: DataFrame,
     r = rejects.agg(F.count_if(bcur).cast("long").alias("rejected"),
                     F.count_if(bprev).cast("long").alias("prev_rejected"))
     j = join_predictions(predictions, features, ts)
-    p = j.agg(F.count_if(in_window(epoch(ts), start_s, end_s)).cast("long").alias("scored"),
-              F.sum(F.when(in_window(epoch(ts), start_s, end_s), F.col("predicted_late"))).cast("long").alias("flagged"),
-              F.count_if(in_window(epoch(ts), prev_s, start_s)).cast("long").alias("prev_scored"),
-              F.sum(F.when(in_window(epoch(ts), prev_s, start_s), F.col("predicted_late"))).cast("long").alias("prev_flagged"))
+    p = j.agg(F.count_if(within(ts, start_s, end_s)).cast("long").alias("scored"),
+              F.sum(F.when(within(ts, start_s, end_s), F.col("predicted_late"))).cast("long").alias("flagged"),
+              F.count_if(within(ts, prev_s, start_s)).cast("long").alias("prev_scored"),
+              F.sum(F.when(within(ts, prev_s, start_s), F.col("predicted_late"))).cast("long").alias("prev_flagged"))
     def rate(num, den):
         return F.when(F.col(den) > 0, F.lit(100.0) * F.col(num) / F.col(den))
     one_row = f.select("*", *[r.select(c).scalar().alias(c) for c in r.columns],
@@ -310,13 +320,13 @@ def keyed_spine(keys_df: DataFrame, keys: list, first_bucket: Column, opts: Wind
 
 
 def volume_over_time_by(features: DataFrame, opts: WindowOptions, keys: list,
-                        ts: str = "timestamp") -> DataFrame:
+                        ts: str = "timestamp", end: Column | None = None) -> DataFrame:
     """AGG-14 per key, on the shared data-anchored window; empty buckets are 0."""
     b = opts.bucket_seconds
-    end_s = end_epoch(features, opts, ts)
+    end_s = end_epoch(features, opts, ts) if end is None else end
     first_bucket = F.floor(end_s / F.lit(b)).cast("long") - F.lit(opts.n_buckets)
     t = epoch(ts)
-    rows = features.where(in_window(t, end_s - F.lit(opts.window_seconds), end_s))
+    rows = features.where(within(ts, end_s - F.lit(opts.window_seconds), end_s))
     per = rows.groupBy(*keys, bucket_of(t, b).alias("bucket")).agg(F.count(F.lit(1)).cast("long").alias("orders"))
     sp = keyed_spine(features.select(*keys).distinct(), keys, first_bucket, opts)
     return sp.join(per, [*keys, "bucket"], "left").select(
@@ -324,17 +334,17 @@ def volume_over_time_by(features: DataFrame, opts: WindowOptions, keys: list,
 
 
 def late_flag_rate_over_time_by(predictions: DataFrame, features: DataFrame, opts: WindowOptions,
-                                keys: list, ts: str = "timestamp") -> DataFrame:
+                                keys: list, ts: str = "timestamp", end: Column | None = None) -> DataFrame:
     """AGG-15 per key (keys are feature columns); buckets without predictions are NULL."""
     b = opts.bucket_seconds
-    end_s = end_epoch(features, opts, ts)
+    end_s = end_epoch(features, opts, ts) if end is None else end
     first_bucket = F.floor(end_s / F.lit(b)).cast("long") - F.lit(opts.n_buckets)
     lookup = features.groupBy("batch", "order_id").agg(
         F.min_by(F.struct(F.col(ts).alias(ts), *[F.col(k) for k in keys]), F.col("pos")).alias("_f")) \
         .select("batch", "order_id", "_f.*")
     j = predictions.join(lookup, ["batch", "order_id"], "inner")
     t = epoch(ts)
-    per = (j.where(in_window(t, end_s - F.lit(opts.window_seconds), end_s))
+    per = (j.where(within(ts, end_s - F.lit(opts.window_seconds), end_s))
            .groupBy(*keys, bucket_of(t, b).alias("bucket"))
            .agg(F.count(F.lit(1)).cast("long").alias("scored"), F.sum("predicted_late").cast("long").alias("flagged")))
     sp = keyed_spine(features.select(*keys).distinct(), keys, first_bucket, opts)

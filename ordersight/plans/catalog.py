@@ -103,7 +103,7 @@ FROM s LEFT JOIN c USING (slot)"""))
 def q_volume(spark, sf_dir):
     """AGG-14 over the stored feature table written by the cleaning stage."""
     ctx = FeedContext(spark, sf_dir)
-    v = metrics.volume_over_time(ctx.stage()["features"], ctx.window)
+    v = metrics.volume_over_time(ctx.stage()["features"], ctx.window, end=ctx.window_end())
     return v.select("slot", format_iso(F.col("bucket_start")).alias("bucket_start"), "orders")
 
 
@@ -324,7 +324,7 @@ SELECT CAST(count(*) AS BIGINT) AS orders FROM feat, bnd
 WHERE floor(epoch(ts)) >= end_s - 604800 AND floor(epoch(ts)) < end_s"""))
 def q_sample_volume(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
-    return metrics.sample_volume(ctx.stage()["features"], ctx.window)
+    return metrics.sample_volume(ctx.stage()["features"], ctx.window, end=ctx.window_end())
 
 
 @register("late_flag_rate_over_time", cte(_SPINE_SQL + """,
@@ -338,7 +338,7 @@ FROM spine s LEFT JOIN r USING (bucket)"""))
 def q_flag_rate(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    r = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window)
+    r = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end())
     return r.select("slot", format_iso(F.col("bucket_start")).alias("bucket_start"), "scored", "flagged_late_pct")
 
 
@@ -377,7 +377,7 @@ SELECT CAST(kept AS BIGINT) AS kept, CAST(rejected AS BIGINT) AS rejected,
 def q_drop_rate(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    return metrics.drop_rate(st["features"], st["rejects"], ctx.window)
+    return metrics.drop_rate(st["features"], st["rejects"], ctx.window, end=ctx.window_end())
 
 
 _LABEL_SQL = "CASE reason " + " ".join(
@@ -393,7 +393,7 @@ SELECT label, rows_dropped, CAST(row_number() OVER (ORDER BY rows_dropped DESC,
 def q_failure_counts(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window)
+    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window, end=ctx.window_end())
     return fc.withColumn("share", F.round("share", 6))
 
 
@@ -405,7 +405,7 @@ FROM fc QUALIFY row_number() OVER (ORDER BY rows_dropped DESC, label) = 1"""))
 def q_top_failure(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window)
+    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window, end=ctx.window_end())
     return fc.where(F.col("rnk") == 1).select("label", "rows_dropped", F.round("share", 6).alias("share"))
 
 
@@ -448,7 +448,7 @@ FROM kn"""))
 def q_kpi_deltas(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    k = metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window))
+    k = metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window, end=ctx.window_end()))
     return k.select("orders", F.round("drop_rate", 6).alias("drop_rate"), F.round("flag_rate", 6).alias("flag_rate"),
                     "has_previous", F.col("orders_delta").cast("long").alias("orders_delta"),
                     "drop_delta_pp", "flag_delta_pp")
@@ -459,7 +459,7 @@ def q_kpi_view(spark, sf_dir):
     """FND-05 with the display strings (STR-05/06); numbers are checked by ``kpi_deltas``."""
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    return metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window))
+    return metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window, end=ctx.window_end()))
 
 
 _VOL_SERIES_SQL = _SPINE_SQL + """,
@@ -485,7 +485,7 @@ SELECT CASE WHEN coalesce(total, 0) = 0 THEN 'none'
 FROM va"""))
 def q_volume_finding(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
-    series = metrics.volume_over_time(ctx.stage()["features"], ctx.window)
+    series = metrics.volume_over_time(ctx.stage()["features"], ctx.window, end=ctx.window_end())
     fnd = findings.volume_finding(series, ctx.window.n_buckets, ctx.window.bucket_minutes)
     return fnd.select("status", "total", "trailing_empty_minutes", "history_buckets", "recent_buckets",
                       *[F.round(c, 6).alias(c) for c in ("baseline_mean", "recent_mean", "change")])
@@ -510,7 +510,7 @@ FROM fa"""))
 def q_flag_finding(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window)
+    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end())
     fnd = findings.flag_finding(series, ctx.window.n_buckets)
     return fnd.select("status", F.round("recent_rate", 6).alias("recent_rate"),
                       F.round("earlier_rate", 6).alias("earlier_rate"), "recent_buckets", "earlier_buckets")
@@ -525,7 +525,7 @@ SELECT arg_min(label, (-rows_dropped, label)) AS top_label, max(rows_dropped) AS
 def q_failures_finding(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window)
+    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window, end=ctx.window_end())
     f = findings.failures_finding(fc, ctx.window.window_minutes)
     return f.select("top_label", "top_rows", "rows_dropped_total", F.round("top_share", 6).alias("top_share"))
 
@@ -557,7 +557,7 @@ SELECT slot, CAST(seg AS BIGINT) AS segment, round(v, 6) AS flagged_late_pct FRO
 def q_gap_segments(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window)
+    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end())
     g = findings.gap_segments(series)
     return g.select("slot", "segment", F.round("flagged_late_pct", 6).alias("flagged_late_pct"))
 
@@ -573,8 +573,8 @@ FROM bnd"""))
 def q_chart_domain(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window)
-    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window)
+    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end())
+    fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window, end=ctx.window_end())
     dom = series.agg(F.min("bucket_start").alias("s"), F.max("bucket_start").alias("e"),
                      F.round(F.avg("flagged_late_pct"), 6).alias("average_pct"))   # AGG-25
     return dom.select(format_iso(F.col("s")).alias("domain_start"),
@@ -601,7 +601,7 @@ SELECT is_peak, CASE WHEN coalesce(total, 0) = 0 THEN 'none'
 FROM va"""))
 def q_volume_finding_by_peak(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
-    series = metrics.volume_over_time_by(ctx.stage()["features"], ctx.window, ["is_peak"])
+    series = metrics.volume_over_time_by(ctx.stage()["features"], ctx.window, ["is_peak"], end=ctx.window_end())
     fnd = findings.volume_finding(series, ctx.window.n_buckets, ctx.window.bucket_minutes, keys=["is_peak"])
     return fnd.select("is_peak", "status", "total", "trailing_empty_minutes")
 
@@ -623,7 +623,7 @@ FROM fa"""))
 def q_flag_finding_by_peak(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    series = metrics.late_flag_rate_over_time_by(st["predictions"], st["features"], ctx.window, ["is_peak"])
+    series = metrics.late_flag_rate_over_time_by(st["predictions"], st["features"], ctx.window, ["is_peak"], end=ctx.window_end())
     fnd = findings.flag_finding(series, ctx.window.n_buckets, keys=["is_peak"])
     return fnd.select("is_peak", "status", "recent_buckets", "earlier_buckets")
 

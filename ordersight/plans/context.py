@@ -4,7 +4,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality
@@ -46,6 +46,23 @@ class FeedContext:
     def predictions(self) -> DataFrame:
         return score_fixed(self.features(), GOLDEN_COEFFICIENTS, GOLDEN_INTERCEPT, "model_v0001")
 
+    def window_end(self) -> Column | None:
+        """Literal window end ``floor(newest, bucket) + bucket`` (epoch seconds) of the stage features.
+
+        Found once per stage table (the table is written once and never changes). Metric
+        queries pass it as ``end``, so their window filters are literals that reach the
+        Parquet scan and only the window's row groups are read. It is the same value the
+        metrics would find themselves as a scalar subquery. ``None`` when there is no kept
+        order (the metrics then anchor themselves).
+        """
+        key = (self.stage_dir(), self.window.bucket_seconds)
+        if key not in _ENDS:
+            newest = self.stage()["features"].agg(F.max(F.unix_seconds("timestamp"))).first()[0]
+            b = self.window.bucket_seconds
+            _ENDS[key] = None if newest is None else (int(newest) // b) * b + b
+        v = _ENDS[key]
+        return None if v is None else F.lit(v).cast("long")
+
     # ---- stage tables: what the cleaning and scoring jobs leave behind ----
 
     def stage_dir(self) -> str:
@@ -99,3 +116,4 @@ class FeedContext:
 
 
 _WRITTEN: set[str] = set()
+_ENDS: dict[tuple, int | None] = {}
