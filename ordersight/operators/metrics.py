@@ -147,16 +147,24 @@ def bucket_spine(per_bucket: DataFrame, opts: WindowOptions, end: Column | None
 
 # ---------- predictions joined to order time ----------
 
-def feature_lookup(features: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """(batch, order_id) -> timestamp, one row per key (SET-03, first by file position)."""
+def feature_lookup(features: DataFrame, ts: str = "timestamp", unique_keys: bool = False) -> DataFrame:
+    """(batch, order_id) -> timestamp, one row per key (SET-03, first by file position).
+
+    ``unique_keys``: the caller guarantees one row per key (the cleaned feature table:
+    the cascade claims each id's first occurrence and rejects every later one), so no
+    dedup aggregate (a shuffle of every feature row) is needed.
+    """
+    if unique_keys:
+        return features.select("batch", "order_id", ts)
     return features.groupBy("batch", "order_id").agg(
         F.min_by(F.col(ts), F.col("pos")).alias(ts) if "pos" in features.columns
         else F.min(ts).alias(ts))
 
 
-def join_predictions(predictions: DataFrame, features: DataFrame, ts: str = "timestamp") -> DataFrame:
+def join_predictions(predictions: DataFrame, features: DataFrame, ts: str = "timestamp",
+                     unique_keys: bool = False) -> DataFrame:
     """JN-03: predictions with their order time, inner join on (batch, order_id), many-to-one."""
-    return predictions.join(feature_lookup(features, ts), ["batch", "order_id"], "inner")
+    return predictions.join(feature_lookup(features, ts, unique_keys), ["batch", "order_id"], "inner")
 
 
 def orphan_predictions(predictions: DataFrame, features: DataFrame) -> DataFrame:
@@ -166,10 +174,16 @@ def orphan_predictions(predictions: DataFrame, features: DataFrame) -> DataFrame
 
 
 def late_flag_rate_over_time(predictions: DataFrame, features: DataFrame, opts: WindowOptions,
-                             end: Column | None = None, ts: str = "timestamp") -> DataFrame:
-    """AGG-15: % of predictions flagged late per bucket (0-100); a bucket without predictions is NULL."""
+                             end: Column | None = None, ts: str = "timestamp",
+                             unique_keys: bool = False) -> DataFrame:
+    """AGG-15: % of predictions flagged late per bucket (0-100); a bucket without predictions is NULL.
+
+    With ``unique_keys`` the window filter runs on the feature rows before the join
+    (with a literal ``end`` it reaches the scan), so only the window's orders are joined.
+    """
     start_s, end_s = _bounds(features, opts, end, ts)
-    joined = join_predictions(predictions, features, ts)
+    lookup = features.where(within(ts, start_s, end_s)) if unique_keys else features
+    joined = join_predictions(predictions, lookup, ts, unique_keys)
     t = epoch(ts)
     rates = (joined.where(within(ts, start_s, end_s))
              .groupBy(slot_index(t, start_s, opts.bucket_seconds).alias("slot"))
@@ -267,7 +281,8 @@ def failure_counts(rejects: DataFrame, features: DataFrame, opts: WindowOptions,
 # ---------- KPIs ----------
 
 def kpi_numbers(features: DataFrame, rejects: DataFrame, predictions: DataFrame,
-                opts: WindowOptions, ts: str = "timestamp", end: Column | None = None) -> DataFrame:
+                opts: WindowOptions, ts: str = "timestamp", end: Column | None = None,
+                unique_keys: bool = False) -> DataFrame:
     """AGG-24/FND-05: current and previous window numbers in one conditional-aggregation pass each.
 
     Deltas are only given when the previous window is fully covered by data.
@@ -287,7 +302,8 @@ def kpi_numbers(features: DataFrame, rejects: DataFrame, predictions: DataFrame,
         (F.min(t) < prev_s + F.lit(b)).alias("has_previous"))
     r = rejects.agg(F.count_if(bcur).cast("long").alias("rejected"),
                     F.count_if(bprev).cast("long").alias("prev_rejected"))
-    j = join_predictions(predictions, features, ts)
+    lookup = features.where(within(ts, prev_s, end_s)) if unique_keys else features
+    j = join_predictions(predictions, lookup, ts, unique_keys)
     p = j.agg(F.count_if(within(ts, start_s, end_s)).cast("long").alias("scored"),
               F.sum(F.when(within(ts, start_s, end_s), F.col("predicted_late"))).cast("long").alias("flagged"),
               F.count_if(within(ts, prev_s, start_s)).cast("long").alias("prev_scored"),

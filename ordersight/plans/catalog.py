@@ -338,7 +338,8 @@ FROM spine s LEFT JOIN r USING (bucket)"""))
 def q_flag_rate(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    r = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end())
+    r = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end(),
+                                            unique_keys=True)
     return r.select("slot", format_iso(F.col("bucket_start")).alias("bucket_start"), "scored", "flagged_late_pct")
 
 
@@ -448,7 +449,8 @@ FROM kn"""))
 def q_kpi_deltas(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    k = metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window, end=ctx.window_end()))
+    k = metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window,
+                                                        end=ctx.window_end(), unique_keys=True))
     return k.select("orders", F.round("drop_rate", 6).alias("drop_rate"), F.round("flag_rate", 6).alias("flag_rate"),
                     "has_previous", F.col("orders_delta").cast("long").alias("orders_delta"),
                     "drop_delta_pp", "flag_delta_pp")
@@ -459,7 +461,8 @@ def q_kpi_view(spark, sf_dir):
     """FND-05 with the display strings (STR-05/06); numbers are checked by ``kpi_deltas``."""
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    return metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window, end=ctx.window_end()))
+    return metrics.kpi_deltas(metrics.kpi_numbers(st["features"], st["rejects"], st["predictions"], ctx.window,
+                                                        end=ctx.window_end(), unique_keys=True))
 
 
 _VOL_SERIES_SQL = _SPINE_SQL + """,
@@ -510,7 +513,8 @@ FROM fa"""))
 def q_flag_finding(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end())
+    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end(),
+                                            unique_keys=True)
     fnd = findings.flag_finding(series, ctx.window.n_buckets)
     return fnd.select("status", F.round("recent_rate", 6).alias("recent_rate"),
                       F.round("earlier_rate", 6).alias("earlier_rate"), "recent_buckets", "earlier_buckets")
@@ -557,7 +561,8 @@ SELECT slot, CAST(seg AS BIGINT) AS segment, round(v, 6) AS flagged_late_pct FRO
 def q_gap_segments(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end())
+    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end(),
+                                            unique_keys=True)
     g = findings.gap_segments(series)
     return g.select("slot", "segment", F.round("flagged_late_pct", 6).alias("flagged_late_pct"))
 
@@ -573,7 +578,8 @@ FROM bnd"""))
 def q_chart_domain(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end())
+    series = metrics.late_flag_rate_over_time(st["predictions"], st["features"], ctx.window, end=ctx.window_end(),
+                                            unique_keys=True)
     fc = metrics.failure_counts(st["rejects"], st["features"], ctx.window, end=ctx.window_end())
     dom = series.agg(F.min("bucket_start").alias("s"), F.max("bucket_start").alias("e"),
                      F.round(F.avg("flagged_late_pct"), 6).alias("average_pct"))   # AGG-25

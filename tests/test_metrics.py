@@ -138,3 +138,18 @@ def test_deltas_only_with_fully_covered_previous_window(spark, minutes, has_prev
         assert k.orders_delta == 0 and k.orders_delta_text == "+0" and k.flag_delta_pp == 0.0
     else:
         assert k.orders_delta is None and k.drop_delta_pp is None
+
+
+def test_unique_key_lookup_and_literal_end_match_the_generic_path(spark):
+    from ordersight.plans.context import FeedContext
+    ctx = FeedContext(spark, "/root/testdata/sf0.001")
+    st = ctx.stage()
+    f, p, r = st["features"], st["predictions"], st["rejects"]
+    # the cascade leaves one kept row per (batch, order_id): the premise of unique_keys
+    assert f.groupBy("batch", "order_id").count().where("count > 1").count() == 0
+    generic = metrics.late_flag_rate_over_time(p, f, ctx.window).collect()
+    fast = metrics.late_flag_rate_over_time(p, f, ctx.window, end=ctx.window_end(), unique_keys=True).collect()
+    assert sorted(map(tuple, generic)) == sorted(map(tuple, fast))
+    k1 = metrics.kpi_numbers(f, r, p, ctx.window).collect()
+    k2 = metrics.kpi_numbers(f, r, p, ctx.window, end=ctx.window_end(), unique_keys=True).collect()
+    assert [tuple(x) for x in k1] == [tuple(x) for x in k2]
