@@ -3,6 +3,9 @@
 Windows are anchored to the data: ``end = floor(newest, bucket) + bucket`` and
 ``start = end - window``; the anchor is a scalar subquery (computed once, then a
 literal for the rest of the plan), so no join is needed to bring it to the rows.
+Callers that know it already (the catalogue: once per stage table) pass ``end`` as a
+literal, and window tests compare the timestamp column itself (``within``), so the
+range is pushed into the Parquet scan.
 All time arithmetic is on whole epoch seconds; since the bounds are whole
 seconds, ``floor(ts)`` in ``[start, end)`` is the same test as ``ts`` in it.
 
