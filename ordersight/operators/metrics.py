@@ -353,14 +353,19 @@ def volume_over_time_by(features: DataFrame, opts: WindowOptions, keys: list,
 
 
 def late_flag_rate_over_time_by(predictions: DataFrame, features: DataFrame, opts: WindowOptions,
-                                keys: list, ts: str = "timestamp", end: Column | None = None) -> DataFrame:
+                                keys: list, ts: str = "timestamp", end: Column | None = None,
+                                unique_keys: bool = False) -> DataFrame:
     """AGG-15 per key (keys are feature columns); buckets without predictions are NULL."""
     b = opts.bucket_seconds
     end_s = end_epoch(features, opts, ts) if end is None else end
     first_bucket = F.floor(end_s / F.lit(b)).cast("long") - F.lit(opts.n_buckets)
-    lookup = features.groupBy("batch", "order_id").agg(
-        F.min_by(F.struct(F.col(ts).alias(ts), *[F.col(k) for k in keys]), F.col("pos")).alias("_f")) \
-        .select("batch", "order_id", "_f.*")
+    if unique_keys:     # one row per key already (see feature_lookup): filter to the window, no dedup
+        lookup = features.where(within(ts, end_s - F.lit(opts.window_seconds), end_s)) \
+            .select("batch", "order_id", ts, *keys)
+    else:
+        lookup = features.groupBy("batch", "order_id").agg(
+            F.min_by(F.struct(F.col(ts).alias(ts), *[F.col(k) for k in keys]), F.col("pos")).alias("_f")) \
+            .select("batch", "order_id", "_f.*")
     j = predictions.join(lookup, ["batch", "order_id"], "inner")
     t = epoch(ts)
     per = (j.where(within(ts, end_s - F.lit(opts.window_seconds), end_s))

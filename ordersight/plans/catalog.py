@@ -629,7 +629,8 @@ FROM fa"""))
 def q_flag_finding_by_peak(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
-    series = metrics.late_flag_rate_over_time_by(st["predictions"], st["features"], ctx.window, ["is_peak"], end=ctx.window_end())
+    series = metrics.late_flag_rate_over_time_by(st["predictions"], st["features"], ctx.window, ["is_peak"],
+                                                 end=ctx.window_end(), unique_keys=True)
     fnd = findings.flag_finding(series, ctx.window.n_buckets, keys=["is_peak"])
     return fnd.select("is_peak", "status", "recent_buckets", "earlier_buckets")
 
@@ -913,7 +914,8 @@ def q_pulse_view(spark, sf_dir):
     ctx = FeedContext(spark, sf_dir)
     st = ctx.stage()
     v = pulse_view(st["features"], st["rejects"], st["predictions"], ctx.window,
-                   F.to_timestamp(F.lit(CLOCK_NOW)), _reg.newest(_reg.schedule_registry(st["features"])))
+                   F.to_timestamp(F.lit(CLOCK_NOW)), _reg.newest(_reg.schedule_registry(st["features"])),
+                   end=ctx.window_end(), unique_keys=True)
     return v.summary
 
 

@@ -30,21 +30,27 @@ class PulseView:
 
 
 def pulse_view(features: DataFrame, rejects: DataFrame, predictions: DataFrame, opts: WindowOptions,
-               now: Column, newest_model: DataFrame | None = None) -> PulseView:
+               now: Column, newest_model: DataFrame | None = None, end: Column | None = None,
+               unique_keys: bool = False) -> PulseView:
+    """``end`` (literal window end, epoch seconds) and ``unique_keys`` (one feature row per
+    (batch, order_id)) are passed on to the metrics; see ``metrics.within``."""
     bounds = metrics.window_bounds(features, opts)
-    kpis = metrics.kpi_deltas(metrics.kpi_numbers(features, rejects, predictions, opts))
+    kpis = metrics.kpi_deltas(metrics.kpi_numbers(features, rejects, predictions, opts, end=end,
+                                                  unique_keys=unique_keys))
     newest = features.agg(F.max("timestamp")).scalar()
-    volume = metrics.volume_over_time(features, opts)
+    volume = metrics.volume_over_time(features, opts, end=end)
     vf = findings.volume_finding(volume, opts.n_buckets, opts.bucket_minutes,
                                  idle_minutes=findings.idle_minutes(newest, now))
-    flag = metrics.late_flag_rate_over_time(predictions, features, opts)
+    flag = metrics.late_flag_rate_over_time(predictions, features, opts, end=end, unique_keys=unique_keys)
     ff = findings.flag_finding(flag, opts.n_buckets, window_rate=kpis.select("flag_rate").scalar())
-    fails = metrics.failure_counts(rejects, features, opts)
+    fails = metrics.failure_counts(rejects, features, opts, end=end)
     fails_f = findings.failures_finding(fails, opts.window_minutes)
     # scored-by: the newest checkpoint among predictions inside the window
-    window_preds = metrics.join_predictions(predictions, features).where(
-        metrics.in_window(metrics.epoch("timestamp"), metrics.end_epoch(features, opts) - F.lit(opts.window_seconds),
-                          metrics.end_epoch(features, opts)))
+    end_s = metrics.end_epoch(features, opts) if end is None else end
+    start_s = end_s - F.lit(opts.window_seconds)
+    lookup = features.where(metrics.within("timestamp", start_s, end_s)) if unique_keys else features
+    window_preds = metrics.join_predictions(predictions, lookup, unique_keys=unique_keys).where(
+        metrics.within("timestamp", start_s, end_s))
     scored_by = metrics.score_summary(window_preds).select("current_checkpoint").scalar()
     model = newest_model.select("checkpoint_id").scalar() if newest_model is not None else F.lit(None).cast("string")
     summary = bounds.select(

@@ -153,3 +153,20 @@ def test_unique_key_lookup_and_literal_end_match_the_generic_path(spark):
     k1 = metrics.kpi_numbers(f, r, p, ctx.window).collect()
     k2 = metrics.kpi_numbers(f, r, p, ctx.window, end=ctx.window_end(), unique_keys=True).collect()
     assert [tuple(x) for x in k1] == [tuple(x) for x in k2]
+
+
+def test_pulse_view_and_keyed_flag_rate_fast_paths_match(spark):
+    from ordersight.plans.context import FeedContext
+    from ordersight.plans.view import pulse_view
+    ctx = FeedContext(spark, "/root/testdata/sf0.001")
+    st = ctx.stage()
+    f, p, r = st["features"], st["predictions"], st["rejects"]
+    now = F.to_timestamp(F.lit("2024-02-01 00:00:00"))
+    slow = pulse_view(f, r, p, ctx.window, now)
+    fast = pulse_view(f, r, p, ctx.window, now, end=ctx.window_end(), unique_keys=True)
+    for part in ("summary", "kpis", "volume", "flag_rate", "failures", "flag_finding"):
+        a, b = getattr(slow, part).collect(), getattr(fast, part).collect()
+        assert sorted(map(tuple, a)) == sorted(map(tuple, b)), part
+    k1 = metrics.late_flag_rate_over_time_by(p, f, ctx.window, ["is_peak"]).collect()
+    k2 = metrics.late_flag_rate_over_time_by(p, f, ctx.window, ["is_peak"], end=ctx.window_end(), unique_keys=True).collect()
+    assert sorted(map(tuple, k1)) == sorted(map(tuple, k2))
