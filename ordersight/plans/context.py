@@ -4,7 +4,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality
@@ -49,7 +49,8 @@ class FeedContext:
     def window_end(self) -> Column | None:
         """Literal window end ``floor(newest, bucket) + bucket`` (epoch seconds) of the stage features.
 
-        Found once per stage table (the table is written once and never changes). Metric
+        Observed while the cleaning job writes the stage table (no extra pass), else one
+        aggregate; found once per stage table (it is written once and never changes). Metric
         queries pass it as ``end``, so their window filters are literals that reach the
         Parquet scan and only the window's row groups are read. It is the same value the
         metrics would find themselves as a scalar subquery. ``None`` when there is no kept
@@ -57,7 +58,10 @@ class FeedContext:
         """
         key = (self.stage_dir(), self.window.bucket_seconds)
         if key not in _ENDS:
-            newest = self.stage()["features"].agg(F.max(F.unix_seconds("timestamp"))).first()[0]
+            features = self.stage()["features"]
+            newest = _NEWEST.get(key[0])
+            if newest is None:      # not observed by this process's write: one aggregate over the column
+                newest = features.agg(F.max(F.unix_seconds("timestamp"))).first()[0]
             b = self.window.bucket_seconds
             _ENDS[key] = None if newest is None else (int(newest) // b) * b + b
         v = _ENDS[key]
@@ -97,8 +101,13 @@ class FeedContext:
                 "outcome", "batch_date", "batch", "batch_time", "pos", "reason", "raw_line",
                 *[F.col(c) for c in ("order_id", "timestamp", "distance_km", "prep_minutes", "order_value", "was_late")],
                 F.col("t_order_id"), F.col("t_timestamp"), F.col("t_was_late"), "_ts", "_d", "_p", "_v")
-            (out.sortWithinPartitions("outcome", "batch", "pos")
+            # the window anchor (newest kept order) is observed while the table is written: no
+            # extra pass over the rows later (a max, so task retries cannot skew it)
+            obs = Observation("ordersight_stage")
+            (out.observe(obs, F.max(F.when(F.col("reason").isNull(), F.unix_seconds("_ts"))).alias("newest_s"))
+             .sortWithinPartitions("outcome", "batch", "pos")
              .write.mode("overwrite").parquet(f"{root}/annotated"))
+            _NEWEST[root] = obs.get.get("newest_s")
             stored = self.spark.read.parquet(f"{root}/annotated")
             feats = quality.features(stored.where(F.col("outcome") == "kept"), self.quality)
             preds = score_fixed(feats, GOLDEN_COEFFICIENTS, GOLDEN_INTERCEPT, "model_v0001",
@@ -117,3 +126,4 @@ class FeedContext:
 
 _WRITTEN: set[str] = set()
 _ENDS: dict[tuple, int | None] = {}
+_NEWEST: dict[str, int | None] = {}

@@ -170,3 +170,12 @@ def test_pulse_view_and_keyed_flag_rate_fast_paths_match(spark):
     k1 = metrics.late_flag_rate_over_time_by(p, f, ctx.window, ["is_peak"]).collect()
     k2 = metrics.late_flag_rate_over_time_by(p, f, ctx.window, ["is_peak"], end=ctx.window_end(), unique_keys=True).collect()
     assert sorted(map(tuple, k1)) == sorted(map(tuple, k2))
+
+
+def test_window_anchor_is_observed_during_the_stage_write(spark):
+    from ordersight.plans import context
+    ctx = context.FeedContext(spark, "/root/testdata/sf0.001")
+    f = ctx.stage()["features"]
+    observed = context._NEWEST.get(ctx.stage_dir())
+    assert observed is not None
+    assert observed == f.agg(F.max(F.unix_seconds("timestamp"))).first()[0]
