@@ -54,51 +54,65 @@ def _doubles(values: list[float]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def shard_of(id_col: Column, n_shards: int, tree: HashTree = HashTree()) -> Column:
-    """The shard (0 .. n_shards - 1) of an id."""
+def with_shard(df: DataFrame, id_col: str, n_shards: int, out: str, tree: HashTree = HashTree()) -> DataFrame:
+    """``df`` with the shard (0 .. n_shards - 1) of its id in ``out``.
+
+    Every step is a column of its own, so no draw is evaluated twice.
+    """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
     spr, rpr, size = tree.shards_per_rack, tree.racks_per_region, tree.region_size
     leaf = tree.shard_weights(n_shards)
-    rack_w, region_w = _sums(leaf, spr), _sums(leaf, size)
-    leaves, racks, regions = _doubles(leaf), _doubles(rack_w), _doubles(region_w)
+    leaves, racks, regions = _doubles(leaf), _doubles(_sums(leaf, spr)), _doubles(_sums(leaf, size))
+    tmp = lambda name: f"_{out}_{name}"
 
     def wait(kind: str, node: Column, weights: Column) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64(id_col, F.lit(f"{tree.seed}:{kind}"), node), 11)
-        u = (bits.cast("double") + 0.5) / float(1 << 53)
-        return -F.log(u) / F.element_at(weights, node + 1)
-
-    def earliest(kind: str, parent: Column, fan_out: int, weights: Column) -> Column:
-        """The child of ``parent`` that inherits its arrival."""
-        nodes = F.transform(F.sequence(F.lit(0), F.lit(fan_out - 1)), lambda i: parent * fan_out + i)
-        return F.array_min(F.transform(nodes, lambda k: F.struct(wait(kind, k, weights).alias("t"), k.alias("k"))))["k"]
-
-    def children(kind: str, parent: Column, arrival: Column, count: int, fan_out: int, weights: Column) -> Column:
-        """Arrivals of the first ``count`` children of ``parent``."""
-        first = earliest(kind, parent, fan_out, weights)
-        nodes = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: parent * fan_out + i)
-        late = F.transform(nodes, lambda k: F.struct(
-            (arrival + F.when(k == first, F.lit(0.0)).otherwise(wait(f"{kind}+", k, weights))).alias("t"), k.alias("k")))
-        return late
+        bits = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(f"{tree.seed}:{kind}"), node), 11)
+        return -F.log((bits.cast("double") + 0.5) / float(1 << 53)) / F.element_at(weights, node + 1)
+
+    def nodes_below(parent: Column, count: int, fan_out: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: parent * fan_out + i)
+
+    def earliest(kind: str, nodes: str, weights: Column) -> Column:
+        """The child that inherits its parent's arrival."""
+        return F.array_min(F.transform(F.col(nodes), lambda k: F.struct(wait(kind, k, weights).alias("t"), k.alias("k"))))["k"]
+
+    def arrivals(kind: str, level: int, nodes: str, first: str, since: Column, weights: Column) -> Column:
+        return F.transform(F.col(nodes), lambda k: F.struct(
+            (since + F.when(k == F.col(first), F.lit(0.0)).otherwise(wait(f"{kind}+", k, weights))).alias("t"),
+            F.lit(level).alias("level"), k.alias("k")))
 
     whole, rest = divmod(n_shards, size)
     racing = []  # arrays of (arrival, level, node)
-    tag = lambda nodes, level: F.transform(nodes, lambda x: F.struct(x["t"].alias("t"), F.lit(level).alias("level"), x["k"].alias("k")))
     if whole:
-        all_regions = F.sequence(F.lit(0), F.lit(whole - 1))
-        racing.append(tag(F.transform(all_regions, lambda r: F.struct(wait("region", r, regions).alias("t"), r.alias("k"))), 0))
+        df = df.withColumn(tmp("regions"), F.transform(F.sequence(F.lit(0), F.lit(whole - 1)), lambda r: F.struct(
+            wait("region", r, regions).alias("t"), F.lit(0).alias("level"), r.alias("k"))))
+        racing.append(tmp("regions"))
     if rest:
-        g = F.lit(whole)
         whole_racks, odd = divmod(rest, spr)
-        opened = children("rack", g, wait("region", g, regions), whole_racks + bool(odd), rpr, racks)
-        if whole_racks:
-            racing.append(tag(F.slice(opened, 1, whole_racks), 1))
+        df = df.withColumn(tmp("all_racks"), nodes_below(F.lit(whole), rpr, rpr))
+        df = df.withColumn(tmp("rack1"), earliest("rack", tmp("all_racks"), racks))
+        df = df.withColumn(tmp("open"), F.slice(F.col(tmp("all_racks")), 1, whole_racks + bool(odd)))
+        df = df.withColumn(tmp("since"), wait("region", F.lit(whole), regions))
+        df = df.withColumn(tmp("racks"), arrivals("rack", 1, tmp("open"), tmp("rack1"), F.col(tmp("since")), racks))
         if odd:
-            last = F.element_at(opened, -1)
-            racing.append(tag(children("shard", last["k"], last["t"], odd, spr, leaves), 2))
-    won = F.array_min(F.concat(*racing) if len(racing) > 1 else racing[0])
-    rack = F.when(won["level"] == 0, earliest("rack", won["k"], rpr, racks)).otherwise(won["k"])
-    return F.when(won["level"] == 2, won["k"]).otherwise(earliest("shard", rack, spr, leaves)).cast("int")
+            df = df.withColumn(tmp("last"), F.element_at(F.col(tmp("racks")), -1))
+            df = df.withColumn(tmp("all_shards"), nodes_below(F.lit(whole * rpr + whole_racks), spr, spr))
+            df = df.withColumn(tmp("shard1"), earliest("shard", tmp("all_shards"), leaves))
+            df = df.withColumn(tmp("some"), F.slice(F.col(tmp("all_shards")), 1, odd))
+            df = df.withColumn(tmp("shards"), arrivals("shard", 2, tmp("some"), tmp("shard1"), F.col(tmp("last"))["t"], leaves))
+            racing.append(tmp("shards"))
+        if whole_racks:
+            df = df.withColumn(tmp("full"), F.slice(F.col(tmp("racks")), 1, whole_racks))
+            racing.append(tmp("full"))
+    df = df.withColumn(tmp("won"), F.array_min(F.concat(*racing)))
+    df = df.withColumn(tmp("in_region"), nodes_below(F.col(tmp("won"))["k"], rpr, rpr))
+    df = df.withColumn(tmp("rack"), F.when(F.col(tmp("won"))["level"] == 0, earliest("rack", tmp("in_region"), racks))
+                       .otherwise(F.col(tmp("won"))["k"]))
+    df = df.withColumn(tmp("in_rack"), nodes_below(F.col(tmp("rack")), spr, spr))
+    df = df.withColumn(out, F.when(F.col(tmp("won"))["level"] == 2, F.col(tmp("won"))["k"])
+                       .otherwise(earliest("shard", tmp("in_rack"), leaves)).cast("int"))
+    return df.drop(*[c for c in df.columns if c.startswith(f"_{out}_")])
 
 
 def place(df: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text",
@@ -112,9 +126,8 @@ def place(df: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str =
     slim = df.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("crc"))
-    placed = slim.withColumns({
-        "shard": shard_of(F.col("id"), n_shards, tree), "grown": shard_of(F.col("id"), n_shards + 1, tree),
-        "bucket": F.pmod(F.xxhash64("id", "crc", "size"), F.lit(buckets)).cast("int")})
+    placed = with_shard(with_shard(slim, "id", n_shards, "shard", tree), "id", n_shards + 1, "grown", tree)
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("id", "crc", "size"), F.lit(buckets)).cast("int"))
     rank = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("id", "crc", "size"))
     ranked = stage(placed.withColumn("rank", rank), "shards")
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
