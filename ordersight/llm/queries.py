@@ -3,12 +3,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, sharding
+from . import chat, decontam, sharding
 from .common import read
 
 N_SHARDS = 40
 
 
+def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(read(spark, sf_dir, "conversations"))
 
@@ -44,8 +48,8 @@ WINDOW w AS (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, speake
 
 
 def queries() -> dict:
-    return {"op9_perspective_rotation": op9_perspective_rotation, "op10_hash_tree": op10_hash_tree}
+    return {"op5_spaced_seeds": op5_spaced_seeds, "op9_perspective_rotation": op9_perspective_rotation, "op10_hash_tree": op10_hash_tree}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_perspective_rotation": OP9_SQL}
+    return {"op5_spaced_seeds": op5_spaced_seeds, "op9_perspective_rotation": OP9_SQL}
