@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -25,11 +26,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the session's Arrow batch size to ``rows`` (never raise it)."""
+    """Lower the session's Arrow batch size to ``rows`` (never raise it) and tell workers where the package is."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    # workers that start elsewhere (a local session of another folder) find this package as the driver did
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def scratch(spark: SparkSession, name: str) -> str:
