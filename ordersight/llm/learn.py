@@ -67,11 +67,11 @@ VECTORS = "order long, label int, features binary, values binary"
 
 
 def ftrl(rows: list[dict], size: int, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.0, l2: float = 1e-3,
-         epochs: int = 3) -> tuple[np.ndarray, float]:
+         epochs: int = 3, positive: float = 1.0) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression by follow-the-regularised-leader updates.
 
     Per coordinate: z collects gradients minus the pull of earlier steps, n their squares; a weight is zero
-    while |z| <= l1.  No rows, or one class only: zero weights and the bias of the smoothed class share.
+    while |z| <= l1.  ``positive`` weighs the rows of label 1.  No rows, or one class only: zero weights and the bias of the smoothed class share.
     """
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     data = [(np.append(np.frombuffer(r["features"], np.int32), size),
@@ -90,7 +90,7 @@ def ftrl(rows: list[dict], size: int, alpha: float = 0.5, beta: float = 1.0, l1:
         for k in np.random.default_rng(epoch).permutation(len(data)):
             f, x, y = data[k]
             w = weights(f)
-            g = (1.0 / (1.0 + np.exp(-np.clip(w @ x, -35, 35))) - y) * x
+            g = (1.0 / (1.0 + np.exp(-np.clip(w @ x, -35, 35))) - y) * x * (positive if y else 1.0)
             sigma = (np.sqrt(n[f] + g * g) - np.sqrt(n[f])) / alpha
             z[f] += g - sigma * w
             n[f] += g * g

@@ -225,7 +225,7 @@ def _fit(rows: list[dict]) -> tuple[np.ndarray, float]:
         f = np.frombuffer(r["features"], np.int32)
         f = f[useful[f]]
         r["features"], r["values"] = f.tobytes(), np.ones(len(f), np.float32).tobytes()
-    return ftrl(rows, size, alpha=0.5, l1=0.05, l2=0.01, epochs=6)
+    return ftrl(rows, size, alpha=1.0, l1=0.01, l2=1e-4, epochs=25, positive=8.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
