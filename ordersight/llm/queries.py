@@ -3,12 +3,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, sharding
-from .common import read
+from . import chat, decontam, langid, lm_score, quality, sharding, toxicity
+from .common import held_out, read
 
 N_SHARDS = 40
 
 
+def op2_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target corpus: the documents labelled as of good quality."""
+    good = read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_score.cross_entropy_difference(read(spark, sf_dir, "documents"), good)
+
+
+def op4_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    docs = read(spark, sf_dir, "documents")
+    out = langid.identify(docs, langid.fit(docs))
+    return out.select("doc_id", held_out(F.col("doc_id"), langid.FOLDS, langid.TEST_FOLD).alias("held_out"), "lang_pred", "score")
+
+
 def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -48,8 +69,12 @@ WINDOW w AS (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, speake
 
 
 def queries() -> dict:
-    return {"op5_spaced_seeds": op5_spaced_seeds, "op9_perspective_rotation": op9_perspective_rotation, "op10_hash_tree": op10_hash_tree}
+    return {"op2_cross_entropy": op2_cross_entropy, "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
+            "op5_spaced_seeds": op5_spaced_seeds, "op6_ftrl_quality": op6_ftrl_quality, "op7_crf_language": op7_crf_language,
+            "op9_perspective_rotation": op9_perspective_rotation, "op10_hash_tree": op10_hash_tree}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_spaced_seeds": op5_spaced_seeds, "op9_perspective_rotation": OP9_SQL}
+    return {"op2_cross_entropy": op2_cross_entropy, "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
+            "op5_spaced_seeds": op5_spaced_seeds, "op6_ftrl_quality": op6_ftrl_quality, "op7_crf_language": op7_crf_language,
+            "op9_perspective_rotation": OP9_SQL}
