@@ -5,7 +5,7 @@ lattice: each sign offers the letters it may stand for, each run of a letter may
 gap between spaced letters may be a word break or not.  The Viterbi path under a character trigram model of
 the whole corpus restores the text.  A plain word is a lattice of one path and is its own restoration.
 
-The restored words and their four- and five-letter beginnings are scored by a logistic regression (FTRL with
+The restored words and their beginnings of three to seven letters are scored by a logistic regression (FTRL with
 an l1 penalty) on their presence.  Null and empty texts get the bias's score; digits alone are no word;
 repeated rows get equal scores; without labels of both classes every score is the smoothed class share.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import Memo, hash_word, held_out, map_batches, small_batches, texts_of
 from .learn import VECTORS, fit_in_one_task, ftrl, labelled, logistic, scored, vectors
 
-BITS = 18
+BITS = 20
 #: Labelled rows that a fit uses at most.
 MAX_TRAIN = 8000
 #: Sampled rows that must have a feature before it is learned.
@@ -176,7 +176,7 @@ class Restorer:
 
 
 def _features_of(word: str) -> list[int]:
-    names = ["w:" + word] + ["p:" + word[:k] for k in (4, 5) if len(word) > k]
+    names = ["w:" + word] + ["p:" + word[:k] for k in range(3, 8) if len(word) > k]
     return [hash_word(x) >> (64 - BITS) for x in names]
 
 
@@ -190,7 +190,7 @@ def _featurise(shared):
         if not box:
             box.append(Restorer(shared.value))
         found = sorted({f for w in box[0].words(text) for f in _features[w]})
-        return np.array(found, np.int64), np.ones(len(found))
+        return np.array(found, np.int64), np.empty(0)  # presence: the fit sets ones
     return features
 
 
