@@ -3,12 +3,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, lm_score, quality, sharding, toxicity
+from . import chat, decontam, langid, lm_score, pack, quality, sharding, toxicity
 from .common import held_out, read
 
 N_SHARDS = 40
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(read(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
 def op2_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target corpus: the documents labelled as of good quality."""
     good = read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -69,12 +78,12 @@ WINDOW w AS (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, speake
 
 
 def queries() -> dict:
-    return {"op2_cross_entropy": op2_cross_entropy, "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
+    return {"op1_hilbert_packing": op1_hilbert_packing, "op2_cross_entropy": op2_cross_entropy, "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
             "op5_spaced_seeds": op5_spaced_seeds, "op6_ftrl_quality": op6_ftrl_quality, "op7_crf_language": op7_crf_language,
             "op9_perspective_rotation": op9_perspective_rotation, "op10_hash_tree": op10_hash_tree}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_cross_entropy": op2_cross_entropy, "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
+    return {"op1_hilbert_packing": op1_hilbert_packing, "op2_cross_entropy": op2_cross_entropy, "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
             "op5_spaced_seeds": op5_spaced_seeds, "op6_ftrl_quality": op6_ftrl_quality, "op7_crf_language": op7_crf_language,
             "op9_perspective_rotation": OP9_SQL}
