@@ -67,11 +67,12 @@ VECTORS = "order long, label int, features binary, values binary"
 
 
 def ftrl(rows: list[dict], size: int, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.0, l2: float = 1e-3,
-         epochs: int = 3, positive: float = 1.0) -> tuple[np.ndarray, float]:
+         epochs: int = 3, positive: float = 1.0,
+         bias: float | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression by follow-the-regularised-leader updates.
 
     Per coordinate: z collects gradients minus the pull of earlier steps, n their squares; a weight is zero
-    while |z| <= l1.  ``positive`` weighs the rows of label 1.  No rows, or one class only: zero weights and the bias of the smoothed class share.
+    while |z| <= l1.  ``positive`` weighs the rows of label 1; ``bias`` fixes the bias.  No rows, or one class only: zero weights and the bias of the smoothed class share.
     """
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     data = [(np.append(np.frombuffer(r["features"], np.int32), size),
@@ -84,7 +85,8 @@ def ftrl(rows: list[dict], size: int, alpha: float = 0.5, beta: float = 1.0, l1:
     def weights(f):
         free = np.where(f == size, 0.0, l1)  # the bias is not regularised
         zf, nf = z[f], n[f]
-        return np.where(np.abs(zf) <= free, 0.0, -(zf - np.sign(zf) * free) / ((beta + np.sqrt(nf)) / alpha + np.where(f == size, 0.0, l2)))
+        w = np.where(np.abs(zf) <= free, 0.0, -(zf - np.sign(zf) * free) / ((beta + np.sqrt(nf)) / alpha + np.where(f == size, 0.0, l2)))
+        return w if bias is None else np.where(f == size, bias, w)
 
     for epoch in range(epochs):
         for k in np.random.default_rng(epoch).permutation(len(data)):
