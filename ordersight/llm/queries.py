@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, lm_score, pack, quality, sharding, toxicity
+from . import chat, decontam, langid, lm_score, near_text, pack, quality, sharding, toxicity, vectors
 from .common import held_out, read
 
 N_SHARDS = 40
@@ -24,6 +24,10 @@ def op2_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.cross_entropy_difference(read(spark, sf_dir, "documents"), good)
 
 
+def op3_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op4_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -43,6 +47,10 @@ def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_text.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op9_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.perspectives(read(spark, sf_dir, "conversations"))
 
@@ -78,12 +86,13 @@ WINDOW w AS (PARTITION BY conv_id, participant ORDER BY turn NULLS FIRST, speake
 
 
 def queries() -> dict:
-    return {"op1_hilbert_packing": op1_hilbert_packing, "op2_cross_entropy": op2_cross_entropy, "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
+    return {"op1_hilbert_packing": op1_hilbert_packing, "op2_cross_entropy": op2_cross_entropy, "op3_pruned_graph": op3_pruned_graph,
+            "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
             "op5_spaced_seeds": op5_spaced_seeds, "op6_ftrl_quality": op6_ftrl_quality, "op7_crf_language": op7_crf_language,
-            "op9_perspective_rotation": op9_perspective_rotation, "op10_hash_tree": op10_hash_tree}
+            "op8_order_minhash": op8_order_minhash, "op9_perspective_rotation": op9_perspective_rotation, "op10_hash_tree": op10_hash_tree}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_hilbert_packing": op1_hilbert_packing, "op2_cross_entropy": op2_cross_entropy, "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
             "op5_spaced_seeds": op5_spaced_seeds, "op6_ftrl_quality": op6_ftrl_quality, "op7_crf_language": op7_crf_language,
-            "op9_perspective_rotation": OP9_SQL}
+            "op8_order_minhash": op8_order_minhash, "op9_perspective_rotation": OP9_SQL}
