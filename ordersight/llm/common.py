@@ -83,9 +83,9 @@ def hash_word(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
-def mix(x: np.ndarray, salt: int) -> np.ndarray:
-    """A 64-bit finaliser (multiply, xor-shift) over uint64 values."""
-    x = (x ^ np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
+def mix(x: np.ndarray, salt: int | np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (multiply, xor-shift) over uint64 values; an array of salts is broadcast."""
+    x = (x ^ (np.uint64(salt) if isinstance(salt, int) else salt)) * np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))

@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 from .common import WORD, Memo, hash_word, map_batches, mix, stage, texts_of
 from .graph import components
 
-K, SKETCHES, SMALL, LEADERS = 5, 16, 16, 2
+K, SKETCHES, SMALL, LEADERS = 5, 24, 16, 2
 SIMILARITY = 0.8
 
+_SALTS = (np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x5851F42D4C957F2D))[:, None]
 _words = Memo(hash_word)
 
 
@@ -59,16 +60,12 @@ def kmers(toks: np.ndarray) -> np.ndarray:
 
 def sketch(toks: np.ndarray) -> np.ndarray:
     """One value for each function: the two smallest k-mers, in text order."""
-    h = kmers(toks)
-    out = np.empty(SKETCHES, np.uint64)
-    for i in range(SKETCHES):
-        v = mix(h, 0x5851F42D4C957F2D * (i + 1) & 0xFFFFFFFFFFFFFFFF)
-        if len(v) == 1:
-            out[i] = v[0]
-        else:
-            two = np.sort(np.argpartition(v, 1)[:2])
-            out[i:i + 1] = v[two[:1]] * np.uint64(0x9E3779B97F4A7C15) ^ v[two[1:]]
-    return out
+    v = mix(kmers(toks)[None, :], _SALTS)
+    if v.shape[1] == 1:
+        return v[:, 0]
+    two = np.sort(np.argpartition(v, 1, axis=1)[:, :2], axis=1)
+    first, second = np.take_along_axis(v, two, axis=1).T
+    return first * np.uint64(0x9E3779B97F4A7C15) ^ second
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
