@@ -26,3 +26,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = new.select("node", F.col("next").alias("label"))
         if not changed:
             return labels.withColumnRenamed("label", "component")
+
+
+def merged(known: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) of ``known`` after further links (a, b): only the links' components are walked."""
+    if links.isEmpty():
+        return known
+    name = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"{c}_of"))
+    between = links.join(name("a"), "a", "left").join(name("b"), "b", "left").select(
+        F.coalesce("a_of", "a").alias("a"), F.coalesce("b_of", "b").alias("b")).filter("a <> b").distinct()
+    new = components(between)
+    moved = known.join(new.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left").select(
+        "node", F.coalesce("to", "component").alias("component"))
+    return stage(moved.union(new.join(known, "node", "left_anti").select("node", "component")), "components")

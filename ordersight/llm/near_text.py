@@ -6,9 +6,11 @@ words in another order do not collide, texts at a small edit distance do.  Texts
 k-mer.  Equal word sequences are one class first; classes that share a sketch value are candidates.
 
 In a bucket (function, value) of at most ``SMALL`` classes all pairs are candidates.  A larger bucket pairs every
-class with the bucket's leaders, drawn by hashes, so it gives rows in proportion to its size; classes that
-verification does not put into a leader's component meet again in finer buckets (this value and the next
-function's), until those are small or agree in all functions.
+class with the bucket's leader, so it gives rows in proportion to its size.  Leaders are drawn by one hash for
+all functions: a class mostly meets the same leader again, and the pair counts once.  Classes that
+verification does not put into the leader's component meet again in finer buckets (this value and the next
+functions', twice as many each time), until those are small or agree in all functions.  Pairs whose lengths
+alone rule the similarity out are left out before their texts are fetched.
 
 Candidates are verified: the edit distance of the two word sequences, aligned inside the band that the
 threshold allows, must leave a similarity ``1 - distance / longer length`` of at least 0.8.
@@ -18,6 +20,8 @@ smaller id, null ids last; repeated rows are copies, of which one is kept; an em
 """
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -25,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, Memo, hash_word, map_batches, mix, stage, texts_of
-from .graph import components
+from .graph import components, merged
 
-K, SKETCHES, SMALL, LEADERS = 5, 24, 16, 2
+K, SKETCHES, SMALL = 5, 24, 8
 SIMILARITY = 0.8
 
 _SALTS = (np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x5851F42D4C957F2D))[:, None]
@@ -169,25 +173,25 @@ def _classes(rows: DataFrame) -> DataFrame:
     return stage(map_batches(rows, run, f"row long, id {kind}, key binary, words long, sketch array<long>"), "sketches")
 
 
-def _candidates(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b) of the buckets (bucket, rep, ...), and the rows of buckets over ``SMALL``."""
-    size = buckets.groupBy("bucket").agg(F.count("*").alias("n"), *[
-        F.min_by("rep", F.xxhash64("rep", "bucket", F.lit(j))).alias(f"leader{j}") for j in range(LEADERS)])
-    sized = buckets.join(size.filter("n > 1"), "bucket")
-    small = sized.filter(F.col("n") <= SMALL).select("bucket", "rep")
-    pairs = small.alias("s").join(small.alias("t"), "bucket").filter("s.rep < t.rep").select(F.col("s.rep").alias("a"), F.col("t.rep").alias("b"))
+def _candidates(buckets: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b) of the buckets (bucket, rep, words, ...), and the rows of buckets over ``SMALL``."""
+    size = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "words")).alias("lead"))
+    sized = buckets.join(size.filter("n > 1"), "bucket").withColumns({"leader": F.col("lead.rep"), "leader_words": F.col("lead.words")}).drop("lead")
+    fits = lambda x, y: F.least(x, y) >= least * F.greatest(x, y) - 1e-9
+    small = sized.filter(F.col("n") <= SMALL).select("bucket", "rep", "words")
+    pairs = small.alias("s").join(small.alias("t"), "bucket").filter((F.col("s.rep") < F.col("t.rep")) & fits(F.col("s.words"), F.col("t.words"))).select(
+        F.col("s.rep").alias("a"), F.col("t.rep").alias("b"))
     large = sized.filter(F.col("n") > SMALL)
-    for j in range(LEADERS):
-        leader = F.col(f"leader{j}")
-        pairs = pairs.union(large.filter(leader != F.col("rep")).select(F.least("rep", leader).alias("a"), F.greatest("rep", leader).alias("b")))
-    return pairs, large
+    led = large.filter((F.col("leader") != F.col("rep")) & fits(F.col("words"), F.col("leader_words")))
+    return pairs.union(led.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))), large
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) of row numbers whose texts are similar."""
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
         left, right = texts_of(batch, "ta"), texts_of(batch, "tb")
-        keep = [similar(tokens(x), tokens(y), least) for x, y in zip(left, right, strict=True)]
+        known = lru_cache(maxsize=64)(tokens)  # a leader's text comes again and again
+        keep = [similar(known(x), known(y), least) for x, y in zip(left, right, strict=True)]
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # the pair's second text is met under the first's, so a hot class is split like any skewed join side
@@ -202,27 +206,26 @@ def groups(numbered: DataFrame, row_col: str, id_col: str, text_col: str, least:
     rows = _classes(texts)
     reps = rows.filter("key is not null").groupBy("key").agg(F.min("row").alias("rep"), F.min("words").alias("words"), F.min_by("sketch", "row").alias("sketch"))
     reps = stage(reps, "classes")
-    level = reps.select("rep", "sketch", F.posexplode("sketch").alias("i", "v")).select(
-        "rep", "sketch", F.col("i").alias("at"), F.lit(1).alias("depth"), F.xxhash64("i", "v").alias("bucket"))
+    level = reps.select("rep", "words", "sketch", F.posexplode("sketch").alias("i", "v")).select(
+        "rep", "words", "sketch", F.col("i").alias("at"), F.lit(1).alias("depth"), F.xxhash64("i", "v").alias("bucket"))
     level = stage(level, "buckets")
-    links, tested = None, None
+    linked, tested = None, None
     while True:
-        pairs, large = _candidates(level)
+        pairs, large = _candidates(level, least)
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         found = stage(_verified(pairs, texts, least), "verified")
-        links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
-        linked = components(links)
+        linked = components(found) if linked is None else merged(linked, found)
         comp = lambda c: F.coalesce(F.col(f"{c}_comp"), F.col(c))
         named = lambda c: linked.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
-        open_rows = large.join(named("rep"), "rep", "left").join(named("leader0"), "leader0", "left").filter(comp("rep") != comp("leader0"))
-        step = (F.col("at") + F.col("depth")) % SKETCHES
+        open_rows = large.join(named("rep"), "rep", "left").join(named("leader"), "leader", "left").filter(comp("rep") != comp("leader"))
+        steps = F.sequence(F.col("depth"), F.least(2 * F.col("depth"), F.lit(SKETCHES)) - 1)
+        more = F.transform(steps, lambda k: F.element_at("sketch", (F.col("at") + k) % SKETCHES + 1))
         level = stage(open_rows.filter(F.col("depth") < SKETCHES).select(
-            "rep", "sketch", "at", (F.col("depth") + 1).alias("depth"),
-            F.xxhash64("bucket", F.element_at("sketch", step + 1)).alias("bucket")), "finer")
+            "rep", "words", "sketch", "at", F.least(2 * F.col("depth"), F.lit(SKETCHES)).alias("depth"), F.xxhash64("bucket", more).alias("bucket")), "finer")
         if level.isEmpty():
             break
     group = rows.join(reps.select("key", "rep"), "key", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left")
