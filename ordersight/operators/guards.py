@@ -12,13 +12,13 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import finite_number, strict_iso_timestamp, whole_number
+from ..functions.scalars import finite_number, strict_iso_timestamp
 
 
 def usable_training_row(distance: Column, prep: Column, label: Column) -> Column:
-    """FLT-11: finite distance, whole prep, label exactly 0/1 -- on the stored text, without trimming."""
-    return (finite_number(distance).isNotNull() & whole_number(prep).isNotNull()
-            & label.isin("0", "1"))
+    """FLT-11: any finite distance and prep (blanks around a number are allowed), label exactly 0/1."""
+    number = lambda c: finite_number(F.regexp_replace(c, r"^\s+|\s+$", ""))
+    return number(distance).isNotNull() & number(prep).isNotNull() & label.isin("0", "1")
 
 
 def usable_prediction_row(probability: Column, flag: Column) -> Column:

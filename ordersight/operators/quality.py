@@ -89,7 +89,7 @@ def parse_raw(raw: DataFrame, skip_blank: bool = True) -> DataFrame:
     src = raw.filter(F.col("raw_line") != "") if skip_blank else raw
     parsed = src.withColumn(
         "_rec", F.from_csv("raw_line", RAW_SCHEMA_DDL,
-                           {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+                           {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'}))
     cols = [c for c in raw.columns if c != "_rec"]
     return parsed.select(*cols, *[F.col(f"_rec.{c}").alias(c) for c in RAW_COLUMNS],
                          F.col(f"_rec.{CORRUPT}").isNotNull().alias("_wrong_count"))
@@ -98,7 +98,7 @@ def parse_raw(raw: DataFrame, skip_blank: bool = True) -> DataFrame:
 def first_csv_field(line: Column) -> Column:
     """The first CSV field of a line, equal to ``from_csv``'s first value."""
     return F.when(line.startswith('"'),
-                  F.from_csv(line, RAW_SCHEMA_DDL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+                  F.from_csv(line, RAW_SCHEMA_DDL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"'})
                   .getField("order_id")).otherwise(F.substring_index(line, ",", 1))
 
 

@@ -183,22 +183,28 @@ def fit_logistic(train: DataFrame, opts: TrainOptions | None = None) -> FitResul
 
 def registry_record(fit: FitResult, metrics: dict, rows_total: int, rows_new: int, n_test: int,
                     data_through: str | None, trained_at: str, opts: TrainOptions | None = None) -> dict:
-    """ML-07: the registry/sidecar record of a fitted model, metrics rounded to 3 dp."""
+    """ML-07: the registry/sidecar record of a fitted model; metrics and weights at 3 decimals, times in ISO form."""
     opts = opts or TrainOptions()
-
-    def r3(v):
-        return None if v is None else round(float(v), 3)
+    if hasattr(data_through, "strftime"):
+        data_through = data_through.strftime("%Y-%m-%dT%H:%M:%SZ")
+    counts = {"rows_total": rows_total, "rows_new": rows_new, "n_train": fit.n_train, "n_test": n_test,
+              "train_every_n_events": opts.retrain_every}
+    scores = ("late_rate_test", "baseline_accuracy", "accuracy", "precision", "recall", "f1", "roc_auc")
     return {
-        "model_type": "logistic_regression", "trained_at": trained_at, "data_through": data_through,
-        "rows_total": int(rows_total), "rows_new": int(rows_new), "n_train": int(fit.n_train), "n_test": int(n_test),
-        "train_every_n_events": int(opts.retrain_every), "feature_columns": list(opts.features),
-        "label_column": opts.label,
-        **{k: r3(metrics.get(k)) for k in ("late_rate_test", "baseline_accuracy", "accuracy", "precision",
-                                            "recall", "f1", "roc_auc")},
-        "coefficients": {k: float(v) for k, v in fit.coefficients.items()}, "intercept": float(fit.intercept),
+        "model_type": "LogisticRegression", "trained_at": trained_at, "data_through": data_through,
+        "feature_columns": list(opts.features), "label_column": opts.label,
+        **{name: int(n) for name, n in counts.items()},
+        **{name: _three_decimals(metrics.get(name)) for name in scores},
+        "coefficients": {name: _three_decimals(w) for name, w in fit.coefficients.items()},
+        "intercept": _three_decimals(fit.intercept),
     }
 
 
+def _three_decimals(value):
+    """Undefined metrics (an AUC over one class) stay undefined."""
+    return None if value is None else float(f"{float(value):.3f}")
+
+
 def train_once(features: DataFrame, opts: TrainOptions | None = None, cutoff: tuple | None = None):
     """ML-02..05: holdout, guards, fit, evaluation.  Returns ``(status, fit, metrics, sizes)``.
 

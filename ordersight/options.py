@@ -116,3 +116,6 @@ class TrainOptions:
 # Feed adapter window used by the catalogue (the driver's feed has ~14 rows/hour
 # at sf0.01, so a week of hourly buckets is the meaningful view).
 FEED_WINDOW = WindowOptions(window_minutes=10080, bucket_minutes=60)
+
+# Fixed texts: what a bucket of one minute, and of n minutes, is called in sentences.
+BUCKET_UNITS = ("per minute", "per {n} min")

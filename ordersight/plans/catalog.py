@@ -702,7 +702,7 @@ def q_fit_logistic(spark, sf_dir):
     if status != "ready":
         raise ValueError(f"not ready: {status}")
     rec = training.registry_record(fit, m, sizes["rows_total"], sizes["rows_total"], sizes["n_test"],
-                                   str(sizes["data_through"]), "2024-01-31T00:00:00Z", opts)
+                                   sizes["data_through"], "2024-01-31T00:00:00Z", opts)
     return registry.records_frame(spark, [{**rec, "version": 1, "model_file": "model_v0001"}])
 
 
@@ -818,9 +818,8 @@ from ..sources.tables import table  # noqa: E402
 
 def _events_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    # the stream source is the table's folder, restricted to the events file(s)
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .parquet(sf_dir.rstrip('/')))
+    # the pattern names the table alone, be it one file or a folder of part files
+    return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
 
 
 def _stream_root(ctx: FeedContext, name: str) -> str:
@@ -891,9 +890,8 @@ from ..operators import guards  # noqa: E402
 
 @register("training_scan_guard", cte("""
 g AS (SELECT batch, pos,
-  regexp_full_match(distance_km, '[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?') AND isfinite(TRY_CAST(distance_km AS DOUBLE))
-  AND regexp_full_match(prep_minutes, '[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?') AND isfinite(TRY_CAST(prep_minutes AS DOUBLE))
-  AND TRY_CAST(prep_minutes AS DOUBLE) = floor(TRY_CAST(prep_minutes AS DOUBLE))
+  regexp_full_match(trim(distance_km), '[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?') AND isfinite(TRY_CAST(trim(distance_km) AS DOUBLE))
+  AND regexp_full_match(trim(prep_minutes), '[+-]?(\\d+(\\.\\d*)?|\\.\\d+)([eE][+-]?\\d+)?') AND isfinite(TRY_CAST(trim(prep_minutes) AS DOUBLE))
   AND was_late IN ('0', '1') AS ok FROM raw)""", """
 SELECT batch, CAST(count(*) AS BIGINT) AS rows, min(pos) FILTER (WHERE NOT ok) IS NULL AS usable,
        min(pos) FILTER (WHERE NOT ok) AS first_bad_pos

@@ -20,6 +20,12 @@ from ..operators.metrics import bucket_of, epoch
 from ..options import QualityOptions, WindowOptions
 
 
+def _stored(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists, in whatever store its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
     (df.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
@@ -53,8 +59,9 @@ def clean_stream(stream: DataFrame, to_raw: Callable[[DataFrame], DataFrame], ou
                          "distance_km", "prep_minutes", "order_value", "was_late", "t_order_id",
                          "t_timestamp", "t_was_late", "_ts", "_d", "_p", "_v")
         _write_epoch(out, f"{out_root}/annotated", epoch_id)            # rejects + features
-        stats = quality.batch_stats(batch_df.sparkSession.read.parquet(f"{out_root}/annotated")
-                                    .where(F.col("epoch") == epoch_id).select("batch", "reason"))
+        # with the schema given, a micro-batch without rows reads as an empty epoch
+        written = batch_df.sparkSession.read.schema("batch string, reason string, epoch long").parquet(f"{out_root}/annotated")
+        stats = quality.batch_stats(written.where(F.col("epoch") == epoch_id).select("batch", "reason"))
         if status is not None:
             # every readable file is committed, zero-row ones included (SNK-05)
             done = status.where(F.col("skip_reason").isNull()).select("batch").distinct()
@@ -160,7 +167,7 @@ def retrain_stream(ledger_stream: DataFrame, ledger_path: str, features_reader:
         version = top_version + 1                      # ML-06: never reuse a number
         rec = training.registry_record(
             fit, metrics, sizes["rows_total"], sizes["rows_total"] - rows_total, sizes["n_test"],
-            str(sizes.get("data_through")), datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"), opts)
+            sizes.get("data_through"), datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"), opts)
         registry.publish(spark, models_dir, version, fit.model, rec)
 
     return _start(ledger_stream, process, checkpoint, trigger)
@@ -168,16 +175,15 @@ def retrain_stream(ledger_stream: DataFrame, ledger_path: str, features_reader:
 
 def score_pending(spark: SparkSession, out_root: str, choose_model) -> int:
     """JN-02/ML-11: score parked rows whose batch has no predictions yet (anti-join), then report how many."""
-    import os
     path = f"{out_root}/unscored"
-    if not os.path.isdir(path.replace("file:", "")):
+    if not _stored(spark, path):
         return 0
     chosen = choose_model()
     if chosen is None:
         return 0
     parked = spark.read.parquet(path).drop("epoch")
     done_path = f"{out_root}/predictions"
-    if os.path.isdir(done_path.replace("file:", "")):
+    if _stored(spark, done_path):
         parked = parked.join(spark.read.parquet(done_path).select("batch").distinct(), "batch", "left_anti")
     coefs, intercept, ckpt = chosen
     preds = scoring.score_fixed(parked, coefs, intercept, ckpt, keep=("batch", "batch_time", "pos"))

@@ -10,13 +10,13 @@ from ordersight.sources import export
 
 
 def test_one_bad_row_skips_the_batch(spark):
-    rows = [("b1", 1, "3.2", "15", "1"), ("b1", 2, "3.2", "12.5", "0"), ("b1", 3, "abc", "15", "1"),
+    rows = [("b1", 1, "3.2", "15", "1"), ("b1", 2, " 3.2", "12.5", "0"), ("b1", 3, "abc", "15", "1"),
             ("b2", 1, "3.2", "18.0", "0"), ("b3", 1, "3.2", "15", " 1")]      # untrimmed label is unusable
     df = spark.createDataFrame(rows, "batch string, pos long, distance_km string, prep_minutes string, was_late string")
     g = guards.batch_guard(df, guards.usable_training_row(F.col("distance_km"), F.col("prep_minutes"),
                                                           F.col("was_late")), "unusable row")
     got = {r.batch: (r.usable, r.first_bad_pos) for r in g.collect()}
-    assert got == {"b1": (False, 2), "b2": (True, None), "b3": (False, 1)}
+    assert got == {"b1": (False, 3), "b2": (True, None), "b3": (False, 1)}
     assert [r.batch for r in guards.keep_usable(df, g).collect()] == ["b2"]
     assert guards.required_columns(df, ["distance_km", "hour"]) == ["hour"]
 

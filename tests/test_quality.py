@@ -145,3 +145,15 @@ def test_quoted_and_odd_first_fields_claim_like_the_parser(spark):
              'solo']
     assert reasons(spark, lines) == [None, "duplicate_id", None, None, "duplicate_id", None, "duplicate_id",
                                      "wrong_field_count", "duplicate_id"]
+
+
+def test_quoted_fields_equal_the_csv_module(spark):
+    import csv
+    from ordersight.operators import quality
+    lines = ['"A""1",x,1,2,3,0', '"A\\",x,1,2,3,0', 'a,"b,c",1,2,3,0', '"",x,1,2,3,0', 'a,"say ""hi""",1,2,3,1']
+    df = spark.createDataFrame([(i, ln) for i, ln in enumerate(lines)], "pos long, raw_line string")
+    for r in quality.parse_raw(df).collect():
+        want = next(csv.reader([lines[r.pos]]))
+        assert [v or "" for v in list(r)[2:8]] == want and not r._wrong_count
+    firsts = df.select("pos", quality.first_csv_field(df.raw_line).alias("f")).collect()
+    assert [(r.f or "") for r in sorted(firsts)] == [next(csv.reader([ln]))[0] for ln in lines]
