@@ -366,3 +366,11 @@ def test_stages_keep_columns_and_take_odd_rows(spark, odd, tmp_path):
             out.count()
             if name != "packing":
                 assert out.columns == docs.columns
+
+
+def test_registered_queries_and_their_sql():
+    import __spark_entry__ as entry
+    numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op") and n[2].isdigit())
+    assert numbers == list(range(1, 11)) and entry.queries()["pipeline"] is corpus_pipeline.run
+    assert all(isinstance(sql, str) for sql in entry.oracle_sql().values())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
