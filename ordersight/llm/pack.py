@@ -131,29 +131,37 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
 
-    def keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.append_column("key", pa.array(curve_keys(texts_of(batch, "text"))))
-
-    small_batches(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = map_batches(rows, keyed, f"id {kind}, text string, row long, key long").repartitionByRange(n, "key", "id", "row")
-
-    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at, part = Encoder(tokenizer_path), 0, TaskContext.get().partitionId()
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(tokenizer_path)
         end = np.zeros(1, encoder.kind).tobytes()
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = [t + end for t in encoder.encode(texts_of(batch, "text"))]
+            texts = texts_of(batch, "text")
+            ids = [t + end for t in encoder.encode(texts)]
             sizes = np.array([len(t) // encoder.kind.itemsize for t in ids], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("row"), pa.array(curve_keys(texts)), pa.array(ids, pa.binary()), pa.array(sizes)],
+                names=["id", "row", "key", "ids", "tokens"])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, part = 0, TaskContext.get().partitionId()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = batch.column("tokens").to_numpy()
             first = at + np.cumsum(sizes) - sizes
             at += int(sizes.sum())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(ids, pa.binary()), pa.array(sizes), pa.array(first), pa.array(np.full(len(ids), part, np.int32))],
+                [batch.column("id"), batch.column("ids"), batch.column("tokens"), pa.array(first), pa.array(np.full(len(sizes), part, np.int32))],
                 names=["id", "ids", "tokens", "first", "part"])
 
-    line = stage(ordered.sortWithinPartitions("key", "id", "row").mapInArrow(
-        tokenise, f"id {kind}, ids binary, tokens long, first long, part int"), "packed")
+    small_batches(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # written before the range sort, whose sampling would otherwise map every text once more
+    keys = stage(rows.mapInArrow(keyed, f"id {kind}, row long, key long, ids binary, tokens long"), "tokens")
+    line = stage(keys.repartitionByRange(n, "key", "id", "row").sortWithinPartitions("key", "id", "row").mapInArrow(
+        placed, f"id {kind}, ids binary, tokens long, first long, part int"), "packed")
     totals = line.groupBy("part").agg(F.sum("tokens").alias("n")).orderBy("part").collect()  # one row per range
     before, total = {}, 0
     for r in totals:
