@@ -1,8 +1,8 @@
 """Packing along a space-filling curve: similar documents lie side by side in full sequences.
 
 A document's hashed word vector is projected to three dimensions; the place of that point on a Hilbert curve
-is its key.  Rows are range-sorted by key (and id, so a run of equal texts may lie over several ranges),
-tokenised there, and laid end to end; the line of tokens is cut at every ``length`` tokens.  A piece's place
+is its key.  Rows are tokenised where they are read, range-sorted by key (and id, so a run of equal texts may
+lie over several ranges) and laid end to end; the line of tokens is cut at every ``length`` tokens.  A piece's place
 is its place in its range plus the tokens of all earlier ranges (one number per range).  Only the very end
 is no full sequence; it is cut into powers of two, which need no padding, so no token is padding.
 
@@ -15,6 +15,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -78,17 +79,18 @@ class Encoder:
     """Token ids of whole texts as little-endian bytes, by a byte-level BPE vocabulary of ``tokenizers``.
 
     The vocabulary's pre-tokeniser never joins what a space starts to what stands before it.  So a text is
-    cut before its spaces, and every distinct cut is encoded once.  Where white space is followed by a space
-    this does not hold, and the text is encoded whole.
+    cut before its spaces, and the cuts' ids are kept, those of the first ``cap`` distinct cuts for good and
+    any other's for its batch.  Where white space is followed by a space this does not hold, and the text is
+    encoded whole.
     """
 
-    def __init__(self, path: str, cap: int = 200_000):
+    def __init__(self, path: str, cap: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cap, self.known = cap, {}
+        self.cap, self.known = cap, {"": b""}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -102,14 +104,19 @@ class Encoder:
             first, *rest = text.split(" ")
             cuts.append([first, *[" " + r for r in rest]] if first else [" " + r for r in rest])
         new = list({u for c in cuts for u in c if u} - self.known.keys())
-        if new:
-            if len(self.known) + len(new) > self.cap:
-                self.known = {}
-                new = list({u for c in cuts for u in c if u})
-            self.known[""] = b""
-            for i in range(0, len(new), 5000):
-                self.known.update(zip(new[i:i + 5000], self._encode(new[i:i + 5000]), strict=True))
-        return [b"".join(map(self.known.__getitem__, c)) for c in cuts]
+        room = max(0, self.cap - len(self.known))
+        for i in range(0, len(new), 5000):
+            self.known.update(zip(new[i:i + 5000], self._encode(new[i:i + 5000]), strict=True))
+        out = [b"".join(map(self.known.__getitem__, c)) for c in cuts]
+        for u in new[room:]:
+            del self.known[u]
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return Encoder(path)
 
 
 def ends_of(total: int, length: int) -> np.ndarray:
@@ -132,7 +139,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         end = np.zeros(1, encoder.kind).tobytes()
         for batch in batches:
             if not batch.num_rows:
