@@ -54,10 +54,10 @@ def score_by_version(features: DataFrame, models: DataFrame, version_of_row: Col
 
     ``models`` is the registry: one row per version with ``intercept`` and a
     ``coefficients`` map.  It has one row per published version (bounded by the
-    model cadence, not by data), so it is broadcast.
+    model cadence, not by data); Spark broadcasts it as long as its size allows.
     """
     m = models.select("version", "intercept", "coefficients")
-    j = features.withColumn("version", version_of_row).join(F.broadcast(m), "version", "inner")
+    j = features.withColumn("version", version_of_row).join(m, "version", "inner")
     z = F.col("intercept")
     for c in feature_cols:
         z = z + F.coalesce(F.col("coefficients")[c], F.lit(0.0)) * F.col(c).cast("double")

@@ -19,9 +19,5 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     round-robin repartitioned; a normal many-file input is left alone, so there is
     no extra shuffle at scale.  Deciding needs only the file listing, not a job.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a remote session): leave the plan as is
-        return df
-    return df.repartition(target) if splits < target else df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
