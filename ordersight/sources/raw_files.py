@@ -22,13 +22,14 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def file_position(block_start: Column) -> Column:
-    """Order-preserving row key within a file: ``(block MB) << 33 | row index in the task``.
+    """Order-preserving row key within a file: ``(block KB) << 33 | row index in the task``.
 
-    Blocks start at multiples of the split size (>= 1 MB), so the block part is
-    distinct per block; within a block, rows keep their read order.
+    Blocks of a file start at multiples of its split size, so the block part is distinct
+    per block for splits of 1 KB or more and files up to 1 TB; within a block, rows keep
+    their read order.
     """
     idx = F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))
-    return F.shiftleft(F.shiftright(block_start, 20), 33).bitwiseOR(idx)
+    return F.shiftleft(F.shiftright(block_start, 10), 33).bitwiseOR(idx)
 
 
 def with_lineage(lines: DataFrame) -> DataFrame:
