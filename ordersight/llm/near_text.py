@@ -9,8 +9,10 @@ In a bucket (function, value) of at most ``SMALL`` classes all pairs are candida
 class with the bucket's leader, so it gives rows in proportion to its size.  Leaders are drawn by one hash for
 all functions: a class mostly meets the same leader again, and the pair counts once.  Classes that
 verification does not put into the leader's component meet again in finer buckets (this value and the next
-functions', twice as many each time), until those are small or agree in all functions.  Pairs whose lengths
-alone rule the similarity out are left out before their texts are fetched.
+functions', twice as many each time), until those are small or agree in all functions.  That only joins large
+families early.  At last every class outside the largest component of a large bucket meets all classes of the
+bucket that are in other components, in blocks of ``BLOCK`` x ``BLOCK``: a pair that shares a value is verified,
+in one component already, or ruled out by its lengths or word counts, which bound the distance from below.
 
 Candidates are verified: the edit distance of the two word sequences, aligned inside the band that the
 threshold allows, must leave a similarity ``1 - distance / longer length`` of at least 0.8.
@@ -32,6 +34,7 @@ from .common import WORD, Memo, hash_word, map_batches, mix, stage, texts_of
 from .graph import components, merged
 
 K, SKETCHES, SMALL = 5, 24, 8
+BLOCK, BINS = 512, 512
 SIMILARITY = 0.8
 
 _SALTS = (np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x5851F42D4C957F2D))[:, None]
@@ -186,6 +189,57 @@ def _candidates(buckets: DataFrame, least: float) -> tuple[DataFrame, DataFrame]
     return pairs.union(led.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))), large
 
 
+def word_counts(toks: np.ndarray) -> np.ndarray:
+    """Words counted in ``BINS`` bins by hash, up to 255 each: differences are at most those of the words."""
+    return np.minimum(np.bincount((toks % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+
+
+def _across(buckets: DataFrame, linked: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs (a < b) of classes that share a bucket over ``SMALL`` and lie in different components, without
+    those that lengths or word counts rule out.
+
+    Rows grow with the classes outside the bucket's largest component, times the bucket's blocks.
+    """
+    named = buckets.select("bucket", "rep", "words").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
+        "bucket", "rep", "words", F.coalesce("component", "rep").alias("comp"))
+    parts = named.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(
+        F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n")).filter((F.col("n") > SMALL) & (F.col("n") > F.col("top.n")))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    rows = stage(named.join(parts.select("bucket", F.col("top.comp").alias("main"), blocks(F.col("n") - F.col("top.n")).alias("rest"), blocks(F.col("n")).alias("all")), "bucket"), "mixed")
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array([word_counts(tokens(t)).tobytes() for t in texts_of(batch, "text")], pa.binary())], names=["rep", "counts"])
+
+    asked = texts.select("row", "text").join(rows.select(F.col("rep").alias("row")).distinct(), "row", "left_semi")
+    counted = rows.join(stage(map_batches(asked, count, "rep long, counts binary"), "counts"), "rep")
+    part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cols = ["rep", "words", "comp", "counts"]
+    rest = counted.filter("comp <> main").select("bucket", part("rest").alias("i"), every("all").alias("j"), *cols, F.lit(True).alias("asks"), F.lit(False).alias("is_main"))
+    whole = counted.select("bucket", every("rest").alias("i"), part("all").alias("j"), *cols, F.lit(False).alias("asks"), (F.col("comp") == F.col("main")).alias("is_main"))
+
+    def meet(key, table):
+        asks = table.column("asks").to_numpy()
+        rep, words, comp, is_main = (table.column(c).to_numpy() for c in ("rep", "words", "comp", "is_main"))
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, BINS)
+        sums = counts.sum(axis=1, dtype=np.int64)
+        other = np.flatnonzero(~asks)
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for x in np.flatnonzero(asks).tolist():
+            # two classes of the rest meet twice: the smaller one asks
+            y = other[(comp[other] != comp[x]) & (is_main[other] | (rep[x] < rep[other]))]
+            limit = np.floor((1 - least) * np.maximum(words[x], words[y]) + 1e-9)
+            near = np.abs(words[x] - words[y]) <= limit
+            y, limit = y[near], limit[near]
+            same = np.minimum(counts[x], counts[y]).sum(axis=1, dtype=np.int64)
+            y = y[(sums[x] - same <= limit) & (sums[y] - same <= limit)]
+            a.append(np.minimum(rep[x], rep[y]))
+            b.append(np.maximum(rep[x], rep[y]))
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return rest.unionByName(whole).groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) of row numbers whose texts are similar."""
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -208,7 +262,7 @@ def groups(numbered: DataFrame, row_col: str, id_col: str, text_col: str, least:
     reps = stage(reps, "classes")
     level = reps.select("rep", "words", "sketch", F.posexplode("sketch").alias("i", "v")).select(
         "rep", "words", "sketch", F.col("i").alias("at"), F.lit(1).alias("depth"), F.xxhash64("i", "v").alias("bucket"))
-    level = stage(level, "buckets")
+    level = buckets = stage(level, "buckets")
     linked, tested = None, None
     while True:
         pairs, large = _candidates(level, least)
@@ -228,6 +282,8 @@ def groups(numbered: DataFrame, row_col: str, id_col: str, text_col: str, least:
             "rep", "words", "sketch", "at", F.least(2 * F.col("depth"), F.lit(SKETCHES)).alias("depth"), F.xxhash64("bucket", more).alias("bucket")), "finer")
         if level.isEmpty():
             break
+    across = stage(_across(buckets, linked, texts, least).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+    linked = merged(linked, stage(_verified(across, texts, least), "verified"))
     group = rows.join(reps.select("key", "rep"), "key", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left")
     return group.select("row", "id", F.coalesce("rep", "row").alias("rep"), F.coalesce("component", "rep", "row").alias("group"))
 

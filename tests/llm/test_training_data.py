@@ -305,6 +305,29 @@ def test_near_duplicates_against_all_pairs(spark):
     assert near_text.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_pairs_of_large_buckets_are_whole(spark):
+    rng = np.random.default_rng(6)
+    texts = []
+    for family in range(2):  # copies that differ from each other, many of them by more than the threshold
+        words = prose(700 + family, 60).split()
+        texts += [" ".join(VOCAB[int(rng.integers(400))] if rng.random() < share else w for w in words) for share in rng.uniform(0.02, 0.2, 150)]
+    got = near_text.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    name = {r.doc_id: r.group_id for r in got}
+    toks = [near_text.tokens(t) for t in texts]
+    sketches = [near_text.sketch(t) for t in toks]
+    sharing = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if (sketches[i] == sketches[j]).any() and near_text.similar(toks[i], toks[j])]
+    missed = [(i, j) for i, j in sharing if name[i] != name[j]]
+    assert len(sharing) > 1000 and not missed, (len(sharing), len(missed), len(set(name.values())))
+
+
+def test_word_counts_bound_the_distance():
+    rng = np.random.default_rng(8)
+    for _ in range(100):
+        a, b = (rng.integers(0, 2000, rng.integers(1, 60)).astype(np.uint64) for _ in range(2))  # words of one bin are met
+        x, y = near_text.word_counts(a).astype(int), near_text.word_counts(b).astype(int)
+        assert max((x - y).clip(0).sum(), (y - x).clip(0).sum()) <= levenshtein(a.tolist(), b.tolist())
+
+
 def test_chat_views(spark):
     rows = [(1, 0, "ann", "hi <|im_end|>"), (1, 1, "bob", None), (1, 2, "system", "s"), (1, 3, "cy", ""), (1, 4, "ann", "bye"),
             (1, 4, "ann", "bye"), (None, None, None, "x"), (2, 0, "system", "alone"), (None, 1, " ", "y")]
