@@ -3,7 +3,9 @@
 Words whose letters were replaced by look-alike signs (leetspeak), spaced out or repeated are read as a
 lattice: each sign offers the letters it may stand for, each run of a letter may stand for one or two, each
 gap between spaced letters may be a word break or not.  The Viterbi path under a character trigram model of
-the whole corpus restores the text.  A plain word is a lattice of one path and is its own restoration.
+the whole corpus restores the text, whatever the token's length.  A plain word is a lattice of one path and is
+its own restoration.  Numbers stand for themselves: digits with the marks of numbers, amounts and dates, or with
+a unit of at most two letters; so do signs without two unlike look-alikes.
 
 The restored words and their beginnings of three to seven letters are scored by a logistic regression (FTRL with
 an l1 penalty) on their presence.  Null and empty texts get the bias's score; digits alone are no word;
@@ -87,7 +89,7 @@ class CharModel:
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
         """The best path; each position offers (text to write, cost), where a text is '', ' ' or letters."""
         logp = self.logp
-        beams = {(0, 0): (0.0, "")}  # the last two symbols decide what follows
+        beams: dict = {(0, 0): (0.0, None)}  # the last two symbols decide what follows; texts are chains of pieces
         for options in [*lattice, [(" ", 0.0)]]:
             new: dict = {}
             for (a, b), (score, out) in beams.items():
@@ -99,16 +101,22 @@ class CharModel:
                             s += float(logp[x, y, z])
                             x, y = y, z
                     if s > new.get((x, y), (-1e30,))[0]:
-                        new[x, y] = (s, out + piece)
+                        new[x, y] = (s, (out, piece) if piece else out)
             beams = new
-        return max(beams.values())[1].strip()
+        out, pieces = max(beams.values(), key=lambda v: v[0])[1], []
+        while out:
+            out, piece = out
+            pieces.append(piece)
+        return "".join(reversed(pieces)).strip()
 
 
 _RUN = re.compile(r"(.)\1{2,}", re.S)
-_SPACED = re.compile(r"(?<!\S)[^\W_](?:[ .\-_]{1,2}[^\W_]){2,}(?!\S)|(?<!\S)(?:[^\W_] ){2,}[^\W_](?!\S)")
+_ONE = r"[^\W_]|[@$€£!|+(*#]"
+_SPACED = re.compile(rf"(?<!\S)(?:{_ONE})(?:[ .\-_]{{1,2}}(?:{_ONE})){{2,}}(?!\S)")
 _EDGE = re.compile(r"^[^\w@$€£!|+(*#]+|[^\w@$€£|+*#]+$")
 _JOINTS = re.compile(r"[.\-_~'`,:;/\\)\]\[{}\"?<>=&%^]+")
 _PLAIN = re.compile(r"[^\W\d_]+")
+_NUMBER = re.compile(r"[+#(]*[$€£]?[+\-]?\d[\d.,:;/()x*+=\-]*[$€£%+#]?(?:[^\W\d_]{1,2})?")
 
 
 def _letters_of(ch: str) -> list[tuple[str, float]]:
@@ -146,36 +154,37 @@ class Restorer:
         self.model = model
         self.memo = Memo(self._restore, cap=100_000)
 
-    def _restore(self, token: str) -> tuple[str, ...]:
+    def _restore(self, token: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        """The plain readings of a token and its restored words."""
         word = token.lower()
         if _PLAIN.fullmatch(word) and not _RUN.search(word):
-            return (word,)
+            return (), (word,)
         core = _EDGE.sub("", word)
         if _PLAIN.fullmatch(core) and not _RUN.search(core):
-            return (core,)
-        letters = sum(c.isalpha() for c in core)
-        signs = sum(c in LEET for c in core)
+            return (), (core,)
         parts = tuple(_PLAIN.findall(word))
-        if not letters or len(core) > 40 or signs > 2 * letters + 2:
-            return parts  # numbers, addresses and codes stand for themselves
-        return (*parts, *self.model.decode(lattice_of(core)).split())
+        if _NUMBER.fullmatch(core) or not (parts or len({c for c in core if c in LEET}) > 1):
+            return parts, ()
+        pieces = [x for x in _JOINTS.split(core) if len(x) > 1]
+        if len(pieces) > 1:  # a chain of words: what lies between joints may be a word of its own
+            parts += tuple(w for x in set(pieces) if not _NUMBER.fullmatch(x) for w in self.model.decode(lattice_of(x)).split())
+        return parts, tuple(self.model.decode(lattice_of(core)).split())
 
     def words(self, text: str) -> set[str]:
         """The distinct words of the restored text, with the plain readings of what was restored."""
         found: set[str] = set()
-        for words in map(self.memo.__getitem__, set(text.split())):
-            found.update(words)
+        for plain, restored in map(self.memo.__getitem__, set(text.split())):
+            found.update(plain, restored)
         for m in _SPACED.finditer(text):
             letters = re.sub(r"[ .\-_]+", " ", m.group().lower())
             if len(set(letters)) > 2:  # one letter over and over spells nothing
-                for i in range(0, len(letters), 80):
-                    found.update(self.model.decode(lattice_of(letters[i:i + 100], spaced=True)).split())
+                found.update(self.model.decode(lattice_of(letters, spaced=True)).split())
         return found
 
     def restore(self, text: str) -> str:
         """The text with spaced letters joined and every token restored."""
         text = _SPACED.sub(lambda m: self.model.decode(lattice_of(re.sub(r"[ .\-_]+", " ", m.group().lower()), spaced=True)), text)
-        return re.sub(r"\S+", lambda m: " ".join(self.memo[m.group()][-1:]) or m.group(), text)
+        return re.sub(r"\S+", lambda m: " ".join(self.memo[m.group()][1]) or m.group(), text)
 
 
 def _features_of(word: str) -> list[int]:

@@ -147,6 +147,20 @@ def test_deobfuscation_and_toxicity(spark):
     assert toxicity.classify(docs, labels.limit(0)).filter("score <> 0.5").count() == 0
 
 
+def test_long_tokens_and_words_of_signs_are_restored(spark):
+    texts, docs, _ = toxic_docs(spark)
+    more = docs_of(spark, texts + ["you are an ass and more", "stupid asshole"] * 40)
+    r = toxicity.Restorer(toxicity.CharModel(toxicity.char_counts(more)))
+    chain = ".".join(["you.are.a.p4th3t1c.w0rthl3ss.m0r0n.and.more"] * 3)
+    assert len(chain) > 100 and {"pathetic", "worthless", "moron"} <= r.words(chain)
+    assert "stupid" in r.words("stu" + 40 * "u" + "pid") and "stupid" in r.words("$tu" + 400 * "u" + "p1d")
+    assert "ass" in r.words("so 4$$ it is") and "ass" in r.words("@$$!")
+    assert "asshole" in r.words("an @ $ $ h o l e here") and r.restore("@ $ $ h o l e") == "asshole"
+    assert "moron" in r.words(" ".join("moron" * 40))
+    for plain in ("555-2186", "$4.50", "4,000", "2024-10-05", "+1(555)555-2186", "100km", "455", "***", "###", "---", "$$$", "10%"):
+        assert not r.words(plain) - {"km"} and r.restore(plain) == plain
+
+
 def test_viterbi_is_the_best_path():
     counts = np.random.default_rng(0).integers(0, 50, toxicity.SYMBOLS ** 3).astype(float)
     m = toxicity.CharModel(counts)
