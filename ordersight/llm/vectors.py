@@ -4,8 +4,11 @@ Exactly equal vectors are one node.  Nodes are dealt to overlapping cluster shar
 a cell over ``MAX_SHARD`` nodes is cut into parts by hash, so no task gets more.  In each shard candidates are
 robust-pruned into a graph; a node's lists of all its shards are united.  The shards are then searched: every
 node starts a greedy search at the shard's medoid and, once inside the range, expands every node within
-range.  Found pairs are verified in double precision.  A recall audit compares the links of a hash-chosen set
-of nodes with brute force, in blocks; below ``RECALL`` the search is run again with more cells and wider beams.
+range.  Found pairs are verified in double precision.  A recall audit compares the links of hash-chosen
+nodes with brute force, in blocks: the mean of the nodes' own recalls, of nodes with at most ``FEW`` links and of
+the others, the lower of which counts.  Nodes are drawn until ``LINKED`` of them have a link, ``MOST`` at most.
+Below ``RECALL`` the search is run again with more cells and wider beams; what is still below it at the widest is
+searched exactly, all nodes against all in blocks.
 
 The centroids come from at most ``SAMPLE`` nodes; every node is indexed and searched.
 
@@ -27,6 +30,8 @@ from .graph import components
 
 RANGE, RECALL = 0.9, 0.97
 SAMPLE, AUDIT = 8192, 256
+LINKED, MOST, FEW = 64, 8192, 4
+WIDEST, BLOCK = 24, 2048
 SHARD, MAX_SHARD = 1500, 4000
 DEGREE, POOL, ALPHA = 24, 48, 1.2
 
@@ -243,20 +248,54 @@ def _pairs(nodes: DataFrame, size: int, count: int, sample: np.ndarray, least: f
     return _search(indexed.unionByName(asked), size, least, beam).distinct()
 
 
-def _audit(nodes: DataFrame, pairs: DataFrame, size: int, least: float) -> float:
-    """The share of the brute-force links of ``AUDIT`` hash-chosen nodes that the pairs hold."""
-    chosen = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(AUDIT).select("node", "vec").toArrow()
-    ids, x = chosen.column("node").to_numpy(), _matrix(chosen.column("vec").combine_chunks(), size)
+def _exact(nodes: DataFrame, size: int, count: int, least: float) -> DataFrame:
+    """All pairs (a < b) within range, by blocks of about ``BLOCK`` x ``BLOCK`` nodes."""
+    parts = -(-count // BLOCK)
+    dealt = nodes.select("node", "vec", F.pmod(F.xxhash64("node", F.lit("block")), F.lit(parts)).cast("int").alias("part"))
+    others = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    met = dealt.select("node", "vec", "part", others.alias("other")).select("node", "vec", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        other = batch.column("node").to_numpy()
-        i, j = np.nonzero(_matrix(batch.column("vec"), size) @ x.T >= least)
-        i, j = i[other[i] != ids[j]], j[other[i] != ids[j]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(other[i], ids[j])), pa.array(np.maximum(other[i], ids[j]))], names=["a", "b"])
+    def run(key, table):
+        i, j = (k.as_py() for k in key)
+        part = table.column("part").to_numpy()
+        ids, x = table.column("node").to_numpy(), _matrix(table.column("vec").combine_chunks(), size)
+        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for k in range(0, len(left), 256):
+            p, q = np.nonzero(x[left[k:k + 256]] @ x[right].T >= least)
+            u, v = ids[left[k:k + 256]][p], ids[right][q]
+            keep = (u < v) if i == j else (u != v)
+            a.append(np.minimum(u, v)[keep])
+            b.append(np.maximum(u, v)[keep])
+        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
-    true = map_batches(nodes.select("node", "vec"), run, "a long, b long").distinct()
-    n, hit = true.join(pairs.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").agg(F.count("*"), F.count("hit")).first()
-    return hit / n if n else 1.0
+    return met.groupBy("i", "j").applyInArrow(run, "a long, b long")
+
+
+def _audit(nodes: DataFrame, pairs: DataFrame, size: int, least: float) -> float:
+    """The mean recall of hash-chosen nodes that have brute-force links: of nodes with few or with many, the lower."""
+    asked = AUDIT
+    while True:
+        chosen = nodes.orderBy(F.xxhash64("node", F.lit("audit"))).limit(asked).select("node", "vec").toArrow()
+        if not chosen.num_rows:
+            return 1.0
+        shared = nodes.sparkSession.sparkContext.broadcast(
+            (chosen.column("node").to_numpy(), _matrix(chosen.column("vec").combine_chunks(), size)))
+
+        def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
+            ids, x = shared.value
+            other = batch.column("node").to_numpy()
+            i, j = np.nonzero(_matrix(batch.column("vec"), size) @ x.T >= least)
+            i, j = i[other[i] != ids[j]], j[other[i] != ids[j]]
+            return pa.RecordBatch.from_arrays([pa.array(ids[j]), pa.array(np.minimum(other[i], ids[j])), pa.array(np.maximum(other[i], ids[j]))], names=["node", "a", "b"])
+
+        true = map_batches(nodes.select("node", "vec"), run, "node long, a long, b long")
+        each = true.join(pairs.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").groupBy("node").agg(F.count("*").alias("n"), F.count("hit").alias("hit")).toArrow()
+        if each.num_rows >= LINKED or chosen.num_rows < asked or asked >= MOST:
+            break
+        asked = min(MOST, 4 * asked)
+    n, hit = each.column("n").to_numpy(), each.column("hit").to_numpy()
+    return min([float((hit[g] / n[g]).mean()) for g in (n <= FEW, n > FEW) if g.any()], default=1.0)
 
 
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", least: float = RANGE,
@@ -281,7 +320,10 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
             got = _audit(mine, pairs, size, least)
             if audits is not None:
                 audits.append(got)
-            if got >= recall or cells >= 24:
+            if got >= recall:
+                break
+            if cells >= WIDEST:
+                pairs = stage(_exact(mine, size, count, least), "links")
                 break
             cells, beam = 2 * cells, 2 * beam
         links = pairs if links is None else links.union(pairs)

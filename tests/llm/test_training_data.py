@@ -115,6 +115,26 @@ def test_vectors_against_brute_force(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vector_audit_sees_nodes_with_one_link_and_what_is_lost_is_searched(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    hub = rng.normal(size=32)
+    rows = [hub + rng.normal(size=32) * 0.02 for _ in range(60)]
+    for _ in range(60):
+        v = rng.normal(size=32)
+        rows += [v, v + rng.normal(size=32) * 0.05]
+    unit = np.array([r / np.linalg.norm(r) for r in rows])
+    true = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if unit[i] @ unit[j] >= 0.9]
+    nodes = spark.createDataFrame([(i, u.tobytes()) for i, u in enumerate(unit)], "node long, vec binary")
+    table = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    assert vectors._audit(nodes, table(true), 32, 0.9) == 1.0
+    lost = [(i, j) for i, j in true if i < 60 or i % 4]  # half of the pairs that are alone
+    assert len(lost) / len(true) > 0.97 and vectors._audit(nodes, table(lost), 32, 0.9) < 0.7
+    monkeypatch.setattr(vectors, "_pairs", lambda *_: table([]))
+    monkeypatch.setattr(vectors, "BLOCK", 50)
+    got = vectors.near_vectors(spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")).collect()
+    assert all(r.n_links == sum(r.vec_id in p for p in true) for r in got)
+
+
 INSULTS = ["idiot", "moron", "pathetic", "worthless"]
 
 
