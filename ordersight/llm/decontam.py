@@ -7,7 +7,7 @@ hit's diagonal, and an overlap counts where a window of ``window`` tokens agrees
 ``similarity`` of its positions (shorter items: the whole item).
 
 The three masks together hit every 13-token window with up to two substitutions wherever they lie (a test
-checks all placements).
+checks all placements); items under ``SHORT`` tokens are sought by runs of two tokens as well.
 
 The benchmark is the query set: it is joined block by block, each block holding at most ``BLOCK_TOKENS``
 tokens (broadcast, so its size is bounded whatever the benchmark's), against all documents.
@@ -32,6 +32,8 @@ MASKS = ((0, 1, 2, 5, 7), (0, 1, 3, 4, 6), (0, 3, 4, 6, 7))
 WINDOW = 13
 SIMILARITY = 0.8
 MIN_TOKENS = 5
+#: Items under so many tokens are found by runs too: in 10 and 11, two substitutions can miss every mask.
+SHORT = 12
 #: Benchmark tokens of one broadcast block: 2 million tokens are about 100 MB of seeds and tokens.
 BLOCK_TOKENS = 2_000_000
 
@@ -86,7 +88,7 @@ class SeedIndex:
                 hashes.append(h)
                 items.append(np.full(len(h), i, np.int32))
                 places.append(np.arange(len(h)) + starts[i])
-            if len(p) < self.span:
+            if len(p) < SHORT:
                 hashes.append(_runs(p))
                 items.append(np.full(len(hashes[-1]), i, np.int32))
                 places.append(np.arange(len(hashes[-1])) + starts[i])
@@ -94,7 +96,7 @@ class SeedIndex:
         h = cat(hashes, np.uint64)
         order = np.argsort(h, kind="stable")
         self.hashes, self.items, self.places = h[order], cat(items, np.int32)[order], cat(places, np.int64)[order]
-        self.short = bool((self.lengths[self.lengths >= MIN_TOKENS] < self.span).any()) if len(self.lengths) else False
+        self.short = bool((self.lengths[self.lengths >= MIN_TOKENS] < SHORT).any()) if len(self.lengths) else False
         self.bits = 22
         self.present = np.zeros(1 << self.bits, bool)
         self.present[(self.hashes >> np.uint64(64 - self.bits)).astype(np.int64)] = True
@@ -149,7 +151,7 @@ class SeedIndex:
 
 
 def _runs(toks: np.ndarray) -> np.ndarray:
-    """Seeds of two neighbouring tokens, for items too short for some mask."""
+    """Seeds of two neighbouring tokens, for items that the masks alone may miss."""
     if len(toks) < 2:
         return np.empty(0, np.uint64)
     return mix(toks[:-1] * np.uint64(31) + toks[1:], 77)

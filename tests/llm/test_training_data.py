@@ -206,6 +206,15 @@ def test_masks_hit_every_window_with_two_substitutions():
         assert any(not {p + o for o in m} & set(gone) for m in decontam.MASKS for p in range(decontam.WINDOW - m[-1]))
 
 
+def test_short_items_are_found_under_all_placements_of_substitutions():
+    for size in range(decontam.MIN_TOKENS, decontam.WINDOW + 1):
+        words = [f"w{i}" for i in range(size)]
+        index = decontam.SeedIndex([0], [" ".join(words)], decontam.WINDOW, decontam.SIMILARITY)
+        for gone in itertools.combinations(range(size), size - -(-4 * size // 5)):
+            doc = ["a", "b", *("x" if i in gone else w for i, w in enumerate(words)), "c"]
+            assert len(index.overlaps([decontam.tokens(" ".join(doc))])[0]), (size, gone)
+
+
 def test_decontamination_against_brute_force(spark):
     rng = np.random.default_rng(9)
     items = [prose(1000 + i, int(rng.integers(6, 40))) for i in range(12)] + [None, "", "two words"]
