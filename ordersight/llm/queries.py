@@ -3,15 +3,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontam, langid, lm_score, near_text, pack, quality, sharding, toxicity, vectors
-from .common import held_out, read
+from . import chat, decontam, langid, lm_score, near_text, pack, quality, sharding, spill_counts, token_files, toxicity, vectors
+from .common import held_out, read, scratch
 
 N_SHARDS = 40
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,16 @@ def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard", "region", "rack")
 
 
+def op12_spill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spill_counts.alignment(read(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "token-files")
+    token_files.write(read(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return token_files.documents(spark, folder).drop("ids")
+
+
 OP9_SQL = """
 WITH said AS (
   SELECT conv_id, turn, coalesce(nullif(trim(coalesce(role, ''), ' '), ''), 'unknown') AS speaker, coalesce(text, '') AS body
@@ -89,7 +99,8 @@ def queries() -> dict:
     return {"op1_hilbert_packing": op1_hilbert_packing, "op2_cross_entropy": op2_cross_entropy, "op3_pruned_graph": op3_pruned_graph,
             "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
             "op5_spaced_seeds": op5_spaced_seeds, "op6_ftrl_quality": op6_ftrl_quality, "op7_crf_language": op7_crf_language,
-            "op8_order_minhash": op8_order_minhash, "op9_perspective_rotation": op9_perspective_rotation, "op10_hash_tree": op10_hash_tree}
+            "op8_order_minhash": op8_order_minhash, "op9_perspective_rotation": op9_perspective_rotation, "op10_hash_tree": op10_hash_tree,
+            "op12_spill_counts": op12_spill_counts, "op13_token_files": op13_token_files}
 
 
 def oracle_sql() -> dict[str, str]:
