@@ -68,7 +68,7 @@ def op12_spill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "token-files")
     token_files.write(read(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end_id=1)
-    return token_files.documents(spark, folder).drop("ids")
+    return token_files.documents(spark, folder, with_ids=False)
 
 
 OP9_SQL = """

@@ -162,8 +162,8 @@ def segments(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/segments").join(parts, "part").withColumn("start", F.col("start") + F.col("part_start")).drop("part_start")
 
 
-def documents(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
-    """id_col, start, n_tokens, ids (little-endian 32-bit binary), ids_crc32 of all documents in token files."""
+def documents(spark: SparkSession, folder: str, id_col: str = "doc_id", with_ids: bool = True) -> DataFrame:
+    """id_col, start, n_tokens, ids (little-endian 32-bit binary, left out without ``with_ids``), ids_crc32 of all documents in token files."""
     rows = segments(spark, folder).select("start", "ids", "ends", "codes")
     kind = rows.schema["ids"].dataType.elementType.simpleString()
 
@@ -175,13 +175,13 @@ def documents(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataF
             for a, b in zip([0, *ends], ends):
                 start.append(first + a)
                 size.append(b - a)
-                raw.append(bytes(ids[4 * a:4 * b]))
-                crc.append(zlib.crc32(raw[-1]))
-        return pa.RecordBatch.from_arrays(
-            [names, pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(raw, pa.binary()), pa.array(crc, pa.int64())],
-            names=[id_col, "start", "n_tokens", "ids", "ids_crc32"])
+                crc.append(zlib.crc32(ids[4 * a:4 * b]))
+                if with_ids:
+                    raw.append(bytes(ids[4 * a:4 * b]))
+        cols = {id_col: names, "start": pa.array(start, pa.int64()), "n_tokens": pa.array(size, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())}
+        return pa.RecordBatch.from_pydict(cols | ({"ids": pa.array(raw, pa.binary())} if with_ids else {}))
 
-    return map_batches(rows, decode, f"`{id_col}` {kind}, start long, n_tokens long, ids binary, ids_crc32 long")
+    return map_batches(rows, decode, f"`{id_col}` {kind}, start long, n_tokens long, ids_crc32 long" + (", ids binary" if with_ids else ""))
 
 
 def tokens_at(spark: SparkSession, folder: str, places: DataFrame, place_col: str = "place") -> DataFrame:

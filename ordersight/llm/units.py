@@ -1,8 +1,8 @@
 """Token ids of whole texts by public vocabularies, text by text the same as the libraries give, from a store of cuts.
 
 A text is cut where no token can reach across, and every distinct cut is encoded once: the first ``cap`` distinct
-cuts of a Python worker are kept for good, all others for their batch.  New cuts are encoded many in one string,
-whose ids are dealt back by the tokens' byte lengths (byte-level vocabularies) or by the word-end marks (word
+cuts of a Python worker are kept for good, all others for their batch, and so are the words of cuts without the signs
+around them.  New ones are encoded many in one string, whose ids are dealt back by the tokens' byte lengths (byte-level vocabularies) or by the word-end marks (word
 vocabularies); where that does not come out even, each cut is encoded alone.
 """
 from __future__ import annotations
@@ -28,7 +28,12 @@ _ODD_SPACE = re.compile(f"[{''.join(map(chr, _ODD))}]")
 _PLAIN_SPACE = re.compile(r"[ \t-\r]+")
 #: Letters that lower-casing and composition leave single letters: one word of them is one unit of a word vocabulary.
 _LETTERS = [(0x41, 0x5A), (0x61, 0x7A), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x12F), (0x131, 0x148), (0x14A, 0x17E)]
-_PLAIN_WORD = re.compile(f"[{''.join(f'{chr(a)}-{chr(b)}' for a, b in _LETTERS)}]+")
+_LETTER = "".join(f"{chr(a)}-{chr(b)}" for a, b in _LETTERS)
+_PLAIN_WORD = re.compile(f"[{_LETTER}]+")
+#: A word with signs around it falls into units there; not with an apostrophe, nor with the sign that opens special tokens.
+_SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
+_IN_SIGNS = re.compile(f"([{re.escape(_SIGNS.replace('<', ''))}]*)([{_LETTER}]+)([{re.escape(_SIGNS)}]*)")
+_BEFORE_SIGNS = re.compile(f"( ?[{_LETTER}]+)([{re.escape(_SIGNS)}]+)")
 
 
 def space_cuts(text: str) -> list[str]:
@@ -86,7 +91,7 @@ class Vocabulary:
         self.ends = np.array([t.endswith("</w>") for t in tokens])
         self.cut = word_cuts if self.by_words else space_cuts
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.store = Store(self.ids_of, cap)
+        self.store, self.units = Store(self.ids_of, cap), Store(self._units, cap)
 
     def _alone(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -105,8 +110,20 @@ class Vocabulary:
         ends = np.searchsorted(reach, goal) + 1
         return ends if ends[-1] == len(ids) and (reach[ends - 1] == goal).all() else None
 
+    def _parts(self, cut: str) -> list[str]:
+        """The cut, or its word and signs where these are units of their own."""
+        if self.by_words:
+            if m := _IN_SIGNS.fullmatch(cut):
+                return [p for p in (m[1], m[2].lower(), m[3]) if p]
+        elif m := _BEFORE_SIGNS.fullmatch(cut):
+            return [m[1], m[2]]
+        return [cut]
+
     def ids_of(self, cuts: list[str]) -> list[bytes]:
         """Ids of each cut, as little-endian bytes of ``kind``."""
+        return [b"".join(v) for v in self.units.values([self._parts(c) for c in cuts])]
+
+    def _units(self, cuts: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {}
         joined = [c for c in cuts if self._joins(c)]
         blocks = [joined[i:i + JOINED] for i in range(0, len(joined), JOINED)]
