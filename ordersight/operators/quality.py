@@ -152,8 +152,8 @@ def annotate(raw: DataFrame, options: QualityOptions | None = None,
     return rows.withColumn("reason", cascade(rules, options))
 
 
-def features(annotated: DataFrame, options: QualityOptions | None = None) -> DataFrame:
-    """Kept rows in canonical typed form (PRJ-02..04)."""
+def features(annotated: DataFrame, options: QualityOptions | None = None, carry: tuple = ()) -> DataFrame:
+    """Kept rows in canonical typed form (PRJ-02..04); ``carry`` names further columns to keep."""
     options = options or QualityOptions()
     hour = iso_hour(_t("timestamp"))
     return annotated.where(F.col("reason").isNull()).select(
@@ -165,7 +165,7 @@ def features(annotated: DataFrame, options: QualityOptions | None = None) -> Dat
         F.col("_p").cast("int").alias("prep_minutes"),
         F.round(F.col("_v"), 2).alias("order_value"),
         _t("was_late").cast("int").alias("was_late"),
-        "batch", "batch_time", "pos")
+        "batch", "batch_time", "pos", *carry)
 
 
 def rejects(annotated: DataFrame) -> DataFrame:

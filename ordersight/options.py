@@ -119,3 +119,6 @@ FEED_WINDOW = WindowOptions(window_minutes=10080, bucket_minutes=60)
 
 # Fixed texts: what a bucket of one minute, and of n minutes, is called in sentences.
 BUCKET_UNITS = ("per minute", "per {n} min")
+
+# Fixed value: the longest field a CSV record of a raw batch may have (the csv module's limit)
+FIELD_LIMIT = 131072

@@ -811,7 +811,7 @@ def q_scores_two_versions(spark, sf_dir):
 
 
 # ================================================================ streaming
-from ..streaming import jobs  # noqa: E402
+from ..streaming import committed, jobs  # noqa: E402
 from ..sources.feed import order_feed  # noqa: E402
 from ..sources.tables import table  # noqa: E402
 
@@ -849,35 +849,24 @@ def q_stream_clean(spark, sf_dir):
 
 @register("stream_score", ORACLE["predictions_fixed"])
 def q_stream_score(spark, sf_dir):
-    """ST-03: features stream scored with the model chosen per micro-batch."""
+    """ST-03: committed epochs of the cleaning job scored with the model chosen at the time."""
     root = _run_clean_stream(spark, sf_dir)
-    ann_path = f"{root}/annotated"
-    schema = spark.read.parquet(ann_path).schema
-    feats_stream = spark.readStream.schema(schema).parquet(ann_path)
-    from ..operators import quality as _q
-    kept = _q.features(feats_stream)
 
     def newest_model():
         return scoring.GOLDEN_COEFFICIENTS, scoring.GOLDEN_INTERCEPT, "model_v0001"
 
-    q = jobs.score_stream(kept, newest_model, root, f"{root}/_score_checkpoint")
-    q.awaitTermination()
-    p = spark.read.parquet(f"{root}/predictions")
+    committed.score_stream(spark, root, newest_model, f"{root}/_score_checkpoint").awaitTermination()
+    p = committed.predictions(spark, root)
     return p.select("order_id", "late_probability", "predicted_late", "checkpoint_id", "batch", "pos")
 
 
 @register("stream_volume", ORACLE["volume_over_time"])
 def q_stream_volume(spark, sf_dir):
-    """ST-04/09/11: per-bucket partial counts maintained by a stream, window queried from them."""
+    """ST-04/09/11: per-bucket counts of committed epochs maintained by a stream, window queried from them."""
     ctx = FeedContext(spark, sf_dir)
     root = _run_clean_stream(spark, sf_dir)
-    ann_path = f"{root}/annotated"
-    schema = spark.read.parquet(ann_path).schema
-    from ..operators import quality as _q
-    kept = _q.features(spark.readStream.schema(schema).parquet(ann_path))
-    q = jobs.volume_stream(kept, ctx.window, root, f"{root}/_volume_checkpoint")
-    q.awaitTermination()
-    per_bucket = jobs.merged_bucket_counts(spark, root)
+    committed.volume_stream(spark, root, ctx.window, f"{root}/_volume_checkpoint").awaitTermination()
+    per_bucket = committed.bucket_counts(spark, root)
     sp = metrics.bucket_spine(per_bucket, ctx.window, weight="orders")
     return sp.join(per_bucket, "bucket", "left").select(
         "slot", format_iso(F.col("bucket_start")).alias("bucket_start"),

@@ -1,11 +1,11 @@
 """Raw order batch files: ``orders_<YYYYmmddTHHMMSSZ>_<seq>.csv``.
 
-Fast path (splittable): ``text`` source + metadata columns; every line keeps
-its verbatim text as ``raw_line`` and gets its file position from the block it
-was read from and its index in the task (``pos``), so no per-file sort is
-needed.  Files with a quoted field spanning lines need the exact reader
-(``read_exact``): it finds each line's CSV quote state with regexes and running
-sums over the split blocks of a file, then groups lines into records.  It is
+One read path for folders and streams, ``usable_records``: ``text`` source + metadata
+columns; every line keeps its verbatim text as ``raw_line`` and gets its file position
+from the block it was read from and its index in the task (``pos``), so no per-file sort is
+needed.  Unusable files are put aside with a reason.  Files with a quoted field spanning
+lines go through the exact reader: it finds each line's CSV quote state with regexes and
+running sums over the split blocks of a file, then groups lines into records.  It is
 still splittable and JVM-side, so a file of any size is spread over many tasks.
 """
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import batch_key_of, batch_time_of
-from ..options import RAW_COLUMNS
+from ..options import FIELD_LIMIT, RAW_COLUMNS
+from ..session import ensure_checkpoint_dir
 
 HEADER = ",".join(RAW_COLUMNS)
 RAW_GLOB = "orders_*.csv"
@@ -60,49 +61,120 @@ def split_header(rows: DataFrame, expected: str = HEADER) -> tuple[DataFrame, Da
     return data, status.drop("_hpos")
 
 
+def raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a raw folder split on ``\\n`` only (a ``\\r`` before it stays), with their file metadata."""
+    return spark.read.option("pathGlobFilter", RAW_GLOB).option("lineSep", "\n").text(path).select("value", "_metadata")
+
+
+def list_raw_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, file, batch of every raw file, from the file index that Spark makes for any scan (it alone shows empty files)."""
+    paths = spark.read.option("pathGlobFilter", RAW_GLOB).text(path).inputFiles()
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    return listed.select(_same_path(F.col("path")).alias("path"), name.alias("file"), batch_key_of(name).alias("batch"))
+
+
 def read_raw_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """SRC-01/02/04/05/06 batch read of a raw folder: (data rows, per-file status)."""
-    lines = spark.read.option("pathGlobFilter", RAW_GLOB).text(path).select("value", "_metadata")
-    return split_header(with_lineage(lines))
+    """SRC-01..06 batch read of a raw folder: (records of usable files, per-file status)."""
+    return usable_records(raw_lines(spark, path), list_raw_files(spark, path))
 
 
 def raw_text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """ST-01 source: new raw files as they appear (hidden ``.``/``_`` files are ignored by Spark)."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", RAW_GLOB)
+    reader = spark.readStream.format("text").option("pathGlobFilter", RAW_GLOB).option("lineSep", "\n")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path).select("value", "_metadata")
 
 
-def file_quarantine(spark: SparkSession, path: str, expected: str = HEADER) -> DataFrame:
-    """SRC-03: files that cannot be used at all, with the reason (never an error).
+def _same_path(path: Column) -> Column:
+    """Local paths are written ``file:/x`` in metadata and ``file:///x`` in listings."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def _placed(lines: DataFrame) -> DataFrame:
+    """path, file, size, block, pos, line.  Positions are taken before anything else moves the rows."""
+    m = F.col("_metadata")
+    return lines.select(_same_path(m["file_path"]).alias("path"), m["file_name"].alias("file"), m["file_size"].alias("size"),
+                        m["file_block_start"].alias("block"), file_position(m["file_block_start"]).alias("pos"), F.col("value").alias("line"))
+
+
+def _without_cr(line: Column) -> Column:
+    return F.regexp_replace(line, "\r$", "")
+
+
+def file_status(placed: DataFrame, listing: DataFrame | None = None, expected: str = HEADER) -> DataFrame:
+    """SRC-02/03: path, file, batch, batch_time, skip_reason, multiline, first_pos of each file; never an error.
 
     One partial aggregate per file over its split lines, so no file is read by one
     task: the text source keeps invalid bytes and NULs as they are, and its first
     line (by ``pos``) is the header.  It drops a leading UTF-8 BOM, whose 3 bytes
     then show up as missing from the file length: length - line bytes - line
     count (one ``\\n`` each) is 0, or -1 without a final newline, when there is no BOM.
+    ``multiline``: some record may span lines (a line ends inside quotes when read from a
+    record's start, as the first line of such a record does).  Files of ``listing`` without a line are empty.
     """
-    from ..operators.registry import list_files
-    listing = list_files(spark, path, RAW_GLOB).select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length")
-    per = _text_lines(spark, path).groupBy("file").agg(
-        F.min_by("line", "pos").alias("_first"), F.sum(F.octet_length("line")).alias("_bytes"),
-        F.count(F.lit(1)).alias("_lines"), F.bool_and(F.is_valid_utf8("line")).alias("_utf8"),
-        F.bool_or(F.instr("line", "\u0000") > 0).alias("_nul"))
-    # zero-byte files yield no lines: the listing keeps them visible
-    files = listing.join(per, "file", "left")
-    name = F.col("file")
-    missing = F.col("length") - F.coalesce(F.col("_bytes"), F.lit(0)) - F.coalesce(F.col("_lines"), F.lit(0))
-    first_line = F.regexp_replace(F.col("_first"), "\r$", "")
-    reason = (F.when(batch_key_of(name) == "", F.lit("bad file name"))
-              .when(batch_time_of(batch_key_of(name)).isNull(), F.lit("impossible batch stamp"))
-              .when(F.col("length") == 0, F.lit("empty file"))
+    line = F.col("line")
+    quoted = F.instr("line", '"') > 0
+    long_line = F.length(line) > FIELD_LIMIT
+    lengths = F.transform(F.regexp_extract_all(line, F.lit(f"(?:^|,)({_FIELD})"), F.lit(1)), _field_length)
+    per = placed.groupBy("path", "file").agg(
+        F.min_by("line", "pos").alias("_first"), F.min("pos").alias("first_pos"), F.max("size").alias("_size"),
+        F.sum(F.octet_length(line)).alias("_bytes"), F.count(F.lit(1)).alias("_lines"),
+        F.bool_and(F.is_valid_utf8(line)).alias("_utf8"), F.bool_or(F.instr("line", "\u0000") > 0).alias("_nul"),
+        F.bool_or(quoted & line.rlike(_ENDS_OPEN_FROM_START)).alias("multiline"),
+        F.max(F.when(long_line, F.array_max(lengths))).alias("_longest"))
+    if listing is not None:
+        empty = listing.join(per.select("path"), "path", "left_anti").select("path", "file", F.lit(0).cast("long").alias("_size"))
+        per = per.unionByName(empty, allowMissingColumns=True)
+    key = batch_key_of(F.col("file"))
+    missing = F.col("_size") - F.col("_bytes") - F.col("_lines")
+    reason = (F.when(key == "", F.lit("bad file name"))
+              .when(batch_time_of(key).isNull(), F.lit("impossible batch stamp"))
+              .when(F.col("_size") == 0, F.lit("empty file"))
               .when(missing >= 2, F.lit("unexpected header"))
               .when(~F.col("_utf8"), F.lit("not UTF-8 text"))
               .when(F.col("_nul"), F.lit("malformed CSV (NUL byte)"))
-              .when(~F.coalesce(first_line == F.lit(expected), F.lit(False)), F.lit("unexpected header")))
-    return files.select(name.alias("file"), batch_key_of(name).alias("batch"), reason.alias("reason"))
+              .when(_without_cr(F.col("_first")) != F.lit(expected), F.lit("unexpected header"))
+              .when(F.col("_longest") > FIELD_LIMIT, F.lit(TOO_LONG)))
+    return per.select("path", "file", key.alias("batch"), batch_time_of(key).alias("batch_time"), reason.alias("skip_reason"),
+                      F.coalesce("multiline", F.lit(False)).alias("multiline"), "first_pos")
+
+
+def file_quarantine(spark: SparkSession, path: str, expected: str = HEADER) -> DataFrame:
+    """SRC-03: file, batch and the reason why a file of a raw folder cannot be used (null: it can)."""
+    status = usable_records(raw_lines(spark, path), list_raw_files(spark, path), expected)[1]
+    return status.select("file", "batch", F.col("skip_reason").alias("reason"))
+
+
+def usable_records(lines: DataFrame, listing: DataFrame | None = None, expected: str = HEADER) -> tuple[DataFrame, DataFrame]:
+    """The one read path of raw files, for a folder's lines as well as a stream's micro-batch: (records, file status).
+
+    Records: batch, batch_time, file, pos, raw_line of usable files.  Status: file, batch, batch_time, skip_reason.
+    Files are judged by ``file_status``.  A usable file without a record over several lines gives its lines as they
+    are, without a shuffle of data; the others go through ``record_keys``.  There the length of a quoted field that stays
+    open is summed line by line (``open_field_lengths``), so a file with an endless record is refused before the
+    lines of any record are put together.  ``listing`` (path, file, batch) limits the files and adds empty ones.
+    """
+    placed = _placed(lines)
+    if listing is not None:
+        placed = placed.join(listing.select("path"), "path", "left_semi")
+    ensure_checkpoint_dir(lines.sparkSession)
+    # one row per file, asked for by several branches
+    status = file_status(placed, listing, expected).checkpoint()
+    usable = status.where(F.col("skip_reason").isNull())
+    plain = placed.join(usable.where("NOT multiline").select("path", "batch", "batch_time", "first_pos"), "path").where(F.col("pos") > F.col("first_pos"))
+    records = plain.select("batch", "batch_time", "file", "pos", _without_cr(F.col("line")).alias("raw_line"))
+    spanning = usable.where("multiline")
+    if not spanning.isEmpty():
+        k = record_keys(placed.join(spanning.select("path"), "path", "left_semi").select(F.col("path").alias("file"), "block", "pos", "line"))
+        longest = open_field_lengths(k).groupBy(F.col("file").alias("path")).agg(F.max("length").alias("longest"))
+        endless = longest.where(F.col("longest") > FIELD_LIMIT).select("path", F.lit(TOO_LONG).alias("_why")).checkpoint()
+        status = status.join(endless, "path", "left").withColumn("skip_reason", F.coalesce("skip_reason", "_why")).drop("_why")
+        fine = spanning.join(endless, "path", "left_anti").select(F.col("path").alias("_path"), F.col("file").alias("_name"), "batch", "batch_time", "first_pos")
+        body = k.join(fine, k["file"] == F.col("_path")).where(F.col("rec") != F.col("first_pos"))
+        records = records.unionByName(_joined_records(body, "_name", "batch", "batch_time"))
+    return records, status.select("file", "batch", "batch_time", "skip_reason")
 
 
 # Quote state of CSV lines (the ``csv`` module's reading of ``"``; strict=False, doubled quotes).
@@ -114,6 +186,56 @@ _OPEN = '"(?:[^"]|"")*+'
 # ends inside a quoted field when read from a record start / when read from inside a quoted field
 _ENDS_OPEN_FROM_START = f"^(?:{_FIELD},)*{_OPEN}$"
 _ENDS_OPEN_FROM_INSIDE = f'^(?:[^"]|"")*+(?:"[^,]*,(?:{_FIELD},)*{_OPEN})?$'
+# the part of a line that belongs to a field left open at its end, read from a record start / from inside a quoted field
+_OPENED_FROM_START = f'^(?:{_FIELD},)*"((?:[^"]|"")*+)$'
+_OPENED_FROM_INSIDE = f'^(?:[^"]|"")*+"[^,]*,(?:{_FIELD},)*"((?:[^"]|"")*+)$'
+_ALL_INSIDE = '^(?:[^"]|"")*+$'
+_CLOSED = '^((?:[^"]|"")*+)"[^,]*'
+TOO_LONG = f"malformed CSV (field larger than field limit ({FIELD_LIMIT}))"
+
+
+def _unquoted_length(text: Column) -> Column:
+    """Characters of the inside of quotes: a doubled quote is one."""
+    return F.length(text) - F.length(F.regexp_replace(text, '[^"]', "")) / 2
+
+
+def _field_length(field: Column) -> Column:
+    inside = F.length(field) - 2 - F.length(F.regexp_replace(F.regexp_extract(field, '^"((?:[^"]|"")*+)"', 1), '[^"]', "")) / 2
+    return F.when(field.startswith('"'), inside).otherwise(F.length(field)).cast("long")
+
+
+def open_field_lengths(keyed: DataFrame) -> DataFrame:
+    """file, field (place of the line that opens it), length of every quoted field that spans lines.
+
+    Each line gives the part of the open field that it continues, and of the one it leaves open.  Which line opened
+    the field is a running maximum inside a split block, carried over blocks by one row each; parts
+    are then added per field, which is a partial aggregate: a field over any number of lines is a number in every task.
+    """
+    line, continues = F.col("line"), F.col("rec") != F.col("pos")
+    through = continues & line.rlike(_ALL_INSIDE)
+    opens = F.when(continues, ~through & line.rlike(_ENDS_OPEN_FROM_INSIDE)).otherwise((F.instr("line", '"') > 0) & line.rlike(_ENDS_OPEN_FROM_START))
+    m = keyed.select("file", "block", "pos", "line", continues.alias("_cont"), through.alias("_thru"), opens.alias("_opens"))
+    m = m.where("_cont OR _opens")
+    opened = F.max(F.when(F.col("_opens"), F.col("pos")))
+    inside = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carry = m.groupBy("file", "block").agg(opened.alias("_last")).select("file", "block", F.max("_last").over(earlier).alias("_carry"))
+    m = m.withColumn("_from", opened.over(inside)).join(carry, ["file", "block"])
+    goes_on = F.when(F.col("_thru"), _unquoted_length(line) + 1).otherwise(_unquoted_length(F.regexp_extract(line, _CLOSED, 1)))
+    left_open = _unquoted_length(F.when(F.col("_cont"), F.regexp_extract(line, _OPENED_FROM_INSIDE, 1)).otherwise(F.regexp_extract(line, _OPENED_FROM_START, 1))) + 1
+    parts = F.array(F.struct(F.when(F.col("_cont"), F.coalesce("_from", "_carry")).alias("field"), goes_on.alias("part")),
+                    F.struct(F.when(F.col("_opens"), F.col("pos")).alias("field"), left_open.alias("part")))
+    return m.select("file", F.explode(parts).alias("p")).where(F.col("p.field").isNotNull()).groupBy("file", F.col("p.field").alias("field")).agg(
+        F.sum("p.part").cast("long").alias("length"))
+
+
+def _joined_records(body: DataFrame, name: str, batch: str, batch_time: str) -> DataFrame:
+    """Lines with ``rec`` put together to records: batch, batch_time, file, pos, raw_line (verbatim); a blank line is no record."""
+    lines = F.array_sort(F.collect_list(F.struct("pos", "line")))
+    text = F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
+    recs = body.groupBy(F.col(batch).alias("batch"), F.col(batch_time).alias("batch_time"), F.col(name).alias("file"), F.col("rec").alias("pos")).agg(
+        F.regexp_replace(text, "[\r\n]+$", "").alias("raw_line"), F.count(F.lit(1)).alias("_n"))
+    return recs.where((F.col("_n") > 1) | (F.col("raw_line") != "")).drop("_n")
 
 
 def _text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -215,11 +337,5 @@ def read_exact(spark: SparkSession, path: str, expected: str = HEADER) -> DataFr
     key = batch_key_of(F.col("file"))
     good_file = ((key != "") & batch_time_of(key).isNotNull() & (hdr["open"] == 0)
                  & (F.regexp_replace(hdr["line"], "\r$", "") == F.lit(expected)))
-    body = k.where(good_file & (F.col("rec") != hdr["pos"]))
-    lines = F.array_sort(F.collect_list(F.struct("pos", "line")))
-    recs = body.groupBy("file", "rec").agg(
-        F.regexp_replace(F.array_join(F.transform(lines, lambda x: x["line"]), "\n"), "[\r\n]+$", "")
-        .alias("raw_line"), F.count(F.lit(1)).alias("_n"))
-    recs = recs.where((F.col("_n") > 1) | (F.col("raw_line") != ""))     # a blank line is no record
-    return recs.select("file", key.alias("batch"), F.col("rec").alias("pos"), "raw_line",
-                       batch_time_of(key).alias("batch_time"))
+    body = k.where(good_file & (F.col("rec") != hdr["pos"])).select("*", key.alias("batch"), batch_time_of(key).alias("batch_time"))
+    return _joined_records(body, "file", "batch", "batch_time").select("file", "batch", "pos", "raw_line", "batch_time")

@@ -1,10 +1,10 @@
-"""Structured Streaming jobs: clean, score and per-bucket volume, each via ``foreachBatch``.
+"""Structured Streaming jobs: clean, retrain and counts of a plain stream, each via ``foreachBatch``.
 
-Exactly-once on plain Parquet: every micro-batch writes its output under
-``epoch=<id>`` with dynamic partition overwrite (a replayed epoch overwrites
-itself, never duplicates), and the ledger row for the epoch is written last, as
-the commit marker.  ``trigger(availableNow=True)`` gives the one-shot mode; a
-restart with the same checkpoint processes only new input.
+Every micro-batch writes its output under ``epoch=<id>`` with dynamic partition overwrite
+(a replayed epoch overwrites itself), and the ledger row for the epoch is written last, as
+the commit marker.  Jobs that follow the cleaning job work on committed epochs, see
+``committed.py``.  ``trigger(availableNow=True)`` gives the one-shot mode; a restart with
+the same checkpoint processes only new input.
 """
 from __future__ import annotations
 
@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import quality, scoring
-from ..operators.ledger import ledger_rows, quarantine_rows
+from ..operators import quality
+from ..operators.ledger import LEDGER_SCHEMA, ledger_rows, quarantine_rows
 from ..operators.metrics import bucket_of, epoch
 from ..options import QualityOptions, WindowOptions
 
@@ -37,85 +37,100 @@ def _start(stream: DataFrame, fn, checkpoint: str, trigger: dict | None) -> Stre
     return w.start()
 
 
+#: Tables of the cleaning job, so that readers of an empty store need no file.
+ANNOTATED = ("batch string, batch_time timestamp, pos long, raw_line string, reason string, order_id string, timestamp string, "
+             "distance_km string, prep_minutes string, order_value string, was_late string, t_order_id string, t_timestamp string, "
+             "t_was_late string, _ts timestamp, _d double, _p long, _v double, epoch long")
+LEDGER = LEDGER_SCHEMA + ", epoch long"
+
+
+def clean_epoch(raw: DataFrame, status: DataFrame | None, out_root: str, epoch_id: int,
+                options: QualityOptions | None = None, skip_blank: bool = True) -> None:
+    """Clean ``raw`` as epoch ``epoch_id``: annotated rows first, then the ledger rows that commit them.
+
+    ``status`` has a ``skip_reason`` per file: every readable file gets a committed row, also
+    without any record (SNK-05), every other one a ``skipped`` row with its reason (ST-08).
+    """
+    spark = raw.sparkSession
+    ann = quality.annotate(raw, options or QualityOptions(), skip_blank=skip_blank)
+    out = ann.select("batch", "batch_time", "pos", "raw_line", "reason", "order_id", "timestamp",
+                     "distance_km", "prep_minutes", "order_value", "was_late", "t_order_id",
+                     "t_timestamp", "t_was_late", "_ts", "_d", "_p", "_v")
+    _write_epoch(out, f"{out_root}/annotated", epoch_id)            # rejects + features
+    # with the schema given, a micro-batch without rows reads as an empty epoch
+    written = spark.read.schema("batch string, reason string, epoch long").parquet(f"{out_root}/annotated")
+    stats = quality.batch_stats(written.where(F.col("epoch") == epoch_id).select("batch", "reason"))
+    if status is not None:
+        done = status.where(F.col("skip_reason").isNull()).select("batch").distinct()
+        stats = done.join(stats, "batch", "left").select(
+            "batch", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+                       for c in stats.columns if c not in ("batch", "reasons_text")])
+    rows = ledger_rows(stats, "clean")
+    if status is not None:
+        # a file whose name is no batch key is on record under its name
+        skipped = status.where(F.col("skip_reason").isNotNull()).select(
+            F.when(F.col("batch") != "", F.col("batch")).otherwise(F.col("file")).alias("batch"), F.col("skip_reason").alias("reason"))
+        rows = rows.unionByName(quarantine_rows(skipped, "clean"))
+    _write_epoch(rows, f"{out_root}/ledger", epoch_id)   # commit marker last
+
+
 def clean_stream(stream: DataFrame, to_raw: Callable[[DataFrame], DataFrame], out_root: str,
                  checkpoint: str, options: QualityOptions | None = None,
                  trigger: dict | None = None, skip_blank: bool = True) -> StreamingQuery:
     """ST-01: every micro-batch of raw input -> annotated rows (features + rejects) + ledger.
 
     ``to_raw`` turns the micro-batch into raw lines (``batch, batch_time, pos,
-    raw_line``), or into ``(raw lines, file status)`` where the status has a
-    ``skip_reason`` per file; skipped files get one ``skipped`` ledger row (ST-08)
-    and are never retried, because the checkpoint has consumed them.  Duplicates
+    raw_line``), or into ``(raw lines, file status)`` as ``raw_files.usable_records`` does.
+    Skipped files are never retried, because the checkpoint has consumed them.  Duplicates
     are judged per batch inside the micro-batch (ST-14), which is exact because a
     batch file never spans micro-batches.
     """
-    options = options or QualityOptions()
-
     def process(batch_df: DataFrame, epoch_id: int) -> None:
         got = to_raw(batch_df)
         raw, status = got if isinstance(got, tuple) else (got, None)
-        ann = quality.annotate(raw, options, skip_blank=skip_blank)
-        out = ann.select("batch", "batch_time", "pos", "raw_line", "reason", "order_id", "timestamp",
-                         "distance_km", "prep_minutes", "order_value", "was_late", "t_order_id",
-                         "t_timestamp", "t_was_late", "_ts", "_d", "_p", "_v")
-        _write_epoch(out, f"{out_root}/annotated", epoch_id)            # rejects + features
-        # with the schema given, a micro-batch without rows reads as an empty epoch
-        written = batch_df.sparkSession.read.schema("batch string, reason string, epoch long").parquet(f"{out_root}/annotated")
-        stats = quality.batch_stats(written.where(F.col("epoch") == epoch_id).select("batch", "reason"))
-        if status is not None:
-            # every readable file is committed, zero-row ones included (SNK-05)
-            done = status.where(F.col("skip_reason").isNull()).select("batch").distinct()
-            stats = done.join(stats, "batch", "left").select(
-                "batch", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                           for c in stats.columns if c not in ("batch", "reasons_text")])
-        rows = ledger_rows(stats, "clean")
-        if status is not None:
-            skipped = status.where(F.col("skip_reason").isNotNull()).select(
-                "batch", F.col("skip_reason").alias("reason"))
-            rows = rows.unionByName(quarantine_rows(skipped, "clean"))
-        _write_epoch(rows, f"{out_root}/ledger", epoch_id)   # commit marker last
+        clean_epoch(raw, status, out_root, epoch_id, options, skip_blank)
 
     return _start(stream, process, checkpoint, trigger)
 
 
+def clean_files(spark: SparkSession, path: str, out_root: str, options: QualityOptions | None = None) -> int:
+    """The cleaning job without a stream: all files of ``path`` that have no ledger row, as one epoch; how many there were.
+
+    A run that fails before its ledger rows leaves its files pending, and the next run replaces what it wrote.
+    """
+    from ..sources import raw_files
+    ledger = spark.read.schema(LEDGER).parquet(f"{out_root}/ledger") if _stored(spark, f"{out_root}/ledger") \
+        else spark.createDataFrame([], LEDGER)
+    seen = ledger.select(F.col("batch").alias("seen")).distinct()
+    files = raw_files.list_raw_files(spark, path)
+    name = F.when(F.col("batch") != "", F.col("batch")).otherwise(F.col("file"))
+    fresh = files.join(seen, name == F.col("seen"), "left_anti")
+    n = fresh.count()
+    if n:
+        lines = raw_files.raw_lines(spark, path).join(
+            fresh.select(F.col("path").alias("_path")), F.col("_metadata.file_path") == F.col("_path"), "left_semi")
+        raw, status = raw_files.usable_records(lines, fresh)
+        last = ledger.agg(F.max("epoch")).first()[0]
+        clean_epoch(raw, status, out_root, 0 if last is None else last + 1, options)
+    return n
+
+
 def stream_outputs(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
     """Committed outputs of ``clean_stream``: only epochs that have their ledger rows."""
-    ann = spark.read.parquet(f"{out_root}/annotated")
-    led = spark.read.parquet(f"{out_root}/ledger")
+    ann = spark.read.schema(ANNOTATED).parquet(f"{out_root}/annotated")
+    led = spark.read.schema(LEDGER).parquet(f"{out_root}/ledger")
     committed = ann.join(led.select("epoch").distinct(), "epoch", "left_semi")
     # a zero-row or skipped batch has ledger rows but no data rows: the ledger is the record
     return {"features": quality.features(committed), "rejects": quality.rejects(committed), "ledger": led}
 
 
-def score_stream(stream: DataFrame, choose_model: Callable[[], tuple[dict, float, str]], out_root: str,
-                 checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """ST-03/ML-09: score each micro-batch with the model chosen at that boundary (hot swap).
-
-    ``choose_model`` is called once per micro-batch on the driver and returns
-    ``(coefficients, intercept, checkpoint_id)`` of the newest usable model, so one
-    batch is always scored by exactly one model.
-    """
-    def process(batch_df: DataFrame, epoch_id: int) -> None:
-        chosen = choose_model()
-        if chosen is None:       # no model yet: park the rows; score_pending picks them up later
-            _write_epoch(batch_df, f"{out_root}/unscored", epoch_id)
-            return
-        coefs, intercept, ckpt = chosen
-        preds = scoring.score_fixed(batch_df, coefs, intercept, ckpt, keep=("batch", "batch_time", "pos"))
-        _write_epoch(preds, f"{out_root}/predictions", epoch_id)
-        stats = scoring.scored_per_batch(batch_df.sparkSession.read.parquet(f"{out_root}/predictions")
-                                         .where(F.col("epoch") == epoch_id))
-        _write_epoch(stats.withColumn("stage", F.lit("score")), f"{out_root}/score_ledger", epoch_id)
-
-    return _start(stream, process, checkpoint, trigger)
-
-
 def volume_stream(stream: DataFrame, opts: WindowOptions, out_root: str, checkpoint: str,
                   trigger: dict | None = None, ts: str = "timestamp") -> StreamingQuery:
-    """ST-04/09/11: per-bucket partial counts merged additively; late rows just add to their bucket.
+    """ST-09: per-bucket partial counts of a plain stream, merged additively; late rows just add to their bucket.
 
-    No watermark drops anything (the reference never drops late data); the
-    per-bucket table is tiny and the windowed series is a query over it.
+    No watermark drops anything; the per-bucket table is tiny and the windowed series is a
+    query over it.  For sources that deliver a row once: over the cleaning job's
+    output use ``committed.volume_stream``.
     """
     def process(batch_df: DataFrame, epoch_id: int) -> None:
         part = batch_df.groupBy(bucket_of(epoch(ts), opts.bucket_seconds).alias("bucket")).agg(
@@ -173,25 +188,6 @@ def retrain_stream(ledger_stream: DataFrame, ledger_path: str, features_reader:
     return _start(ledger_stream, process, checkpoint, trigger)
 
 
-def score_pending(spark: SparkSession, out_root: str, choose_model) -> int:
-    """JN-02/ML-11: score parked rows whose batch has no predictions yet (anti-join), then report how many."""
-    path = f"{out_root}/unscored"
-    if not _stored(spark, path):
-        return 0
-    chosen = choose_model()
-    if chosen is None:
-        return 0
-    parked = spark.read.parquet(path).drop("epoch")
-    done_path = f"{out_root}/predictions"
-    if _stored(spark, done_path):
-        parked = parked.join(spark.read.parquet(done_path).select("batch").distinct(), "batch", "left_anti")
-    coefs, intercept, ckpt = chosen
-    preds = scoring.score_fixed(parked, coefs, intercept, ckpt, keep=("batch", "batch_time", "pos"))
-    preds = preds.withColumn("epoch", F.lit(-1).cast("long"))
-    preds.write.mode("append").partitionBy("epoch").parquet(done_path)
-    return spark.read.parquet(done_path).where("epoch = -1").count()
-
-
 def watermarked_volume_stream(stream: DataFrame, opts: WindowOptions, out_root: str, checkpoint: str,
                               watermark: str, trigger: dict | None = None, ts: str = "timestamp") -> StreamingQuery:
     """ST-10/11 opt-in: Spark's stateful tumbling-window count with a watermark (update mode).

@@ -56,7 +56,7 @@ def test_exact_reader_keeps_multiline_record(spark, tmp_dir):
 
 
 def to_raw(batch_df):
-    return raw_files.split_header(raw_files.with_lineage(batch_df))
+    return raw_files.usable_records(batch_df)
 
 
 def test_clean_stream_restart_is_noop_and_picks_up_new_files(spark, tmp_path):
@@ -127,40 +127,36 @@ def test_score_stream_hot_swap_never_rescores(spark, tmp_path):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     from ordersight.operators import registry
-    models, feats_dir, out = str(tmp_path / "models"), str(tmp_path / "feats"), str(tmp_path / "out")
+    models, out = str(tmp_path / "models"), str(tmp_path / "out")
     rows = [(float(d), float(p), float(int(p + 3 * d > 30))) for d in range(1, 12) for p in range(5, 31, 3)]
     train = VectorAssembler(inputCols=["distance_km", "prep_minutes"], outputCol="features").transform(
         spark.createDataFrame(rows, "distance_km double, prep_minutes double, label double"))
     m1 = LogisticRegression(regParam=0.1, maxIter=20).fit(train)
     m2 = LogisticRegression(regParam=0.001, maxIter=50).fit(train)
     side = {"rows_total": 10, "feature_columns": ["distance_km", "prep_minutes"]}
-    schema = "order_id string, distance_km double, prep_minutes int, batch string, batch_time timestamp, pos long"
+    from ordersight.streaming import committed
+    epochs = iter(range(10))
 
     def add(batch):
-        spark.createDataFrame([(f"{batch}-{i}", 3.0 + i, 10 + i, batch, None, i) for i in range(3)], schema) \
-            .write.mode("append").parquet(feats_dir)
+        _clean(spark, out, next(epochs), batch, [f"{batch}-{i}" for i in range(3)])
 
     chooser = registry.ModelChooser(spark, models)
 
     def run():
-        stream = spark.readStream.schema(schema).parquet(feats_dir)
-        jobs.score_stream(stream, chooser, out, str(tmp_path / "ck")).awaitTermination()
-        if not os.path.isdir(f"{out}/predictions"):
-            return {}
-        return {r.batch: r.checkpoint_id for r in spark.read.parquet(f"{out}/predictions").collect()}
+        committed.score_stream(spark, out, chooser, str(tmp_path / "ck")).awaitTermination()
+        return {r.batch: r.checkpoint_id for r in committed.predictions(spark, out).collect()}
 
     add("b0")
-    assert run() == {}                                                   # no model yet: parked
-    assert spark.read.parquet(f"{out}/unscored").count() == 3
+    assert run() == {}                                                   # no model yet: the epoch stays pending
     registry.publish(spark, models, 1, m1, side)
-    assert jobs.score_pending(spark, out, chooser) == 3                  # parked batch scored once
+    assert committed.score_pending(spark, out, chooser) == 1             # and is scored once
     add("b1")
     assert run() == {"b0": "model_v0001", "b1": "model_v0001"}
     registry.publish(spark, models, 2, m2, side)
     add("b2")
     got = run()
     assert got == {"b0": "model_v0001", "b1": "model_v0001", "b2": "model_v0002"}   # never re-scored
-    assert spark.read.parquet(f"{out}/predictions").count() == 9
+    assert committed.predictions(spark, out).count() == 9
 
 
 def test_watermarked_volume_matches_additive_when_nothing_is_late(spark, tmp_path):
@@ -280,3 +276,137 @@ def test_exact_reader_header_is_the_first_line(spark, tmp_dir):
     batch_file(tmp_dir, "20240501T120000Z_0003", ["C,2024-05-01T12:00:01Z,3,15,10,1"], newline="\r\n")
     got = [(r.file[-8:-4], r.raw_line) for r in raw_files.read_exact(spark, tmp_dir).collect()]
     assert got == [("0003", "C,2024-05-01T12:00:01Z,3,15,10,1")]
+
+
+def _record(order, distance="3"):
+    return f"{order},2024-05-01T12:00:01Z,{distance},15,10,1"
+
+
+def _odd_folder(d):
+    good = (HEADER + "\n" + _record("A") + "\n").encode()
+    limit = raw_files.FIELD_LIMIT
+    files = {
+        "0001": good,
+        "0002": b"\xef\xbb\xbf" + good,
+        "0003": good.replace(b"A,", b"\xe9,"),
+        "0004": good.replace(b"A,", b"A\x00,"),
+        "0005": b"",
+        "0006": (HEADER + "\n" + _record("x" * limit) + "\n").encode(),                     # the longest field allowed
+        "0007": (HEADER + "\n" + _record("x" * (limit + 1)) + "\n").encode(),
+        "0008": (HEADER + "\n" + _record("B") + '\nC,"never closed\n' + "y" * 50 + "\n" + "line of it\n" * 20000).encode(),
+        "0009": (HEADER + "\n" + _record("D", '"3\n""x"') + "\n" + _record("E") + "\n").encode(),     # a record over two lines
+        "0010": (HEADER + '\nF,"' + "ab\n" * (limit // 3) + '"\n' + _record("G") + "\n").encode(),    # within the limit
+        "0011": (HEADER + '\nF,"' + '""\n' * (limit // 2) + '",x,"' + "q\n" * (limit // 2) + 'qqq"\n').encode(),
+    }
+    for k, data in files.items():
+        write_bytes(os.path.join(d, f"orders_20240501T1200{k[2:]}Z_{k}.csv"), data)
+    too_long = raw_files.TOO_LONG
+    return {"0001": None, "0002": "unexpected header", "0003": "not UTF-8 text", "0004": "malformed CSV (NUL byte)", "0005": "empty file",
+            "0006": None, "0007": too_long, "0008": too_long, "0009": None, "0010": None, "0011": too_long}
+
+
+def test_unusable_files_become_ledger_rows_in_batch_and_stream(spark, tmp_path):
+    """SRC-03, ST-08: every unusable file is one skipped ledger row with its reason, and gives no rows."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    want = _odd_folder(str(raw))
+    batch_out, stream_out = str(tmp_path / "b"), str(tmp_path / "s")
+    assert jobs.clean_files(spark, str(raw), batch_out) == len(want)
+    jobs.clean_stream(raw_files.raw_text_stream(spark, str(raw)), to_raw, stream_out, str(tmp_path / "ck")).awaitTermination()
+    for out in (batch_out, stream_out):
+        o = jobs.stream_outputs(spark, out)
+        got = {r.batch[-4:]: (r.status, r.skip_reason) for r in o["ledger"].collect()}
+        # an empty file gives a stream no line, so only the listing of a batch run shows it
+        assert got == {k: ("skipped", w) if w else ("committed", None) for k, w in want.items() if w != "empty file" or out == batch_out}
+        assert sorted(r.order_id[0] for r in o["features"].collect()) == ["A", "E", "G", "x"]
+        assert {(r.order_id, r.reason) for r in o["rejects"].collect()} == {("D", "not_a_number"), ("F", "wrong_field_count")}
+    assert jobs.clean_files(spark, str(raw), batch_out) == 0                     # nothing left to do, skipped files included
+    batch_file(str(raw), "20240501T130000Z_0020", [_record("H")])
+    assert jobs.clean_files(spark, str(raw), batch_out) == 1
+    led = jobs.stream_outputs(spark, batch_out)["ledger"]
+    assert {r.batch[-4:]: r.epoch for r in led.where("epoch > 0").collect()} == {"0020": 1}
+
+
+def test_open_field_lengths_match_the_csv_module(spark, tmp_dir):
+    import csv
+    import io
+    import random
+    rnd = random.Random(4)
+    data = _random_file(rnd, 3000).decode()
+    write_bytes(f"{tmp_dir}/orders_20240501T120000Z_0001.csv", data.encode())
+    k = raw_files.record_keys(raw_files._text_lines(spark, tmp_dir))
+    got = sorted(r.length for r in raw_files.open_field_lengths(k).collect())
+    # the inside of every quoted field that holds a line end, without what follows the closing quote
+    want = []
+    for rec in csv.reader(io.StringIO(data, newline="")):
+        want += [f for f in rec if "\n" in f]
+    tails = [len(f) - max(len(f.rstrip("x")), len(f[:-2]) if f.endswith('y"') else 0) for f in want]
+    assert len(got) == len(want)
+    assert sum(got) <= sum(map(len, want)) <= sum(got) + 2 * len(want) and all(t <= 2 for t in tails)
+
+
+def _clean(spark, out, epoch_id, batch, orders):
+    from datetime import datetime
+    rows = [(batch, datetime(2024, 5, 1, 12), i, _record(o)) for i, o in enumerate(orders)]
+    raw = spark.createDataFrame(rows, "batch string, batch_time timestamp, pos long, raw_line string")
+    status = spark.createDataFrame([(f"{batch}.csv", batch, None)], "file string, batch string, skip_reason string")
+    jobs.clean_epoch(raw, status, out, epoch_id)
+
+
+def test_replayed_failed_and_empty_epochs_leave_predictions_and_counts(spark, tmp_path):
+    """ST-03/04/07/11: downstream follows the ledger: a replay changes nothing, a half-written epoch is not seen."""
+    from pyspark.sql import functions as F
+    from ordersight.options import WindowOptions
+    from ordersight.streaming import committed
+    out, W = str(tmp_path / "out"), WindowOptions(60, 1)
+    calls = []
+
+    def model():
+        calls.append(1)
+        return {"distance_km": 0.6, "prep_minutes": 0.25}, -7.0, f"model_v{len(calls):04d}"
+
+    def run():
+        committed.score_stream(spark, out, model, str(tmp_path / "ck1")).awaitTermination()
+        committed.volume_stream(spark, out, W, str(tmp_path / "ck2")).awaitTermination()
+        p = {(r.order_id, r.checkpoint_id) for r in committed.predictions(spark, out).collect()}
+        assert committed.predictions(spark, out).count() == len(p)
+        return p, sum(r.orders for r in committed.bucket_counts(spark, out).collect())
+
+    _clean(spark, out, 0, "20240501T120000Z_0001", [])                            # a first epoch without rows
+    o = jobs.stream_outputs(spark, out)
+    assert o["features"].count() == 0 and o["ledger"].count() == 1
+    assert run() == (set(), 0)
+    _clean(spark, out, 1, "20240501T120100Z_0002", ["a", "b", "c"])
+    first = {("a", "model_v0002"), ("b", "model_v0002"), ("c", "model_v0002")}
+    assert run() == (first, 3)
+    _clean(spark, out, 1, "20240501T120100Z_0002", ["a", "b", "c"])                # replay: new files, the same epoch
+    assert run() == (first, 3)
+    # data without a ledger row: the epoch failed in between
+    half = jobs.stream_outputs(spark, out)["features"].sparkSession.read.schema(jobs.ANNOTATED).parquet(f"{out}/annotated").where("epoch = 1")
+    jobs._write_epoch(half.withColumn("t_order_id", F.concat("t_order_id", F.lit("2"))).drop("epoch"), f"{out}/annotated", 2)
+    assert run() == (first, 3)
+    _clean(spark, out, 2, "20240501T120200Z_0003", ["d"])                          # and is run again
+    assert run() == (first | {("d", "model_v0003")}, 4)
+    # the scorer failed before its own ledger row: what it wrote is replaced
+    import shutil
+    shutil.rmtree(f"{out}/score_ledger/epoch=2")
+    p, n = run()
+    assert committed.score_pending(spark, out, model) == 1
+    assert {(r.order_id, r.checkpoint_id) for r in committed.predictions(spark, out).collect()} == first | {("d", "model_v0004")}
+    # a batch delivered again in another epoch is not scored again
+    _clean(spark, out, 3, "20240501T120200Z_0003", ["d"])
+    committed.score_pending(spark, out, model)
+    assert committed.predictions(spark, out).count() == 4
+
+
+def test_scoring_waits_for_a_model_and_refuses_bad_probabilities(spark, tmp_path):
+    from ordersight.streaming import committed
+    out = str(tmp_path / "out")
+    _clean(spark, out, 0, "20240501T120000Z_0001", ["a"])
+    assert committed.score_pending(spark, out, lambda: None) == 0                  # no model yet: still pending
+    assert committed.predictions(spark, out).count() == 0
+    broken = lambda: ({"distance_km": float("nan")}, 0.0, "model_v0001")           # noqa: E731
+    assert committed.score_pending(spark, out, broken) == 1
+    led = committed.table_at(spark, f"{out}/score_ledger", committed.SCORE_LEDGER).collect()
+    assert [(r.status, r.skip_reason) for r in led] == [("skipped", "model_v0001 produced non-finite probabilities")]
+    assert committed.predictions(spark, out).count() == 0
