@@ -87,12 +87,23 @@ def raw_text_stream(spark: SparkSession, path: str, max_files: int | None = None
     return reader.load(path).select("value", "_metadata")
 
 
+def may_span(line: Column) -> Column:
+    """Whether a line, read from a record's start, ends inside a quoted field."""
+    return (F.instr(line, '"') > 0) & line.rlike(_ENDS_OPEN_FROM_START)
+
+
+def text_faults(size: Column, n_bytes: Column, n_lines: Column, utf8: Column, nul: Column) -> tuple[Column, Column]:
+    """(the file begins with a BOM, reason why its text cannot be read), from sums over its lines."""
+    bom = size - n_bytes - n_lines >= 2
+    return bom, F.when(~utf8, F.lit("not UTF-8 text")).when(nul, F.lit("malformed CSV (NUL byte)"))
+
+
 def _same_path(path: Column) -> Column:
     """Local paths are written ``file:/x`` in metadata and ``file:///x`` in listings."""
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-def _placed(lines: DataFrame) -> DataFrame:
+def placed_lines(lines: DataFrame) -> DataFrame:
     """path, file, size, block, pos, line.  Positions are taken before anything else moves the rows."""
     m = F.col("_metadata")
     return lines.select(_same_path(m["file_path"]).alias("path"), m["file_name"].alias("file"), m["file_size"].alias("size"),
@@ -115,26 +126,24 @@ def file_status(placed: DataFrame, listing: DataFrame | None = None, expected: s
     record's start, as the first line of such a record does).  Files of ``listing`` without a line are empty.
     """
     line = F.col("line")
-    quoted = F.instr("line", '"') > 0
     long_line = F.length(line) > FIELD_LIMIT
-    lengths = F.transform(F.regexp_extract_all(line, F.lit(f"(?:^|,)({_FIELD})"), F.lit(1)), _field_length)
+    lengths = F.transform(csv_fields(line), F.length)
     per = placed.groupBy("path", "file").agg(
         F.min_by("line", "pos").alias("_first"), F.min("pos").alias("first_pos"), F.max("size").alias("_size"),
         F.sum(F.octet_length(line)).alias("_bytes"), F.count(F.lit(1)).alias("_lines"),
         F.bool_and(F.is_valid_utf8(line)).alias("_utf8"), F.bool_or(F.instr("line", "\u0000") > 0).alias("_nul"),
-        F.bool_or(quoted & line.rlike(_ENDS_OPEN_FROM_START)).alias("multiline"),
+        F.bool_or(may_span(line)).alias("multiline"),
         F.max(F.when(long_line, F.array_max(lengths))).alias("_longest"))
     if listing is not None:
         empty = listing.join(per.select("path"), "path", "left_anti").select("path", "file", F.lit(0).cast("long").alias("_size"))
         per = per.unionByName(empty, allowMissingColumns=True)
     key = batch_key_of(F.col("file"))
-    missing = F.col("_size") - F.col("_bytes") - F.col("_lines")
+    bom, fault = text_faults(F.col("_size"), F.col("_bytes"), F.col("_lines"), F.col("_utf8"), F.col("_nul"))
     reason = (F.when(key == "", F.lit("bad file name"))
               .when(batch_time_of(key).isNull(), F.lit("impossible batch stamp"))
               .when(F.col("_size") == 0, F.lit("empty file"))
-              .when(missing >= 2, F.lit("unexpected header"))
-              .when(~F.col("_utf8"), F.lit("not UTF-8 text"))
-              .when(F.col("_nul"), F.lit("malformed CSV (NUL byte)"))
+              .when(bom, F.lit("unexpected header"))
+              .when(fault.isNotNull(), fault)
               .when(_without_cr(F.col("_first")) != F.lit(expected), F.lit("unexpected header"))
               .when(F.col("_longest") > FIELD_LIMIT, F.lit(TOO_LONG)))
     return per.select("path", "file", key.alias("batch"), batch_time_of(key).alias("batch_time"), reason.alias("skip_reason"),
@@ -156,25 +165,31 @@ def usable_records(lines: DataFrame, listing: DataFrame | None = None, expected:
     open is summed line by line (``open_field_lengths``), so a file with an endless record is refused before the
     lines of any record are put together.  ``listing`` (path, file, batch) limits the files and adds empty ones.
     """
-    placed = _placed(lines)
+    placed = placed_lines(lines)
     if listing is not None:
         placed = placed.join(listing.select("path"), "path", "left_semi")
-    ensure_checkpoint_dir(lines.sparkSession)
-    # one row per file, asked for by several branches
-    status = file_status(placed, listing, expected).checkpoint()
+    records, status = records_of(placed, file_status(placed, listing, expected), ["file", "batch", "batch_time"])
+    return records.select("batch", "batch_time", "file", "pos", "raw_line"), status.select("file", "batch", "batch_time", "skip_reason")
+
+
+def records_of(placed: DataFrame, status: DataFrame, carry: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The records (path, pos, raw_line and the status columns ``carry``) of files without a ``skip_reason``, and the final status."""
+    ensure_checkpoint_dir(placed.sparkSession)
+    status = status.checkpoint()  # one row per file, asked for by several branches
     usable = status.where(F.col("skip_reason").isNull())
-    plain = placed.join(usable.where("NOT multiline").select("path", "batch", "batch_time", "first_pos"), "path").where(F.col("pos") > F.col("first_pos"))
-    records = plain.select("batch", "batch_time", "file", "pos", _without_cr(F.col("line")).alias("raw_line"))
+    lines = placed.select("path", "block", "pos", "line")
+    plain = lines.join(usable.where("NOT multiline").select("path", "first_pos", *carry), "path").where(F.col("pos") > F.col("first_pos"))
+    records = plain.select("path", "pos", _without_cr(F.col("line")).alias("raw_line"), *carry)
     spanning = usable.where("multiline")
     if not spanning.isEmpty():
-        k = record_keys(placed.join(spanning.select("path"), "path", "left_semi").select(F.col("path").alias("file"), "block", "pos", "line"))
+        k = record_keys(lines.join(spanning.select("path"), "path", "left_semi").select(F.col("path").alias("file"), "block", "pos", "line"))
         longest = open_field_lengths(k).groupBy(F.col("file").alias("path")).agg(F.max("length").alias("longest"))
         endless = longest.where(F.col("longest") > FIELD_LIMIT).select("path", F.lit(TOO_LONG).alias("_why")).checkpoint()
         status = status.join(endless, "path", "left").withColumn("skip_reason", F.coalesce("skip_reason", "_why")).drop("_why")
-        fine = spanning.join(endless, "path", "left_anti").select(F.col("path").alias("_path"), F.col("file").alias("_name"), "batch", "batch_time", "first_pos")
-        body = k.join(fine, k["file"] == F.col("_path")).where(F.col("rec") != F.col("first_pos"))
-        records = records.unionByName(_joined_records(body, "_name", "batch", "batch_time"))
-    return records, status.select("file", "batch", "batch_time", "skip_reason")
+        fine = spanning.join(endless, "path", "left_anti").select("path", "first_pos", *carry)
+        body = k.drop("block").withColumnRenamed("file", "path").join(fine, "path").where(F.col("rec") != F.col("first_pos"))
+        records = records.unionByName(_joined_records(body, ["path", *carry]))
+    return records, status
 
 
 # Quote state of CSV lines (the ``csv`` module's reading of ``"``; strict=False, doubled quotes).
@@ -199,9 +214,11 @@ def _unquoted_length(text: Column) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, '[^"]', "")) / 2
 
 
-def _field_length(field: Column) -> Column:
-    inside = F.length(field) - 2 - F.length(F.regexp_replace(F.regexp_extract(field, '^"((?:[^"]|"")*+)"', 1), '[^"]', "")) / 2
-    return F.when(field.startswith('"'), inside).otherwise(F.length(field)).cast("long")
+def csv_fields(line: Column) -> Column:
+    """The fields of a CSV record as an array, unquoted as the ``csv`` module does, for any number of fields."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",({_FIELD})"), F.lit(1))
+    inside = lambda f: F.replace(F.regexp_extract(f, '^"((?:[^"]|"")*+)"', 1), F.lit('""'), F.lit('"'))
+    return F.transform(found, lambda f: F.when(f.startswith('"'), F.concat(inside(f), F.regexp_replace(f, '^"(?:[^"]|"")*+"', ""))).otherwise(f))
 
 
 def open_field_lengths(keyed: DataFrame) -> DataFrame:
@@ -229,11 +246,11 @@ def open_field_lengths(keyed: DataFrame) -> DataFrame:
         F.sum("p.part").cast("long").alias("length"))
 
 
-def _joined_records(body: DataFrame, name: str, batch: str, batch_time: str) -> DataFrame:
-    """Lines with ``rec`` put together to records: batch, batch_time, file, pos, raw_line (verbatim); a blank line is no record."""
+def _joined_records(body: DataFrame, keep: list[str]) -> DataFrame:
+    """Lines with ``rec`` put together to records: ``keep``, pos, raw_line (verbatim); a blank line is no record."""
     lines = F.array_sort(F.collect_list(F.struct("pos", "line")))
     text = F.array_join(F.transform(lines, lambda x: x["line"]), "\n")
-    recs = body.groupBy(F.col(batch).alias("batch"), F.col(batch_time).alias("batch_time"), F.col(name).alias("file"), F.col("rec").alias("pos")).agg(
+    recs = body.groupBy(*keep, F.col("rec").alias("pos")).agg(
         F.regexp_replace(text, "[\r\n]+$", "").alias("raw_line"), F.count(F.lit(1)).alias("_n"))
     return recs.where((F.col("_n") > 1) | (F.col("raw_line") != "")).drop("_n")
 
@@ -338,4 +355,4 @@ def read_exact(spark: SparkSession, path: str, expected: str = HEADER) -> DataFr
     good_file = ((key != "") & batch_time_of(key).isNotNull() & (hdr["open"] == 0)
                  & (F.regexp_replace(hdr["line"], "\r$", "") == F.lit(expected)))
     body = k.where(good_file & (F.col("rec") != hdr["pos"])).select("*", key.alias("batch"), batch_time_of(key).alias("batch_time"))
-    return _joined_records(body, "file", "batch", "batch_time").select("file", "batch", "pos", "raw_line", "batch_time")
+    return _joined_records(body, ["file", "batch", "batch_time"]).select("file", "batch", "pos", "raw_line", "batch_time")

@@ -126,6 +126,62 @@ def test_scoring_scan_skips_batch_with_non_numeric_feature(spark, tmp_dir):
             fh.write("order_id,distance_km,prep_minutes,pos\n" + "\n".join(rows) + "\n")
     rows, guard = exported.read_for_scoring(spark, tmp_dir, ["distance_km", "prep_minutes"])
     assert sorted(r.order_id for r in rows.collect()) == ["a", "b"]
-    assert {r.batch: r.usable for r in guard.collect()} == {"k1": True, "k2": False}
-    with pytest.raises(ValueError):
-        exported.read_for_scoring(spark, tmp_dir, ["weather"])
+    assert {r.batch: (r.usable, r.skip_reason) for r in guard.collect()} == {"k1": (True, None), "k2": (False, "non-numeric distance_km on line 2")}
+    rows, guard = exported.read_for_scoring(spark, tmp_dir, ["weather"])
+    assert rows.count() == 0 and {r.skip_reason for r in guard.collect()} == {"missing column weather"}
+
+
+def _write(path, data):
+    with open(path, "wb") as fh:
+        fh.write(data if isinstance(data, bytes) else data.encode())
+
+
+def test_columns_are_found_by_name_in_each_file(spark, tmp_dir):
+    """SRC-07..11, UDF-03: files of one folder may order their columns differently; one without a column is skipped alone."""
+    from ordersight.sources import exported
+    key = lambda i: f"20240501T1200{i:02d}Z_{i:04d}"
+    files = [
+        'order_id,timestamp,distance_km,prep_minutes,was_late\r\na,2024-05-01T12:00:01Z,3.0,15,1\r\nb,2024-05-01T12:00:02Z, 4.5 ,20,0\r\n',
+        'was_late,extra,prep_minutes,"distance_km",timestamp,order_id\n0,"x, y",7,1.5,2024-05-01T12:00:03Z,"c ""q""\nd"\n,,,,,\n',
+        'was_late,prep_minutes,distance_km,timestamp,order_id\n1,9,2.5,2024-05-01T12:00:04Z,e\n',
+        'was_late,distance_km,timestamp,order_id\n1,9,2024-05-01T12:00:05Z,f\n',
+        b'order_id,timestamp,distance_km,prep_minutes,was_late\n\xe9,2024-05-01T12:00:06Z,3.0,15,1\n',
+        'order_id,timestamp,distance_km,prep_minutes,was_late\ng,2024-05-01T12:00:07Z,3.0,15,1\nh,2024-05-01T12:00:08Z,3.0,15\n',
+    ]
+    for i, data in enumerate(files):
+        _write(f"{tmp_dir}/features_{key(i)}.csv", data)
+    rows, guard = exported.read_for_training(spark, tmp_dir)
+    assert sorted((r.distance_km, r.prep_minutes, r.was_late) for r in rows.collect()) == [(2.5, 9.0, 1), (3.0, 15.0, 1), (4.5, 20.0, 0)]
+    want = {key(0): None, key(1): "unusable value on line 3", key(2): None, key(3): "missing columns", key(4): "not UTF-8 text",
+            key(5): "unusable value on line 3"}
+    assert {r.batch: r.skip_reason for r in guard.collect()} == want
+    rows, guard = exported.read_for_scoring(spark, tmp_dir, ["prep_minutes", "distance_km"])
+    assert {r.batch: r.skip_reason for r in guard.where("NOT usable").collect()} == {
+        key(1): "non-numeric prep_minutes on line 3", key(3): "missing column prep_minutes", key(4): "not UTF-8 text"}
+    got = {r.order_id: (r.prep_minutes, r.distance_km) for r in rows.collect()}
+    assert got == {"a": (15.0, 3.0), "b": (20.0, 4.5), "e": (9.0, 2.5), "g": (15.0, 3.0), "h": (15.0, 3.0)}
+
+
+def test_fields_match_the_csv_module(spark):
+    import csv
+    import random
+    from pyspark.sql import functions as F
+    from ordersight.sources import raw_files
+    rnd = random.Random(2)
+    lines = ["".join(rnd.choice(['"', '"', ",", ",", "a", " ", "bc", '""']) for _ in range(rnd.randint(0, 12))) for _ in range(400)]
+    lines = [x for x in lines if "\n" not in x and not _ends_open(x)]
+    got = [r.f for r in spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, x string").select(
+        "i", raw_files.csv_fields(F.col("x")).alias("f")).orderBy("i").collect()]
+    assert [g if x else [] for g, x in zip(got, lines)] == [next(csv.reader([x]), []) for x in lines]
+
+
+def _ends_open(line):
+    state = "start"
+    for ch in line:
+        if state == "quoted":
+            state = "closed" if ch == '"' else "quoted"
+        elif ch == '"' and state in ("start", "closed"):
+            state = "quoted"
+        else:
+            state = "start" if ch == "," else "plain"
+    return state == "quoted"
