@@ -1,21 +1,18 @@
 """Packing along a space-filling curve: similar documents lie side by side in full sequences.
 
-A document's hashed word vector is projected to three dimensions; the place of that point on a Hilbert curve
+A document's hashed token vector is projected to three dimensions; the place of that point on a Hilbert curve
 is its key.  Rows are tokenised where they are read, range-sorted by key (and id, so a run of equal texts may
 lie over several ranges) and laid end to end; the line of tokens is cut at every ``length`` tokens.  A piece's place
 is its place in its range plus the tokens of all earlier ranges (one number per range).  Only the very end
 is no full sequence; it is cut into powers of two, which need no padding, so no token is padding.
 
-Each document is its token ids, then id 0.  Null and empty texts are that id 0 alone; equal keys are ordered
+Each document is its token ids as the library gives them (strings of special tokens are those tokens), then id 0.  Null and empty texts are that id 0 alone; equal keys are ordered
 by id, nulls first; repeated rows are packed each; an empty table gives no rows.
 """
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, hash_word, map_batches, small_batches, stage, texts_of
+from .common import map_batches, mix, small_batches, stage, texts_of
+from .units import vocabulary
 
 DIMENSIONS, CURVE_BITS, VECTOR = 3, 16, 1024
 LENGTH = 1024
 
-_words = Memo(hash_word)
-_RUN_OF_SPACE = re.compile(r"\s ")
+SALT = 11
+_TOKENS = mix(np.arange(1 << 16, dtype=np.uint64), SALT)
 _PROJECTION = np.random.default_rng(7).choice([-1.0, 1.0], (VECTOR, DIMENSIONS))
 
 
@@ -61,12 +59,12 @@ def hilbert(points: np.ndarray, bits: int = CURVE_BITS) -> np.ndarray:
     return key
 
 
-def curve_keys(texts: list[str]) -> np.ndarray:
-    at = np.zeros((len(texts), DIMENSIONS))
-    for i, text in enumerate(texts):
-        words = text.split()
-        if words:
-            h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+def curve_keys(documents: list[np.ndarray]) -> np.ndarray:
+    """Places on the curve of documents given as token ids: each token adds its hashed sign to its hashed dimension."""
+    at = np.zeros((len(documents), DIMENSIONS))
+    for i, ids in enumerate(documents):
+        if len(ids):
+            h = _TOKENS[ids] if len(_TOKENS) > ids.max() else mix(ids.astype(np.uint64), SALT)
             sign = (h & np.uint64(1)).astype(np.float64) * 2 - 1
             v = np.bincount((h >> np.uint64(54)).astype(np.int64), sign, VECTOR)
             v = np.sign(v) * np.log1p(np.abs(v))
@@ -75,50 +73,6 @@ def curve_keys(texts: list[str]) -> np.ndarray:
     return hilbert(np.minimum((unit * (1 << CURVE_BITS)).astype(np.int64), (1 << CURVE_BITS) - 1))
 
 
-class Encoder:
-    """Token ids of whole texts as little-endian bytes, by a byte-level BPE vocabulary of ``tokenizers``.
-
-    The vocabulary's pre-tokeniser never joins what a space starts to what stands before it.  So a text is
-    cut before its spaces, and the cuts' ids are kept, those of the first ``cap`` distinct cuts for good and
-    any other's for its batch.  Where white space is followed by a space this does not hold, and the text is
-    encoded whole.
-    """
-
-    def __init__(self, path: str, cap: int = 400_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cap, self.known = cap, {"": b""}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cuts: list[list[str]] = []
-        for text in texts:
-            if _RUN_OF_SPACE.search(text):
-                cuts.append([text])
-                continue
-            first, *rest = text.split(" ")
-            cuts.append([first, *[" " + r for r in rest]] if first else [" " + r for r in rest])
-        new = list({u for c in cuts for u in c if u} - self.known.keys())
-        room = max(0, self.cap - len(self.known))
-        for i in range(0, len(new), 5000):
-            self.known.update(zip(new[i:i + 5000], self._encode(new[i:i + 5000]), strict=True))
-        out = [b"".join(map(self.known.__getitem__, c)) for c in cuts]
-        for u in new[room:]:
-            del self.known[u]
-        return out
-
-
-@lru_cache(maxsize=1)
-def encoder_of(path: str) -> Encoder:
-    """One encoder for all tasks of a Python worker."""
-    return Encoder(path)
-
-
 def ends_of(total: int, length: int) -> np.ndarray:
     """Ends of the last sequences: full ones are not listed, the rest is cut into falling powers of two."""
     at, rest = total - total % length, total % length
@@ -139,16 +93,18 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer_path)
+        encoder = vocabulary(tokenizer_path)
         end = np.zeros(1, encoder.kind).tobytes()
         for batch in batches:
             if not batch.num_rows:
                 continue
             texts = texts_of(batch, "text")
-            ids = [t + end for t in encoder.encode(texts)]
+            plain = encoder.encode(texts)
+            keys = curve_keys([np.frombuffer(t, encoder.kind) for t in plain])
+            ids = [t + end for t in plain]
             sizes = np.array([len(t) // encoder.kind.itemsize for t in ids], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("row"), pa.array(curve_keys(texts)), pa.array(ids, pa.binary()), pa.array(sizes)],
+                [batch.column("id"), batch.column("row"), pa.array(keys), pa.array(ids, pa.binary()), pa.array(sizes)],
                 names=["id", "row", "key", "ids", "tokens"])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,7 +41,6 @@ def test_hilbert_visits_neighbours():
 def check_packing(spark, texts):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
     rows = pack.pack(docs_of(spark, texts), queries.tokenizer_path()).collect()
     by_doc, by_seq = {}, {}
     for r in rows:
