@@ -6,8 +6,9 @@ lie over several ranges) and laid end to end; the line of tokens is cut at every
 is its place in its range plus the tokens of all earlier ranges (one number per range).  Only the very end
 is no full sequence; it is cut into powers of two, which need no padding, so no token is padding.
 
-Each document is its token ids as the library gives them (strings of special tokens are those tokens), then id 0.  Null and empty texts are that id 0 alone; equal keys are ordered
-by id, nulls first; repeated rows are packed each; an empty table gives no rows.
+Each document is its token ids as the library gives them (strings of special tokens are those tokens), then id 0.
+Null and empty texts are that id 0 alone; equal keys are ordered by id, nulls first; repeated rows are packed each;
+an empty table gives no rows.
 """
 from __future__ import annotations
 
