@@ -36,9 +36,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches, stage, texts_of
-from .units import CAP, Store, Vocabulary, space_cuts
+from .units import Store, Vocabulary, space_cuts
 
 RADIX, SPILL, PER_TASK = 32, 2_000_000, 2_000_000
+#: Cuts kept for good by a Python worker, with their groups and links.
+CAP = 250_000
 DOC_BITS = 16
 BLANK = "▁"
 
@@ -53,7 +55,7 @@ def _byte_alphabet() -> dict[str, int]:
 class Aligner:
     """Groups and links of cuts under a byte-level vocabulary (A) and a piece vocabulary (B)."""
 
-    def __init__(self, path_a: str, path_b: str, cap: int = CAP // 2):
+    def __init__(self, path_a: str, path_b: str, cap: int = CAP):
         import sentencepiece
         self.a = Vocabulary(path_a, plain=True, cap=0)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)

@@ -7,17 +7,19 @@ vocabularies); where that does not come out even, each cut is encoded alone.
 """
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Cuts kept for good by a Python worker: about 200 bytes each.
-CAP = 500_000
+CAP = 800_000
 JOINED = 400
 
 _SPACE_RUN = re.compile(r"\s ")
@@ -58,6 +60,16 @@ class Store:
 
     def values(self, cuts: list[list[str]]) -> list[list]:
         """The value of every cut of every text."""
+        # a batch makes many short-lived lists and no cycles: collecting them in between only costs time
+        paused = gc.isenabled()
+        gc.disable()
+        try:
+            return self._values(cuts)
+        finally:
+            if paused:
+                gc.enable()
+
+    def _values(self, cuts: list[list[str]]) -> list[list]:
         get = self.known.get
         found = [list(map(get, c)) for c in cuts]
         new = {u: None for c, f in zip(cuts, found, strict=True) if None in f for u, v in zip(c, f, strict=True) if v is None}
@@ -110,18 +122,30 @@ class Vocabulary:
         ends = np.searchsorted(reach, goal) + 1
         return ends if ends[-1] == len(ids) and (reach[ends - 1] == goal).all() else None
 
-    def _parts(self, cut: str) -> list[str]:
+    def _parts(self, cut: str) -> tuple[str, ...]:
         """The cut, or its word and signs where these are units of their own."""
         if self.by_words:
+            if cut.isascii() and cut.isalpha():
+                return (cut.lower(),)
             if m := _IN_SIGNS.fullmatch(cut):
-                return [p for p in (m[1], m[2].lower(), m[3]) if p]
-        elif m := _BEFORE_SIGNS.fullmatch(cut):
-            return [m[1], m[2]]
-        return [cut]
+                return tuple([p for p in (m[1], m[2].lower(), m[3]) if p])
+        elif not cut[-1].isalnum() and (m := _BEFORE_SIGNS.fullmatch(cut)):
+            return m.groups()
+        return (cut,)
 
     def ids_of(self, cuts: list[str]) -> list[bytes]:
         """Ids of each cut, as little-endian bytes of ``kind``."""
-        return [b"".join(v) for v in self.units.values([self._parts(c) for c in cuts])]
+        known, new = self.units.known, {}
+        parts = list(map(self._parts, cuts))
+        for p in parts:
+            for u in p:
+                if u not in known:
+                    new[u] = b""
+        if new:
+            new = dict(zip(new, self.units.make(list(new)), strict=True))
+            known.update(islice(new.items(), max(0, self.units.cap - len(known))))
+        get, more = known.get, new.get
+        return [get(p[0]) or more(p[0], b"") if len(p) == 1 else b"".join([get(u) or more(u, b"") for u in p]) for p in parts]
 
     def _units(self, cuts: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {}
