@@ -28,7 +28,15 @@ DIMENSIONS, CURVE_BITS, VECTOR = 3, 16, 1024
 LENGTH = 1024
 
 SALT = 11
-_TOKENS = mix(np.arange(1 << 16, dtype=np.uint64), SALT)
+
+
+def _hashed(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dimension and sign of each token id."""
+    h = mix(ids.astype(np.uint64), SALT)
+    return (h >> np.uint64(54)).astype(np.int64), (h & np.uint64(1)).astype(np.float64) * 2 - 1
+
+
+_SLOTS, _SIGNS = _hashed(np.arange(1 << 16))
 _PROJECTION = np.random.default_rng(7).choice([-1.0, 1.0], (VECTOR, DIMENSIONS))
 
 
@@ -65,9 +73,8 @@ def curve_keys(documents: list[np.ndarray]) -> np.ndarray:
     at = np.zeros((len(documents), DIMENSIONS))
     for i, ids in enumerate(documents):
         if len(ids):
-            h = _TOKENS[ids] if len(_TOKENS) > ids.max() else mix(ids.astype(np.uint64), SALT)
-            sign = (h & np.uint64(1)).astype(np.float64) * 2 - 1
-            v = np.bincount((h >> np.uint64(54)).astype(np.int64), sign, VECTOR)
+            slot, sign = (_SLOTS[ids], _SIGNS[ids]) if ids.itemsize == 2 else _hashed(ids)
+            v = np.bincount(slot, sign, VECTOR)
             v = np.sign(v) * np.log1p(np.abs(v))
             at[i] = v @ _PROJECTION / max(1e-9, float(np.sqrt(v @ v)))
     unit = 1.0 / (1.0 + np.exp(-1.702 * at))  # about normal: the curve's cube is filled evenly
