@@ -1,9 +1,11 @@
 """Near-duplicate texts by Order MinHash, verified by banded alignment.
 
-A text's k-mers of five words are labelled with their occurrence number, so repeats count.  Each of
-``SKETCHES`` hash functions takes the two smallest of them and keeps their order in the text: texts that share
-words in another order do not collide, texts at a small edit distance do.  Texts under five words are one
-k-mer.  Equal word sequences are one class first; classes that share a sketch value are candidates.
+A text's k-mers are labelled with their occurrence number, so repeats count.  Each of ``SKETCHES`` hash functions
+takes the two smallest of them and keeps their order in the text: texts that share words in another order do not
+collide, texts at a small edit distance do.  ``FUNCTIONS`` says how many functions take k-mers of how many words:
+five words find texts of equal passages, three words also those whose changed words lie apart, down to the
+threshold.  A text shorter than a k-mer is one k-mer.  Equal word sequences are one class first; classes that share
+a sketch value are candidates.
 
 In a bucket (function, value) of at most ``SMALL`` classes all pairs are candidates.  A larger bucket pairs every
 class with the bucket's leader, so it gives rows in proportion to its size.  Leaders are drawn by one hash for
@@ -11,8 +13,10 @@ all functions: a class mostly meets the same leader again, and the pair counts o
 verification does not put into the leader's component meet again in finer buckets (this value and the next
 functions', twice as many each time), until those are small or agree in all functions.  That only joins large
 families early.  At last every class outside the largest component of a large bucket meets all classes of the
-bucket that are in other components, in blocks of ``BLOCK`` x ``BLOCK``: a pair that shares a value is verified,
-in one component already, or ruled out by its lengths or word counts, which bound the distance from below.
+bucket that are in other components, in blocks of about ``BLOCK`` x ``BLOCK`` classes (fewer where texts are long).
+A block verifies its pairs itself and unites components as it goes, so it leaves a spanning forest: fewer links
+than it has rows.  A pair that shares a value is verified (under the first function whose value it shares), in one
+component already, or ruled out by its lengths or word counts, which bound the distance from below.
 
 Candidates are verified: the edit distance of the two word sequences, aligned inside the band that the
 threshold allows, must leave a similarity ``1 - distance / longer length`` of at least 0.8.
@@ -33,8 +37,10 @@ from pyspark.sql import functions as F
 from .common import WORD, Memo, hash_word, map_batches, mix, stage, texts_of
 from .graph import components, merged
 
-K, SKETCHES, SMALL = 5, 24, 8
-BLOCK, BINS = 512, 512
+#: (words of a k-mer, hash functions)
+FUNCTIONS = ((5, 24),)
+SKETCHES, SMALL = sum(n for _, n in FUNCTIONS), 8
+BLOCK, BLOCK_WORDS, BINS = 512, 1 << 21, 512
 SIMILARITY = 0.8
 
 _SALTS = (np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x5851F42D4C957F2D))[:, None]
@@ -46,10 +52,10 @@ def tokens(text: str) -> np.ndarray:
     return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
 
 
-def kmers(toks: np.ndarray) -> np.ndarray:
-    """Hashes of the occurrence-labelled k-mers, in text order."""
-    n = max(1, len(toks) - K + 1)
-    width = min(K, len(toks))
+def kmers(toks: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the occurrence-labelled k-mers of ``size`` words, in text order."""
+    n = max(1, len(toks) - size + 1)
+    width = min(size, len(toks))
     h = np.zeros(n, np.uint64)
     for i in range(width):
         h = (h ^ toks[i:i + n]) * np.uint64(0x9E3779B97F4A7C15)
@@ -65,9 +71,9 @@ def kmers(toks: np.ndarray) -> np.ndarray:
     return h
 
 
-def sketch(toks: np.ndarray) -> np.ndarray:
-    """One value for each function: the two smallest k-mers, in text order."""
-    v = mix(kmers(toks)[None, :], _SALTS)
+def _smallest(hashes: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    """Of each function the two smallest k-mers, in text order, as one value."""
+    v = mix(hashes[None, :], salts)
     if v.shape[1] == 1:
         return v[:, 0]
     two = np.sort(np.argpartition(v, 1, axis=1)[:, :2], axis=1)
@@ -75,6 +81,12 @@ def sketch(toks: np.ndarray) -> np.ndarray:
     return first * np.uint64(0x9E3779B97F4A7C15) ^ second
 
 
+def sketch(toks: np.ndarray) -> np.ndarray:
+    """One value for each function."""
+    ends = np.cumsum([n for _, n in FUNCTIONS])
+    return np.concatenate([_smallest(kmers(toks, size), _SALTS[end - n:end]) for (size, n), end in zip(FUNCTIONS, ends, strict=True)])
+
+
 def edit_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     """Edit distance of two sequences, or limit + 1 where it is larger.
 
@@ -195,47 +207,63 @@ def word_counts(toks: np.ndarray) -> np.ndarray:
 
 
 def _across(buckets: DataFrame, linked: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Pairs (a < b) of classes that share a bucket over ``SMALL`` and lie in different components, without
-    those that lengths or word counts rule out.
+    """Links (a < b) of similar classes that share a bucket over ``SMALL`` and lie in different components.
 
-    Rows grow with the classes outside the bucket's largest component, times the bucket's blocks.
+    A block's links are a spanning forest of its components under similarity, so they are fewer than its rows, and
+    no component that its pairs connect stays apart.  The blocks grow with the classes outside the bucket's largest
+    component, times the bucket.
     """
-    named = buckets.select("bucket", "rep", "words").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "bucket", "rep", "words", F.coalesce("component", "rep").alias("comp"))
-    parts = named.groupBy("bucket", "comp").agg(F.count("*").alias("n")).groupBy("bucket").agg(
-        F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n")).filter((F.col("n") > SMALL) & (F.col("n") > F.col("top.n")))
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
-    rows = stage(named.join(parts.select("bucket", F.col("top.comp").alias("main"), blocks(F.col("n") - F.col("top.n")).alias("rest"), blocks(F.col("n")).alias("all")), "bucket"), "mixed")
-
-    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array([word_counts(tokens(t)).tobytes() for t in texts_of(batch, "text")], pa.binary())], names=["rep", "counts"])
+    named = buckets.select("bucket", "at", "rep", "words").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
+        "bucket", "at", "rep", "words", F.coalesce("component", "rep").alias("comp"))
+    parts = named.groupBy("bucket", "comp").agg(F.count("*").alias("n"), F.sum("words").alias("w")).groupBy("bucket").agg(
+        F.max(F.struct("n", "w", "comp")).alias("top"), F.sum("n").alias("n"), F.sum("w").alias("w")).filter((F.col("n") > SMALL) & (F.col("n") > F.col("top.n")))
+    blocks = lambda n, w: F.greatest(F.ceil(n / BLOCK), F.ceil(w / BLOCK_WORDS)).cast("int")
+    sizes = parts.select("bucket", F.col("top.comp").alias("main"), blocks(F.col("n"), F.col("w")).alias("all"),
+                         blocks(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w")).alias("rest"))
+    rows = stage(named.drop("words").join(sizes, "bucket"), "mixed")
+
+    def spell(batch: pa.RecordBatch) -> pa.RecordBatch:
+        toks = [tokens(t) for t in texts_of(batch, "text")]
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array([t.tobytes() for t in toks], pa.binary()), pa.array([sketch(t).tobytes() for t in toks], pa.binary())],
+                                          names=["rep", "toks", "values"])
 
     asked = texts.select("row", "text").join(rows.select(F.col("rep").alias("row")).distinct(), "row", "left_semi")
-    counted = rows.join(stage(map_batches(asked, count, "rep long, counts binary"), "counts"), "rep")
+    spelt = rows.join(stage(map_batches(asked, spell, "rep long, toks binary, values binary"), "words"), "rep")
     part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    cols = ["rep", "words", "comp", "counts"]
-    rest = counted.filter("comp <> main").select("bucket", part("rest").alias("i"), every("all").alias("j"), *cols, F.lit(True).alias("asks"), F.lit(False).alias("is_main"))
-    whole = counted.select("bucket", every("rest").alias("i"), part("all").alias("j"), *cols, F.lit(False).alias("asks"), (F.col("comp") == F.col("main")).alias("is_main"))
+    cols = ["at", "rep", "comp", "toks", "values"]
+    rest = spelt.filter("comp <> main").select("bucket", part("rest").alias("i"), every("all").alias("j"), *cols, F.lit(True).alias("asks"), F.lit(False).alias("is_main"))
+    whole = spelt.select("bucket", every("rest").alias("i"), part("all").alias("j"), *cols, F.lit(False).alias("asks"), (F.col("comp") == F.col("main")).alias("is_main"))
 
     def meet(key, table):
-        asks = table.column("asks").to_numpy()
-        rep, words, comp, is_main = (table.column(c).to_numpy() for c in ("rep", "words", "comp", "is_main"))
-        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8).reshape(-1, BINS)
+        asks, is_main, rep = (table.column(c).to_numpy() for c in ("asks", "is_main", "rep"))
+        label = np.unique(table.column("comp").to_numpy(), return_inverse=True)[1]
+        function = table.column("at")[0].as_py()
+        toks = [np.frombuffer(t, np.uint64) for t in table.column("toks").to_pylist()]
+        values = np.frombuffer(b"".join(table.column("values").to_pylist()), np.int64).reshape(-1, SKETCHES)
+        words = np.array([len(t) for t in toks], np.int64)
+        counts = np.stack([word_counts(t) for t in toks])
         sums = counts.sum(axis=1, dtype=np.int64)
         other = np.flatnonzero(~asks)
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        a, b = [], []
         for x in np.flatnonzero(asks).tolist():
             # two classes of the rest meet twice: the smaller one asks
-            y = other[(comp[other] != comp[x]) & (is_main[other] | (rep[x] < rep[other]))]
+            y = other[(label[other] != label[x]) & (is_main[other] | (rep[x] < rep[other]))]
+            # and under several functions: the first whose value they share
+            y = y[(values[x] == values[y]).argmax(axis=1) == function]
             limit = np.floor((1 - least) * np.maximum(words[x], words[y]) + 1e-9)
             near = np.abs(words[x] - words[y]) <= limit
             y, limit = y[near], limit[near]
-            same = np.minimum(counts[x], counts[y]).sum(axis=1, dtype=np.int64)
-            y = y[(sums[x] - same <= limit) & (sums[y] - same <= limit)]
-            a.append(np.minimum(rep[x], rep[y]))
-            b.append(np.maximum(rep[x], rep[y]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+            unlike = np.maximum(sums[x], sums[y]) - np.minimum(counts[x], counts[y]).sum(axis=1, dtype=np.int64)
+            y = y[unlike <= limit][np.argsort(unlike[unlike <= limit], kind="stable")]
+            while len(y):
+                z, y = int(y[0]), y[1:]
+                if similar(toks[x], toks[z], least):
+                    a.append(min(rep[x], rep[z]))
+                    b.append(max(rep[x], rep[z]))
+                    label[label == label[z]] = label[x]
+                    y = y[label[y] != label[x]]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return rest.unionByName(whole).groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long")
 
@@ -282,8 +310,7 @@ def groups(numbered: DataFrame, row_col: str, id_col: str, text_col: str, least:
             "rep", "words", "sketch", "at", F.least(2 * F.col("depth"), F.lit(SKETCHES)).alias("depth"), F.xxhash64("bucket", more).alias("bucket")), "finer")
         if level.isEmpty():
             break
-    across = stage(_across(buckets, linked, texts, least).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-    linked = merged(linked, stage(_verified(across, texts, least), "verified"))
+    linked = merged(linked, stage(_across(buckets, linked, texts, least), "verified"))
     group = rows.join(reps.select("key", "rep"), "key", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left")
     return group.select("row", "id", F.coalesce("rep", "row").alias("rep"), F.coalesce("component", "rep", "row").alias("group"))
 
