@@ -38,7 +38,7 @@ from .common import WORD, Memo, hash_word, map_batches, mix, stage, texts_of
 from .graph import components, merged
 
 #: (words of a k-mer, hash functions)
-FUNCTIONS = ((5, 24),)
+FUNCTIONS = ((5, 8), (3, 20))
 SKETCHES, SMALL = sum(n for _, n in FUNCTIONS), 8
 BLOCK, BLOCK_WORDS, BINS = 512, 1 << 21, 512
 SIMILARITY = 0.8

@@ -362,6 +362,22 @@ def test_pairs_of_large_buckets_are_whole(spark):
     assert len(sharing) > 1000 and not missed, (len(sharing), len(missed), len(set(name.values())))
 
 
+def test_similar_texts_share_a_value_in_every_band_of_edit_similarity():
+    rng = np.random.default_rng(11)
+    for size in (60, 200, 800):
+        for low in (0.80, 0.85, 0.90, 0.95):
+            hit = n = 0
+            while n < 150:
+                a = rng.integers(0, 1 << 40, size).astype(np.uint64)
+                b = a.copy()
+                at = rng.permutation(size)[:int(rng.integers(int((0.95 - low) * size), int((1 - low) * size) + 1))]
+                b[at] = rng.integers(1 << 41, 1 << 42, len(at))
+                if low <= 1 - len(at) / size < low + 0.05:
+                    n += 1
+                    hit += bool((near_text.sketch(a) == near_text.sketch(b)).any())
+            assert hit >= 0.9 * n, (size, low, hit, n)
+
+
 def test_word_counts_bound_the_distance():
     rng = np.random.default_rng(8)
     for _ in range(100):
