@@ -1,104 +1,204 @@
 """Cross-entropy difference: how much likelier a text is under a target model than under the corpus.
 
-Both models are character trigram models over one shared vocabulary of 128 symbols, with the same
+Both models are word trigram models over one shared vocabulary, the distinct tokens of all texts, with the same
 interpolation; the corpus counts are scaled to the target's size, so that smoothing weighs the same in both
-(matched models).  The target corpus is given as rows of the documents (their ids).  Counts cover every
-text; each task adds its own up, so a shuffle carries at most SYMBOLS^3 sums of a task, and the models keep
-that size whatever the corpus.
-
-Per document: tokens (characters and the end mark), the mean loss of a token (natural log) under either
-model, and score = background loss - target loss (higher: closer to the target).  Null and empty texts have
-the end mark alone; repeated rows count and score each; an empty target makes both models equal (score 0).
+(matched models).  The target corpus is given as rows of the documents (their ids).  A token is a word in lower
+case, a sign, or one character of a script that is written without spaces; an edge mark ends a text.
+
+Texts are dealt once into chunks of about ``CHUNK`` bytes, written as compressed packs.  A chunk's distinct 1-, 2-
+and 3-grams with their counts, sorted by hash, are cut into radixes.  A radix adds up the counts of all chunks and
+gives every chunk its own n-grams' totals back; with them the chunk scores its texts.  So the statistics cover
+all texts and grow with them, a frequent n-gram is one entry per chunk, and neither a chunk nor a radix grows with
+the corpus; the blocks between them are at most as many as the chunks' distinct n-grams.  Only sums reach the driver.
+
+Per document: tokens (the end mark included), the mean loss of a token (natural log) under either model, and
+score = background loss - target loss (higher: closer to the target).  Null and empty texts have the end mark
+alone; a text is never cut, a very long one makes its chunk longer; repeated rows count and score each, ids of the target that occur in
+no row or repeat count once; an empty target makes both models equal (score 0); an empty table gives no rows.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, small_batches, texts_of
-
-# Vocabulary: 0 the edge of a text, 1 any other sign, printable ASCII, line end, lower-case Latin-1 letters.
-_SIGNS = [chr(c) for c in range(32, 126)] + ["\n"] + [chr(c) for c in range(0xE0, 0xFF)][:31]
-SYMBOLS = 128
-_TABLE = np.ones(0x110, np.int64)
-for _i, _c in enumerate(_SIGNS):
-    _TABLE[ord(_c)] = _i + 2
-
-
-def symbols(text: str) -> np.ndarray:
-    """Symbol numbers with two edges before and one after."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.concatenate([[0, 0], np.where(points < 0x110, _TABLE[np.minimum(points, 0x10F)], 1), [0]])
-
-
-def _grams(text: str) -> np.ndarray:
-    s = symbols(text)
-    return (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
-
-
-def gram_counts(docs: DataFrame, text_col: str, target_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """Trigram counts of the rows that ``target_col`` marks, and of all rows."""
-    small_batches(docs.sparkSession)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, size = np.zeros(2 * SYMBOLS ** 3, np.int64), SYMBOLS ** 3
+from .common import Memo, hash_word, small_batches, stage, texts_of
+
+#: Bytes of text of a chunk, and bytes of text for each radix of n-grams.
+CHUNK, RADIX = 8 << 20, 16 << 20
+#: Pseudo counts: of each word of the vocabulary, and of the shorter history's estimate.
+BASE, BACK = 0.5, 5.0
+
+# words; one by one: signs, and characters of Thai, Lao, Khmer, Kana and Han texts
+_SPACELESS = "฀-໿ក-៿぀-ヿ㐀-鿿豈-﫿"
+TOKEN = re.compile(rf"[^\W_{_SPACELESS}]+|\S")
+_hashes = Memo(hash_word)
+_EDGE = np.uint64(0x9AE16A3B2F90404F)
+_PRIME, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(3)
+
+
+def tokens(text: str) -> list[str]:
+    return TOKEN.findall(text.lower())
+
+
+def _stir(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (order, position) of the 1-, 2- and 3-grams that end at each position of the texts, one after
+    another, and each text's number of positions.  The last two bits of a hash tell the order."""
+    words = [tokens(t) for t in texts]
+    n = np.array([len(w) + 1 for w in words], np.int64)
+    ends = np.cumsum(n)
+    h = np.full(int(ends[-1]), _EDGE, np.uint64)
+    inside = np.ones(len(h), bool)
+    inside[ends - 1] = False
+    h[inside] = np.fromiter((_hashes[w] for ws in words for w in ws), np.uint64, int(n.sum()) - len(n))
+    starts = ends - n
+    before = np.concatenate([[_EDGE], h[:-1]])  # a text follows the edge of the text before it
+    earlier = np.concatenate([[_EDGE], before[:-1]])
+    earlier[starts] = _EDGE
+    two = _stir(before * _PRIME + h)
+    out = np.stack([_stir(h), two, _stir((_stir(earlier * _PRIME + before) + _PRIME) * _PRIME + h)])
+    return (out & ~_LAST) | np.arange(1, 4, dtype=np.uint64)[:, None], n
+
+
+def _packs(rows: DataFrame, kind: str) -> DataFrame:
+    """chunk, pack (its number there), ids, lengths, bytes, blob (compressed texts)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        chunk = pack = held = 0
+        shrink = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            marks = batch.column(1).to_pylist()
-            for mark in (False, True):
-                texts = [t for t, m in zip(texts_of(batch, "_text"), marks, strict=True) if bool(m) == mark]
-                for i in range(0, len(texts), 64):
-                    at = np.concatenate([_grams(t) for t in texts[i:i + 64]])
-                    found, n = np.unique(at, return_counts=True)
-                    total[found + size * mark] += n
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["gram", "n"])
-
-    rows = docs.select(F.col(text_col).alias("_text"), F.col(target_col).alias("_target"))
-    counts = rows.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(2 * SYMBOLS ** 3)
-    out[counts["gram"].to_numpy()] = counts["n"].to_numpy()
-    rest, target = out.reshape(2, -1)
-    return target, rest + target
-
-
-def log_probabilities(counts: np.ndarray) -> np.ndarray:
-    """Trigram log probabilities, interpolated with pairs and single symbols (pseudo counts of five)."""
-    c3 = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
-    c2, c1 = c3.sum(axis=0), c3.sum(axis=(0, 1))
-    p1 = (c1 + 0.5) / (c1 + 0.5).sum()
-    p2 = (c2 + 5 * p1) / (c2.sum(axis=1, keepdims=True) + 5)
-    return np.log((c3 + 5 * p2[None]) / (c3.sum(axis=2, keepdims=True) + 5)).reshape(-1)
-
-
-def models(target: np.ndarray, corpus: np.ndarray) -> np.ndarray:
-    """Log probabilities under the target and the size-matched corpus model."""
-    if not target.sum():
-        target = corpus
-    scale = target.sum() / max(1.0, corpus.sum())
-    return np.stack([log_probabilities(target), log_probabilities(corpus * scale)]).astype(np.float32)
+            texts = [t.encode("utf-8", "surrogatepass") for t in texts_of(batch, "_text")]
+            at = 0
+            while at < len(texts):
+                to = at
+                while to < len(texts) and (to == at or held + len(texts[to]) <= CHUNK):
+                    held += len(texts[to])
+                    to += 1
+                part = texts[at:to]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([first + chunk]), pa.array([pack]),
+                     pa.ListArray.from_arrays(pa.array([0, to - at], pa.int32()), batch.column(0).slice(at, to - at)),
+                     pa.array([[len(t) for t in part]], pa.list_(pa.int64())), pa.array([sum(map(len, part))]),
+                     pa.array([shrink.compress(b"".join(part))], pa.binary())],
+                    names=["chunk", "pack", "ids", "lengths", "bytes", "blob"])
+                at, pack = to, pack + 1
+                if held >= CHUNK or at < len(texts):
+                    chunk, pack, held = chunk + 1, 0, 0
+
+    schema = f"chunk long, pack long, ids array<{kind}>, lengths array<long>, bytes long, blob binary"
+    return stage(rows.mapInArrow(run, schema), "packs")
+
+
+def _texts(blob: bytes, lengths: list[int]) -> list[str]:
+    whole, ends = zstandard.ZstdDecompressor().decompress(blob), np.cumsum(lengths).tolist()
+    return [whole[e - n:e].decode("utf-8", "surrogatepass") for e, n in zip(ends, lengths, strict=True)]
+
+
+def _cuts(ranked: np.ndarray, radixes: int) -> np.ndarray:
+    """Where the radixes of sorted hashes start, and the end."""
+    radix = ((ranked >> np.uint64(32)) * np.uint64(radixes)) >> np.uint64(32)
+    return np.searchsorted(radix, np.arange(radixes + 1, dtype=np.uint64))
+
+
+def _counted(packs: DataFrame, marks: DataFrame, radixes: int) -> DataFrame:
+    """chunk, radix, grams (sorted hashes), corpus, target (counts) of each chunk's n-grams."""
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        marked = set(zip(right.column("piece").to_pylist(), right.column("pos").to_pylist(), strict=True))
+        found, wanted = [], []
+        for pack, lengths, blob in zip(*(left.column(c).to_pylist() for c in ("pack", "lengths", "blob")), strict=True):
+            h, n = grams(_texts(blob, lengths))
+            found.append(h.ravel())
+            wanted.append(np.tile(np.repeat([(pack, i) in marked for i in range(len(n))], n), 3))
+        if not found:
+            found, wanted = [np.empty(0, np.uint64)], [np.empty(0, bool)]
+        every = np.concatenate(found)
+        ranked, corpus = np.unique(every, return_counts=True)
+        mine, n = np.unique(every[np.concatenate(wanted)], return_counts=True)
+        target = np.zeros(len(ranked), np.uint32)
+        target[np.searchsorted(ranked, mine)] = n
+        corpus = corpus.astype(np.uint32)
+        cuts = _cuts(ranked, radixes)
+        spans = [(r, int(a), int(b)) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+        return pa.table({"chunk": pa.array([key[0].as_py()] * len(spans), pa.int64()), "radix": pa.array([r for r, _, _ in spans], pa.int32()),
+                         **{name: pa.array([x[a:b].tobytes() for _, a, b in spans], pa.binary())
+                            for name, x in (("grams", ranked), ("corpus", corpus), ("target", target))}})
+
+    return packs.select("chunk", "pack", "lengths", "blob").groupBy("chunk").cogroup(marks.groupBy("at")).applyInArrow(
+        run, "chunk long, radix int, grams binary, corpus binary, target binary")
+
+
+def _totals(counted: DataFrame) -> DataFrame:
+    """chunk, radix, corpus, target (the whole corpus's counts of the chunk's n-grams); words, n_corpus, n_target of
+    the radix's single tokens, on one of its rows."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        chunks, blocks = table.column("chunk"), table.column("grams").to_pylist()
+        sizes = np.array([len(b) // 8 for b in blocks], np.int64)
+        ranked, at = np.unique(np.frombuffer(b"".join(blocks), np.uint64), return_inverse=True)
+        sums = {c: np.bincount(at, np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32), len(ranked)).astype(np.int64) for c in ("corpus", "target")}
+        single = (ranked & _LAST) == 1
+        ends = np.cumsum(sizes)
+        once = lambda n: pa.array([int(n)] + [0] * (len(blocks) - 1), pa.int64())
+        return pa.table({"chunk": chunks, "radix": table.column("radix"),
+                         **{c: pa.array([s[at[e - n:e]].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary()) for c, s in sums.items()},
+                         "words": once(single.sum()), "n_corpus": once(sums["corpus"][single].sum()), "n_target": once(sums["target"][single].sum())})
+
+    return stage(counted.groupBy("radix").applyInArrow(run, "chunk long, radix int, corpus binary, target binary, words long, n_corpus long, n_target long"), "totals")
+
+
+def losses(counts: np.ndarray, at: np.ndarray, starts: np.ndarray, edge: float, total: float, words: int, scale: float) -> np.ndarray:
+    """The loss of each position: interpolated trigram estimates from the counts of the n-grams numbered ``at``
+    (order, position).  A text's first position follows the edge, which every text has once (``edge`` times)."""
+    one, two, three = counts[at] * scale
+    history, longer = np.roll(one, 1), np.roll(two, 1)
+    history[starts] = longer[starts] = edge * scale
+    p = (one + BASE) / (total * scale + BASE * words)
+    p = (two + BACK * p) / (history + BACK)
+    return -np.log((three + BACK * p) / (longer + BACK))
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, tokens, target_loss, background_loss, score of every row; ``target_ids`` has one column of ids."""
-    ids = target_ids.select(F.col(target_ids.columns[0]).alias("_id")).dropna().distinct()
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    # the ids grow with the documents: one plan at every size, a merge join with one shuffle of the texts
-    marked = rows.join(ids.withColumn("_mark", F.lit(True)).hint("merge"), F.col(id_col) == F.col("_id"), "left")
-    target, corpus = gram_counts(marked, "_text", "_mark")
-    shared = docs.sparkSession.sparkContext.broadcast(models(target, corpus))
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        logp, made = shared.value, []
-        for text in texts_of(batch, "_text"):
-            at = _grams(text)
-            made.append((len(at), -float(logp[0, at].mean(dtype=np.float64)), -float(logp[1, at].mean(dtype=np.float64))))
-        n, t, b = (np.array(x) for x in zip(*made, strict=True))
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(t), pa.array(b), pa.array(b - t)],
-                                          names=[id_col, "tokens", "target_loss", "background_loss", "score"])
-
-    return map_batches(rows, score, f"`{id_col}` {kind}, tokens long, target_loss double, background_loss double, score double")
+    packs = _packs(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), kind)
+    size = packs.agg(F.sum("bytes")).first()[0] or 0
+    ids = target_ids.select(F.col(target_ids.columns[0]).alias("id")).dropna().distinct()
+    # the ids grow with the documents: one plan at every size, a merge join of ids alone
+    marks = packs.select("chunk", "pack", F.posexplode("ids").alias("pos", "id")).join(ids.hint("merge"), "id").select(
+        F.col("chunk").alias("at"), F.col("pack").alias("piece"), "pos")
+    totals = _totals(_counted(packs, marks, 1 + size // RADIX))
+    sums = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "n_corpus", "n_target")]).first()
+    words, n_corpus, n_target = sums["words"], sums["n_corpus"], sums["n_target"]
+    model, scale = ("target", n_target / n_corpus) if n_target else ("corpus", 1.0)
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        left, right = left.sort_by("pack"), right.sort_by("radix")
+        found = [grams(_texts(blob, lengths)) for lengths, blob in zip(left.column("lengths").to_pylist(), left.column("blob").to_pylist(), strict=True)]
+        h = np.concatenate([g for g, _ in found], axis=1)
+        n = np.concatenate([n for _, n in found])
+        ranked, at = np.unique(h, return_inverse=True)
+        at = at.reshape(h.shape)
+        starts = np.cumsum(n) - n
+        edge = at[0, -1]  # the last position is an edge
+        made = []
+        for name, part in ((model, 1.0), ("corpus", scale)):
+            counts = np.frombuffer(b"".join(right.column(name).to_pylist()), np.int64)
+            total = n_target if name == "target" else n_corpus
+            made.append(np.add.reduceat(losses(counts, at, starts, float(counts[edge]), total, words, part), starts) / n)
+        return pa.table({id_col: pa.chunked_array([c.flatten() for c in left.column("ids").chunks], left.schema.field("ids").type.value_type),
+                         "tokens": n, "target_loss": made[0], "background_loss": made[1], "score": made[1] - made[0]})
+
+    return packs.select("chunk", "pack", "ids", "lengths", "blob").groupBy("chunk").cogroup(
+        totals.select("chunk", "radix", "corpus", "target").groupBy("chunk")).applyInArrow(
+        run, f"`{id_col}` {kind}, tokens long, target_loss double, background_loss double, score double")

@@ -70,26 +70,54 @@ def test_packing_empty(spark):
     assert pack.pack(docs_of(spark, []), queries.tokenizer_path()).count() == 0
 
 
-def test_cross_entropy_against_loops(spark):
-    texts = ODD + [prose(i, 40) for i in range(6)]
-    target = spark.createDataFrame([(9,), (10,), (None,)], "doc_id long")
-    got = lm_score.cross_entropy_difference(docs_of(spark, texts), target).collect()
-    n = lm_score.SYMBOLS
-    counts = np.zeros((2, n ** 3))
-    for i, t in enumerate(texts):
-        s = lm_score.symbols(t or "")
-        for a, b, c in zip(s, s[1:], s[2:], strict=False):
-            counts[1, (a * n + b) * n + c] += 1
-            counts[0, (a * n + b) * n + c] += i in (9, 10)
-    logp = lm_score.models(counts[0], counts[1])
+def slow_losses(texts, chosen):
+    """Loss of every text under a trigram model of the chosen ones, by dictionaries; counts scaled to ``chosen``'s share."""
+    rows = [["", "", *lm_score.tokens(t or ""), ""] for t in texts]
+
+    def model(which, scale):
+        one, two, three, one_h, two_h = ({} for _ in range(5))
+        for i in which:
+            for u, v, w in zip(rows[i], rows[i][1:], rows[i][2:], strict=False):
+                for table, key in ((one, w), (two, (v, w)), (three, (u, v, w)), (one_h, v), (two_h, (u, v))):
+                    table[key] = table.get(key, 0) + scale
+        n, words = sum(one.values()), len({w for r in rows for w in r[2:]})
+        out = []
+        for r in rows:
+            loss = []
+            for u, v, w in zip(r, r[1:], r[2:], strict=False):
+                p = (one.get(w, 0) + 0.5) / (n + 0.5 * words)
+                p = (two.get((v, w), 0) + 5 * p) / (one_h.get(v, 0) + 5)
+                loss.append(-np.log((three.get((u, v, w), 0) + 5 * p) / (two_h.get((u, v), 0) + 5)))
+            out.append((len(loss), float(np.mean(loss))))
+        return out
+
+    size = lambda which: sum(len(rows[i]) - 2 for i in which)
+    every = range(len(texts))
+    return model(chosen, 1), model(every, size(chosen) / size(every))
+
+
+SCRIPTS = ["Привет мир, привет дом", "Мороз и солнце; день чудесный", "你好世界你好", "天地玄黄宇宙洪荒", "καλημέρα κόσμε καλημέρα", "ÀÉ the ÀÉ THE"]
+
+
+@pytest.mark.parametrize(("chunk", "radix"), [(lm_score.CHUNK, lm_score.RADIX), (60, 4000)])  # one chunk and radix, several
+def test_cross_entropy_against_loops(spark, monkeypatch, chunk, radix):
+    monkeypatch.setattr(lm_score, "CHUNK", chunk)
+    monkeypatch.setattr(lm_score, "RADIX", radix)
+    texts = ODD + SCRIPTS + [prose(i, 40) for i in range(6)] + [SCRIPTS[2]]
+    chosen = [8, 10, 12, 15, 16]
+    target = spark.createDataFrame([(i,) for i in [*chosen, 15, 10_000, None]], "doc_id long")
+    docs = docs_of(spark, texts)
+    got = lm_score.cross_entropy_difference(docs, target).collect()
+    want = list(zip(*slow_losses(texts, chosen), strict=True))
     assert len(got) == len(texts)
     for r in got:
-        if r.doc_id is not None:
-            s = lm_score.symbols(texts[r.doc_id] or "")
-            grams = [(a * n + b) * n + c for a, b, c in zip(s, s[1:], s[2:], strict=False)]
-            assert r.tokens == len(grams) and abs(r.score - (logp[0][grams] - logp[1][grams]).astype(float).mean()) < 1e-4
-    same = lm_score.cross_entropy_difference(docs_of(spark, texts), target.limit(0)).collect()
-    assert all(abs(r.score) < 1e-6 for r in same)
+        (n, target_loss), (_, corpus_loss) = want[3 if r.doc_id is None else r.doc_id]
+        assert (r.tokens, r.target_loss, r.background_loss, r.score) == (n, *(pytest.approx(x, abs=1e-9) for x in (target_loss, corpus_loss, corpus_loss - target_loss)))
+    by_id = {r.doc_id: r.score for r in got}
+    assert by_id[10] > by_id[11] and by_id[8] > by_id[9]  # texts of one script and shape, told apart by content
+    same = lm_score.cross_entropy_difference(docs, target.limit(0)).collect()
+    assert len(same) == len(texts) and all(r.score == 0 for r in same)
+    assert lm_score.cross_entropy_difference(docs.limit(0), target).count() == 0
 
 
 def test_vectors_against_brute_force(spark):
