@@ -4,7 +4,8 @@ Exactly equal vectors are one node.  Nodes are dealt to overlapping cluster shar
 a cell over ``MAX_SHARD`` nodes is cut into parts by hash, so no task gets more.  In each shard candidates are
 robust-pruned into a graph; a node's lists of all its shards are united.  The shards are then searched: every
 node starts a greedy search at the shard's medoid and, once inside the range, expands every node within
-range.  Found pairs are verified in double precision.  A recall audit compares the links of hash-chosen
+range.  Found pairs are verified: the cosine of the two unit vectors, summed anew in double precision, must reach
+the range.  A recall audit compares the links of hash-chosen
 nodes with brute force, in blocks: the mean of the nodes' own recalls, of nodes with at most ``FEW`` links and of
 the others, the lower of which counts.  Nodes are drawn until ``LINKED`` of them have a link, ``MOST`` at most.
 Below ``RECALL`` the search is run again with more cells and wider beams; what is still below it at the widest is
@@ -29,6 +30,8 @@ from .common import map_batches, small_batches, stage
 from .graph import components
 
 RANGE, RECALL = 0.9, 0.97
+#: The search looks this far below the range, verification does not.
+SLACK = 1e-9
 SAMPLE, AUDIT = 8192, 256
 LINKED, MOST, FEW = 64, 8192, 4
 WIDEST, BLOCK = 24, 2048
@@ -170,10 +173,24 @@ def range_search(x: np.ndarray, table: np.ndarray, queries: np.ndarray, least: f
             flat_q, flat_n = flat_q[new], flat_n[new]
             sims[flat_q, flat_n] = np.einsum("ij,ij->i", q[flat_q], x[flat_n])
         for r in range(m):
-            found.append(np.flatnonzero(sims[r, :n] >= least - 1e-9))
+            found.append(np.flatnonzero(sims[r, :n] >= least - SLACK))
     return found
 
 
+def within(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """Whether the rows' cosines are at least ``least``: one sum per pair, the same in either order of the two,
+    unlike a matrix product, whose last digits depend on its shape."""
+    return (x * y).sum(axis=1) >= least
+
+
+def pairs_within(left: np.ndarray, right: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of ``left`` and of ``right`` that are in range, by a matrix product; pairs at its edge by ``within``."""
+    sims = left @ right.T
+    p, q = np.nonzero(np.abs(sims - least) <= SLACK)
+    sims[p, q] = np.where(within(left[p], right[q], least), 1, -1)
+    return np.nonzero(sims >= least)
+
+
 def _dealt(nodes: DataFrame, centroids: np.ndarray, size: int, cells: int) -> DataFrame:
     """node, vec, rank, cell: each node once for each of its nearest ``cells`` cells."""
     shared = nodes.sparkSession.sparkContext.broadcast(centroids)
@@ -222,8 +239,9 @@ def _search(members: DataFrame, size: int, least: float, beam: int) -> DataFrame
         table_[of, np.arange(len(of)) - np.repeat(np.cumsum(degree) - degree, degree)] = at
         mine = q.column("node").to_numpy()
         a, b = [], []
-        for node, hits in zip(mine, range_search(x, table_, asked, least, beam), strict=True):
-            other = ids[hits]
+        for r, hits in enumerate(range_search(x, table_, asked, least, beam)):
+            node = mine[r]
+            other = ids[hits[within(x[hits], asked[r], least)]]
             other = other[other != node]
             a.append(np.minimum(other, node))
             b.append(np.maximum(other, node))
@@ -262,7 +280,7 @@ def _exact(nodes: DataFrame, size: int, count: int, least: float) -> DataFrame:
         left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for k in range(0, len(left), 256):
-            p, q = np.nonzero(x[left[k:k + 256]] @ x[right].T >= least)
+            p, q = pairs_within(x[left[k:k + 256]], x[right], least)
             u, v = ids[left[k:k + 256]][p], ids[right][q]
             keep = (u < v) if i == j else (u != v)
             a.append(np.minimum(u, v)[keep])
@@ -285,7 +303,7 @@ def _audit(nodes: DataFrame, pairs: DataFrame, size: int, least: float) -> float
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             ids, x = shared.value
             other = batch.column("node").to_numpy()
-            i, j = np.nonzero(_matrix(batch.column("vec"), size) @ x.T >= least)
+            i, j = pairs_within(_matrix(batch.column("vec"), size), x, least)
             i, j = i[other[i] != ids[j]], j[other[i] != ids[j]]
             return pa.RecordBatch.from_arrays([pa.array(ids[j]), pa.array(np.minimum(other[i], ids[j])), pa.array(np.maximum(other[i], ids[j]))], names=["node", "a", "b"])
 

@@ -162,6 +162,21 @@ def test_vector_audit_sees_nodes_with_one_link_and_what_is_lost_is_searched(spar
     assert all(r.n_links == sum(r.vec_id in p for p in true) for r in got)
 
 
+def test_links_end_at_the_threshold(spark, monkeypatch):
+    cosines = [0.9 + 5e-10, 0.9 - 5e-10, 0.9 + 1e-12, 0.9 - 1e-12, 0.95, 0.85]
+    rows = []
+    for i, c in enumerate(cosines):  # pairs in planes of their own
+        u, v = np.zeros(2 * len(cosines)), np.zeros(2 * len(cosines))
+        u[2 * i], v[2 * i:2 * i + 2] = 3.0, (c, np.sqrt(1 - c * c))
+        rows += [u.tolist(), v.tolist()]
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    want = [int(c > 0.9) for c in cosines for _ in range(2)]
+    assert [r.n_links for r in vectors.near_vectors(df).orderBy("vec_id").collect()] == want
+    empty = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(vectors, "_pairs", lambda *_: empty)  # all of them exactly
+    assert [r.n_links for r in vectors.near_vectors(df).orderBy("vec_id").collect()] == want
+
+
 INSULTS = ["idiot", "moron", "pathetic", "worthless"]
 
 
