@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ BASE, BACK = 0.5, 5.0
 # words; one by one: signs, and characters of Thai, Lao, Khmer, Kana and Han texts
 _SPACELESS = "฀-໿ក-៿぀-ヿ㐀-鿿豈-﫿"
 TOKEN = re.compile(rf"[^\W_{_SPACELESS}]+|\S")
-_hashes = Memo(hash_word)
+_hashes = Memo(hash_word, cap=500_000)
 _EDGE = np.uint64(0x9AE16A3B2F90404F)
 _PRIME, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(3)
 
@@ -61,7 +62,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     h = np.full(int(ends[-1]), _EDGE, np.uint64)
     inside = np.ones(len(h), bool)
     inside[ends - 1] = False
-    h[inside] = np.fromiter((_hashes[w] for ws in words for w in ws), np.uint64, int(n.sum()) - len(n))
+    h[inside] = np.fromiter(map(_hashes.__getitem__, chain.from_iterable(words)), np.uint64, int(n.sum()) - len(n))
     starts = ends - n
     before = np.concatenate([[_EDGE], h[:-1]])  # a text follows the edge of the text before it
     earlier = np.concatenate([[_EDGE], before[:-1]])
@@ -105,6 +106,16 @@ def _texts(blob: bytes, lengths: list[int]) -> list[str]:
     return [whole[e - n:e].decode("utf-8", "surrogatepass") for e, n in zip(ends, lengths, strict=True)]
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    """The numbers' first bytes, then their second, and so on, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes())
+
+
+def restored(block: bytes, kind: type) -> np.ndarray:
+    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(places.T).view(kind).ravel()
+
+
 def _cuts(ranked: np.ndarray, radixes: int) -> np.ndarray:
     """Where the radixes of sorted hashes start, and the end."""
     radix = ((ranked >> np.uint64(32)) * np.uint64(radixes)) >> np.uint64(32)
@@ -112,7 +123,7 @@ def _cuts(ranked: np.ndarray, radixes: int) -> np.ndarray:
 
 
 def _counted(packs: DataFrame, marks: DataFrame, radixes: int) -> DataFrame:
-    """chunk, radix, grams (sorted hashes), corpus, target (counts) of each chunk's n-grams."""
+    """chunk, radix, grams (steps from hash to hash), corpus, target (counts) of each chunk's n-grams."""
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         marked = set(zip(right.column("piece").to_pylist(), right.column("pos").to_pylist(), strict=True))
         found, wanted = [], []
@@ -131,8 +142,8 @@ def _counted(packs: DataFrame, marks: DataFrame, radixes: int) -> DataFrame:
         cuts = _cuts(ranked, radixes)
         spans = [(r, int(a), int(b)) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
         return pa.table({"chunk": pa.array([key[0].as_py()] * len(spans), pa.int64()), "radix": pa.array([r for r, _, _ in spans], pa.int32()),
-                         **{name: pa.array([x[a:b].tobytes() for _, a, b in spans], pa.binary())
-                            for name, x in (("grams", ranked), ("corpus", corpus), ("target", target))}})
+                         "grams": pa.array([squeezed(np.diff(ranked[a:b], prepend=np.uint64(0))) for _, a, b in spans], pa.binary()),
+                         **{name: pa.array([squeezed(x[a:b]) for _, a, b in spans], pa.binary()) for name, x in (("corpus", corpus), ("target", target))}})
 
     return packs.select("chunk", "pack", "lengths", "blob").groupBy("chunk").cogroup(marks.groupBy("at")).applyInArrow(
         run, "chunk long, radix int, grams binary, corpus binary, target binary")
@@ -142,15 +153,16 @@ def _totals(counted: DataFrame) -> DataFrame:
     """chunk, radix, corpus, target (the whole corpus's counts of the chunk's n-grams); words, n_corpus, n_target of
     the radix's single tokens, on one of its rows."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        chunks, blocks = table.column("chunk"), table.column("grams").to_pylist()
-        sizes = np.array([len(b) // 8 for b in blocks], np.int64)
-        ranked, at = np.unique(np.frombuffer(b"".join(blocks), np.uint64), return_inverse=True)
-        sums = {c: np.bincount(at, np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32), len(ranked)).astype(np.int64) for c in ("corpus", "target")}
+        chunks, blocks = table.column("chunk"), [np.cumsum(restored(b, np.uint64)) for b in table.column("grams").to_pylist()]
+        sizes = [len(b) for b in blocks]
+        ranked, at = np.unique(np.concatenate(blocks), return_inverse=True)
+        counts = lambda c: np.concatenate([restored(b, np.uint32) for b in table.column(c).to_pylist()])
+        sums = {c: np.bincount(at, counts(c), len(ranked)).astype(np.int64) for c in ("corpus", "target")}
         single = (ranked & _LAST) == 1
         ends = np.cumsum(sizes)
         once = lambda n: pa.array([int(n)] + [0] * (len(blocks) - 1), pa.int64())
         return pa.table({"chunk": chunks, "radix": table.column("radix"),
-                         **{c: pa.array([s[at[e - n:e]].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary()) for c, s in sums.items()},
+                         **{c: pa.array([squeezed(s[at[e - n:e]]) for e, n in zip(ends, sizes, strict=True)], pa.binary()) for c, s in sums.items()},
                          "words": once(single.sum()), "n_corpus": once(sums["corpus"][single].sum()), "n_target": once(sums["target"][single].sum())})
 
     return stage(counted.groupBy("radix").applyInArrow(run, "chunk long, radix int, corpus binary, target binary, words long, n_corpus long, n_target long"), "totals")
@@ -187,13 +199,12 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
         found = [grams(_texts(blob, lengths)) for lengths, blob in zip(left.column("lengths").to_pylist(), left.column("blob").to_pylist(), strict=True)]
         h = np.concatenate([g for g, _ in found], axis=1)
         n = np.concatenate([n for _, n in found])
-        ranked, at = np.unique(h, return_inverse=True)
-        at = at.reshape(h.shape)
+        at = np.unique(h, return_inverse=True)[1].reshape(h.shape)
         starts = np.cumsum(n) - n
         edge = at[0, -1]  # the last position is an edge
         made = []
         for name, part in ((model, 1.0), ("corpus", scale)):
-            counts = np.frombuffer(b"".join(right.column(name).to_pylist()), np.int64)
+            counts = np.concatenate([restored(b, np.int64) for b in right.column(name).to_pylist()])
             total = n_target if name == "target" else n_corpus
             made.append(np.add.reduceat(losses(counts, at, starts, float(counts[edge]), total, words, part), starts) / n)
         return pa.table({id_col: pa.chunked_array([c.flatten() for c in left.column("ids").chunks], left.schema.field("ids").type.value_type),
