@@ -265,7 +265,10 @@ def _across(buckets: DataFrame, linked: DataFrame, texts: DataFrame, least: floa
                     y = y[label[y] != label[x]]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return rest.unionByName(whole).groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long")
+    # a block's work is far more than its bytes: a stated number of partitions is not merged by size
+    spark = texts.sparkSession
+    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    return rest.unionByName(whole).repartition(spread, "bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
