@@ -6,7 +6,7 @@ broadcasts of it are safe.
 """
 from __future__ import annotations
 
-import json
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -93,6 +93,7 @@ def read_sidecars(spark: SparkSession, models_dir: str) -> DataFrame:
         "version", "file", "length",
         (is_object & rows_total.isNotNull()).alias("readable"),
         rows_total.alias("rows_total"),
+        F.xxhash64("value").alias("fingerprint"),
         F.get_json_object("value", "$.trained_at").alias("trained_at"),
         F.get_json_object("value", "$.data_through").alias("data_through"),
         F.from_json(F.get_json_object("value", "$.feature_columns"), "array<string>").alias("feature_columns"),
@@ -122,10 +123,10 @@ def unreadable_sidecars(spark: SparkSession, models_dir: str) -> DataFrame:
 
 
 def list_artifacts(spark: SparkSession, models_dir: str) -> DataFrame:
-    """Model artifact folders ``model_v<N>`` (Spark ML model directories with written metadata)."""
-    meta = list_files(spark, models_dir, "model_v*/metadata/part-*")
-    name = F.regexp_extract("path", r"/(model_v\d{4,})/metadata/[^/]+$", 1)
-    return meta.select(name.alias("artifact")).where(F.col("artifact") != "").distinct() \
+    """Model artifact folders ``model_v<N>`` whose write was committed."""
+    done = list_files(spark, models_dir, "model_v*/_SUCCESS")
+    name = F.regexp_extract("path", r"/(model_v\d{4,})/_SUCCESS$", 1)
+    return done.select(name.alias("artifact")).where(F.col("artifact") != "").distinct() \
         .withColumn("version", F.regexp_extract("artifact", ARTIFACT_NAME_RE, 1).cast("long"))
 
 
@@ -142,30 +143,33 @@ def orphan_artifacts(sidecars: DataFrame, artifacts: DataFrame) -> DataFrame:
     return artifacts.join(sidecars.where("readable").select("version"), "version", "left_anti")
 
 
-def render_sidecar(row: dict) -> str:
-    """SNK-07: one key per line, key order pinned."""
-    text = ""
-    for key in SIDECAR_KEYS:
-        entry = json.dumps({key: row.get(key)})
-        text += ("," if text else "") + "\n  " + entry[1:-1]
-    return "{" + text + "\n}\n"
-
-
 def sidecar_json(df: DataFrame) -> DataFrame:
-    """SNK-07 as a column: ``to_json`` of the registry columns in the pinned key order."""
+    """SNK-07 as a column: the registry columns as a JSON text, one key per line, in the pinned order; nulls are kept."""
     present = [k for k in SIDECAR_KEYS if k in df.columns]
-    return df.select("version", F.to_json(F.struct(*present)).alias("sidecar"))
+    text = F.to_json(F.struct(*present), {"pretty": "true", "ignoreNullFields": "false"})
+    return df.select("version", text.alias("sidecar"))
+
+
+ARTIFACT = "position int, feature string, weight double"
+
+
+def write_artifact(spark: SparkSession, path: str, model) -> None:
+    """A model as a table of its own feature names and weights (the intercept has no name); refuses to overwrite."""
+    rows = [(-1, None, float(model.intercept)), *[(i, name, float(w)) for i, (name, w) in enumerate(model.coefficients.items())]]
+    spark.createDataFrame(rows, ARTIFACT).coalesce(1).write.mode("errorifexists").parquet(path)
 
 
 def publish(spark: SparkSession, models_dir: str, version: int, model, sidecar: dict) -> None:
-    """SNK-04: artifact first (refuses to overwrite), then the sidecar as the publish marker."""
-    name = f"model_v{version:04d}"
-    model.write().save(f"{models_dir.rstrip('/')}/{name}")        # default mode: error if it exists
-    body = render_sidecar({**sidecar, "version": version, "model_file": name})
-    spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("errorifexists") \
-        .text(f"{models_dir.rstrip('/')}/_{name}.json.d")
+    """SNK-04: artifact first (refuses to overwrite), then the sidecar as the publish marker.
+
+    ``model`` has ``coefficients`` (by feature name) and ``intercept``.
+    """
+    root, name = models_dir.rstrip("/"), f"model_v{version:04d}"
+    write_artifact(spark, f"{root}/{name}", model)
+    record = records_frame(spark, [{**sidecar, "version": version, "model_file": name}])
+    sidecar_json(record).select("sidecar").coalesce(1).write.mode("errorifexists").text(f"{root}/_{name}.json.d")
     # move the single part file into place as model_v<N>.json (the marker)
-    _promote_single_file(spark, f"{models_dir.rstrip('/')}/_{name}.json.d", f"{models_dir.rstrip('/')}/{name}.json")
+    _promote_single_file(spark, f"{root}/_{name}.json.d", f"{root}/{name}.json")
 
 
 def _promote_single_file(spark: SparkSession, src_dir: str, dst: str) -> None:
@@ -179,7 +183,8 @@ def _promote_single_file(spark: SparkSession, src_dir: str, dst: str) -> None:
     target = jvm.org.apache.hadoop.fs.Path(dst)
     if fs.exists(target):
         raise FileExistsError(dst)
-    fs.rename(parts[0], target)
+    if not fs.rename(parts[0], target):
+        raise RuntimeError(f"could not move the sidecar to {dst}")
     fs.delete(path, True)
 
 
@@ -187,34 +192,36 @@ def _promote_single_file(spark: SparkSession, src_dir: str, dst: str) -> None:
 
 def load_checkpoint(spark: SparkSession, models_dir: str, version: int, sidecar_features: list | None):
     """ML-08: load ``model_v<N>`` and validate it; returns ``(coefficients, intercept, None)`` or
-    ``(None, None, reason)``.  Checks: the artifact loads, its feature list is non-empty, equals the
-    registry's, and a probe on all-zero features gives a finite probability."""
-    import math
-
-    from pyspark.ml.classification import LogisticRegressionModel
-    name = f"model_v{version:04d}"
+    ``(None, None, reason)``.  Checks: the artifact loads, its feature names are not empty and equal the
+    registry's in the same order, and all its weights are finite."""
     try:
-        model = LogisticRegressionModel.load(f"{models_dir.rstrip('/')}/{name}")
+        rows = spark.read.schema(ARTIFACT).parquet(f"{models_dir.rstrip('/')}/model_v{version:04d}").orderBy("position").collect()   # one row per weight
     except Exception as exc:  # noqa: BLE001 -- any unreadable artifact is a skip, not a crash
         return None, None, f"unreadable artifact ({type(exc).__name__})"
-    coefs = [float(x) for x in model.coefficients.toArray()]
+    weights = {r.feature: r.weight for r in rows if r.position is not None and r.position >= 0}
+    bias = [r.weight for r in rows if r.position == -1]
     feats = list(sidecar_features or [])
     if not feats or any(not isinstance(f, str) or not f for f in feats):
         return None, None, "no feature columns"
-    if len(feats) != len(coefs) or model.numFeatures != len(feats):
+    if len(bias) != 1 or len(weights) + 1 != len(rows):
+        return None, None, "unreadable artifact (rows)"
+    if list(weights) != feats:
         return None, None, "feature columns differ from the artifact"
-    z = float(model.intercept)
-    if not math.isfinite(z) or not all(math.isfinite(c) for c in coefs):
+    if any(w is None or not math.isfinite(w) for w in [*bias, *weights.values()]):
         return None, None, "non-finite probe"
-    return dict(zip(feats, coefs)), z, None
+    return weights, bias[0], None
 
 
 def choose_model(candidates: list, current: int | None, bad: set) -> int | None:
     """ML-09/SRT-04: newest loadable version greater than the current one; fall back downwards
     over newer candidates that failed; keep the current model when nothing newer loads.
 
+    A current version that is no longer published (the registry was reset) counts as none, so the
+    newest loadable one is taken even if its number is smaller.
     ``candidates`` are the (tiny) published registry rows as ``(version, loadable)``.
     """
+    if current not in {v for v, _ in candidates}:
+        current = None
     newer = sorted((v for v, ok in candidates if ok and v not in bad and (current is None or v > current)),
                    reverse=True)
     if newer:
@@ -229,43 +236,47 @@ def records_frame(spark: SparkSession, records: list) -> DataFrame:
         ("version", "rows_total", "rows_new", "n_train", "n_test", "train_every_n_events"), "long") | {
         "feature_columns": "array<string>", "coefficients": "map<string,double>"}
     rows = [tuple(r.get(k) for k in SIDECAR_KEYS) for r in records]
-    return spark.createDataFrame(rows, ", ".join(f"{k} {kinds[k]}" for k in SIDECAR_KEYS))
+    # weights in the order of the features
+    in_order = F.when(F.col("coefficients").isNotNull(), F.map_from_arrays(
+        "feature_columns", F.transform("feature_columns", lambda name: F.round(F.col("coefficients")[name], 3))))
+    rounded = {k: F.round(k, 3) for k, kind in kinds.items() if kind == "double"}
+    return spark.createDataFrame(rows, ", ".join(f"{k} {kinds[k]}" for k in SIDECAR_KEYS)).withColumns(
+        rounded | {"coefficients": in_order})
 
 
 class ModelChooser:
     """ML-09: per micro-batch, the newest loadable published model (hot swap at batch boundaries).
 
-    Keeps the current version and the versions that failed to load, so a damaged
-    newest version is skipped (and remembered) and the scorer falls back to the
-    next one down; if the registry loses every version (reset), state is cleared.
+    A version is known by its number and its sidecar's fingerprint.  Keeps the current one and those that
+    failed to load, so a damaged newest version is skipped (and remembered) and the scorer falls back to the
+    next one down.  A current version that is gone, or published anew under its number, counts as a reset
+    registry: the newest loadable version is loaded, whatever its number (ST-15).
     """
 
     def __init__(self, spark: SparkSession, models_dir: str):
         self.spark, self.models_dir = spark, models_dir
-        self.current: int | None = None
+        self.current: tuple | None = None
         self.bad: set = set()
         self.loaded: tuple | None = None
 
     def __call__(self) -> tuple[dict, float, str] | None:
         side = read_sidecars(self.spark, self.models_dir)
         arts = list_artifacts(self.spark, self.models_dir)
-        pub = published(side, arts).select("version", "loadable", "feature_columns").collect()   # tiny
-        if not pub:                                   # ST-15 reset: nothing published any more
-            self.current, self.bad, self.loaded = None, set(), None
-            return None
-        features = {r.version: r.feature_columns for r in pub}
-        candidates = [(r.version, r.loadable) for r in pub]
+        pub = {r.version: r for r in published(side, arts).select("version", "loadable", "feature_columns", "fingerprint").collect()}   # tiny
+        known = {(v, r.fingerprint) for v, r in pub.items()}
+        if self.current not in known:
+            self.current, self.loaded = None, None
+        self.bad &= known
+        candidates = [(v, r.loadable) for v, r in pub.items()]
         while True:
-            choice = choose_model(candidates, self.current, self.bad)
+            choice = choose_model(candidates, self.current and self.current[0], {v for v, _ in self.bad})
             if choice is None:
                 return None
-            if choice == self.current and self.loaded is not None:
+            name = (choice, pub[choice].fingerprint)
+            if name == self.current:
                 return self.loaded
-            coefs, icpt, why = load_checkpoint(self.spark, self.models_dir, choice, features.get(choice))
+            coefs, icpt, why = load_checkpoint(self.spark, self.models_dir, choice, pub[choice].feature_columns)
             if why is None:
-                self.current = choice
-                self.loaded = (coefs, icpt, f"model_v{choice:04d}")
+                self.current, self.loaded = name, (coefs, icpt, f"model_v{choice:04d}")
                 return self.loaded
-            self.bad.add(choice)                      # reported once, never retried
-            if choice == self.current:
-                self.current, self.loaded = None, None
+            self.bad.add(name)                        # reported once, never retried

@@ -2,7 +2,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,26 +136,39 @@ def roc_auc(scored: DataFrame, label: str = "was_late", prob: str = "probability
 
 @dataclass
 class FitResult:
+    """Weights by feature name: what a published artifact holds."""
     coefficients: dict
     intercept: float
     n_train: int
     iterations: int
-    model: object = None          # the Spark ML LogisticRegressionModel (the publishable artifact)
 
 
-def fit_logistic(train: DataFrame, opts: TrainOptions | None = None) -> FitResult:
-    """ML-03: L2 logistic regression on raw (unscaled) features, C = 1 in the reference's scale.
-
-    Spark ML's objective is ``mean(logloss) + regParam/2 |w|^2`` with an unpenalised
-    intercept, so ``regParam = 1 / n_train`` gives the same optimum as
-    ``C * sum(logloss) + |w|^2 / 2``.  Training rows are first collapsed to distinct
-    (features, label) with a count used as the instance weight: the weighted mean
-    loss is the same function, but the iterative solver then scans a table whose
-    size is bounded by the feature domain, not by the data.
+def newton_sums(compact: DataFrame, cols: list[str], beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Log loss, gradient and Hessian of the weighted rows at ``beta`` (intercept first), as one aggregate.
+
+    The sums are ``1 + k + k(k+1)/2`` numbers for ``k`` weights, combined on the map side, whatever the rows.
     """
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
+    x = [F.lit(1.0), *[F.col(c) for c in cols]]
+    z = reduce(add, [F.lit(float(w)) * v for w, v in zip(beta, x, strict=True)])
+    rows = compact.select("label", "weight", *cols, z.alias("_z")).withColumn("_p", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z"))))
+    loss = F.greatest(F.col("_z"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("_z"))) - F.col("label") * F.col("_z")
+    slope, curve = F.col("weight") * (F.col("_p") - F.col("label")), F.col("weight") * F.col("_p") * (F.lit(1.0) - F.col("_p"))
+    upper = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
+    sums = rows.agg(F.sum(F.col("weight") * loss), *[F.sum(slope * v) for v in x], *[F.sum(curve * x[i] * x[j]) for i, j in upper]).first()
+    hessian = np.zeros((len(x), len(x)))
+    for (i, j), value in zip(upper, sums[1 + len(x):], strict=True):
+        hessian[i, j] = hessian[j, i] = value
+    return sums[0], np.array(sums[1:1 + len(x)], dtype=float), hessian
+
+
+def fit_logistic(train: DataFrame, opts: TrainOptions | None = None) -> FitResult:
+    """ML-03: L2 logistic regression on raw (unscaled) features, ``sum(logloss) + |w|^2 / 2``, intercept free.
 
+    Rows are collapsed to distinct (features, label) with a count as their weight, once: the loss is the same, and
+    every step then reads a table bounded by the feature domain, not by the data.  A Newton step is one aggregate
+    (``newton_sums``) and a solve of as many equations as there are weights.  A step that does not lower the loss
+    is halved.  Stops when no weight moves by more than ``opts.tol`` (relative), after ``opts.max_iter`` at the latest.
+    """
     opts = opts or TrainOptions()
     cols = list(opts.features)
     compact = train.groupBy(*[F.col(c).cast("double").alias(c) for c in cols],
@@ -161,29 +177,39 @@ def fit_logistic(train: DataFrame, opts: TrainOptions | None = None) -> FitResul
     # AQE sizes the aggregate's partitions: a few when the feature domain is small,
     # as many as needed when it is not (no fixed count that a large domain would overflow)
     compact = compact.persist()
-    n_train = int(compact.agg(F.sum("weight")).first()[0] or 0)
-    if n_train == 0:
-        compact.unpersist()
-        raise ValueError("no training rows")
-    vec = VectorAssembler(inputCols=cols, outputCol="features").transform(compact)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                            regParam=1.0 / n_train, elasticNetParam=0.0, standardization=False,
-                            fitIntercept=True, tol=opts.tol, maxIter=opts.max_iter)
     try:
-        model = lr.fit(vec)
+        n_train = int(compact.agg(F.sum("weight")).first()[0] or 0)
+        if n_train == 0:
+            raise ValueError("no training rows")
+        penalty = np.array([0.0] + [1.0] * len(cols))
+        beta, best, step, steps = np.zeros(len(cols) + 1), np.inf, np.zeros(len(cols) + 1), 0
+        while steps < opts.max_iter:
+            steps += 1
+            loss, gradient, hessian = newton_sums(compact, cols, beta)
+            total = loss + float(penalty @ beta ** 2) / 2
+            if not np.isfinite(total) or total > best + 1e-9 * abs(best):
+                if np.abs(step).max() <= opts.tol * max(1.0, float(np.abs(beta).max())):
+                    break
+                step = step / 2
+                beta = beta - step
+                continue
+            best = total
+            step = -np.linalg.solve(hessian + np.diag(penalty), gradient + penalty * beta)
+            beta = beta + step
+            if np.abs(step).max() <= opts.tol * max(1.0, float(np.abs(beta).max())):
+                break
+    except np.linalg.LinAlgError as exc:
+        raise ValueError("no unique weights") from exc
     finally:
         compact.unpersist()
-    coefs = [float(x) for x in model.coefficients.toArray()]
-    import math
-    if not all(math.isfinite(x) for x in coefs + [float(model.intercept)]):   # ML-05
+    if not np.isfinite(beta).all():   # ML-05
         raise ValueError("non-finite coefficients")
-    return FitResult(dict(zip(cols, coefs)), float(model.intercept), n_train,
-                     int(model.summary.totalIterations) if model.hasSummary else -1, model)
+    return FitResult(dict(zip(cols, beta[1:].tolist(), strict=True)), float(beta[0]), n_train, steps)
 
 
 def registry_record(fit: FitResult, metrics: dict, rows_total: int, rows_new: int, n_test: int,
                     data_through: str | None, trained_at: str, opts: TrainOptions | None = None) -> dict:
-    """ML-07: the registry/sidecar record of a fitted model; metrics and weights at 3 decimals, times in ISO form."""
+    """ML-07: the registry record of a fitted model, times in ISO form; ``registry.records_frame`` rounds its numbers."""
     opts = opts or TrainOptions()
     if hasattr(data_through, "strftime"):
         data_through = data_through.strftime("%Y-%m-%dT%H:%M:%SZ")
@@ -194,17 +220,11 @@ def registry_record(fit: FitResult, metrics: dict, rows_total: int, rows_new: in
         "model_type": "LogisticRegression", "trained_at": trained_at, "data_through": data_through,
         "feature_columns": list(opts.features), "label_column": opts.label,
         **{name: int(n) for name, n in counts.items()},
-        **{name: _three_decimals(metrics.get(name)) for name in scores},
-        "coefficients": {name: _three_decimals(w) for name, w in fit.coefficients.items()},
-        "intercept": _three_decimals(fit.intercept),
+        **{name: metrics.get(name) for name in scores},
+        "coefficients": dict(fit.coefficients), "intercept": fit.intercept,
     }
 
 
-def _three_decimals(value):
-    """Undefined metrics (an AUC over one class) stay undefined."""
-    return None if value is None else float(f"{float(value):.3f}")
-
-
 def train_once(features: DataFrame, opts: TrainOptions | None = None, cutoff: tuple | None = None):
     """ML-02..05: holdout, guards, fit, evaluation.  Returns ``(status, fit, metrics, sizes)``.
 

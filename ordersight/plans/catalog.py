@@ -667,8 +667,8 @@ def _holdout(spark, sf_dir):
 _GOLDEN_P_SQL = "1.0 / (1.0 + exp(-(-7.0 + 0.6 * distance_km + 0.25 * prep_minutes)))"
 
 
-@register("holdout_metrics_fixed", cte(_SPLIT_CTE + """,
-te AS (SELECT was_late AS y, """ + _GOLDEN_P_SQL + """ AS p FROM sp WHERE position >= (SELECT n_train FROM sz)),
+#: Counts, and the rank sum of distinct scores, of the scored test rows ``te (y, p)``.
+_METRICS_CTE = """
 c AS (SELECT count(*) AS n, sum(y) AS pos, sum(CASE WHEN p > 0.5 AND y = 1 THEN 1 ELSE 0 END) AS tp,
              sum(CASE WHEN p > 0.5 AND y = 0 THEN 1 ELSE 0 END) AS fp,
              sum(CASE WHEN p <= 0.5 AND y = 1 THEN 1 ELSE 0 END) AS fn,
@@ -676,15 +676,19 @@ c AS (SELECT count(*) AS n, sum(y) AS pos, sum(CASE WHEN p > 0.5 AND y = 1 THEN
 h AS (SELECT p AS s, sum(y) AS ps, sum(1 - y) AS qs FROM te GROUP BY p),
 hr AS (SELECT ps, qs, coalesce(sum(qs) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS qb FROM h),
 a AS (SELECT CASE WHEN sum(ps) > 0 AND sum(qs) > 0
-                  THEN CAST(sum(ps * (2 * qb + qs)) AS DOUBLE) / (2.0 * sum(ps) * sum(qs)) END AS auc FROM hr)""", """
-SELECT CAST(n AS BIGINT) AS n_test, round_even(CAST(pos AS DOUBLE) / n, 3) AS late_rate_test,
+                  THEN CAST(sum(ps * (2 * qb + qs)) AS DOUBLE) / (2.0 * sum(ps) * sum(qs)) END AS auc FROM hr)"""
+_METRICS_SQL = """CAST(n AS BIGINT) AS n_test, round_even(CAST(pos AS DOUBLE) / n, 3) AS late_rate_test,
   round_even(greatest(CAST(pos AS DOUBLE) / n, 1.0 - CAST(pos AS DOUBLE) / n), 3) AS baseline_accuracy,
   round_even(CAST(correct AS DOUBLE) / n, 3) AS accuracy,
   round_even(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0), 3) AS precision,
   round_even(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0), 3) AS recall,
   round_even(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0), 3) AS f1,
-  round_even(auc, 3) AS roc_auc
-FROM c, a"""))
+  round_even(auc, 3) AS roc_auc"""
+
+
+@register("holdout_metrics_fixed", cte(_SPLIT_CTE + """,
+te AS (SELECT was_late AS y, """ + _GOLDEN_P_SQL + """ AS p FROM sp WHERE position >= (SELECT n_train FROM sz)),""" + _METRICS_CTE,
+                                       "SELECT " + _METRICS_SQL + " FROM c, a"))
 def q_holdout_metrics_fixed(spark, sf_dir):
     f, cut = _holdout(spark, sf_dir)
     test = f.where(training.split_side(cut, "test")).withColumn(
@@ -693,9 +697,45 @@ def q_holdout_metrics_fixed(spark, sf_dir):
     return m.select("n_test", *[F.bround(c, 3).alias(c) for c in m.columns if c != "n_test"])
 
 
-@register("fit_logistic")
+# Newton steps over the distinct training rows: gradient g, Hessian h (both with the penalty), solved by determinants
+_FIT_CTE = _SPLIT_CTE + """,
+cp AS MATERIALIZED (SELECT distance_km AS x1, CAST(prep_minutes AS DOUBLE) AS x2, CAST(was_late AS DOUBLE) AS y, CAST(count(*) AS DOUBLE) AS w
+  FROM sp WHERE position < (SELECT n_train FROM sz) GROUP BY 1, 2, 3),
+nw AS (
+  SELECT 0 AS it, CAST(0 AS DOUBLE) AS b0, CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2
+  UNION ALL
+  SELECT it + 1,
+    b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / d,
+    b1 - (h00 * (g1 * h22 - g2 * h12) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / d,
+    b2 - (h00 * (h11 * g2 - h12 * g1) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / d
+  FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS d
+    FROM (SELECT it, b0, b1, b2, sum(w * (p - y)) AS g0, sum(w * (p - y) * x1) + b1 AS g1, sum(w * (p - y) * x2) + b2 AS g2,
+        sum(w * q) AS h00, sum(w * q * x1) AS h01, sum(w * q * x2) AS h02, sum(w * q * x1 * x1) + 1 AS h11,
+        sum(w * q * x1 * x2) AS h12, sum(w * q * x2 * x2) + 1 AS h22
+      FROM (SELECT *, p * (1 - p) AS q FROM (SELECT *, 1.0 / (1.0 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM nw, cp))
+      GROUP BY it, b0, b1, b2))
+  WHERE it < 20),
+fw AS (SELECT b0, b1, b2 FROM nw WHERE it = 20)"""
+_FITTED_P_SQL = "1.0 / (1.0 + exp(-(b0 + b1 * distance_km + b2 * prep_minutes)))"
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("fit_logistic", _recursive(cte(_FIT_CTE + """,
+te AS (SELECT was_late AS y, """ + _FITTED_P_SQL + """ AS p FROM sp, fw WHERE position >= (SELECT n_train FROM sz)),""" + _METRICS_CTE + """,
+mt AS (SELECT """ + _METRICS_SQL + """ FROM c, a)""", """
+SELECT CAST(1 AS BIGINT) AS version, 'model_v0001' AS model_file, 'LogisticRegression' AS model_type,
+  'distance_km,prep_minutes' AS feature_columns, 'was_late' AS label_column, '2024-01-31T00:00:00Z' AS trained_at,
+  CAST(n AS BIGINT) AS rows_total, CAST(n AS BIGINT) AS rows_new, CAST(n_train AS BIGINT) AS n_train, n_test,
+  (SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%SZ') FROM feat) AS data_through,
+  late_rate_test, baseline_accuracy, accuracy, precision, recall, f1, roc_auc,
+  round(b1, 3) AS weight_distance_km, round(b2, 3) AS weight_prep_minutes, round(b0, 3) AS intercept,
+  CAST(400 AS BIGINT) AS train_every_n_events
+FROM sz, mt, fw""")))
 def q_fit_logistic(spark, sf_dir):
-    """ML-02/03/05/07, MAP-01: fit on the oldest 80 %, evaluate on the newest 20 %; one typed registry row."""
+    """ML-02/03/05/07, MAP-01: fit on the oldest 80 %, evaluate on the newest 20 %; one registry row, a column per weight."""
     f, cut = _holdout(spark, sf_dir)
     opts = TrainOptions()
     status, fit, m, sizes = training.train_once(f, opts, cutoff=cut)
@@ -703,10 +743,15 @@ def q_fit_logistic(spark, sf_dir):
         raise ValueError(f"not ready: {status}")
     rec = training.registry_record(fit, m, sizes["rows_total"], sizes["rows_total"], sizes["n_test"],
                                    sizes["data_through"], "2024-01-31T00:00:00Z", opts)
-    return registry.records_frame(spark, [{**rec, "version": 1, "model_file": "model_v0001"}])
+    row = registry.records_frame(spark, [{**rec, "version": 1, "model_file": "model_v0001"}])
+    return row.withColumns({f"weight_{c}": F.col("coefficients")[c] for c in opts.features}
+                           | {"feature_columns": F.array_join("feature_columns", ",")}).drop("coefficients")
 
 
-@register("fit_and_score")
+@register("fit_and_score", _recursive(cte(_FIT_CTE, """
+SELECT order_id, round(p, 3) AS late_probability, CAST(round(p, 3) >= 0.5 AS INTEGER) AS predicted_late,
+  'model_v0001' AS checkpoint_id, batch, pos
+FROM (SELECT f.*, """ + _FITTED_P_SQL + """ AS p FROM feat f, fw)""")))
 def q_fit_and_score(spark, sf_dir):
     """ML-02/03/08/10, UDF-02: fit on the holdout's train part, then score every kept order with it.
 

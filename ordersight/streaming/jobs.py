@@ -146,14 +146,31 @@ def merged_bucket_counts(spark: SparkSession, out_root: str) -> DataFrame:
         F.sum("orders").cast("long").alias("orders"))
 
 
+#: Attempts of the retraining job: one row per tried state (rows available, newest version number).
+ATTEMPTS = "rows_available long, top_version long, status string, detail string, epoch long"
+
+
+def retrain_attempts(spark: SparkSession, models_dir: str) -> DataFrame:
+    """What the retraining job tried: ``published``, a guard's status, or ``error`` with its text.
+
+    The table lies beside the models folder, whose files are read as sidecars.
+    """
+    path = f"{models_dir.rstrip('/')}-attempts"
+    spark.createDataFrame([], ATTEMPTS).write.mode("append").partitionBy("epoch").parquet(path)   # readable before the first attempt
+    return spark.read.schema(ATTEMPTS).parquet(path)
+
+
 def retrain_stream(ledger_stream: DataFrame, ledger_path: str, features_reader: Callable[[], DataFrame],
                    models_dir: str, checkpoint: str, opts=None, trigger: dict | None = None) -> StreamingQuery:
     """ST-02/ML-01: on every new ledger epoch, retrain when ``rows_available - rows_total(latest) >= N``.
 
     Rows available come from the ledger table (a sum, no data scan); the latest
     published version from the sidecars.  A fit is attempted only when that
-    trigger fires; guard failures are a status, never an exception, so the loop
-    survives.  Publishing is artifact first, sidecar last (the publish marker).
+    trigger fires.  Every attempt is a row of ``retrain_attempts``, written after it: a guard that
+    says no, a fit without finite weights or a failed publish is a status there, and the loop goes on.
+    A state (rows available, newest version number) that was tried and published nothing is not tried
+    again; the number of a half-published version is never used again, so that state is a new one.
+    Publishing is artifact first, sidecar last (the publish marker).
     """
     from datetime import datetime, timezone
 
@@ -170,20 +187,31 @@ def retrain_stream(ledger_stream: DataFrame, ledger_path: str, features_reader:
         top = registry.next_version(side, arts).first().next_version - 1
         return int(r.rt or 0), int(top)
 
+    def attempt(rows_total: int, version: int) -> tuple[str, str | None]:
+        status, fit, metrics, sizes = training.train_once(features_reader(), opts)
+        if status != "ready":
+            return status, None
+        rec = training.registry_record(
+            fit, metrics, sizes["rows_total"], sizes["rows_total"] - rows_total, sizes["n_test"],
+            sizes.get("data_through"), datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"), opts)
+        registry.publish(spark, models_dir, version, fit, rec)
+        return "published", f"model_v{version:04d}"
+
     def process(batch_df: DataFrame, epoch_id: int) -> None:
         available = spark.read.parquet(ledger_path).where(F.col("status") == "committed") \
             .agg(F.sum("kept")).first()[0] or 0
         rows_total, top_version = latest()
         if available - rows_total < opts.retrain_every:
             return
-        status, fit, metrics, sizes = training.train_once(features_reader(), opts)
-        if status != "ready":
+        tried = retrain_attempts(spark, models_dir).where((F.col("rows_available") == available) & (F.col("top_version") == top_version))
+        if not tried.isEmpty():
             return
-        version = top_version + 1                      # ML-06: never reuse a number
-        rec = training.registry_record(
-            fit, metrics, sizes["rows_total"], sizes["rows_total"] - rows_total, sizes["n_test"],
-            sizes.get("data_through"), datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"), opts)
-        registry.publish(spark, models_dir, version, fit.model, rec)
+        try:
+            status, detail = attempt(rows_total, top_version + 1)      # ML-06: never reuse a number
+        except Exception as exc:  # noqa: BLE001 -- kept as a row; the next epoch is another try
+            status, detail = "error", f"{type(exc).__name__}: {str(exc)[:500]}"
+        done = spark.createDataFrame([(int(available), top_version, status, detail)], "rows_available long, top_version long, status string, detail string")
+        _write_epoch(done, f"{models_dir.rstrip('/')}-attempts", epoch_id)
 
     return _start(ledger_stream, process, checkpoint, trigger)
 

@@ -37,16 +37,12 @@ def test_export_features_text_formats(spark, tmp_dir):
 
 
 def test_publish_load_choose(spark, tmp_dir):
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    rows = [(float(d), float(p), float(int(p + 3 * d > 30))) for d in range(1, 12) for p in range(5, 31, 3)]
-    df = VectorAssembler(inputCols=["d", "p"], outputCol="features").transform(
-        spark.createDataFrame(rows, "d double, p double, label double"))
-    model = LogisticRegression(regParam=0.01, maxIter=50).fit(df)
-    side = {"rows_total": len(rows), "feature_columns": ["distance_km", "prep_minutes"]}
+    from ordersight.operators.training import FitResult
+    model = FitResult({"distance_km": 0.6, "prep_minutes": 0.25}, -7.0, 99, 5)
+    side = {"rows_total": 99, "feature_columns": ["distance_km", "prep_minutes"]}
     registry.publish(spark, tmp_dir, 1, model, side)
     registry.publish(spark, tmp_dir, 2, model, {**side, "feature_columns": ["distance_km"]})   # mismatched list
-    model.write().save(f"{tmp_dir}/model_v0003")                                             # artifact, no sidecar
+    registry.write_artifact(spark, f"{tmp_dir}/model_v0003", model)                          # artifact, no sidecar
     with pytest.raises(Exception):
         registry.publish(spark, tmp_dir, 1, model, side)                                   # refuses overwrite
     sidecars = registry.read_sidecars(spark, tmp_dir)

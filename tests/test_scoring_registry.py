@@ -59,10 +59,57 @@ def test_sidecars_readable_and_newest_by_number(spark, tmp_dir):
     assert coefs == {"distance_km": 0.6, "prep_minutes": 0.25}
 
 
-def test_render_sidecar_key_order():
-    text = registry.render_sidecar({"version": 3, "rows_total": 10})
-    keys = [json.loads("{" + ln.rstrip(",") + "}").popitem()[0] for ln in text.strip()[1:-1].strip().split("\n")]
-    assert keys == list(registry.SIDECAR_KEYS)
+def test_sidecar_text(spark):
+    rec = {"version": 3, "rows_total": 10, "accuracy": 0.81249, "coefficients": {"b": 0.12345, "a": -2.0}, "feature_columns": ["b", "a"], "intercept": 1.0005}
+    text = registry.sidecar_json(registry.records_frame(spark, [rec])).first().sidecar
+    got = json.loads(text)
+    assert list(got) == list(registry.SIDECAR_KEYS)                     # pinned order, undefined values kept
+    assert sum(line.startswith('  "') for line in text.split("\n")) == len(registry.SIDECAR_KEYS)   # one key per line
+    assert got["accuracy"] == 0.812 and got["coefficients"] == {"b": 0.123, "a": -2.0} and list(got["coefficients"]) == ["b", "a"]
+    assert got["f1"] is None and got["feature_columns"] == ["b", "a"]
+
+
+def _fit(coefficients, intercept=-7.0):
+    from ordersight.operators.training import FitResult
+    return FitResult(coefficients, intercept, 10, 1)
+
+
+def test_swapped_names_and_unfit_weights_are_refused(spark, tmp_dir):
+    names = ["distance_km", "prep_minutes"]
+    registry.publish(spark, tmp_dir, 1, _fit({"distance_km": 0.6, "prep_minutes": 0.25}), {"rows_total": 1, "feature_columns": names})
+    assert registry.load_checkpoint(spark, tmp_dir, 1, names) == ({"distance_km": 0.6, "prep_minutes": 0.25}, -7.0, None)
+    assert registry.load_checkpoint(spark, tmp_dir, 1, names[::-1])[2] == "feature columns differ from the artifact"
+    assert registry.load_checkpoint(spark, tmp_dir, 1, ["distance_km", "hour"])[2] == "feature columns differ from the artifact"
+    assert registry.load_checkpoint(spark, tmp_dir, 1, [])[2] == "no feature columns"
+    registry.publish(spark, tmp_dir, 2, _fit({"distance_km": float("nan")}), {"rows_total": 1, "feature_columns": ["distance_km"]})
+    assert registry.load_checkpoint(spark, tmp_dir, 2, ["distance_km"])[2] == "non-finite probe"
+    write(f"{tmp_dir}/model_v0003", "no model")
+    assert registry.load_checkpoint(spark, tmp_dir, 3, names)[2].startswith("unreadable artifact")
+
+
+def test_reset_registry_is_followed_down(spark, tmp_dir):
+    """ST-15: 5 loaded, then only 1 and 2 published: 2 is loaded; a version published anew is loaded anew."""
+    import shutil
+    assert registry.choose_model([(1, True), (2, True)], 5, set()) == 2
+    assert registry.choose_model([], 5, set()) is None
+    side = {"rows_total": 1, "feature_columns": ["prep_minutes"]}
+    old, new = f"{tmp_dir}/old", f"{tmp_dir}/new"
+    registry.publish(spark, old, 5, _fit({"prep_minutes": 0.5}), side)
+    chooser = registry.ModelChooser(spark, old)
+    assert chooser() == ({"prep_minutes": 0.5}, -7.0, "model_v0005")
+    chooser.models_dir = new
+    assert chooser() is None
+    registry.publish(spark, new, 1, _fit({"prep_minutes": 0.1}), side)
+    registry.publish(spark, new, 2, _fit({"prep_minutes": 0.2}), side)
+    assert chooser() == ({"prep_minutes": 0.2}, -7.0, "model_v0002")
+    registry.publish(spark, new, 3, _fit({"prep_minutes": float("inf")}), side)
+    assert chooser()[2] == "model_v0002" and {v for v, _ in chooser.bad} == {3}
+    again = f"{tmp_dir}/again"
+    registry.publish(spark, again, 2, _fit({"prep_minutes": 0.9}), {**side, "rows_total": 2})
+    chooser.models_dir = again
+    assert chooser() == ({"prep_minutes": 0.9}, -7.0, "model_v0002")
+    shutil.rmtree(f"{again}/model_v0002")                                    # the artifact is gone, its sidecar is not
+    assert registry.ModelChooser(spark, again)() is None
 
 
 def test_retrain_trigger_at_n_not_before(spark):

@@ -122,17 +122,54 @@ def test_retrain_stream_publishes_on_trigger_only(spark, tmp_path):
     assert why is None and coefs["distance_km"] > 0 and coefs["prep_minutes"] > 0
 
 
+def test_retrain_stream_outlives_failures(spark, tmp_path):
+    """ST-02/ML-05: a failing read, fit or publish is a row, the query goes on, an unchanged state is not tried again."""
+    from ordersight.operators import registry
+    from ordersight.options import TrainOptions
+    led, models = str(tmp_path / "led"), str(tmp_path / "models")
+    calls = []
+
+    def rows(n, label):
+        return spark.range(n).selectExpr("cast(id div 10 as string) batch", "id pos", "id % 11 + 0.5D distance_km", "cast(id % 26 + 5 as int) prep_minutes",
+                                         f"cast({label} as int) was_late", "timestamp_seconds(id) timestamp")
+
+    def run(kept, reader):
+        def features():
+            calls.append(kept)
+            return reader()
+        if kept:
+            spark.createDataFrame([("b", "committed", kept)], "batch string, status string, kept long").write.mode("append").parquet(led)
+        stream = spark.readStream.schema("batch string, status string, kept long").parquet(led)
+        jobs.retrain_stream(stream, led, features, models, str(tmp_path / "ck"), TrainOptions(retrain_every=100)).awaitTermination()
+        return [(r.rows_available, r.top_version, r.status) for r in jobs.retrain_attempts(spark, models).orderBy("epoch").collect()]
+
+    def broken():
+        raise OSError("no such table")
+
+    assert run(100, broken) == [(100, 0, "error")]
+    spark.createDataFrame([("skip", "skipped", 0)], "batch string, status string, kept long").write.mode("append").parquet(led)
+    assert run(0, broken) == [(100, 0, "error")] and calls == [100]          # a new epoch, the same state
+    assert run(20, lambda: rows(120, "0")) == [(100, 0, "error"), (120, 0, "one_class_in_train")]
+    registry.write_artifact(spark, f"{models}/model_v0001", training_result())   # half published: its number stays taken
+    got = run(10, lambda: rows(130, "id % 3 = 0"))
+    assert got[2:] == [(130, 1, "published")]
+    assert [r.version for r in registry.read_sidecars(spark, models).where("readable").collect()] == [2]
+    errors = [r.detail for r in jobs.retrain_attempts(spark, models).where("status = 'error'").collect()]
+    assert errors == ["OSError: no such table"]
+
+
+def training_result():
+    from ordersight.operators.training import FitResult
+    return FitResult({"distance_km": 0.6, "prep_minutes": 0.25}, -7.0, 99, 5)
+
+
 def test_score_stream_hot_swap_never_rescores(spark, tmp_path):
     """ST-03/ML-09/ML-11: each batch is scored once, by the model that was newest at its boundary."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
     from ordersight.operators import registry
+    from ordersight.operators.training import FitResult
     models, out = str(tmp_path / "models"), str(tmp_path / "out")
-    rows = [(float(d), float(p), float(int(p + 3 * d > 30))) for d in range(1, 12) for p in range(5, 31, 3)]
-    train = VectorAssembler(inputCols=["distance_km", "prep_minutes"], outputCol="features").transform(
-        spark.createDataFrame(rows, "distance_km double, prep_minutes double, label double"))
-    m1 = LogisticRegression(regParam=0.1, maxIter=20).fit(train)
-    m2 = LogisticRegression(regParam=0.001, maxIter=50).fit(train)
+    m1 = FitResult({"distance_km": 0.6, "prep_minutes": 0.25}, -7.0, 99, 5)
+    m2 = FitResult({"distance_km": 0.7, "prep_minutes": 0.35}, -9.0, 99, 5)
     side = {"rows_total": 10, "feature_columns": ["distance_km", "prep_minutes"]}
     from ordersight.streaming import committed
     epochs = iter(range(10))

@@ -87,15 +87,29 @@ def test_fit_matches_newton_and_learns(spark):
     x = np.array([[r[2], r[3]] for r in tr], dtype=float)
     y = np.array([r[4] for r in tr], dtype=float)
     beta = newton_oracle(x, y)
-    assert fit.intercept == pytest.approx(beta[0], abs=1e-4)
-    assert fit.coefficients["distance_km"] == pytest.approx(beta[1], abs=1e-4)
-    assert fit.coefficients["prep_minutes"] == pytest.approx(beta[2], abs=1e-4)
+    assert fit.intercept == pytest.approx(beta[0], abs=1e-6)
+    assert fit.coefficients["distance_km"] == pytest.approx(beta[1], abs=1e-6)
+    assert fit.coefficients["prep_minutes"] == pytest.approx(beta[2], abs=1e-6)
     from ordersight.operators.scoring import logistic
     m = training.classification_metrics(split.where("split = 'test'").withColumn(
         "probability", logistic(fit.coefficients, fit.intercept))).first()
     assert m.accuracy >= m.baseline_accuracy + 0.10 and m.roc_auc >= 0.75
 
 
+def test_fit_on_separable_constant_and_empty_rows(spark):
+    """Far-off and separable rows converge (steps are halved where the loss rises); a column that says nothing gets no weight."""
+    rows = [("b", i, 1000.0 * i, 7, int(i >= 20)) for i in range(40)]
+    fit = training.fit_logistic(frame(spark, rows))
+    x, y = np.array([[r[2], r[3]] for r in rows]), np.array([r[4] for r in rows], float)
+    z = fit.intercept + x @ np.array([fit.coefficients["distance_km"], fit.coefficients["prep_minutes"]])
+    p = 1 / (1 + np.exp(-z))
+    slope = np.column_stack([np.ones(len(x)), x]).T @ (p - y) + np.array([0.0, *fit.coefficients.values()])
+    assert np.abs(slope / np.array([1.0, x[:, 0].max(), 7.0])).max() < 1e-6        # the optimum's condition
+    assert fit.coefficients["prep_minutes"] == pytest.approx(0.0, abs=1e-6)
+    with pytest.raises(ValueError):
+        training.fit_logistic(frame(spark, rows).limit(0))
+
+
 def test_metrics_against_python(spark):
     rng = random.Random(11)
     data = [(round(rng.random(), 2), rng.randint(0, 1)) for _ in range(400)]
