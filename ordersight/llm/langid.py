@@ -94,10 +94,11 @@ class Field:
         w = self.weights[f]
         return np.stack([np.bincount(of, w[:, j], len(words)) for j in range(len(self.langs))], axis=1)
 
-    def marginals(self, emission: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def marginals(self, emission: np.ndarray, lengths: np.ndarray, moves: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Label posteriors of the words of several sequences laid end to end, and transition posteriors summed.
 
         The sequences run side by side, longest first, so each step handles all that are still going on.
+        Only learning asks for the transitions; without ``moves`` they stay zero.
         """
         k = emission.shape[1]
         order = np.argsort(-lengths, kind="stable")
@@ -123,8 +124,9 @@ class Field:
             if t + 1 < steps and (m := live[t + 1]):
                 nxt = start[:m] + t + 1
                 into = e[nxt] * beta[:m]
-                joint = alpha[nxt - 1][:, :, None] * t_mat * into[:, None, :]
-                moved += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+                if moves:
+                    joint = alpha[nxt - 1][:, :, None] * t_mat * into[:, None, :]
+                    moved += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
                 b = into @ t_mat.T
                 beta[:m] = b / b.sum(axis=1, keepdims=True)
             g = alpha[at] * beta[:n]
@@ -238,7 +240,7 @@ class _Labeller:
             return langs, scores
         lengths = np.array([len(per_text[i]) for i in full])
         words = [w for i in full for w in per_text[i]]
-        post, _ = self.field.marginals(self._emissions(words), lengths)
+        post, _ = self.field.marginals(self._emissions(words), lengths, moves=False)
         mean = np.add.reduceat(post, np.cumsum(lengths) - lengths, axis=0) / lengths[:, None]
         for i, m in zip(full, mean, strict=True):
             langs[i], scores[i] = self.field.langs[int(m.argmax())], min(1.0, float(m.max()))
