@@ -88,7 +88,7 @@ class CharModel:
 
     def decode(self, lattice: list[list[tuple[str, float]]]) -> str:
         """The best path; each position offers (text to write, cost), where a text is '', ' ' or letters."""
-        logp = self.logp
+        logp = memoryview(self.logp.reshape(-1))  # single numbers are read quicker than from an array
         beams: dict = {(0, 0): (0.0, None)}  # the last two symbols decide what follows; texts are chains of pieces
         for options in [*lattice, [(" ", 0.0)]]:
             new: dict = {}
@@ -98,7 +98,7 @@ class CharModel:
                     for ch in piece:
                         z = 0 if ch == " " else _CODE.get(ch, 1)
                         if z or y:  # an edge after an edge says nothing
-                            s += float(logp[x, y, z])
+                            s += logp[(x * SYMBOLS + y) * SYMBOLS + z]
                             x, y = y, z
                     if s > new.get((x, y), (-1e30,))[0]:
                         new[x, y] = (s, (out, piece) if piece else out)
@@ -152,9 +152,9 @@ class Restorer:
 
     def __init__(self, model: CharModel):
         self.model = model
-        self.memo = Memo(self._restore, cap=100_000)
+        self.memo = Memo(self.read, cap=100_000)
 
-    def _restore(self, token: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    def read(self, token: str) -> tuple[tuple[str, ...], tuple[str, ...]]:
         """The plain readings of a token and its restored words."""
         word = token.lower()
         if _PLAIN.fullmatch(word) and not _RUN.search(word):
@@ -175,10 +175,16 @@ class Restorer:
         found: set[str] = set()
         for plain, restored in map(self.memo.__getitem__, set(text.split())):
             found.update(plain, restored)
+        found.update(self.spaced(text))
+        return found
+
+    def spaced(self, text: str) -> list[str]:
+        """The words that the text spells in spaced-out letters."""
+        found = []
         for m in _SPACED.finditer(text):
             letters = re.sub(r"[ .\-_]+", " ", m.group().lower())
             if len(set(letters)) > 2:  # one letter over and over spells nothing
-                found.update(self.model.decode(lattice_of(letters, spaced=True)).split())
+                found += self.model.decode(lattice_of(letters, spaced=True)).split()
         return found
 
     def restore(self, text: str) -> str:
@@ -216,9 +222,23 @@ class ToxicityModel:
         restorer, weights = Restorer(self.chars), self.weights
         weighed = Memo(lambda w: tuple(f for f in _features_of(w) if f in weights), cap=100_000)
 
-        def run(texts: list[str]) -> np.ndarray:
-            return logistic(np.array([self.bias + sum(weights[f] for f in {f for w in restorer.words(t) for f in weighed[w]}) for t in texts]))
-        return run
+        def of_token(token: str) -> tuple[int, ...]:
+            """Weighed features of the token's words; most tokens have none, so many are kept at little cost."""
+            plain, restored = restorer.read(token)
+            return tuple({f for w in (*plain, *restored) for f in weighed[w]})
+
+        known = Memo(of_token, cap=300_000)
+
+        def score(text: str) -> float:
+            found: set[int] = set()
+            for features in map(known.__getitem__, set(text.split())):
+                if features:
+                    found.update(features)
+            for w in restorer.spaced(text):
+                found.update(weighed[w])
+            return self.bias + sum(weights[f] for f in sorted(found))
+
+        return lambda texts: logistic(np.array([score(t) for t in texts]))
 
 
 def _fit(rows: list[dict]) -> tuple[np.ndarray, float]:
