@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..options import ISO_PATTERN, STAMP_PATTERN
 
 __all__ = [
-    "strip", "or_empty", "is_blank", "number_text_ok", "finite_number", "whole_number",
+    "strip", "or_empty", "is_blank", "number_text_ok", "finite_number", "whole_number", "whole",
     "strict_iso_timestamp", "iso_hour", "batch_key_of", "batch_time_of", "epoch_floor",
     "format_iso", "format_stamp", "checkpoint_name", "checkpoint_version", "pct_text",
     "pp_text", "about_text", "duration_text", "signed_thousands", "thousands",
@@ -20,11 +20,15 @@ __all__ = [
 _NUMBER_RE = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 _ISO_SHAPE_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
 _WS_RE = r"^\s+|\s+$"
+# every character a text must start or end with for _WS_RE to match: white space, and line ends ($ stops before one)
+_EDGES = " \t\n\x0b\f\r\u0085\u2028\u2029"
 
 
 def strip(col: Column) -> Column:
     """Trim leading/trailing whitespace of any kind (``btrim`` only strips spaces); NULL -> ''."""
-    return F.regexp_replace(F.coalesce(col, F.lit("")), _WS_RE, "")
+    text = F.coalesce(col, F.lit(""))
+    # most texts have nothing to strip: a look at their ends is far cheaper than the expression
+    return F.when(F.btrim(text, F.lit(_EDGES)) == text, text).otherwise(F.regexp_replace(text, _WS_RE, ""))
 
 
 def or_empty(col: Column) -> Column:
@@ -48,7 +52,11 @@ def finite_number(text: Column) -> Column:
 
 def whole_number(text: Column) -> Column:
     """Integer value of a finite number with no fractional part ('18.0' -> 18), else NULL."""
-    value = finite_number(text)
+    return whole(finite_number(text))
+
+
+def whole(value: Column) -> Column:
+    """The number as an integer, NULL where it has a fractional part."""
     return F.when(value == F.floor(value), value.cast("long"))
 
 

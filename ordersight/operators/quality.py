@@ -15,7 +15,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import finite_number, iso_hour, or_empty, strict_iso_timestamp, strip, whole_number
+from ..functions.scalars import finite_number, iso_hour, or_empty, strict_iso_timestamp, strip, whole
 from ..options import RAW_COLUMNS, REJECT_REASONS, QualityOptions
 
 CORRUPT = "_corrupt"
@@ -110,11 +110,13 @@ def with_trimmed(parsed: DataFrame) -> DataFrame:
     expressions into the later projection.
     """
     trimmed = parsed.select("*", *[strip(F.col(c)).alias(f"t_{c}") for c in RAW_COLUMNS])
-    return trimmed.select(
+    # a number that two tests read is a column of its own, so its text is parsed once
+    numbers = trimmed.select(
         "*", strict_iso_timestamp(_t("timestamp")).alias("_ts"),
         finite_number(_t("distance_km")).alias("_d"),
-        whole_number(_t("prep_minutes")).alias("_p"),
+        finite_number(_t("prep_minutes")).alias("_prep"),
         finite_number(_t("order_value")).alias("_v"))
+    return numbers.select(*trimmed.columns, "_ts", "_d", whole(F.col("_prep")).alias("_p"), "_v")
 
 
 def first_occurrence(trimmed: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import quality
 from ..operators.scoring import GOLDEN_COEFFICIENTS, GOLDEN_INTERCEPT, score_fixed
 from ..options import FEED_WINDOW, QualityOptions, WindowOptions
-from ..session import checkpoint_dir, ensure_utc
+from ..session import checkpoint_dir, compiled_methods, ensure_utc
 from ..sources.feed import feed_fields, order_feed
 from ..sources.tables import spread, table
 
@@ -24,6 +24,7 @@ class FeedContext:
 
     def __post_init__(self):
         ensure_utc(self.spark)
+        compiled_methods(self.spark)
 
     def events(self) -> DataFrame:
         return spread(table(self.spark, self.sf_dir, "events"))

@@ -68,6 +68,17 @@ def ensure_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def compiled_methods(spark: SparkSession) -> None:
+    """Lower the session's bound on generated methods to what the JVM compiles (never raise it).
+
+    The JVM only interprets methods over 8000 bytes; the cleaning rules in one method are larger.
+    Above the bound Spark runs the same expressions from small methods instead.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key, "65535")) > 8000:
+        spark.conf.set(key, "8000")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 

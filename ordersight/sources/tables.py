@@ -12,12 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give row-heavy work enough tasks when the input has too few splits.
+    """Give row-heavy work enough even tasks when the input has too few files.
 
-    A single-row-group file is one split, so all per-row parsing would run in one
-    task.  Only then (fewer scan partitions than the cluster's cores) is the input
-    round-robin repartitioned; a normal many-file input is left alone, so there is
-    no extra shuffle at scale.  Deciding needs only the file listing, not a job.
+    A row group is read by one task, however many splits its file is cut into, so the number of
+    scan partitions says nothing about the tasks that get rows.  Only the files do: with fewer
+    files than the cluster's cores, the input is round-robin repartitioned; a normal many-file
+    input is left alone, so there is no extra shuffle at scale.  Deciding needs only the file
+    listing, not a job.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if len(df.inputFiles()) >= target:
+        return df
+    return df.repartition(max(target, df.rdd.getNumPartitions()))

@@ -53,3 +53,46 @@ def test_batch_key_and_time(spark):
     assert one(spark, S.checkpoint_version(F.lit("model_v0012"))) == 12
     assert one(spark, S.checkpoint_version(F.lit("latest"))) == -1
     assert one(spark, S.checkpoint_name(F.lit(7))) == "model_v0007"
+
+
+def test_strip_looks_at_the_ends_first_and_keeps_the_expression_for_them(spark):
+    texts = ["", " ", "a", " a", "a ", "\ta\n", "a \u0085", "a\u0085", " a  ", "a b", "\x0ba\x0c\r\n", "\xa0a\xa0", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        S.strip(F.col("t")).alias("now"), F.regexp_replace(F.coalesce("t", F.lit("")), r"^\s+|\s+$", "").alias("whole"))
+    assert all(r["now"] == r["whole"] for r in rows.collect())
+    plan = rows.select("now")._jdf.queryExecution().optimizedPlan().toString()
+    assert "btrim" in plan.lower() or "trim(" in plan.lower()
+
+
+def test_spread_deals_out_one_row_group_however_many_splits_its_file_has(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from ordersight.sources.tables import spread
+    pq.write_table(pa.table({"n": pa.array(range(40_000), pa.int64())}), str(tmp_path / "one.parquet"), row_group_size=1 << 20)
+    keys = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = spark.read.parquet(str(tmp_path / "one.parquet"))
+        assert df.rdd.getNumPartitions() >= 4  # splits enough, but only one of them holds the row group
+        sizes = [r["count"] for r in spread(df, 4).groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 4 and max(sizes) < 20_000 and sum(sizes) == 40_000
+        assert spread(df, 1).rdd.getNumPartitions() == df.rdd.getNumPartitions()  # files enough: left alone
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_cleaning_lowers_the_bound_on_generated_methods_and_never_raises_it(spark):
+    from ordersight.session import compiled_methods
+    key = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(key)
+    try:
+        for before, after in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(key, before)
+            compiled_methods(spark)
+            assert spark.conf.get(key) == after
+    finally:
+        spark.conf.set(key, old)
