@@ -189,9 +189,12 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 def _candidates(buckets: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b) of the buckets (bucket, rep, words, ...), and the rows of buckets over ``SMALL``."""
+    """Pairs (a < b) of the buckets (bucket, rep, words, ...), and the rows of buckets over ``SMALL``.
+
+    Most buckets hold one class; the rows of the others are written once, for the pairs and for later rounds.
+    """
     size = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "words")).alias("lead"))
-    sized = buckets.join(size.filter("n > 1"), "bucket").withColumns({"leader": F.col("lead.rep"), "leader_words": F.col("lead.words")}).drop("lead")
+    sized = stage(buckets.join(size.filter("n > 1"), "bucket").withColumns({"leader": F.col("lead.rep"), "leader_words": F.col("lead.words")}).drop("lead"), "shared")
     fits = lambda x, y: F.least(x, y) >= least * F.greatest(x, y) - 1e-9
     small = sized.filter(F.col("n") <= SMALL).select("bucket", "rep", "words")
     pairs = small.alias("s").join(small.alias("t"), "bucket").filter((F.col("s.rep") < F.col("t.rep")) & fits(F.col("s.words"), F.col("t.words"))).select(
@@ -207,7 +210,7 @@ def word_counts(toks: np.ndarray) -> np.ndarray:
 
 
 def _across(buckets: DataFrame, linked: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Links (a < b) of similar classes that share a bucket over ``SMALL`` and lie in different components.
+    """Links (a < b) of similar classes that share one of the buckets, all over ``SMALL``, and lie in different components.
 
     A block's links are a spanning forest of its components under similarity, so they are fewer than its rows, and
     no component that its pairs connect stays apart.  The blocks grow with the classes outside the bucket's largest
@@ -291,12 +294,14 @@ def groups(numbered: DataFrame, row_col: str, id_col: str, text_col: str, least:
     rows = _classes(texts)
     reps = rows.filter("key is not null").groupBy("key").agg(F.min("row").alias("rep"), F.min("words").alias("words"), F.min_by("sketch", "row").alias("sketch"))
     reps = stage(reps, "classes")
-    level = reps.select("rep", "words", "sketch", F.posexplode("sketch").alias("i", "v")).select(
-        "rep", "words", "sketch", F.col("i").alias("at"), F.lit(1).alias("depth"), F.xxhash64("i", "v").alias("bucket"))
-    level = buckets = stage(level, "buckets")
-    linked, tested = None, None
+    # a class has a row in every function: its sketch stays with the class and is joined where finer buckets ask for it
+    level = reps.select("rep", "words", F.posexplode("sketch").alias("i", "v")).select(
+        "rep", "words", F.col("i").alias("at"), F.lit(1).alias("depth"), F.xxhash64("i", "v").alias("bucket"))
+    level = stage(level, "buckets")
+    buckets, linked, tested = None, None, None
     while True:
         pairs, large = _candidates(level, least)
+        buckets = large if buckets is None else buckets
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -309,8 +314,8 @@ def groups(numbered: DataFrame, row_col: str, id_col: str, text_col: str, least:
         open_rows = large.join(named("rep"), "rep", "left").join(named("leader"), "leader", "left").filter(comp("rep") != comp("leader"))
         steps = F.sequence(F.col("depth"), F.least(2 * F.col("depth"), F.lit(SKETCHES)) - 1)
         more = F.transform(steps, lambda k: F.element_at("sketch", (F.col("at") + k) % SKETCHES + 1))
-        level = stage(open_rows.filter(F.col("depth") < SKETCHES).select(
-            "rep", "words", "sketch", "at", F.least(2 * F.col("depth"), F.lit(SKETCHES)).alias("depth"), F.xxhash64("bucket", more).alias("bucket")), "finer")
+        level = stage(open_rows.filter(F.col("depth") < SKETCHES).join(reps.select("rep", "sketch"), "rep").select(
+            "rep", "words", "at", F.least(2 * F.col("depth"), F.lit(SKETCHES)).alias("depth"), F.xxhash64("bucket", more).alias("bucket")), "finer")
         if level.isEmpty():
             break
     linked = merged(linked, stage(_across(buckets, linked, texts, least), "verified"))

@@ -498,3 +498,25 @@ def test_registered_queries_and_their_sql():
     assert numbers == list(range(1, 11)) and entry.queries()["pipeline"] is corpus_pipeline.run
     assert all(isinstance(sql, str) for sql in entry.oracle_sql().values())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_rows_of_buckets_carry_no_sketch_and_only_shared_buckets_are_kept(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = [f"w{int(k)}" for k in rng.integers(0, 4000, 60)]
+    rows = []
+    for i in range(30):  # one family in a large bucket, its members told apart by the last words
+        rows.append((i, " ".join(base[:58] + [f"x{i}", f"y{i}"])))
+    rows += [(100 + i, " ".join(f"v{int(k)}" for k in rng.integers(0, 4000, 40))) for i in range(20)]
+    written = {}
+
+    def record(df, name, put=near_text.stage):
+        out = put(df, name)
+        written.setdefault(name, []).append(out)
+        return out
+
+    monkeypatch.setattr(near_text, "stage", record)
+    got = {r["doc_id"]: r["group_id"] for r in near_text.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 0 if i < 30 else i for i, _ in rows}
+    per_function = [df for name in ("buckets", "shared", "finer", "mixed") for df in written[name]]
+    assert not any("sketch" in df.columns for df in per_function)
+    assert written["shared"][0].filter("n < 2").isEmpty() and written["buckets"][0].count() == near_text.SKETCHES * len(rows)
