@@ -288,6 +288,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     return map_batches(two.select("a", "b", "ta", "tb"), check, "a long, b long")
 
 
+def _asked(table: DataFrame, rows: DataFrame, by: str, name: str) -> DataFrame:
+    """The rows of ``table`` whose number ``by`` is in ``rows`` (one column), written once.
+
+    The numbers grow with the documents: one plan at every size, a merge join of numbers alone.
+    """
+    return stage(table.join(rows.toDF(by).distinct().hint("merge"), by, "left_semi"), name)
+
+
 def groups(numbered: DataFrame, row_col: str, id_col: str, text_col: str, least: float = SIMILARITY) -> DataFrame:
     """row, id, rep (first row of the exact class), group (smallest rep of linked classes)."""
     texts = numbered.select(F.col(row_col).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -301,12 +309,17 @@ def groups(numbered: DataFrame, row_col: str, id_col: str, text_col: str, least:
     buckets, linked, tested = None, None, None
     while True:
         pairs, large = _candidates(level, least)
-        buckets = large if buckets is None else buckets
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
+        if buckets is None:
+            # texts are the bulk of the data: all of them are dealt out once, to keep those of a pair or a large bucket
+            buckets, hot = large, large.select("rep")
+            texts = _asked(texts.select("row", "text"), pairs.select("a").union(pairs.select("b")).union(hot), "row", "asked")
         found = stage(_verified(pairs, texts, least), "verified")
+        if tested is None:
+            texts, sketches = _asked(texts, hot, "row", "asked"), _asked(reps.select("rep", "sketch"), hot, "rep", "asked")
         tested = pairs if tested is None else tested.union(pairs)
         linked = components(found) if linked is None else merged(linked, found)
         comp = lambda c: F.coalesce(F.col(f"{c}_comp"), F.col(c))
@@ -314,7 +327,7 @@ def groups(numbered: DataFrame, row_col: str, id_col: str, text_col: str, least:
         open_rows = large.join(named("rep"), "rep", "left").join(named("leader"), "leader", "left").filter(comp("rep") != comp("leader"))
         steps = F.sequence(F.col("depth"), F.least(2 * F.col("depth"), F.lit(SKETCHES)) - 1)
         more = F.transform(steps, lambda k: F.element_at("sketch", (F.col("at") + k) % SKETCHES + 1))
-        level = stage(open_rows.filter(F.col("depth") < SKETCHES).join(reps.select("rep", "sketch"), "rep").select(
+        level = stage(open_rows.filter(F.col("depth") < SKETCHES).join(sketches, "rep").select(
             "rep", "words", "at", F.least(2 * F.col("depth"), F.lit(SKETCHES)).alias("depth"), F.xxhash64("bucket", more).alias("bucket")), "finer")
         if level.isEmpty():
             break
@@ -343,4 +356,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     named = stage(groups(numbered, row, id_col, text_col, least), "groups")
     first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     kept = named.groupBy("group").agg(F.min(first)["row"].alias("_first"))
-    return numbered.join(kept, numbered[row] == kept["_first"], "left_semi").select(*[numbered[c] for c in docs.columns])
+    # as in _asked: the kept rows grow with the documents, so the plan is a merge join at every size
+    return numbered.join(kept.hint("merge"), numbered[row] == kept["_first"], "left_semi").select(*[numbered[c] for c in docs.columns])

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from ordersight.llm import chat, decontam, langid, lm_score, near_text, pack, quality, queries, sharding, toxicity, vectors
+from ordersight.llm import chat, decontam, graph, langid, lm_score, near_text, pack, quality, queries, sharding, toxicity, vectors
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, row string, shard string, key string"
 RNG = np.random.default_rng(5)
@@ -520,3 +520,66 @@ def test_rows_of_buckets_carry_no_sketch_and_only_shared_buckets_are_kept(spark,
     per_function = [df for name in ("buckets", "shared", "finer", "mixed") for df in written[name]]
     assert not any("sketch" in df.columns for df in per_function)
     assert written["shared"][0].filter("n < 2").isEmpty() and written["buckets"][0].count() == near_text.SKETCHES * len(rows)
+
+
+def test_later_rounds_are_given_the_texts_of_large_buckets_alone(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    base = [f"w{int(k)}" for k in rng.integers(0, 4000, 60)]
+    rows = [(i, " ".join([*base[:58], f"x{i}", f"y{i}"])) for i in range(30)]
+    rows += [(100 + i, " ".join(f"v{int(k)}" for k in rng.integers(0, 9000, 40))) for i in range(20)]
+    pair = [f"u{int(k)}" for k in rng.integers(0, 9000, 40)]
+    rows += [(200, " ".join(pair)), (201, " ".join([*pair, "more"]))]
+    written, given = {}, []
+
+    def record(df, name, put=near_text.stage):
+        out = put(df, name)
+        written.setdefault(name, []).append(out)
+        return out
+
+    def verify(pairs, docs, least, run=near_text._verified):
+        given.append(docs.count())
+        return run(pairs, docs, least)
+
+    monkeypatch.setattr(near_text, "stage", record)
+    monkeypatch.setattr(near_text, "_verified", verify)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["group_id"] for r in near_text.near_duplicates(docs).collect()}
+    assert got == {i: 0 if i < 30 else 200 if i == 201 else i for i, _ in rows}
+    assert [df.count() for df in written["asked"]] == [32, 30, 30] and given[0] == 32 and set(given[1:]) <= {30}
+    kept = near_text.drop_near_duplicates(docs)
+    assert "BroadcastHashJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert {r["doc_id"] for r in kept.collect()} == set(got.values())
+
+
+def test_a_link_is_joined_again_only_while_its_ends_differ(spark, monkeypatch):
+    written = []
+
+    def record(df, name, put=graph.stage):
+        out = put(df, name)
+        if name == "links":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "stage", record)
+
+    def found(links, kind="long"):
+        written.clear()
+        return {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(links, f"a {kind}, b {kind}")).collect()}
+
+    assert found([(99, i) for i in range(50)] + [(3, 99), (7, 7), (None, 5)]) == dict.fromkeys([*range(50), 99], 0) and written == [50, 49, 0]
+    assert found([(i, i + 1) for i in range(40)]) == dict.fromkeys(range(41), 0)
+    assert found([]) == {}
+    rng = np.random.default_rng(2)
+    links = [(f"n{a:03}", f"n{b:03}") for a, b in rng.integers(0, 300, (220, 2)).tolist()]
+    top = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            top[y] = x
+    assert found(links, "string") == {x: find(x) for x in list(top)}
