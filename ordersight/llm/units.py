@@ -12,7 +12,8 @@ import os
 import re
 from collections.abc import Callable
 from functools import lru_cache
-from itertools import islice
+from itertools import accumulate, chain, compress, islice, repeat
+from operator import is_
 
 import numpy as np
 
@@ -22,7 +23,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CAP = 800_000
 JOINED = 400
 
-_SPACE_RUN = re.compile(r"\s ")
+#: A blank after white space; the search goes from blank to blank.
+_SPACE_RUN = re.compile(r" (?<=\s\s)")
 _CUT = re.compile(r"(?<=\S)(?= )")
 #: White space other than blank, tab and line ends, on which libraries differ.
 _ODD = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -40,11 +42,10 @@ _BEFORE_SIGNS = re.compile(f"( ?[{_LETTER}]+)([{re.escape(_SIGNS)}]+)")
 
 def space_cuts(text: str) -> list[str]:
     """``text`` cut before every blank that follows no white space; empty texts have no cut."""
-    if _SPACE_RUN.search(text):
+    if "\0" in text or _SPACE_RUN.search(text):
         return [c for c in _CUT.split(text) if c]
-    first, *rest = text.split(" ")
-    cuts = [" " + r for r in rest]
-    return [first, *cuts] if first else cuts
+    cuts = text.replace(" ", "\0 ").split("\0")
+    return cuts if cuts[0] else cuts[1:]
 
 
 def word_cuts(text: str) -> list[str]:
@@ -70,19 +71,19 @@ class Store:
                 gc.enable()
 
     def _values(self, cuts: list[list[str]]) -> list[list]:
-        get = self.known.get
-        found = [list(map(get, c)) for c in cuts]
-        new = {u: None for c, f in zip(cuts, found, strict=True) if None in f for u, v in zip(c, f, strict=True) if v is None}
-        if new:
-            keys = list(new)
-            values = self.make(keys)
-            fresh = dict(zip(keys, values, strict=True))
-            for c, f in zip(cuts, found, strict=True):
-                if None in f:
-                    f[:] = [fresh[u] if v is None else v for u, v in zip(c, f, strict=True)]
+        flat = list(chain.from_iterable(cuts))
+        found = list(map(self.known.get, flat))
+        missing = list(compress(range(len(flat)), map(is_, found, repeat(None))))
+        if missing:
+            unknown = [flat[i] for i in missing]
+            keys = list(dict.fromkeys(unknown))
+            fresh = dict(zip(keys, self.make(keys), strict=True))
+            for i, v in zip(missing, map(fresh.__getitem__, unknown), strict=True):
+                found[i] = v
             room = max(0, self.cap - len(self.known))
-            self.known.update(zip(keys[:room], values))
-        return found
+            self.known.update(fresh if room >= len(fresh) else islice(fresh.items(), room))
+        ends = list(accumulate(map(len, cuts)))
+        return [found[a:b] for a, b in zip([0, *ends], ends)]
 
 
 class Vocabulary:
@@ -135,17 +136,18 @@ class Vocabulary:
 
     def ids_of(self, cuts: list[str]) -> list[bytes]:
         """Ids of each cut, as little-endian bytes of ``kind``."""
-        known, new = self.units.known, {}
+        known = self.units.known
         parts = list(map(self._parts, cuts))
-        for p in parts:
-            for u in p:
-                if u not in known:
-                    new[u] = b""
-        if new:
-            new = dict(zip(new, self.units.make(list(new)), strict=True))
-            known.update(islice(new.items(), max(0, self.units.cap - len(known))))
-        get, more = known.get, new.get
-        return [get(p[0]) or more(p[0], b"") if len(p) == 1 else b"".join([get(u) or more(u, b"") for u in p]) for p in parts]
+        flat = list(chain.from_iterable(parts))
+        new = list(dict.fromkeys(compress(flat, map(is_, map(known.get, flat), repeat(None)))))
+        more = dict(zip(new, self.units.make(new), strict=True)) if new else {}
+        room = max(0, self.units.cap - len(known))
+        known.update(more if room >= len(more) else islice(more.items(), room))
+        values = [more[u] if v is None else v for u, v in zip(flat, map(known.get, flat), strict=True)]
+        if len(flat) == len(parts):
+            return values
+        ends = list(accumulate(map(len, parts)))
+        return [values[a] if b == a + 1 else b"".join(values[a:b]) for a, b in zip([0, *ends], ends)]
 
     def _units(self, cuts: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {}

@@ -249,3 +249,21 @@ def test_list_ranks_of_a_shuffled_list(spark):
     rows = [(a, order[i - 1] if i else None, order[i + 1] if i < 999 else None) for i, a in enumerate(order)]
     got = prefix_trie.list_ranks(spark.createDataFrame(rows, "arc long, prev long, next long"), bottom=60).collect()
     assert {r.arc: r.rank for r in got} == {a: i for i, a in enumerate(order)}
+
+
+def test_cuts_of_blanks_and_nul_and_one_value_for_each_missing_cut():
+    for text in ("", " ", "  ", "a b", " a b ", "a  b", "a\n b", "a\u2003 b", "a\0 b\0", "\0", "a \n b"):
+        assert units.space_cuts(text) == [c for c in re.split(r"(?<=\S)(?= )", text) if c]
+    asked = []
+
+    class Known(dict):
+        def get(self, key, default=None):
+            asked.append(key)
+            return super().get(key, default)
+
+    made = []
+    store = units.Store(lambda cuts: made.append(cuts) or [c.upper() for c in cuts], cap=2)
+    store.known = Known()
+    assert store.values([["a", "b", "a"], [], ["c", "b"]]) == [["A", "B", "A"], [], ["C", "B"]] and made == [["a", "b", "c"]]
+    assert store.values([["c", "a"]]) == [["C", "A"]] and made[1:] == [["c"]] and len(store.known) == 2
+    assert len(asked) == 7
