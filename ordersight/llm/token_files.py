@@ -60,10 +60,10 @@ class Codes:
 
     @staticmethod
     def pack(ids: np.ndarray) -> bytes:
-        parts, rest = [], ids.astype(np.uint64)
+        parts, rest = [], ids
         while True:
-            parts.append((rest & np.uint64((1 << CHUNK) - 1)).astype(np.uint8).tobytes())
-            more = rest >> np.uint64(CHUNK)
+            parts.append((rest & rest.dtype.type((1 << CHUNK) - 1)).astype(np.uint8).tobytes())
+            more = rest >> rest.dtype.type(CHUNK)
             goes_on = more > 0
             if not goes_on.any():
                 break

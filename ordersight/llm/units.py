@@ -1,8 +1,8 @@
 """Token ids of whole texts by public vocabularies, text by text the same as the libraries give, from a store of cuts.
 
 A text is cut where no token can reach across, and every distinct cut is encoded once: the first ``cap`` distinct
-cuts of a Python worker are kept for good, all others for their batch, and so are the words of cuts without the signs
-around them.  New ones are encoded many in one string, whose ids are dealt back by the tokens' byte lengths (byte-level vocabularies) or by the word-end marks (word
+cuts of a Python worker are kept for good, all others for their batch.  Word vocabularies fold case, so there texts are
+lower-cased before they are cut where that is safe, and the words of cuts without the signs around them are kept too.  New ones are encoded many in one string, whose ids are dealt back by the tokens' byte lengths (byte-level vocabularies) or by the word-end marks (word
 vocabularies); where that does not come out even, each cut is encoded alone.
 """
 from __future__ import annotations
@@ -19,8 +19,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Cuts kept for good by a Python worker: about 200 bytes each.
-CAP = 800_000
+#: Cuts kept for good by a Python worker, about 200 bytes each: of a word vocabulary, which keeps words besides, and of others.
+CAP, CAP_ALONE = 800_000, 1_200_000
 JOINED = 400
 
 #: A blank after white space; the search goes from blank to blank.
@@ -37,7 +37,8 @@ _PLAIN_WORD = re.compile(f"[{_LETTER}]+")
 #: A word with signs around it falls into units there; not with an apostrophe, nor with the sign that opens special tokens.
 _SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
 _IN_SIGNS = re.compile(f"([{re.escape(_SIGNS.replace('<', ''))}]*)([{_LETTER}]+)([{re.escape(_SIGNS)}]*)")
-_BEFORE_SIGNS = re.compile(f"( ?[{_LETTER}]+)([{re.escape(_SIGNS)}]+)")
+#: In a text without these, lower-casing first changes no id; "<" opens special tokens, whose case counts.
+_OTHER = re.compile(rf"[^\x00-;=-\x7f{_LETTER}]")
 
 
 def space_cuts(text: str) -> list[str]:
@@ -49,7 +50,9 @@ def space_cuts(text: str) -> list[str]:
 
 
 def word_cuts(text: str) -> list[str]:
-    """The runs without white space."""
+    """The runs without white space, in lower case where the text's case tells nothing."""
+    if "<" not in text and (text.isascii() or not _OTHER.search(text)):
+        text = text.lower()
     return [w for w in _PLAIN_SPACE.split(text) if w] if _ODD_SPACE.search(text) else text.split()
 
 
@@ -92,7 +95,7 @@ class Vocabulary:
     ``plain``: strings of special tokens inside a text are ordinary text.
     """
 
-    def __init__(self, path: str, plain: bool = False, cap: int = CAP):
+    def __init__(self, path: str, plain: bool = False, cap: int | None = None):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
@@ -104,6 +107,7 @@ class Vocabulary:
         self.ends = np.array([t.endswith("</w>") for t in tokens])
         self.cut = word_cuts if self.by_words else space_cuts
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        cap = (CAP if self.by_words else CAP_ALONE) if cap is None else cap
         self.store, self.units = Store(self.ids_of, cap), Store(self._units, cap)
 
     def _alone(self, texts: list[str]) -> list[np.ndarray]:
@@ -124,18 +128,17 @@ class Vocabulary:
         return ends if ends[-1] == len(ids) and (reach[ends - 1] == goal).all() else None
 
     def _parts(self, cut: str) -> tuple[str, ...]:
-        """The cut, or its word and signs where these are units of their own."""
-        if self.by_words:
-            if cut.isascii() and cut.isalpha():
-                return (cut.lower(),)
-            if m := _IN_SIGNS.fullmatch(cut):
-                return tuple([p for p in (m[1], m[2].lower(), m[3]) if p])
-        elif not cut[-1].isalnum() and (m := _BEFORE_SIGNS.fullmatch(cut)):
-            return m.groups()
+        """A word vocabulary's cut, or its word and signs where these are units of their own."""
+        if cut.isascii() and cut.isalpha():
+            return (cut.lower(),)
+        if m := _IN_SIGNS.fullmatch(cut):
+            return tuple([p for p in (m[1], m[2].lower(), m[3]) if p])
         return (cut,)
 
     def ids_of(self, cuts: list[str]) -> list[bytes]:
         """Ids of each cut, as little-endian bytes of ``kind``."""
+        if not self.by_words:  # signs after a byte-level cut cost less encoded with it than looked up apart
+            return self._units(cuts)
         known = self.units.known
         parts = list(map(self._parts, cuts))
         flat = list(chain.from_iterable(parts))

@@ -267,3 +267,17 @@ def test_cuts_of_blanks_and_nul_and_one_value_for_each_missing_cut():
     assert store.values([["a", "b", "a"], [], ["c", "b"]]) == [["A", "B", "A"], [], ["C", "B"]] and made == [["a", "b", "c"]]
     assert store.values([["c", "a"]]) == [["C", "A"]] and made[1:] == [["c"]] and len(store.known) == 2
     assert len(asked) == 7
+
+
+def test_signs_stay_with_byte_level_cuts_and_case_is_folded_before_word_cuts():
+    path = queries.tokenizer_path()
+    vocab = units.Vocabulary(path)
+    vocab.encode(["a word, and a word."])
+    assert " word," in vocab.store.known and not vocab.units.known
+    words = units.Vocabulary(queries.tokenizer_path("word_bpe_49k.json"))
+    texts = ["The thing, THE Ärger", "the Thing, the ärger", "THE <|endoftext|> <|ENDOFTEXT|> The", "İ The Ως"]
+    got = [np.frombuffer(x, words.kind).tolist() for x in words.encode(texts[:2])]
+    assert got[0] == got[1] and set(words.store.known) == {"the", "thing,", "ärger"}
+    got += [np.frombuffer(x, words.kind).tolist() for x in words.encode(texts[2:])]
+    assert got == [e.ids for e in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert {"THE", "The"} <= set(words.store.known)
