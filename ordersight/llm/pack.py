@@ -1,8 +1,9 @@
 """Packing along a space-filling curve: similar documents lie side by side in full sequences.
 
 A document's hashed token vector is projected to three dimensions; the place of that point on a Hilbert curve
-is its key.  Rows are tokenised where they are read, range-sorted by key (and id, so a run of equal texts may
-lie over several ranges) and laid end to end; the line of tokens is cut at every ``length`` tokens.  A piece's place
+is its key.  Rows are tokenised where they are read; their keys and sizes alone are range-sorted (by key and id, so a
+run of equal texts may lie over several ranges) and laid end to end, and each row's ids meet their place by the row's
+number; the line of tokens is cut at every ``length`` tokens.  A piece's place
 is its place in its range plus the tokens of all earlier ranges (one number per range).  Only the very end
 is no full sequence; it is cut into powers of two, which need no padding, so no token is padding.
 
@@ -124,19 +125,21 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             first = at + np.cumsum(sizes) - sizes
             at += int(sizes.sum())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("ids"), batch.column("tokens"), pa.array(first), pa.array(np.full(len(sizes), part, np.int32))],
-                names=["id", "ids", "tokens", "first", "part"])
+                [batch.column("row"), batch.column("tokens"), pa.array(first), pa.array(np.full(len(sizes), part, np.int32))],
+                names=["row", "tokens", "first", "part"])
 
     small_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # written before the range sort, whose sampling would otherwise map every text once more
     keys = stage(rows.mapInArrow(keyed, f"id {kind}, row long, key long, ids binary, tokens long"), "tokens")
-    line = stage(keys.repartitionByRange(n, "key", "id", "row").sortWithinPartitions("key", "id", "row").mapInArrow(
-        placed, f"id {kind}, ids binary, tokens long, first long, part int"), "packed")
-    totals = line.groupBy("part").agg(F.sum("tokens").alias("n")).orderBy("part").collect()  # one row per range
+    places = stage(keys.select("id", "row", "key", "tokens").repartitionByRange(n, "key", "id", "row").sortWithinPartitions("key", "id", "row").mapInArrow(
+        placed, "row long, tokens long, first long, part int"), "places")
+    totals = places.groupBy("part").agg(F.sum("tokens").alias("n")).orderBy("part").collect()  # one row per range
     before, total = {}, 0
     for r in totals:
         before[r["part"]], total = total, total + r["n"]
+    # places grow with the documents: one plan at every size
+    line = keys.select("id", "row", "ids", "tokens").join(places.select("row", "first", "part").hint("merge"), "row").drop("row")
     width, tail = total - total % length, ends_of(total, length)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -281,3 +281,16 @@ def test_signs_stay_with_byte_level_cuts_and_case_is_folded_before_word_cuts():
     got += [np.frombuffer(x, words.kind).tolist() for x in words.encode(texts[2:])]
     assert got == [e.ids for e in words.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert {"THE", "The"} <= set(words.store.known)
+
+
+def test_ids_are_not_sorted_along_the_curve(spark, monkeypatch):
+    """Keys and sizes are range-sorted; the ids are written once and meet their places by the row's number."""
+    staged = {}
+    kept = pack.stage
+    monkeypatch.setattr(pack, "stage", lambda df, name: staged.setdefault(name, kept(df, name)))
+    texts = ["same words"] * 4 + ["", None, "other words here"] * 3
+    docs = docs_of(spark, texts).union(docs_of(spark, texts[:2]))               # repeated rows, a null id
+    rows = pack.pack(docs, queries.tokenizer_path()).collect()
+    assert [name for name, df in staged.items() if "ids" in df.columns] == ["tokens"] and len(staged) == 2
+    assert sum(r.start == 0 for r in rows) == len(texts) + 2
+    assert sum(r.length for r in rows) == sum(r.doc_tokens for r in rows if r.start == 0)
