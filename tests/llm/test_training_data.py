@@ -120,6 +120,35 @@ def test_cross_entropy_against_loops(spark, monkeypatch, chunk, radix):
     assert lm_score.cross_entropy_difference(docs.limit(0), target).count() == 0
 
 
+def test_cross_entropy_shuffles_counts_alone(spark, monkeypatch, capsys):
+    """Chunks of texts lie in buckets and are read there; 3-grams that lie in one chunk are not sent, shared ones are."""
+    monkeypatch.setattr(lm_score, "CHUNK", 400)
+    monkeypatch.setattr(lm_score, "RADIX", 3000)
+    texts = [prose(i, 30, VOCAB[:4] if i % 2 else VOCAB[4 + 30 * i:34 + 30 * i]) for i in range(12)]
+    chosen = [1, 2, 5, 8]
+    docs = docs_of(spark, texts)
+    sent, counted = {}, lm_score._counted
+
+    def watched(chunks, notes, step, radixes):
+        out = counted(chunks, notes, step, radixes)
+        sent[step] = sum(len(lm_score.restored(r.corpus, np.uint32)) for r in out.select("corpus").collect())
+        return out
+
+    monkeypatch.setattr(lm_score, "_counted", watched)
+    result = lm_score.cross_entropy_difference(docs, spark.createDataFrame([(i,) for i in chosen], "doc_id long"))
+    result.explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning(chunk") == 1  # the totals; the texts stay where they are
+    want = list(zip(*slow_losses(texts, chosen), strict=True))
+    got = result.collect()
+    assert len(got) == len(texts)
+    for r in got:
+        (n, target_loss), (_, corpus_loss) = want[3 if r.doc_id is None else r.doc_id]
+        assert (r.tokens, r.target_loss, r.background_loss) == (n, pytest.approx(target_loss, abs=1e-9), pytest.approx(corpus_loss, abs=1e-9))
+    one_place = sum(len(set(zip(w, w[1:], w[2:], strict=False))) for w in (["", "", *lm_score.tokens(t), ""] for t in texts[::2]))
+    every = sum(len(set(zip(w, w[1:], w[2:], strict=False))) for w in (["", "", *lm_score.tokens(t), ""] for t in texts))
+    assert sent[1] and 0 < sent[2] <= every - 0.8 * one_place
+
+
 def test_vectors_against_brute_force(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(60, 16))
